@@ -17,15 +17,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulse.config import Config, use_utc
-from pulse.operators.parse import parse_events, subscribed, with_topic
+from pulse.sources.files import ensure_parallelism
+from pulse.operators.parse import parse_events, subscribed, topic_for
 
 T0_MICROS = 1704067200000000  # 2024-01-01T00:00:00Z
 TIME_COMPRESSION = 360
 KAFKA_PARTITIONS = 4
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
+    """Read one driver table; small single-split files are spread over the
+    cluster's cores (see :func:`pulse.sources.files.ensure_parallelism`)."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return ensure_parallelism(df) if spread else df
 
 
 def _k() -> Column:
@@ -41,8 +45,7 @@ def _s(col: Column) -> Column:
     return col.cast("string")
 
 
-def capture_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One JSON edit event per ``events`` row: ``offset`` (= event_id), ``value`` (text)."""
+def _capture(spark: SparkSession, sf_dir: str) -> DataFrame:
     use_utc(spark)
     ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props")
     base = ev.select(
@@ -79,12 +82,22 @@ def capture_values(spark: SparkSession, sf_dir: str) -> DataFrame:
         (k % 5 != 0).alias("rev_content_changed"),
     )
     return base.select(eid.alias("offset"), F.to_json(event).alias("value"),
-                       F.col("event_time").alias("ingest_time"))
+                       F.col("event_time").alias("ingest_time"), stream.alias("stream"))
+
+
+def capture_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One JSON edit event per ``events`` row: ``offset`` (= event_id), ``value`` (text)."""
+    return _capture(spark, sf_dir).drop("stream")
 
 
 def kafka_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Capture values routed to topics, in the Kafka record column contract."""
-    routed = with_topic(capture_values(spark, sf_dir))
+    """Capture values routed to topics, in the Kafka record column contract.
+
+    The producer routes on the event's ``meta.stream`` before serialising it,
+    so the topic comes from the stream column (the text-based router,
+    :func:`pulse.operators.parse.with_topic`, gives the same topics).
+    """
+    routed = _capture(spark, sf_dir).withColumn("topic", topic_for(F.col("stream")))
     return routed.select(
         F.lit(None).cast("binary").alias("key"),
         F.col("value").cast("binary").alias("value"),
