@@ -89,3 +89,105 @@ QUERIES: dict[str, Query] = {
     "latest_content_change": q_latest_content_change,
     "retained_windows": q_retained_windows,
 }
+
+
+# --- routing, dead letters, archive layout -----------------------------------------
+
+from pulse.functions.time import with_time_partitions  # noqa: E402
+from pulse.operators import parse as P  # noqa: E402
+from pulse.operators import shaping as S  # noqa: E402
+from pulse.plans.fixtures import capture_values  # noqa: E402
+
+SERIES_POINTS = 60      # last-N of the series views (10 minutes of 10 s buckets)
+PIE_POINTS = 360        # last-N of the type-share view (1 hour)
+CORRUPT_EVERY = 7       # malformed_events: every 7th message is cut in half
+
+
+def q_topic_routing(spark, sf_dir):
+    """Text-based routing of every captured event: messages per topic."""
+    routed = P.with_topic(capture_values(spark, sf_dir))
+    return routed.groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
+
+
+def q_malformed_events(spark, sf_dir):
+    """Dead-letter side over a damaged copy of the capture (every 7th message
+    truncated to half its length): offsets of the messages that fail to parse."""
+    cap = capture_values(spark, sf_dir)
+    cut = F.when(F.col("offset") % CORRUPT_EVERY == 0,
+                 F.expr("substring(value, 1, length(value) div 2)")).otherwise(F.col("value"))
+    damaged = cap.select("offset", cut.alias("value"))
+    return P.malformed_json(damaged).select("offset")
+
+
+def q_raw_partitions(spark, sf_dir):
+    """Rows per hourly archive partition (null times form the default partition)."""
+    parts = with_time_partitions(_ev(spark, sf_dir).select("event_time"))
+    return parts.groupBy("year", "month", "day", "hour").agg(F.count(F.lit(1)).alias("n"))
+
+
+# --- shaping ----------------------------------------------------------------------------
+
+def _series(spark, sf_dir):
+    return S.type_points(_top5(spark, sf_dir))
+
+
+def q_total_series_last_n(spark, sf_dir):
+    return S.total_series(M.total_events(_ev(spark, sf_dir)), SERIES_POINTS)
+
+
+def q_by_type_series_last_n(spark, sf_dir):
+    return S.by_type_series(_top5(spark, sf_dir), SERIES_POINTS)
+
+
+def q_type_totals_share(spark, sf_dir):
+    return S.type_share(S.type_totals(_series(spark, sf_dir), PIE_POINTS))
+
+
+def q_series_keys(spark, sf_dir):
+    return R.series_keys(_series(spark, sf_dir))
+
+
+def q_stacked_by_type(spark, sf_dir):
+    series = _series(spark, sf_dir)
+    return S.stacked_by_type(series, S.series_key_list(series), SERIES_POINTS)
+
+
+def q_bot_gauge_percent(spark, sf_dir):
+    return S.gauge(M.bot_ratio(_ev(spark, sf_dir)), "bot_ratio")
+
+
+def q_bot_object(spark, sf_dir):
+    return S.bot_object(M.bot_ratio(_ev(spark, sf_dir)))
+
+
+def q_content_change_object(spark, sf_dir):
+    return S.content_change_object(M.content_change_ratio(_ev(spark, sf_dir)))
+
+
+def q_top_wiki(spark, sf_dir):
+    return S.top_wiki(R.top_domains(M.domain_counts(_ev(spark, sf_dir))))
+
+
+def q_dashboard_document(spark, sf_dir):
+    ev = _ev(spark, sf_dir)
+    now = F.unix_seconds(ev.select(F.max("event_time")).scalar())
+    return S.dashboard(M.total_events(ev), R.top_n_with_others(M.events_by_type(ev)),
+                       M.bot_ratio(ev), M.domain_counts(ev), M.content_change_ratio(ev),
+                       limit=SERIES_POINTS, now=now)
+
+
+QUERIES.update({
+    "topic_routing": q_topic_routing,
+    "malformed_events": q_malformed_events,
+    "raw_partitions": q_raw_partitions,
+    "total_series_last_n": q_total_series_last_n,
+    "by_type_series_last_n": q_by_type_series_last_n,
+    "type_totals_share": q_type_totals_share,
+    "series_keys": q_series_keys,
+    "stacked_by_type": q_stacked_by_type,
+    "bot_gauge_percent": q_bot_gauge_percent,
+    "bot_object": q_bot_object,
+    "content_change_object": q_content_change_object,
+    "top_wiki": q_top_wiki,
+    "dashboard_document": q_dashboard_document,
+})

@@ -116,3 +116,60 @@ SELECT * FROM top5 WHERE window_start >= (
   SELECT min(window_start) FROM (
     SELECT DISTINCT window_start FROM top5 ORDER BY window_start DESC LIMIT {RETAINED_WINDOWS}))""",
 }
+
+SERIES_POINTS = 60
+PIE_POINTS = 360
+
+ORACLES.update({
+    "topic_routing": _with() + """
+SELECT CASE WHEN stream = 'mediawiki.recentchange' THEN 'wiki-recentchange'
+            WHEN stream = 'mediawiki.revision-create' THEN 'wiki-revision-create'
+            ELSE 'wiki-unknown' END AS topic,
+       count(*) AS n
+FROM allev GROUP BY 1""",
+    "malformed_events": "SELECT event_id AS \"offset\" FROM events WHERE event_id % 7 = 0",
+    "raw_partitions": _with() + """
+SELECT CAST(year(event_time) AS INTEGER) AS year, CAST(month(event_time) AS INTEGER) AS month,
+       CAST(day(event_time) AS INTEGER) AS day, CAST(hour(event_time) AS INTEGER) AS hour,
+       count(*) AS n
+FROM ev GROUP BY 1, 2, 3, 4""",
+    "total_series_last_n": _with(M1) + f"""
+SELECT CAST(epoch(window_start) AS BIGINT) AS t, event_count AS v
+FROM m1 ORDER BY t DESC LIMIT {SERIES_POINTS}""",
+    "by_type_series_last_n": _with(M2, M2_TOP, SERIES2) + f"""
+SELECT type, t, v FROM (
+  SELECT *, row_number() OVER (PARTITION BY type ORDER BY t DESC) AS rn FROM s2)
+WHERE rn <= {SERIES_POINTS}""",
+    "type_totals_share": _with(M2, M2_TOP, SERIES2) + f""",
+last AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY type ORDER BY t DESC) AS rn FROM s2)
+  WHERE rn <= {PIE_POINTS}
+),
+totals AS (SELECT type AS name, CAST(sum(v) AS BIGINT) AS value FROM last GROUP BY 1 HAVING sum(v) > 0)
+SELECT name, value, value / (SELECT sum(value) FROM totals) AS share FROM totals""",
+    "series_keys": _with(M2, M2_TOP, SERIES2) + """
+SELECT CAST(row_number() OVER (ORDER BY total DESC, type ASC NULLS FIRST) AS INTEGER) AS position,
+       type AS key
+FROM (SELECT type, sum(v) AS total FROM s2 GROUP BY 1)
+ORDER BY total DESC, type ASC NULLS FIRST LIMIT 8""",
+    "stacked_by_type": "WITH p AS (PIVOT (" + _with(M2, M2_TOP, SERIES2) + f""",
+keys AS (SELECT type FROM s2 GROUP BY type ORDER BY sum(v) DESC, type ASC NULLS FIRST LIMIT 8),
+ts AS (SELECT DISTINCT t FROM s2 ORDER BY t DESC LIMIT {SERIES_POINTS})
+SELECT * FROM s2 WHERE t IN (SELECT t FROM ts) AND type IN (SELECT type FROM keys)
+) ON type USING CAST(sum(v) AS BIGINT) GROUP BY t)
+SELECT t, COALESCE(COLUMNS(* EXCLUDE (t)), 0) FROM p""",
+    "bot_gauge_percent": _with(M3) + """
+SELECT window_start, bot_ratio AS ratio, CAST(floor(coalesce(bot_ratio, 0) * 100 + 0.5) AS BIGINT) AS percent
+FROM m3""",
+    "bot_object": _with(M3) + """
+SELECT 60 AS "windowSec", coalesce(max(total_count), 0) AS total, coalesce(max(bot_count), 0) AS bot,
+       coalesce(max(bot_ratio), 0.0) AS ratio
+FROM (SELECT * FROM m3 ORDER BY window_start DESC LIMIT 1)""",
+    "content_change_object": _with(M5) + """
+SELECT 60 AS "windowSec", coalesce(max(total_revision_count), 0) AS total,
+       coalesce(max(content_changed_count), 0) AS changed, coalesce(max(content_change_ratio), 0.0) AS ratio
+FROM (SELECT * FROM m5 ORDER BY window_start DESC LIMIT 1)""",
+    "top_wiki": _with(M4) + """
+SELECT domain AS k, cnt AS v FROM m4 WHERE window_start = (SELECT max(window_start) FROM m4)
+ORDER BY cnt DESC, domain ASC NULLS FIRST LIMIT 10""",
+})
