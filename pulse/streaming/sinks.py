@@ -96,8 +96,8 @@ def _newest_first(df: DataFrame, fields: dict[str, Column]) -> Column:
     """JSON array of ``fields`` per row, newest window first (bounded input)."""
     entry = F.struct((-F.unix_micros("window_start")).alias("o"), *[c.alias(k) for k, c in fields.items()])
     names = list(fields)
-    return F.to_json(F.transform(F.sort_array(F.collect_list(entry)),
-                                 lambda x: F.struct(*[x[n].alias(n) for n in names])))
+    by_o = F.array_sort(F.collect_list(entry), lambda a, b: F.signum(a["o"] - b["o"]).cast("int"))
+    return F.to_json(F.transform(by_o, lambda x: F.struct(*[x[n].alias(n) for n in names])))
 
 
 def series_snapshot(m1: DataFrame, retained: int = RETAINED_WINDOWS) -> DataFrame:
