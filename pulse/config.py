@@ -71,18 +71,16 @@ class Config:
 def checkpoint_root(spark: SparkSession, fallback: str | None = None) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be set by the platform to a shared file system; it
-    is only set here (to ``fallback``) when the session leaves it unset, as in
-    tests.
+    On a cluster the platform sets it to a shared file system; it is only set
+    here (to ``fallback``, or a private folder of a local session) when the
+    session leaves it unset, as in tests.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        return current.rstrip("/")
-    if fallback is None:
-        raise ValueError("spark.checkpoint.dir is unset and no fallback was given")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    spark.sparkContext.setCheckpointDir(fallback)
-    return fallback.rstrip("/")
+    from pulse.plans.barriers import ensure_checkpoint_dir
+
+    if fallback and not spark.conf.get("spark.checkpoint.dir", None) \
+            and not spark.sparkContext.getCheckpointDir():
+        spark.conf.set("spark.checkpoint.dir", fallback)
+    return ensure_checkpoint_dir(spark).rstrip("/")
 
 
 def use_utc(spark: SparkSession) -> None:

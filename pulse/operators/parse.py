@@ -21,6 +21,7 @@ from pulse.config import (
     TOPIC_UNKNOWN,
 )
 from pulse.functions.time import event_ts
+from pulse.plans.barriers import fence
 from pulse.functions.values import default_false
 from pulse.schema import EVENT_SCHEMA
 
@@ -62,10 +63,9 @@ def parse_events(df: DataFrame, schema: StructType = EVENT_SCHEMA, col: str = "v
     """
     text = _text(df, col)
     data = df.select(text.alias("json_str"), F.from_json(text, schema).alias("data"))
-    keys = F.struct(event_ts(F.col("data.meta.dt")).alias("event_time"),
-                    F.col("data.meta.stream").alias("stream"))
-    fenced = data.select("json_str", "data", F.inline(F.array(keys)))
-    return fenced.select(
+    keyed = data.select("json_str", "data", event_ts(F.col("data.meta.dt")).alias("event_time"),
+                        F.col("data.meta.stream").alias("stream"))
+    return fence(keyed, ["event_time", "stream"]).select(
         "event_time",
         F.col("data.meta.domain").alias("domain"),
         "stream",
