@@ -151,3 +151,123 @@ def dashboard(m1: DataFrame, m2_top: DataFrame, m3: DataFrame, m4: DataFrame, m5
         present.alias("_present"),
     )
     return doc.filter(F.col("_present") > 0).drop("_present")
+
+
+# --- schema-variant normaliser (SHP8) -------------------------------------------------
+
+from pyspark.sql.types import (  # noqa: E402
+    ArrayType,
+    DoubleType,
+    LongType,
+    MapType,
+    StringType,
+    StructField,
+    StructType,
+)
+
+from pulse.config import NORMALIZED_RANGE_MIN, NORMALIZED_WINDOW_SEC, UNKNOWN_KEY  # noqa: E402
+from pulse.functions.time import iso_to_epoch  # noqa: E402
+
+
+def _st(**fields) -> StructType:
+    return StructType([StructField(k, v, True) for k, v in fields.items()])
+
+
+_L, _D, _S = LongType(), DoubleType(), StringType()
+_POINT = _st(t=_L, v=_L)
+_M1 = ArrayType(_st(ts=_S, window_start=_S, t=_S, count=_L, event_count=_L, v=_L))
+_M2 = ArrayType(_st(ts=_S, type_counts=MapType(_S, _S), typeCounts=MapType(_S, _S)))
+_M3 = _st(bot_ratio=_D, ratio=_D, bot_count=_L, bot=_L, total_count=_L, total=_L, windowSec=_L)
+_M4 = ArrayType(_st(domain=_S, k=_S, count=_L, v=_L))
+_M5 = _st(content_change_ratio=_D, ratio=_D, content_changed_count=_L, changed=_L,
+          total_revision_count=_L, total=_L, windowSec=_L)
+
+# Every field name any producer version used, in one schema.
+RAW_DASHBOARD = _st(
+    bucketSec=_L, rangeMin=_L,
+    total=_M1, metric1=_M1, events_total=_M1,
+    byType=MapType(_S, ArrayType(_POINT)), metric2=_M2, events_by_type=_M2, byTypeWindows=_M2,
+    bot=_M3, metric3=_M3, bot_ratio=_M3,
+    topWiki=_M4, metric4=_M4, top_domains=_M4, top_domain=_M4,
+    contentChange=_M5, metric5=_M5, content_change_ratio=_M5,
+)
+
+
+def _first(raw, *names):
+    return F.coalesce(*[raw[n] for n in names])
+
+
+def normalize_dashboard(df: DataFrame, col: str = "json") -> DataFrame:
+    """Normalise stored dashboard documents written under any field naming.
+
+    Accepts ``metric1``/``events_total``/``total`` with ``ts``/``window_start``/``t``
+    and ``count``/``event_count``/``v``; ``type_counts``/``typeCounts``; ``bot_ratio``/``ratio``
+    and the other pairs; defaults ``bucketSec=10``, ``rangeMin=300``,
+    ``windowSec=60`` and key ``unknown``. A document that already has ``total``,
+    ``byType`` and ``topWiki`` passes through unchanged. Row-local: each
+    document is reshaped with higher-order functions, no shuffle. Adds
+    ``bucketSec, rangeMin, total, byType, bot, topWiki, contentChange``.
+    """
+    raw = F.from_json(F.col(col), RAW_DASHBOARD)
+    d = df.withColumn("_raw", raw)
+    r = F.col("_raw")
+    normal = r["total"].isNotNull() & r["byType"].isNotNull() & r["topWiki"].isNotNull()
+
+    m1 = _first(r, "metric1", "events_total", "total")
+    total = F.filter(F.transform(m1, lambda x: F.struct(
+        iso_to_epoch(F.coalesce(x["ts"], x["window_start"], x["t"])).alias("t"),
+        F.coalesce(x["count"], x["event_count"], x["v"], F.lit(0).cast("long")).alias("v"))),
+        lambda p: p["t"].isNotNull())
+    total_pass = F.transform(r["total"], lambda x: F.struct(
+        x["t"].cast("long").alias("t"), x["v"].alias("v")))
+
+    m2 = _first(r, "metric2", "events_by_type", "byTypeWindows")
+    windows = F.filter(F.transform(m2, lambda w: F.struct(
+        iso_to_epoch(w["ts"]).alias("t"),
+        F.coalesce(w["type_counts"], w["typeCounts"], F.create_map().cast("map<string,string>")).alias("c"))),
+        lambda w: w["t"].isNotNull())
+    entries = F.flatten(F.transform(windows, lambda w: F.transform(F.map_entries(w["c"]), lambda e: F.struct(
+        e["key"].alias("type"), w["t"].alias("t"),
+        F.coalesce(e["value"].cast("double").cast("long"), F.lit(0).cast("long")).alias("v")))))
+    types = F.array_distinct(F.transform(entries, lambda e: e["type"]))
+    by_type = F.map_from_arrays(types, F.transform(types, lambda ty: F.array_sort(F.transform(
+        F.filter(entries, lambda e: e["type"] == ty), lambda e: F.struct(e["t"].alias("t"), e["v"].alias("v"))))))
+
+    def obj(src, pairs):
+        return F.when(src.isNotNull(), F.struct(*[
+            F.coalesce(*[src[n] for n in names], F.lit(default)).alias(out)
+            for out, names, default in pairs]))
+
+    m3 = _first(r, "metric3", "bot_ratio", "bot")
+    bot = obj(m3, [("ratio", ("bot_ratio", "ratio"), 0.0), ("bot", ("bot_count", "bot"), 0),
+                   ("total", ("total_count", "total"), 0), ("windowSec", ("windowSec",), NORMALIZED_WINDOW_SEC)])
+    bot_pass = F.struct(r["bot"]["ratio"].alias("ratio"), r["bot"]["bot"].alias("bot"),
+                        r["bot"]["total"].alias("total"), r["bot"]["windowSec"].alias("windowSec"))
+    m5 = _first(r, "metric5", "content_change_ratio", "contentChange")
+    cc = obj(m5, [("ratio", ("content_change_ratio", "ratio"), 0.0),
+                  ("changed", ("content_changed_count", "changed"), 0),
+                  ("total", ("total_revision_count", "total"), 0),
+                  ("windowSec", ("windowSec",), NORMALIZED_WINDOW_SEC)])
+    cc_pass = F.struct(r["contentChange"]["ratio"].alias("ratio"), r["contentChange"]["changed"].alias("changed"),
+                       r["contentChange"]["total"].alias("total"),
+                       r["contentChange"]["windowSec"].alias("windowSec"))
+    m4 = _first(r, "metric4", "top_domains", "topWiki", "top_domain")
+    top = F.coalesce(F.transform(m4, lambda x: F.struct(
+        F.coalesce(x["domain"], x["k"], F.lit(UNKNOWN_KEY)).alias("k"),
+        F.coalesce(x["count"], x["v"], F.lit(0).cast("long")).alias("v"))), F.array())
+    top_pass = F.transform(r["topWiki"], lambda x: F.struct(x["k"].alias("k"), x["v"].alias("v")))
+
+    def pick(passthrough, built):
+        return F.when(normal, passthrough).otherwise(built)
+
+    return d.select(
+        *[c for c in df.columns],
+        pick(r["bucketSec"], F.coalesce(r["bucketSec"], F.lit(BUCKET_SEC).cast("long"))).alias("bucketSec"),
+        pick(r["rangeMin"], F.coalesce(r["rangeMin"], F.lit(NORMALIZED_RANGE_MIN).cast("long"))).alias("rangeMin"),
+        pick(total_pass, F.coalesce(total, F.array())).alias("total"),
+        pick(r["byType"], F.coalesce(by_type, F.create_map().cast("map<string,array<struct<t:bigint,v:bigint>>>"))
+             ).alias("byType"),
+        pick(F.when(r["bot"].isNotNull(), bot_pass), bot).alias("bot"),
+        pick(top_pass, top).alias("topWiki"),
+        pick(F.when(r["contentChange"].isNotNull(), cc_pass), cc).alias("contentChange"),
+    ).filter(F.try_parse_json(F.col(col)).isNotNull())     # unreadable = absent document

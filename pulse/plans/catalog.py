@@ -198,3 +198,50 @@ QUERIES.update({
     "top_wiki": q_top_wiki,
     "dashboard_document": q_dashboard_document,
 })
+
+
+# --- serving store and stored documents ---------------------------------------------------
+
+from pulse.streaming import sinks as SK  # noqa: E402
+
+SNAPSHOT_AGE_SECONDS = 400      # snapshot_live reads the store 400 s after writing it
+
+
+def q_snapshot_live(spark, sf_dir):
+    """Serving store stamped at the newest event time and read 400 s later:
+    the 300 s values (bot ratio, content change) have expired."""
+    ev = materialize(_ev(spark, sf_dir).select(
+        "event_time", "event_type", "domain", "stream", "bot", "rev_content_changed"))
+    stamp = ev.select(F.max("event_time")).scalar()
+    table = SK.snapshot_table(M.total_events(ev), R.top_n_with_others(M.events_by_type(ev)),
+                              M.bot_ratio(ev), M.domain_counts(ev), M.content_change_ratio(ev), stamp)
+    live = SK.live_snapshots(table, stamp + F.make_interval(secs=F.lit(SNAPSHOT_AGE_SECONDS)))
+    entries = F.coalesce(F.json_array_length("payload"), F.size(F.json_object_keys("payload")))
+    return live.select("metric_key", "updated_at", "expires_at", entries.cast("long").alias("entries"))
+
+
+def q_normalized_documents(spark, sf_dir):
+    """Bot-ratio documents stored under three field namings, normalised."""
+    m3 = M.bot_ratio(_ev(spark, sf_dir))
+    style = (F.unix_seconds("window_start") / 60).cast("long") % 3
+    iso = F.date_format("window_start", "yyyy-MM-dd'T'HH:mm:ss")
+    doc = (F.when(style == 0, F.to_json(F.struct(
+               F.struct(iso.alias("ts"), "bot_ratio", "bot_count", "total_count").alias("metric3"),
+               F.lit(10).alias("bucketSec"))))
+           .when(style == 1, F.to_json(F.struct(
+               F.struct(F.col("bot_ratio").alias("ratio"), F.col("bot_count").alias("bot"),
+                        F.col("total_count").alias("total"), F.lit(60).alias("windowSec")).alias("bot"),
+               F.lit(10).alias("rangeMin"))))
+           .otherwise(F.to_json(F.struct(
+               F.struct("bot_ratio", "total_count").alias("bot_ratio")))))
+    docs = m3.select(F.unix_seconds("window_start").alias("doc_id"), doc.alias("json"))
+    out = S.normalize_dashboard(docs)
+    return out.select("doc_id", "bucketSec", "rangeMin", F.col("bot.ratio").alias("ratio"),
+                      F.col("bot.bot").alias("bot"), F.col("bot.total").alias("total"),
+                      F.col("bot.windowSec").alias("windowSec"))
+
+
+QUERIES.update({
+    "snapshot_live": q_snapshot_live,
+    "normalized_documents": q_normalized_documents,
+})

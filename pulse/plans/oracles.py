@@ -173,3 +173,29 @@ FROM (SELECT * FROM m5 ORDER BY window_start DESC LIMIT 1)""",
 SELECT domain AS k, cnt AS v FROM m4 WHERE window_start = (SELECT max(window_start) FROM m4)
 ORDER BY cnt DESC, domain ASC NULLS FIRST LIMIT 10""",
 })
+
+ORACLES.update({
+    "snapshot_live": _with(M1, M2, M2_TOP, M3, M4, M5) + """,
+stamp AS (SELECT max(event_time) AS now0 FROM ev),
+rows AS (
+  SELECT 'metrics:events_total_10m_10s' AS metric_key, 10800 AS ttl,
+         (SELECT least(count(*), 1000) FROM m1) AS entries
+  UNION ALL SELECT 'metrics:events_by_type_10m_10s', 10800, (SELECT least(count(DISTINCT window_start), 1000) FROM top5)
+  UNION ALL SELECT 'metrics:bot_ratio_1m', 300, 4
+  UNION ALL SELECT 'metrics:top_domain_5m_top10', 600,
+         (SELECT least(count(*), 10) FROM m4 WHERE window_start = (SELECT max(window_start) FROM m4))
+  UNION ALL SELECT 'metrics:content_change_ratio_1m', 300, 4
+)
+SELECT metric_key, now0 AS updated_at, now0 + to_seconds(ttl) AS expires_at, CAST(entries AS BIGINT) AS entries
+FROM rows, stamp
+WHERE now0 + to_seconds(ttl) > now0 + INTERVAL 400 SECOND""",
+    "normalized_documents": _with(M3) + """
+SELECT CAST(epoch(window_start) AS BIGINT) AS doc_id,
+       CAST(10 AS BIGINT) AS "bucketSec",
+       CAST(CASE WHEN (CAST(epoch(window_start) AS BIGINT) // 60) % 3 = 1 THEN 10 ELSE 300 END AS BIGINT) AS "rangeMin",
+       bot_ratio AS ratio,
+       CASE WHEN (CAST(epoch(window_start) AS BIGINT) // 60) % 3 = 2 THEN 0 ELSE bot_count END AS bot,
+       total_count AS total,
+       CAST(60 AS BIGINT) AS "windowSec"
+FROM m3""",
+})
