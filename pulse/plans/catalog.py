@@ -156,7 +156,7 @@ def q_stacked_by_type(spark, sf_dir):
     return S.stacked_by_type(series, S.series_key_list(series), SERIES_POINTS)
 
 
-def q_bot_gauge_percent(spark, sf_dir):
+def q_gauge_percent(spark, sf_dir):
     return S.gauge(M.bot_ratio(_ev(spark, sf_dir)), "bot_ratio")
 
 
@@ -192,7 +192,7 @@ QUERIES.update({
     "type_totals_share": q_type_totals_share,
     "series_keys": q_series_keys,
     "stacked_by_type": q_stacked_by_type,
-    "bot_gauge_percent": q_bot_gauge_percent,
+    "gauge_percent": q_gauge_percent,
     "bot_object": q_bot_object,
     "content_change_object": q_content_change_object,
     "top_wiki": q_top_wiki,

@@ -158,7 +158,7 @@ ts AS (SELECT DISTINCT t FROM s2 ORDER BY t DESC LIMIT {SERIES_POINTS})
 SELECT * FROM s2 WHERE t IN (SELECT t FROM ts) AND type IN (SELECT type FROM keys)
 ) ON type USING CAST(sum(v) AS BIGINT) GROUP BY t)
 SELECT t, COALESCE(COLUMNS(* EXCLUDE (t)), 0) FROM p""",
-    "bot_gauge_percent": _with(M3) + """
+    "gauge_percent": _with(M3) + """
 SELECT window_start, bot_ratio AS ratio, CAST(floor(coalesce(bot_ratio, 0) * 100 + 0.5) AS BIGINT) AS percent
 FROM m3""",
     "bot_object": _with(M3) + """

@@ -200,3 +200,18 @@ def test_kafka_frame_contract(spark):
     df = P.with_topic(spark.createDataFrame([('{"meta": {"stream": "mediawiki.recentchange"}}',)], "value string"))
     frame = S.kafka_frame(df)
     assert frame.columns == ["topic", "value"] and frame.schema["value"].dataType.typeName() == "binary"
+
+
+def test_null_event_time_archived_but_not_counted(spark, tmp_path):
+    src, layout = str(tmp_path / "in"), J.RunLayout(str(tmp_path / "run"))
+    rows = [json.dumps({"meta": {"dt": "2024-01-01T00:00:01.000Z", "stream": "mediawiki.recentchange"}}),
+            json.dumps({"meta": {"dt": "garbage", "stream": "mediawiki.recentchange"}}),
+            json.dumps({"type": "no meta"})]
+    _write_lines(src, "a.jsonl", rows)
+    events = P.parse_events(jsonl_source(spark, src, streaming=True))
+    for q in J.run_all(events, layout, trigger=AVAILABLE_NOW, metrics=["events_total"]):
+        q.awaitTermination(120)
+        assert q.exception() is None
+    raw = spark.read.parquet(layout.raw())
+    assert raw.count() == 3 and raw.filter(F.col("year").isNull()).count() == 2
+    assert [r.event_count for r in J.current_metric(spark, layout, "events_total").collect()] == [1]
