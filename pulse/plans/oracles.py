@@ -57,8 +57,8 @@ M2 = """m2 AS (
   FROM ev WHERE event_time IS NOT NULL GROUP BY 1, 2, 3
 )"""
 M2_TOP = """ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY window_start, window_end
-                               ORDER BY cnt DESC, event_type ASC NULLS FIRST) AS rank
+  SELECT *, CAST(row_number() OVER (PARTITION BY window_start, window_end
+                                    ORDER BY cnt DESC, event_type ASC NULLS FIRST) AS INTEGER) AS rank
   FROM m2
 ),
 top5 AS (

@@ -62,6 +62,16 @@ def rows(pdf):
     return cols, sorted(out, key=repr)
 
 
+SPARK_TO_DUCK = {"LongType()": "BIGINT", "IntegerType()": "INTEGER", "DoubleType()": "DOUBLE",
+                 "StringType()": "VARCHAR", "BooleanType()": "BOOLEAN", "TimestampType()": "TIMESTAMP"}
+
+
+def type_mismatches(sdf, rel):
+    st = {f.name: SPARK_TO_DUCK.get(repr(f.dataType), repr(f.dataType)) for f in sdf.schema.fields}
+    dt = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    return {c: (st.get(c), dt.get(c)) for c in set(st) | set(dt) if st.get(c) != dt.get(c)}
+
+
 def compare(spark, sf_dir: str, names=None):
     import __spark_entry__ as E
 
@@ -70,12 +80,17 @@ def compare(spark, sf_dir: str, names=None):
     results = {}
     for name in names or qs:
         t = time.time()
-        sdf = qs[name](spark, sf_dir).toPandas()
+        frame = qs[name](spark, sf_dir)
+        sdf = frame.toPandas()
         ts = time.time() - t
         if name not in oracles:
             results[name] = ("no-oracle", len(sdf), ts)
             continue
         odf = con.execute(oracles[name]).fetchdf()
+        types = type_mismatches(frame, con.sql(oracles[name]))
+        if types:
+            results[name] = (f"TYPES {types}", len(sdf), ts)
+            continue
         sc, sr = rows(sdf)
         oc, orr = rows(odf)
         if sc != oc:
