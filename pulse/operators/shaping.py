@@ -136,9 +136,6 @@ def dashboard(m1: DataFrame, m2_top: DataFrame, m3: DataFrame, m4: DataFrame, m5
     bot = bot_object(m3).select(F.struct("windowSec", "total", "bot", "ratio"))
     cc = content_change_object(m5).select(F.struct("windowSec", "total", "changed", "ratio"))
     total_arr = total.agg(_points(total))
-    present = (m1.select(F.count(F.lit(1))).scalar() + m2_top.select(F.count(F.lit(1))).scalar()
-               + m3.select(F.count(F.lit(1))).scalar() + m4.select(F.count(F.lit(1))).scalar()
-               + m5.select(F.count(F.lit(1))).scalar())
     doc = spark.range(1).select(
         F.lit(BUCKET_SEC).alias("bucketSec"),
         F.lit(RANGE_MIN).alias("rangeMin"),
@@ -148,9 +145,12 @@ def dashboard(m1: DataFrame, m2_top: DataFrame, m3: DataFrame, m4: DataFrame, m5
         bot.scalar().alias("bot"),
         top.scalar().alias("topWiki"),
         cc.scalar().alias("contentChange"),
-        present.alias("_present"),
     )
-    return doc.filter(F.col("_present") > 0).drop("_present")
+    # A metric is present iff its part is non-empty (counts are >= 1 in any
+    # window), so no extra pass over the inputs is needed.
+    present = ((F.size("total") > 0) | (F.size("byType") > 0) | (F.col("bot.total") > 0)
+               | (F.size("topWiki") > 0) | (F.col("contentChange.total") > 0))
+    return doc.filter(present)
 
 
 # --- schema-variant normaliser (SHP8) -------------------------------------------------
