@@ -1,0 +1,58 @@
+"""Property and invariant tests."""
+
+from collections import Counter
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from pulse.operators import metrics as M
+from pulse.operators import parse as P
+from pulse.operators import ranking as R
+from pulse.plans.fixtures import standard_events
+
+TYPES = st.sampled_from(["a", "b", "c", "d", "e", "f", "g", "others", None])
+
+
+def brute_top_n(counts: Counter, n=5, other="others"):
+    ranked = sorted(counts.items(), key=lambda kv: (-kv[1], (kv[0] is not None, kv[0] or "")))
+    out = Counter()
+    for i, (k, v) in enumerate(ranked):
+        out[k if i < n else other] += v
+    return dict(out)
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.integers(0, 2), TYPES), min_size=1, max_size=60))
+def test_top_n_with_others_matches_brute_force(spark, rows):
+    df = spark.createDataFrame(
+        [(f"2024-01-01 00:00:{10 * w + 1:02d}", t) for w, t in rows], "t string, event_type string"
+    ).select(F.col("t").cast("timestamp").alias("event_time"), "event_type")
+    got = {}
+    for r in R.top_n_with_others(M.events_by_type(df)).collect():
+        got.setdefault(r.window_start.second // 10, {})[r.final_type] = r.cnt
+    want = {}
+    for w in {w for w, _ in rows}:
+        want[w] = brute_top_n(Counter(t for ww, t in rows if ww == w))
+    assert got == want
+
+
+def test_invariants_on_fixture(spark):
+    ev = standard_events(spark, "/root/testdata/sf0.01")
+    m1 = M.total_events(ev)
+    top = R.top_n_with_others(M.events_by_type(ev))
+    sums = top.groupBy("window_start").agg(F.sum("cnt").alias("s"), F.count(F.lit(1)).alias("buckets"))
+    joined = m1.join(sums, "window_start", "full_outer")
+    assert joined.filter(F.col("s").isNull() | F.col("event_count").isNull()
+                         | (F.col("s") != F.col("event_count"))).count() == 0
+    assert sums.filter(F.col("buckets") > 6).count() == 0
+    for m, r in [(M.bot_ratio(ev), "bot_ratio"), (M.content_change_ratio(ev), "content_change_ratio")]:
+        assert m.filter((F.col(r) < 0) | (F.col(r) > 1) | F.col(r).isNull()).count() == 0
+
+
+def test_decode_and_parse_json_steps(spark):
+    df = spark.createDataFrame([(bytearray(b'{"type": "edit", "meta": {"domain": "x"}}'),)], "value binary")
+    step = P.parse_json(P.decode_value(df))
+    row = step.collect()[0]
+    assert row.json_str == '{"type": "edit", "meta": {"domain": "x"}}'
+    assert row.data.type == "edit" and row.data.meta.domain == "x"
