@@ -37,3 +37,21 @@ def read_raw(spark: SparkSession, path: str, start=None, end=None) -> DataFrame:
         last = e - timedelta(microseconds=1)
         df = df.filter(key <= _hour_key(last)).filter(F.col("event_time") < F.lit(e))
     return df
+
+
+def archive_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """The raw archive as a stream of standard events (no JSON parsing).
+
+    Reading the output folder of the archive's file sink goes through that
+    sink's metadata log, so only committed files are seen, each exactly once.
+    Metric queries fed from here parse nothing and read only the columns they
+    use.
+    """
+    from pulse.schema import PARTITION_COLUMNS, STANDARD_EVENT
+    from pyspark.sql.types import IntegerType, StructField, StructType
+
+    schema = StructType(list(STANDARD_EVENT.fields) + [StructField(c, IntegerType(), True) for c in PARTITION_COLUMNS])
+    reader = spark.readStream.schema(schema).format("parquet")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return reader.load(path)

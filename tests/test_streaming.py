@@ -215,3 +215,23 @@ def test_null_event_time_archived_but_not_counted(spark, tmp_path):
     raw = spark.read.parquet(layout.raw())
     assert raw.count() == 3 and raw.filter(F.col("year").isNull()).count() == 2
     assert [r.event_count for r in J.current_metric(spark, layout, "events_total").collect()] == [1]
+
+
+def test_metrics_fed_from_archive(spark, replay):
+    """Parse once into the archive; metric queries stream the Parquet."""
+    base, values = replay
+    layout = J.RunLayout(str(base / "run_archive"))
+    events = P.parse_events(jsonl_source(spark, str(base / "in"), streaming=True, max_files_per_trigger=1))
+    raw_q = J.start_raw(events, layout, AVAILABLE_NOW)
+    raw_q.awaitTermination(300)
+    assert raw_q.exception() is None
+    metric_qs = J.run_all(events, layout, trigger=AVAILABLE_NOW, raw=False, metrics_from_archive=True,
+                          metrics=["events_total", "events_by_type"])
+    for q in metric_qs:
+        q.awaitTermination(300)
+        assert q.exception() is None
+    batch = P.parse_events(spark.createDataFrame([(v,) for v in values], "value string"))
+    assert _set(J.current_metric(spark, layout, "events_by_type"), "window_start", "event_type", "cnt") == \
+        _set(M.events_by_type(batch), "window_start", "event_type", "cnt")
+    assert _set(J.current_metric(spark, layout, "events_total"), "window_start", "event_count") == \
+        _set(M.total_events(batch), "window_start", "event_count")
