@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pulse.config import (
+    RETAINED_WINDOWS,
     KEY_BOT,
     KEY_BY_TYPE,
     KEY_CONTENT,
@@ -79,6 +80,9 @@ class RunLayout:
     def snapshots(self) -> str:
         return f"{self.base}/snapshots"
 
+    def serving(self, name: str) -> str:
+        return f"{self.base}/serving/{name}"
+
     def checkpoint(self, name: str) -> str:
         return f"{self.base}/checkpoints/{name}"
 
@@ -88,9 +92,16 @@ def default_layout(spark: SparkSession, run: str = "pulse", fallback: str | None
     return RunLayout(f"{checkpoint_root(spark, fallback)}/{run}")
 
 
-def metric_batch_writer(spec: MetricSpec, layout: RunLayout, refresh_snapshot: bool = True):
-    """The ``foreachBatch`` callback of one metric query."""
+def metric_batch_writer(spec: MetricSpec, layout: RunLayout, refresh_snapshot: bool = True,
+                        retained: int = RETAINED_WINDOWS):
+    """The ``foreachBatch`` callback of one metric query.
+
+    Writes the changed rows to the history log; with ``refresh_snapshot`` it
+    also merges them into the bounded serving state and rewrites the metric's
+    serving value from that state (never from the whole history).
+    """
     log = S.UpdateLog(layout.log(spec.name))
+    serving = S.ServingState(layout.serving(spec.name), list(spec.keys), retained)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
@@ -98,11 +109,10 @@ def metric_batch_writer(spec: MetricSpec, layout: RunLayout, refresh_snapshot: b
             if batch.isEmpty():          # no-data batch (watermark advance only)
                 return
             log.write(batch, batch_id)
+            cur = serving.update(batch, batch_id) if refresh_snapshot else None
         finally:
             batch.unpersist()
         if refresh_snapshot:
-            spark = batch.sparkSession
-            cur = S.current(log.read(spark), list(spec.keys))
             now = F.current_timestamp()
             row = S.snapshot_rows(spec.snapshot(cur), spec.snapshot_key, now)
             row.write.mode("overwrite").parquet(

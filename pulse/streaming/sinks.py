@@ -11,6 +11,7 @@ from the rows changed in one micro-batch.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -89,6 +90,52 @@ def compact(log: UpdateLog, keys: list[str], spark: SparkSession, out: str) -> N
     current(log.read(spark), keys).write.mode("overwrite").format(log.fmt).save(f"{out}/batch_id=0")
 
 
+class ServingState:
+    """Current revisions of the newest ``retained`` windows of one metric.
+
+    The snapshot refresh must not read the whole history on every
+    micro-batch. This state holds only what a serving value can show, in two
+    alternating slots: batch ``n`` merges the newest version older than ``n``
+    with its changed rows, keeps the newest windows and writes the *other*
+    slot. The work per batch is bounded by the retention, not the history; a
+    replayed batch id re-derives its version from the same predecessor.
+    """
+
+    def __init__(self, path: str, keys: list[str], retained: int = RETAINED_WINDOWS):
+        self.path = path.rstrip("/")
+        self.keys = keys
+        self.retained = retained
+
+    def _slot(self, spark: SparkSession, slot: int) -> DataFrame | None:
+        try:
+            return spark.read.parquet(f"{self.path}/slot={slot}")
+        except AnalysisException:       # slot not written yet
+            return None
+
+    def _latest_before(self, spark: SparkSession, batch_id: int):
+        best = (None, None, -1)
+        for slot in (0, 1):
+            df = self._slot(spark, slot)
+            if df is None:
+                continue
+            v = df.select(F.max("_version")).first()[0]     # one value per slot
+            if v is not None and best[2] < v < batch_id:
+                best = (slot, df, v)
+        return best[0], best[1]
+
+    def update(self, batch: DataFrame, batch_id: int) -> DataFrame:
+        """Merge one micro-batch; returns the new current state."""
+        spark = batch.sparkSession
+        slot, prev = self._latest_before(spark, batch_id)
+        rows = batch.withColumn("_version", F.lit(batch_id).cast("long"))
+        if prev is not None:
+            rows = prev.drop("slot").unionByName(rows)
+        state = R.retain_latest(current(rows, self.keys, "_version"), self.retained)
+        target = f"{self.path}/slot={(1 - slot) if slot is not None else batch_id % 2}"
+        state.withColumn("_version", F.lit(batch_id).cast("long")).write.mode("overwrite").parquet(target)
+        return spark.read.parquet(target).drop("_version")
+
+
 # --- serving snapshots (SINK3-SINK6, SINK9) ----------------------------------------
 
 

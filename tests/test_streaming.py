@@ -235,3 +235,27 @@ def test_metrics_fed_from_archive(spark, replay):
         _set(M.events_by_type(batch), "window_start", "event_type", "cnt")
     assert _set(J.current_metric(spark, layout, "events_total"), "window_start", "event_count") == \
         _set(M.total_events(batch), "window_start", "event_count")
+
+
+def test_serving_state_is_bounded_and_replay_safe(spark, tmp_path):
+    layout = J.RunLayout(str(tmp_path / "run"))
+    writer = J.metric_batch_writer(J.METRICS["events_total"], layout, retained=2)
+
+    def batch(minute, count):
+        return spark.createDataFrame(
+            [(f"2024-01-01 00:{minute:02d}:00", f"2024-01-01 00:{minute:02d}:10", count)],
+            "window_start string, window_end string, event_count long").select(
+            F.col("window_start").cast("timestamp"), F.col("window_end").cast("timestamp"), "event_count")
+
+    for i in range(5):
+        writer(batch(i, i + 1), i)
+    writer(batch(1, 99), 5)            # late revision of an old, no longer retained window
+    writer(batch(4, 7), 6)             # revision of a retained window
+    writer(batch(4, 7), 6)             # replayed batch id
+    state = {r.window_start.minute: r.event_count
+             for r in spark.read.parquet(layout.serving("events_total")).filter("_version = 6").collect()}
+    assert state == {3: 4, 4: 7}
+    snaps = J.stored_snapshots(spark, layout).filter("batch_id = 6").collect()
+    assert [p["count"] for p in json.loads(snaps[0].payload)] == [7, 4]
+    # the full history is still in the log
+    assert J.current_metric(spark, layout, "events_total").count() == 5
