@@ -10,15 +10,20 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, LongType, MapType, StringType, StructField, StructType
 
 from pulse.config import (
     BOT_WINDOW_SEC,
     BUCKET_SEC,
     CONTENT_WINDOW_SEC,
+    NORMALIZED_RANGE_MIN,
+    NORMALIZED_WINDOW_SEC,
     RANGE_MIN,
     RETAINED_WINDOWS,
     SERIES_KEYS,
+    UNKNOWN_KEY,
 )
+from pulse.functions.time import iso_to_epoch
 from pulse.functions.values import percent
 from pulse.operators import ranking as R
 
@@ -155,20 +160,6 @@ def dashboard(m1: DataFrame, m2_top: DataFrame, m3: DataFrame, m4: DataFrame, m5
 
 # --- schema-variant normaliser (SHP8) -------------------------------------------------
 
-from pyspark.sql.types import (  # noqa: E402
-    ArrayType,
-    DoubleType,
-    LongType,
-    MapType,
-    StringType,
-    StructField,
-    StructType,
-)
-
-from pulse.config import NORMALIZED_RANGE_MIN, NORMALIZED_WINDOW_SEC, UNKNOWN_KEY  # noqa: E402
-from pulse.functions.time import iso_to_epoch  # noqa: E402
-
-
 def _st(**fields) -> StructType:
     return StructType([StructField(k, v, True) for k, v in fields.items()])
 

@@ -12,10 +12,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pulse.functions.time import with_time_partitions
 from pulse.operators import metrics as M
+from pulse.operators import parse as P
 from pulse.operators import ranking as R
+from pulse.operators import shaping as S
 from pulse.plans.barriers import fence, materialize
-from pulse.plans.fixtures import standard_events
+from pulse.plans.fixtures import capture_values, standard_events
+from pulse.streaming import sinks as SK
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -95,10 +99,6 @@ QUERIES: dict[str, Query] = {
 
 # --- routing, dead letters, archive layout -----------------------------------------
 
-from pulse.functions.time import with_time_partitions  # noqa: E402
-from pulse.operators import parse as P  # noqa: E402
-from pulse.operators import shaping as S  # noqa: E402
-from pulse.plans.fixtures import capture_values  # noqa: E402
 
 SERIES_POINTS = 60      # last-N of the series views (10 minutes of 10 s buckets)
 PIE_POINTS = 360        # last-N of the type-share view (1 hour)
@@ -202,7 +202,6 @@ QUERIES.update({
 
 # --- serving store and stored documents ---------------------------------------------------
 
-from pulse.streaming import sinks as SK  # noqa: E402
 
 SNAPSHOT_AGE_SECONDS = 400      # snapshot_live reads the store 400 s after writing it
 

@@ -175,3 +175,39 @@ def dropped_late_rows(query: StreamingQuery) -> int:
     """Rows the stateful aggregate dropped as late in the last micro-batch."""
     progress = query.lastProgress or {}
     return sum(op.get("numRowsDroppedByWatermark", 0) for op in progress.get("stateOperators", []))
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``spark-submit -m pulse.streaming.jobs --servers ... [--base ...]``.
+
+    Kafka (both topics) -> parse -> raw archive + five metric queries, all
+    outputs under ``--base`` (default: ``<spark.checkpoint.dir>/pulse``);
+    returns when any query stops.
+    """
+    import argparse
+
+    from pulse.config import Config, use_utc
+    from pulse.operators.parse import parse_events
+    from pulse.sources.kafka import kafka_source
+
+    ap = argparse.ArgumentParser(prog="pulse")
+    ap.add_argument("--servers", default=Config.kafka_servers)
+    ap.add_argument("--topics", default=",".join(Config.topics))
+    ap.add_argument("--max-offsets-per-trigger", type=int, default=Config.max_offsets_per_trigger)
+    ap.add_argument("--base", default=None)
+    ap.add_argument("--watermark", default=WATERMARK)
+    ap.add_argument("--metrics-from-archive", action="store_true")
+    args = ap.parse_args(argv)
+
+    spark = SparkSession.builder.appName("pulse").getOrCreate()
+    use_utc(spark)
+    cfg = Config(kafka_servers=args.servers, topics=tuple(args.topics.split(",")),
+                 max_offsets_per_trigger=args.max_offsets_per_trigger)
+    layout = RunLayout(args.base) if args.base else default_layout(spark)
+    events = parse_events(kafka_source(spark, cfg))
+    run_all(events, layout, args.watermark, metrics_from_archive=args.metrics_from_archive)
+    await_any(spark)
+
+
+if __name__ == "__main__":
+    main()
