@@ -15,6 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from pulse.config import (
     RETAINED_WINDOWS,
@@ -32,6 +33,18 @@ from pulse.operators.metrics import WINDOW_KEYS
 from pulse.streaming import sinks as S
 
 
+_WIN = "window_start timestamp, window_end timestamp"
+# Output schema of every metric (JSON history logs are read back with it).
+METRIC_SCHEMAS = {
+    "events_total": f"{_WIN}, event_count long",
+    "events_by_type": f"{_WIN}, event_type string, cnt long",
+    "bot_ratio": f"{_WIN}, total_count long, bot_count long, bot_ratio double",
+    "top_domains": f"{_WIN}, domain string, cnt long",
+    "content_change_ratio": f"{_WIN}, total_revision_count long, content_changed_count long, "
+                            "content_change_ratio double",
+}
+
+
 @dataclass(frozen=True)
 class MetricSpec:
     name: str
@@ -92,15 +105,20 @@ def default_layout(spark: SparkSession, run: str = "pulse", fallback: str | None
     return RunLayout(f"{checkpoint_root(spark, fallback)}/{run}")
 
 
+def _log(layout: RunLayout, name: str, history_format: str) -> S.UpdateLog:
+    schema = StructType.fromDDL(METRIC_SCHEMAS[name]) if history_format != "parquet" else None
+    return S.UpdateLog(layout.log(name), history_format, schema)
+
+
 def metric_batch_writer(spec: MetricSpec, layout: RunLayout, refresh_snapshot: bool = True,
-                        retained: int = RETAINED_WINDOWS):
+                        retained: int = RETAINED_WINDOWS, history_format: str = "parquet"):
     """The ``foreachBatch`` callback of one metric query.
 
     Writes the changed rows to the history log; with ``refresh_snapshot`` it
     also merges them into the bounded serving state and rewrites the metric's
     serving value from that state (never from the whole history).
     """
-    log = S.UpdateLog(layout.log(spec.name))
+    log = _log(layout, spec.name, history_format)
     serving = S.ServingState(layout.serving(spec.name), list(spec.keys), retained)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
@@ -122,10 +140,11 @@ def metric_batch_writer(spec: MetricSpec, layout: RunLayout, refresh_snapshot: b
 
 
 def start_metric(events: DataFrame, name: str, layout: RunLayout, watermark: str = WATERMARK,
-                 trigger: dict | None = None, refresh_snapshot: bool = True) -> StreamingQuery:
+                 trigger: dict | None = None, refresh_snapshot: bool = True,
+                 history_format: str = "parquet") -> StreamingQuery:
     spec = METRICS[name]
     w = (spec.build(events, watermark).writeStream.outputMode("update")
-         .foreachBatch(metric_batch_writer(spec, layout, refresh_snapshot))
+         .foreachBatch(metric_batch_writer(spec, layout, refresh_snapshot, history_format=history_format))
          .option("checkpointLocation", layout.checkpoint(name)).queryName(f"pulse_{name}"))
     return (w.trigger(**trigger) if trigger else w).start()
 
@@ -136,7 +155,8 @@ def start_raw(events: DataFrame, layout: RunLayout, trigger: dict | None = None)
 
 def run_all(events: DataFrame, layout: RunLayout, watermark: str = WATERMARK,
             trigger: dict | None = None, metrics: list[str] | None = None,
-            raw: bool = True, metrics_from_archive: bool = False) -> list[StreamingQuery]:
+            raw: bool = True, metrics_from_archive: bool = False,
+            history_format: str = "parquet") -> list[StreamingQuery]:
     """Start the raw archive and the metric queries over one event stream.
 
     By default every metric query reads ``events`` itself (one source read and
@@ -152,7 +172,7 @@ def run_all(events: DataFrame, layout: RunLayout, watermark: str = WATERMARK,
 
         source = archive_stream(events.sparkSession, layout.raw())
     for name in metrics or list(METRICS):
-        queries.append(start_metric(source, name, layout, watermark, trigger))
+        queries.append(start_metric(source, name, layout, watermark, trigger, history_format=history_format))
     return queries
 
 
@@ -161,10 +181,11 @@ def await_any(spark: SparkSession, timeout: float | None = None) -> None:
     spark.streams.awaitAnyTermination(timeout)
 
 
-def current_metric(spark: SparkSession, layout: RunLayout, name: str) -> DataFrame:
+def current_metric(spark: SparkSession, layout: RunLayout, name: str,
+                   history_format: str = "parquet") -> DataFrame:
     """Current revision of every row of a metric's update log."""
     spec = METRICS[name]
-    return S.current(S.UpdateLog(layout.log(name)).read(spark), list(spec.keys))
+    return S.current(_log(layout, name, history_format).read(spark), list(spec.keys))
 
 
 def stored_snapshots(spark: SparkSession, layout: RunLayout) -> DataFrame:

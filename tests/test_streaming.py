@@ -259,3 +259,19 @@ def test_serving_state_is_bounded_and_replay_safe(spark, tmp_path):
     assert [p["count"] for p in json.loads(snaps[0].payload)] == [7, 4]
     # the full history is still in the log
     assert J.current_metric(spark, layout, "events_total").count() == 5
+
+
+def test_json_history_log(spark, tmp_path):
+    layout = J.RunLayout(str(tmp_path / "run"))
+    writer = J.metric_batch_writer(J.METRICS["bot_ratio"], layout, history_format="json")
+    rows = spark.createDataFrame(
+        [("2024-01-01 00:00:00", "2024-01-01 00:01:00", 4, 1, 0.25)],
+        "window_start string, window_end string, total_count long, bot_count long, bot_ratio double",
+    ).select(F.col("window_start").cast("timestamp"), F.col("window_end").cast("timestamp"),
+             "total_count", "bot_count", "bot_ratio")
+    writer(rows, 0)
+    writer(rows.withColumn("bot_count", F.lit(2).cast("long")), 1)
+    assert os.listdir(layout.log("bot_ratio") + "/batch_id=0")
+    assert any(f.endswith(".json") for f in os.listdir(layout.log("bot_ratio") + "/batch_id=0"))
+    cur = J.current_metric(spark, layout, "bot_ratio", history_format="json").collect()
+    assert len(cur) == 1 and cur[0].bot_count == 2 and str(cur[0].window_start) == "2024-01-01 00:00:00"
