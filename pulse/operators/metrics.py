@@ -24,6 +24,8 @@ from pulse.functions.values import flag_count
 from pulse.operators.parse import revisions_only
 
 WINDOW_KEYS = ["window_start", "window_end"]
+# The standard-event columns the five metrics read.
+METRIC_COLUMNS = ["event_time", "domain", "stream", "event_type", "bot", "rev_content_changed"]
 
 
 def _grouped(df: DataFrame, window: str, watermark: str | None, dims: list[str]):

@@ -11,7 +11,7 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 from pulse.config import (
     STREAM_RECENTCHANGE,
@@ -23,7 +23,7 @@ from pulse.config import (
 from pulse.functions.time import event_ts
 from pulse.plans.barriers import fence
 from pulse.functions.values import default_false
-from pulse.schema import EVENT_SCHEMA
+from pulse.schema import EVENT_SCHEMA, STANDARD_COLUMNS
 
 DEFAULT_ROUTES: Mapping[str, str] = {
     STREAM_RECENTCHANGE: TOPIC_RECENTCHANGE,
@@ -47,13 +47,46 @@ def parse_json(df: DataFrame, schema: StructType = EVENT_SCHEMA, col: str = "jso
     return df.withColumn(alias, F.from_json(F.col(col), schema))
 
 
-def parse_events(df: DataFrame, schema: StructType = EVENT_SCHEMA, col: str = "value") -> DataFrame:
+# Which part of the wire event each standard column reads.
+_SOURCE = {
+    "event_time": ("meta", "dt"), "domain": ("meta", "domain"), "stream": ("meta", "stream"),
+    "event_type": ("type",), "bot": ("bot",), "wiki": ("wiki",), "title": ("title",), "user": ("user",),
+    "comment": ("comment",), "namespace": ("namespace",), "minor": ("minor",),
+    "rev_content_changed": ("rev_content_changed",), "raw_json": (),
+}
+
+
+def pruned_schema(columns, schema: StructType = EVENT_SCHEMA) -> StructType:
+    """The part of the wire schema the given standard columns read."""
+    need: dict[str, set] = {}
+    for c in columns:
+        path = _SOURCE[c]
+        if path:
+            need.setdefault(path[0], set()).update(path[1:])
+    fields = []
+    for f in schema.fields:
+        if f.name not in need:
+            continue
+        sub = need[f.name]
+        if sub and isinstance(f.dataType, StructType):
+            f = StructField(f.name, StructType([g for g in f.dataType.fields if g.name in sub]), True)
+        fields.append(f)
+    return StructType(fields)
+
+
+def parse_events(df: DataFrame, schema: StructType = EVENT_SCHEMA, col: str = "value",
+                 columns: list[str] | None = None) -> DataFrame:
     """Raw messages (``value`` bytes or text) to the 13-column standard event.
 
     Booleans ``bot``, ``minor`` and ``rev_content_changed`` default to false;
     an unparsable ``meta.dt`` gives a null ``event_time`` (such rows stay in
     the archive but fall out of every window).
 
+    ``columns`` (default: all 13) restricts the output, and the JSON parse, to
+    the standard columns a caller reads (``event_time`` and ``stream`` are
+    always kept): the nested schema is pruned by hand, because Catalyst
+    cannot prune a parse whose result feeds several columns.
+
     The JSON is parsed once per message. ``event_time`` and ``stream`` -- the
     two columns later filtered on (``window()`` drops null times, metric 5
     keeps one stream) -- leave through a one-row generator, so those filters
@@ -61,25 +94,29 @@ def parse_events(df: DataFrame, schema: StructType = EVENT_SCHEMA, col: str = "v
     ``from_json`` inside the filter. (A streaming watermark already blocks the
     push-down; this makes batch reads of raw messages behave the same.)
     """
+    wanted = list(STANDARD_COLUMNS if columns is None else
+                  [c for c in STANDARD_COLUMNS if c in set(columns) | {"event_time", "stream"}])
+    if columns is not None:
+        schema = pruned_schema(wanted, schema)
     text = _text(df, col)
     data = df.select(text.alias("json_str"), F.from_json(text, schema).alias("data"))
-    keyed = data.select("json_str", "data", event_ts(F.col("data.meta.dt")).alias("event_time"),
-                        F.col("data.meta.stream").alias("stream"))
-    return fence(keyed, ["event_time", "stream"]).select(
-        "event_time",
-        F.col("data.meta.domain").alias("domain"),
-        "stream",
-        F.col("data.type").alias("event_type"),
-        default_false("data.bot").alias("bot"),
-        F.col("data.wiki").alias("wiki"),
-        F.col("data.title").alias("title"),
-        F.col("data.user").alias("user"),
-        F.col("data.comment").alias("comment"),
-        F.col("data.namespace").alias("namespace"),
-        default_false("data.minor").alias("minor"),
-        default_false("data.rev_content_changed").alias("rev_content_changed"),
-        F.col("json_str").alias("raw_json"),
-    )
+    exprs = {
+        "event_time": event_ts(F.col("data.meta.dt")),
+        "domain": F.col("data.meta.domain"),
+        "stream": F.col("data.meta.stream"),
+        "event_type": F.col("data.type"),
+        "bot": default_false("data.bot"),
+        "wiki": F.col("data.wiki"),
+        "title": F.col("data.title"),
+        "user": F.col("data.user"),
+        "comment": F.col("data.comment"),
+        "namespace": F.col("data.namespace"),
+        "minor": default_false("data.minor"),
+        "rev_content_changed": default_false("data.rev_content_changed"),
+        "raw_json": F.col("json_str"),
+    }
+    flat = data.select(*[exprs[c].alias(c) for c in wanted])
+    return fence(flat, ["event_time", "stream"]).select(*wanted)
 
 
 def is_valid_json(col) -> Column:

@@ -19,17 +19,20 @@ from pulse.operators import ranking as R
 from pulse.operators import shaping as S
 from pulse.plans.barriers import fence, materialize
 from pulse.plans.fixtures import capture_values, standard_events
+from pulse.schema import STANDARD_COLUMNS
 from pulse.streaming import sinks as SK
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _ev(spark, sf_dir):
-    return standard_events(spark, sf_dir)
+    """Standard events, parsed down to the columns the metrics read."""
+    return standard_events(spark, sf_dir, columns=M.METRIC_COLUMNS)
 
 
 def q_parse_events(spark, sf_dir):
-    return _ev(spark, sf_dir).drop("raw_json")
+    cols = [c for c in STANDARD_COLUMNS if c != "raw_json"]
+    return standard_events(spark, sf_dir, columns=cols)
 
 
 def q_total_events_10s(spark, sf_dir):
@@ -175,8 +178,7 @@ def q_top_wiki(spark, sf_dir):
 def q_dashboard_document(spark, sf_dir):
     # Parse once: the narrow projection the five metrics read is materialised,
     # then every part of the document aggregates that copy.
-    ev = materialize(_ev(spark, sf_dir).select(
-        "event_time", "event_type", "domain", "stream", "bot", "rev_content_changed"))
+    ev = materialize(_ev(spark, sf_dir))
     now = F.unix_seconds(ev.select(F.max("event_time")).scalar())
     return S.dashboard(M.total_events(ev), R.top_n_with_others(M.events_by_type(ev)),
                        M.bot_ratio(ev), M.domain_counts(ev), M.content_change_ratio(ev),
@@ -209,8 +211,7 @@ SNAPSHOT_AGE_SECONDS = 400      # snapshot_live reads the store 400 s after writ
 def q_snapshot_live(spark, sf_dir):
     """Serving store stamped at the newest event time and read 400 s later:
     the 300 s values (bot ratio, content change) have expired."""
-    ev = materialize(_ev(spark, sf_dir).select(
-        "event_time", "event_type", "domain", "stream", "bot", "rev_content_changed"))
+    ev = materialize(_ev(spark, sf_dir))
     stamp = ev.select(F.max("event_time")).scalar()
     table = SK.snapshot_table(M.total_events(ev), R.top_n_with_others(M.events_by_type(ev)),
                               M.bot_ratio(ev), M.domain_counts(ev), M.content_change_ratio(ev), stamp)

@@ -114,6 +114,8 @@ def consumed_records(spark: SparkSession, sf_dir: str, config: Config = Config()
     return subscribed(kafka_records(spark, sf_dir), config.topics)
 
 
-def standard_events(spark: SparkSession, sf_dir: str, config: Config = Config()) -> DataFrame:
-    """Parsed standard events of the subscribed topics (the input of every metric)."""
-    return parse_events(consumed_records(spark, sf_dir, config))
+def standard_events(spark: SparkSession, sf_dir: str, config: Config = Config(),
+                    columns: list[str] | None = None) -> DataFrame:
+    """Parsed standard events of the subscribed topics (the input of every
+    metric); ``columns`` limits the parse to what the caller reads."""
+    return parse_events(consumed_records(spark, sf_dir, config), columns=columns)

@@ -12,16 +12,17 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
     """Spread a scan over at least ``min_partitions`` tasks (default: the
     cluster's default parallelism), like Kafka's ``minPartitions``.
 
-    Only a source with *fewer* partitions than that is repartitioned
-    (round-robin, before any parsing, so the parse runs on every core). A large
-    input already has thousands of splits and is returned unchanged -- no
-    shuffle at scale. Asking for the partition count plans the scan but runs
-    no job.
+    Only a source with *fewer* partitions than that is repartitioned, before
+    any parsing, so the parse runs on every core. Rows are hashed on all their
+    columns: deterministic under task retries without the per-row sort a
+    round-robin repartition needs. A large input already has thousands of
+    splits and is returned unchanged -- no shuffle at scale. Asking for the
+    partition count plans the scan but runs no job.
     """
     want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= want:
         return df
-    return df.repartition(want)
+    return df.repartition(want, *df.columns)
 
 
 def jsonl_source(spark: SparkSession, path: str, streaming: bool = False,

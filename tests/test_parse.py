@@ -99,3 +99,15 @@ def test_parse_once_plan(spark):
     df = M.total_events(P.parse_events(_msgs(spark, ['{"meta": {"dt": "2024-01-01T00:00:00.000Z"}}'])))
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json(") == 1
+
+
+def test_parse_only_requested_columns(spark):
+    ev = '{"meta": {"dt": "2024-01-01T00:00:01.000Z", "domain": "d", "stream": "s", "uri": "u"}, ' \
+         '"type": "edit", "title": "t", "bot": true}'
+    df = P.parse_events(_msgs(spark, [ev]), columns=["event_type", "bot"])
+    assert df.columns == ["event_time", "stream", "event_type", "bot"]
+    row = df.collect()[0]
+    assert (row.stream, row.event_type, row.bot) == ("s", "edit", True)
+    assert P.pruned_schema(["event_time", "bot"]).simpleString() == "struct<meta:struct<dt:string>,bot:boolean>"
+    full = P.parse_events(_msgs(spark, [ev])).collect()[0]
+    assert (full.event_time, full.event_type) == (row.event_time, row.event_type)
