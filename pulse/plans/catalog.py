@@ -105,7 +105,7 @@ QUERIES: dict[str, Query] = {
 
 SERIES_POINTS = 60      # last-N of the series views (10 minutes of 10 s buckets)
 PIE_POINTS = 360        # last-N of the type-share view (1 hour)
-CORRUPT_EVERY = 7       # malformed_events: every 7th message is cut in half
+CORRUPT_EVERY = 7       # malformed_events: every 7th message loses its closing brace
 
 
 def q_topic_routing(spark, sf_dir):
@@ -115,11 +115,12 @@ def q_topic_routing(spark, sf_dir):
 
 
 def q_malformed_events(spark, sf_dir):
-    """Dead-letter side over a damaged copy of the capture (every 7th message
-    truncated to half its length): offsets of the messages that fail to parse."""
+    """Dead-letter side over a damaged copy of the whole capture (every 7th
+    message loses its closing brace, i.e. arrives cut off): offsets of the
+    messages that fail to parse. Every message is checked."""
     cap = capture_values(spark, sf_dir)
     cut = F.when(F.col("offset") % CORRUPT_EVERY == 0,
-                 F.expr("substring(value, 1, length(value) div 2)")).otherwise(F.col("value"))
+                 F.regexp_replace("value", r"\}$", "")).otherwise(F.col("value"))
     # fenced: the validity filter must not be pushed into the scan stage,
     # where it would re-serialise every event inside the filter
     damaged = fence(cap.select("offset", cut.alias("value")))
