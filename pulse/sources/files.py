@@ -19,8 +19,12 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
     splits and is returned unchanged -- no shuffle at scale. Asking for the
     partition count plans the scan but runs no job.
     """
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except (NotImplementedError, AttributeError):   # no RDD view (Spark Connect)
+        return df
+    if have >= want:
         return df
     return df.repartition(want, *df.columns)
 
