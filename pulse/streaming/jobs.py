@@ -232,3 +232,40 @@ def main(argv: list[str] | None = None) -> None:
 
 if __name__ == "__main__":
     main()
+
+
+def capture_producer(spark: SparkSession, captures: str, out: str, checkpoint: str,
+                     trigger: dict | None = None, max_files_per_trigger: int | None = None,
+                     kafka_servers: str | None = None) -> StreamingQuery:
+    """Ingest job: new SSE capture files -> framed events -> topic routing.
+
+    Each micro-batch frames the capture files that arrived (whole files, line
+    split, see :mod:`pulse.sources.capture`), drops malformed events and routes
+    the rest by ``meta.stream``. The result goes to JSON lines under
+    ``<out>/batch_id=<n>/topic=<topic>`` (overwrite per batch id, so a replay
+    rewrites its own output) or, with ``kafka_servers``, to Kafka.
+    """
+    from pulse.operators.parse import with_topic
+    from pulse.sources.capture import frame_lines, valid_events
+
+    reader = spark.readStream.format("text")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    lines = reader.load(captures)
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        # positions are taken on the micro-batch (a plain scan of its new files)
+        located = batch.select(F.input_file_name().alias("file"), F.input_file_block_start().alias("split"),
+                               F.monotonically_increasing_id().alias("pos"), F.col("value").alias("line"))
+        routed = with_topic(valid_events(frame_lines(located)))
+        if kafka_servers:
+            for_kafka = S.kafka_frame(routed).write.format("kafka")
+            for k, v in S.kafka_sink_options(kafka_servers).items():
+                for_kafka = for_kafka.option(k, v)
+            for_kafka.save()
+        else:
+            (routed.select(F.col("value").cast("string").alias("value"), "topic")
+             .write.mode("overwrite").partitionBy("topic").text(f"{out}/batch_id={batch_id}"))
+
+    w = lines.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
+    return (w.trigger(**trigger) if trigger else w).start()

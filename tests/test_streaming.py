@@ -275,3 +275,22 @@ def test_json_history_log(spark, tmp_path):
     assert any(f.endswith(".json") for f in os.listdir(layout.log("bot_ratio") + "/batch_id=0"))
     cur = J.current_metric(spark, layout, "bot_ratio", history_format="json").collect()
     assert len(cur) == 1 and cur[0].bot_count == 2 and str(cur[0].window_start) == "2024-01-01 00:00:00"
+
+
+def test_capture_producer(spark, tmp_path):
+    caps = tmp_path / "captures"
+    caps.mkdir()
+    (caps / "a.txt").write_text(
+        'event: message\ndata: {"meta": {"stream": "mediawiki.recentchange"}, "type": "edit"}\n\n'
+        "data: {broken\n\n"
+        'data: {"meta": {"stream": "mediawiki.revision-create"}}\n\n'
+        'data: {"meta": {"stream": "mediawiki.page-create"}}\n\n'
+        'data: {"meta": {"stream": "mediawiki.recentchange"}, "type": "tail"}\n')
+    q = J.capture_producer(spark, str(caps), str(tmp_path / "out"), str(tmp_path / "ckpt"), AVAILABLE_NOW)
+    q.awaitTermination(120)
+    assert q.exception() is None
+    out = spark.read.text(str(tmp_path / "out"))
+    got = sorted((r.topic, json.loads(r.value)["meta"]["stream"]) for r in out.collect())
+    assert got == [("wiki-recentchange", "mediawiki.recentchange"),
+                   ("wiki-revision-create", "mediawiki.revision-create"),
+                   ("wiki-unknown", "mediawiki.page-create")]
