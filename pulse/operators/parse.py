@@ -1,8 +1,7 @@
 """Parse, projection, filter and routing operators (stateless, map-only).
 
 None of these shuffles; on a streaming input they run inside the source
-stage, and Catalyst prunes the ``from_json`` struct to the fields a metric
-actually reads.
+stage. ``parse_events(columns=...)`` parses only the fields the caller reads.
 """
 
 from __future__ import annotations
@@ -21,8 +20,8 @@ from pulse.config import (
     TOPIC_UNKNOWN,
 )
 from pulse.functions.time import event_ts
-from pulse.plans.barriers import fence
 from pulse.functions.values import default_false
+from pulse.plans.barriers import fence
 from pulse.schema import EVENT_SCHEMA, STANDARD_COLUMNS
 
 DEFAULT_ROUTES: Mapping[str, str] = {

@@ -49,8 +49,12 @@ def frame_lines(lines: DataFrame) -> DataFrame:
         Window.unboundedPreceding, Window.currentRow)
     marked = marked.withColumn("blanks_upto", F.sum(F.col("blank").cast("long")).over(in_split))
 
-    # One row per file split: blank lines in earlier splits and in the whole file.
-    per_split = marked.groupBy("file", "split").agg(F.count_if("blank").alias("n_blank"))
+    # One row per file split: blank lines in earlier splits and in the whole
+    # file (a second, cheap pass: scan + partial count, one row per split
+    # shuffled; the windowed branch cannot be reused because line positions
+    # are nondeterministic expressions).
+    per_split = lines.select("file", "split", (_strip(F.col("line")) == "").alias("blank")) \
+        .groupBy("file", "split").agg(F.count_if("blank").alias("n_blank"))
     by_file = Window.partitionBy("file").orderBy("split")
     per_split = per_split.select(
         "file", "split",
