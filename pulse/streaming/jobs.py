@@ -132,9 +132,13 @@ def metric_batch_writer(spec: MetricSpec, layout: RunLayout, refresh_snapshot: b
             batch.unpersist()
         if refresh_snapshot:
             now = F.current_timestamp()
-            row = S.snapshot_rows(spec.snapshot(cur), spec.snapshot_key, now)
+            row = S.snapshot_rows(spec.snapshot(cur), spec.snapshot_key, now) \
+                .withColumn("batch_id", F.lit(batch_id).cast("long"))
+            # two alternating slots per metric: the store stays two rows per
+            # key, a reader always finds one complete slot, a replay rewrites
+            # its own slot
             row.write.mode("overwrite").parquet(
-                f"{layout.snapshots()}/metric={spec.name}/batch_id={batch_id}")
+                f"{layout.snapshots()}/metric={spec.name}/slot={batch_id % 2}")
 
     return on_batch
 
