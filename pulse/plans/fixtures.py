@@ -13,8 +13,11 @@ stated next to each column below and mirrored in the oracle SQL.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from pulse.config import Config, use_utc
 from pulse.sources.files import ensure_parallelism
@@ -25,10 +28,32 @@ TIME_COMPRESSION = 360
 KAFKA_PARTITIONS = 4
 
 
+_SCHEMAS: dict[tuple, StructType] = {}
+
+
+def _identity(path: str):
+    """(path, mtime, size) of a local file, else None (no schema memo)."""
+    try:
+        st = os.stat(path.removeprefix("file:"))
+    except OSError:
+        return None
+    return path, st.st_mtime_ns, st.st_size
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
     """Read one driver table; small single-split files are spread over the
-    cluster's cores (see :func:`pulse.sources.files.ensure_parallelism`)."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    cluster's cores (see :func:`pulse.sources.files.ensure_parallelism`).
+
+    Like a catalog table, the schema is inferred once per file version (path,
+    modification time, size) and then given to the reader, which skips the
+    footer-reading job.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = _identity(path)
+    known = _SCHEMAS.get(key) if key else None
+    df = (spark.read.schema(known) if known is not None else spark.read).parquet(path)
+    if key and known is None:
+        _SCHEMAS[key] = df.schema
     return ensure_parallelism(df) if spread else df
 
 
