@@ -294,3 +294,23 @@ def test_capture_producer(spark, tmp_path):
     assert got == [("wiki-recentchange", "mediawiki.recentchange"),
                    ("wiki-revision-create", "mediawiki.revision-create"),
                    ("wiki-unknown", "mediawiki.page-create")]
+
+
+def test_rocksdb_state_store(spark, tmp_path):
+    src, layout = str(tmp_path / "in"), J.RunLayout(str(tmp_path / "run"))
+    _write_lines(src, "a.jsonl", [json.dumps({"meta": {"dt": "2024-01-01T00:00:01.000Z", "domain": "d",
+                                                       "stream": "mediawiki.recentchange"}})] * 3)
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key, None)
+    J.use_rocksdb_state(spark)
+    try:
+        events = P.parse_events(jsonl_source(spark, src, streaming=True))
+        q = J.start_metric(events, "top_domains", layout, trigger=AVAILABLE_NOW)
+        q.awaitTermination(120)
+        assert q.exception() is None
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+    assert [(r.domain, r.cnt) for r in J.current_metric(spark, layout, "top_domains").collect()] == [("d", 3)]
