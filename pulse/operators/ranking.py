@@ -40,11 +40,23 @@ def top_n_with_others(df: DataFrame, dim: str = "event_type", n: int = TOP_TYPES
     Ranks the *complete* window (not only the rows changed in a micro-batch).
     A real value equal to ``other`` merges with the bucket; a null value stays
     its own group. Output: ``window_start, window_end, <out>, cnt``.
+
+    Hot windows stay cheap however many distinct values they hold: the top
+    rows come from a ``row_number() <= n`` filter, which Catalyst plans with a
+    partial WindowGroupLimit before the shuffle (at most ``n`` rows per window
+    leave each task), and the bucket is the window total minus the kept total,
+    both partial aggregates. It exists only when the window has more than
+    ``n`` values.
     """
-    ranked = rank_in_window(df, dim, value)
-    label = F.when(F.col("rank") <= n, F.col(dim)).otherwise(F.lit(other))
-    relabelled = ranked.select(*WINDOW_KEYS, label.alias(out), F.col(value))
-    return reaggregate(relabelled, [*WINDOW_KEYS, out], value)
+    w = Window.partitionBy(*WINDOW_KEYS).orderBy(*_by_count(value, dim))
+    top = df.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") <= n)
+    kept = top.groupBy(*WINDOW_KEYS).agg(F.sum(value).alias("_kept"), F.count(F.lit(1)).alias("_n_kept"))
+    totals = df.groupBy(*WINDOW_KEYS).agg(F.sum(value).alias("_total"), F.count(F.lit(1)).alias("_n"))
+    rest = (totals.join(kept, WINDOW_KEYS)
+            .filter(F.col("_n") > F.col("_n_kept"))
+            .select(*WINDOW_KEYS, F.lit(other).alias(out), (F.col("_total") - F.col("_kept")).alias(value)))
+    labelled = top.select(*WINDOW_KEYS, F.col(dim).alias(out), F.col(value))
+    return reaggregate(labelled.unionByName(rest), [*WINDOW_KEYS, out], value)
 
 
 def latest_time(df: DataFrame, t: str = "window_start") -> Column:
