@@ -76,8 +76,8 @@ def test_materialize_uses_reliable_checkpoint(spark):
 
 def test_top_n_with_others_limits_rows_before_the_shuffle(spark):
     pts = spark.range(5000).select(
-        F.lit("2024-01-01 00:00:00").cast("timestamp").alias("window_start"),
-        F.lit("2024-01-01 00:00:10").cast("timestamp").alias("window_end"),
+        F.timestamp_seconds((F.col("id") % 3) * 10).alias("window_start"),
+        F.timestamp_seconds((F.col("id") % 3) * 10 + 10).alias("window_end"),
         (F.col("id") % 977).cast("string").alias("event_type"), F.lit(1).cast("long").alias("cnt"))
     plan = _physical(R.top_n_with_others(pts))
     assert "WindowGroupLimit" in plan
