@@ -183,7 +183,7 @@ def q_dashboard_document(spark, sf_dir):
     # then every part of the document aggregates that copy.
     ev = materialize(_ev(spark, sf_dir))
     now = F.unix_seconds(ev.select(F.max("event_time")).scalar())
-    return S.dashboard(M.total_events(ev), R.top_n_with_others(M.events_by_type(ev)),
+    return S.dashboard(M.total_events(ev), R.top_n_with_others(materialize(M.events_by_type(ev))),
                        M.bot_ratio(ev), M.domain_counts(ev), M.content_change_ratio(ev),
                        limit=SERIES_POINTS, now=now)
 
@@ -216,7 +216,7 @@ def q_snapshot_live(spark, sf_dir):
     the 300 s values (bot ratio, content change) have expired."""
     ev = materialize(_ev(spark, sf_dir))
     stamp = ev.select(F.max("event_time")).scalar()
-    table = SK.snapshot_table(M.total_events(ev), R.top_n_with_others(M.events_by_type(ev)),
+    table = SK.snapshot_table(M.total_events(ev), R.top_n_with_others(materialize(M.events_by_type(ev))),
                               M.bot_ratio(ev), M.domain_counts(ev), M.content_change_ratio(ev), stamp)
     live = SK.live_snapshots(table, stamp + F.make_interval(secs=F.lit(SNAPSHOT_AGE_SECONDS)))
     entries = F.coalesce(F.json_array_length("payload"), F.size(F.json_object_keys("payload")))
