@@ -26,11 +26,18 @@ from pyspark.sql import functions as F
 
 from pulse.operators.parse import is_valid_json
 
-_WS = r"(?U)^\s+|\s+$"
+# --- fixed values: the characters Python's str.strip() removes ----------------
+# (str.isspace): tab, LF, VT, FF, CR, FS, GS, RS, US, space, NEL, NBSP,
+# U+1680, U+2000-U+200A, U+2028, U+2029, U+202F, U+205F, U+3000.
+_WS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+       + "".join(chr(c) for c in range(0x2000, 0x200B))
+       + "\u2028\u2029\u202f\u205f\u3000")
 
 
 def _strip(c):
-    return F.regexp_replace(c, _WS, "")
+    """Strip surrounding white space as Python's ``str.strip()`` does
+    (a plain character-set trim, no regular expression)."""
+    return F.btrim(c, F.lit(_WS))
 
 
 def _field(line, name: str):

@@ -52,3 +52,14 @@ def test_two_files_and_empty_capture(spark, tmp_path):
     (tmp_path / "c.txt").write_text("")
     rows = sse_events(spark, str(tmp_path)).collect()
     assert sorted(r.value for r in rows) == ['{"f": 1}', '{"f": 2}']
+
+
+def test_strip_matches_python(spark):
+    from pyspark.sql import functions as F
+
+    from pulse.sources.capture import _strip
+
+    samples = ["  data: x \t", "　event: e\x1c", "\xa0 id: 7 ", "\x85", "plain", ""]
+    got = [r.s for r in spark.createDataFrame([(s,) for s in samples], "v string")
+           .select(_strip(F.col("v")).alias("s")).collect()]
+    assert got == [s.strip() for s in samples]
