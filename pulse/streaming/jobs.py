@@ -206,9 +206,11 @@ def use_rocksdb_state(spark: SparkSession) -> None:
 
 
 def dropped_late_rows(query: StreamingQuery) -> int:
-    """Rows the stateful aggregate dropped as late in the last micro-batch."""
-    progress = query.lastProgress or {}
-    return sum(op.get("numRowsDroppedByWatermark", 0) for op in progress.get("stateOperators", []))
+    """Rows the stateful aggregate dropped as late, over the micro-batches
+    still in the query's progress history (``recentProgress``)."""
+    return sum(op.get("numRowsDroppedByWatermark", 0)
+               for progress in (query.recentProgress or [])
+               for op in progress.get("stateOperators", []))
 
 
 def main(argv: list[str] | None = None) -> None:

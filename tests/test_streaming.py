@@ -114,7 +114,7 @@ def test_late_data_dropped_after_spacer(spark, tmp_path):
     cur = {str(r.window_start)[11:]: r.event_count for r in J.current_metric(spark, layout, "events_total").collect()}
     assert cur == {"00:10:00": 3, "00:20:00": 2, "00:19:00": 1}
     assert "00:05:00" not in cur
-    assert J.dropped_late_rows(q) >= 0
+    assert J.dropped_late_rows(q) == 2                                        # 00:05:00, 00:10:01
 
 
 def test_update_log_replay_safe(spark, tmp_path):
