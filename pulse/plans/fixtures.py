@@ -40,13 +40,15 @@ def _identity(path: str):
     return path, st.st_mtime_ns, st.st_size
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True,
+               columns: list[str] | None = None) -> DataFrame:
     """Read one driver table; small single-split files are spread over the
     cluster's cores (see :func:`pulse.sources.files.ensure_parallelism`).
 
     Like a catalog table, the schema is inferred once per file version (path,
     modification time, size) and then given to the reader, which skips the
-    footer-reading job.
+    footer-reading job. ``columns`` are selected before the spread, whose
+    shuffle would otherwise keep every column alive (no scan pruning).
     """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     key = _identity(path)
@@ -54,6 +56,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True)
     df = (spark.read.schema(known) if known is not None else spark.read).parquet(path)
     if key and known is None:
         _SCHEMAS[key] = df.schema
+    if columns is not None:
+        df = df.select(*columns)
     return ensure_parallelism(df) if spread else df
 
 
@@ -72,7 +76,7 @@ def _s(col: Column) -> Column:
 
 def _capture(spark: SparkSession, sf_dir: str) -> DataFrame:
     use_utc(spark)
-    ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props")
+    ev = read_table(spark, sf_dir, "events", columns=["event_id", "ts", "user_id", "event_type", "props"])
     base = ev.select(
         "event_id", "user_id", F.col("event_type").alias("base_type"), _k().alias("k"),
         _event_time().alias("event_time"),
