@@ -43,7 +43,11 @@ def type_points(top: DataFrame, type_col: str = "final_type") -> DataFrame:
 
 
 def by_type_series(top: DataFrame, limit: int | None = None) -> DataFrame:
-    """Per-type series ``type, t, v``: each type's last N points."""
+    """Per-type series ``type, t, v``: each type's last N points, by type and time."""
+    return _type_series(top, limit).orderBy(F.col("type").asc_nulls_first(), "t")
+
+
+def _type_series(top: DataFrame, limit: int | None) -> DataFrame:
     return R.last_n_per_series(type_points(top), "type", limit)
 
 
@@ -51,7 +55,8 @@ def type_totals(series: DataFrame, last_n: int | None = None) -> DataFrame:
     """Sum of each type's last N points; zero totals dropped: ``name, value``."""
     pts = R.last_n_per_series(series, "type", last_n)
     totals = pts.groupBy("type").agg(F.sum(F.coalesce("v", F.lit(0))).cast("long").alias("value"))
-    return totals.filter(F.col("value") > 0).select(F.col("type").alias("name"), "value")
+    return (totals.filter(F.col("value") > 0).select(F.col("type").alias("name"), "value")
+            .orderBy(F.col("value").desc(), F.col("name").asc_nulls_first()))
 
 
 def type_share(totals: DataFrame) -> DataFrame:
@@ -67,7 +72,7 @@ def stacked_by_type(series: DataFrame, keys: list[str], last_n: int | None = Non
     if not keys:
         return pts.select("t").distinct()
     wide = pts.groupBy("t").pivot("type", keys).agg(F.sum("v"))
-    return wide.na.fill(0, subset=keys)
+    return wide.na.fill(0, subset=keys).orderBy("t")
 
 
 def series_key_list(series: DataFrame, n: int = SERIES_KEYS) -> list[str]:
@@ -131,7 +136,7 @@ def dashboard(m1: DataFrame, m2_top: DataFrame, m3: DataFrame, m4: DataFrame, m5
     """
     spark = m1.sparkSession
     total = total_series(R.retain_latest(m1, retained), limit)
-    series = by_type_series(R.retain_latest(m2_top, retained), limit)
+    series = _type_series(R.retain_latest(m2_top, retained), limit)     # arrays are sorted below
     per_type = series.groupBy("type").agg(_points(series).alias("points"))
     by_type = per_type.agg(F.map_from_entries(F.collect_list(F.struct(
         F.coalesce(F.col("type"), F.lit("null")), "points"))))
