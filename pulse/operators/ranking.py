@@ -93,7 +93,12 @@ def last_n_points(df: DataFrame, n: int | None, t: str = "t") -> DataFrame:
 
 
 def last_n_per_series(df: DataFrame, key: str, n: int | None, t: str = "t") -> DataFrame:
-    """Last ``n`` points of every series ``key`` (each may span a different time range)."""
+    """Last ``n`` points of every series ``key`` (each may span a different time range).
+
+    Up to ``spark.sql.optimizer.windowGroupLimitThreshold`` (1000, the serving
+    retention) Catalyst adds a partial WindowGroupLimit, so a long series
+    never reaches one task whole; beyond it the series is ranked in full.
+    """
     if n is None or n <= 0:
         return df
     w = Window.partitionBy(key).orderBy(F.col(t).desc())
