@@ -135,7 +135,10 @@ def dashboard(m1: DataFrame, m2_top: DataFrame, m3: DataFrame, m4: DataFrame, m5
     scalar subquery over that bounded data.
     """
     spark = m1.sparkSession
-    total = total_series(R.retain_latest(m1, retained), limit)
+    # One point per window: with 0 < limit <= retained the retention cut
+    # cannot change the last points, so its cutoff subquery is skipped.
+    bounded = limit is not None and 0 < limit <= retained
+    total = total_series(m1 if bounded else R.retain_latest(m1, retained), limit)
     series = _type_series(R.retain_latest(m2_top, retained), limit)     # arrays are sorted below
     per_type = series.groupBy("type").agg(_points(series).alias("points"))
     by_type = per_type.agg(F.map_from_entries(F.collect_list(F.struct(
