@@ -1,0 +1,83 @@
+"""Serving payload formats (SINK3-SINK6) and the document normaliser (SHP8)."""
+
+import json
+
+from pyspark.sql import functions as F
+
+from pulse.operators import shaping as S
+from pulse.streaming import sinks as SK
+
+
+def _ts(spark, rows, ddl):
+    df = spark.createDataFrame(rows, ddl)
+    for c in ("window_start", "window_end"):
+        if c in df.columns:
+            df = df.withColumn(c, F.col(c).cast("timestamp"))
+    return df
+
+
+def test_series_and_type_series_payloads(spark):
+    m1 = _ts(spark, [("2024-01-01 00:00:00", "2024-01-01 00:00:10", 2), ("2024-01-01 00:00:10", "2024-01-01 00:00:20", 5)],
+             "window_start string, window_end string, event_count long")
+    assert json.loads(SK.series_snapshot(m1).first().payload) == [
+        {"ts": "2024-01-01T00:00:10", "count": 5}, {"ts": "2024-01-01T00:00:00", "count": 2}]
+    top = _ts(spark, [("2024-01-01 00:00:00", "2024-01-01 00:00:10", "edit", 3),
+                      ("2024-01-01 00:00:00", "2024-01-01 00:00:10", None, 1),
+                      ("2024-01-01 00:00:10", "2024-01-01 00:00:20", "others", 4)],
+              "window_start string, window_end string, final_type string, cnt long")
+    assert json.loads(SK.type_series_snapshot(top).first().payload) == [
+        {"ts": "2024-01-01T00:00:10", "type_counts": {"others": 4}},
+        {"ts": "2024-01-01T00:00:00", "type_counts": {"edit": 3, "null": 1}}]
+    assert json.loads(SK.series_snapshot(m1, retained=1).first().payload) == [
+        {"ts": "2024-01-01T00:00:10", "count": 5}]
+
+
+def test_latest_and_ranking_payloads(spark):
+    m3 = _ts(spark, [("2024-01-01 00:00:00", "2024-01-01 00:01:00", 4, 0, None),
+                     ("2024-01-01 00:01:00", "2024-01-01 00:02:00", 10, 3, 0.3)],
+             "window_start string, window_end string, total_count long, bot_count long, bot_ratio double")
+    assert json.loads(SK.latest_snapshot(m3, "bot_ratio", ["bot_count", "total_count"]).first().payload) == {
+        "ts": "2024-01-01T00:01:00", "bot_ratio": 0.3, "bot_count": 3, "total_count": 10}
+    first_only = m3.filter("bot_count = 0")
+    assert json.loads(SK.latest_snapshot(first_only, "bot_ratio", ["bot_count"]).first().payload)["bot_ratio"] == 0.0
+    m4 = _ts(spark, [("2024-01-01 00:05:00", "2024-01-01 00:10:00", d, n) for d, n in
+                     [("b.org", 3), ("a.org", 3), ("c.org", 9)]] +
+             [("2024-01-01 00:00:00", "2024-01-01 00:05:00", "old.org", 99)],
+             "window_start string, window_end string, domain string, cnt long")
+    assert json.loads(SK.ranking_snapshot(m4).first().payload) == [
+        {"domain": "c.org", "count": 9}, {"domain": "a.org", "count": 3}, {"domain": "b.org", "count": 3}]
+
+
+def test_normalizer_variants(spark):
+    docs = [
+        {"metric1": [{"ts": "2024-01-01T00:00:10", "count": 3}, {"window_start": "2024-01-01T00:00:00",
+                                                                  "event_count": 2}, {"ts": "bad", "count": 1}],
+         "metric2": [{"ts": "2024-01-01T00:00:10", "type_counts": {"edit": 2, "log": "1"}},
+                     {"ts": "2024-01-01T00:00:00", "typeCounts": {"edit": 5}}],
+         "metric3": {"bot_ratio": 0.25, "bot_count": 1, "total_count": 4},
+         "metric4": [{"domain": "a.org", "count": 5}, {"k": "b.org", "v": 2}, {}], "bucketSec": 5},
+        {"events_total": [{"t": "2024-01-01T00:00:00Z", "v": 7}], "bot": {"ratio": 0.5, "bot": 1, "total": 2},
+         "contentChange": {"changed": 3}},
+        {"total": [{"t": 1704067200, "v": 1}], "byType": {"edit": [{"t": 1704067200, "v": 1}]}, "topWiki": [],
+         "bot": {"ratio": 0.1}},
+        {},
+    ]
+    df = spark.createDataFrame([(i, json.dumps(d)) for i, d in enumerate(docs)] + [(9, "not json")],
+                               "doc_id int, json string")
+    out = {r.doc_id: r.asDict(recursive=True) for r in S.normalize_dashboard(df).collect()}
+    assert set(out) == {0, 1, 2, 3}                                   # unreadable document = absent
+    d0 = out[0]
+    assert (d0["bucketSec"], d0["rangeMin"]) == (5, 300)
+    assert d0["total"] == [{"t": 1704067210, "v": 3}, {"t": 1704067200, "v": 2}]
+    assert d0["byType"] == {"edit": [{"t": 1704067200, "v": 5}, {"t": 1704067210, "v": 2}],
+                            "log": [{"t": 1704067210, "v": 1}]}
+    assert d0["bot"] == {"ratio": 0.25, "bot": 1, "total": 4, "windowSec": 60}
+    assert d0["topWiki"] == [{"k": "a.org", "v": 5}, {"k": "b.org", "v": 2}, {"k": "unknown", "v": 0}]
+    assert d0["contentChange"] is None
+    d1 = out[1]
+    assert d1["total"] == [{"t": 1704067200, "v": 7}]
+    assert d1["contentChange"] == {"ratio": 0.0, "changed": 3, "total": 0, "windowSec": 60}
+    d2 = out[2]                                                         # already normal: passed through
+    assert (d2["bucketSec"], d2["rangeMin"]) == (None, None) and d2["bot"]["bot"] is None
+    assert d2["byType"] == {"edit": [{"t": 1704067200, "v": 1}]}
+    assert out[3]["total"] == [] and out[3]["bot"] is None and out[3]["bucketSec"] == 10
