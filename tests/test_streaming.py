@@ -314,3 +314,26 @@ def test_rocksdb_state_store(spark, tmp_path):
         else:
             spark.conf.set(key, before)
     assert [(r.domain, r.cnt) for r in J.current_metric(spark, layout, "top_domains").collect()] == [("d", 3)]
+
+
+def test_main_entry_point(spark, tmp_path, monkeypatch):
+    """The spark-submit entry wires source -> parse -> archive + metrics."""
+    import pulse.sources.kafka as K
+
+    src = str(tmp_path / "in")
+    _write_lines(src, "a.jsonl", [json.dumps({"meta": {"dt": "2024-01-01T00:00:01.000Z", "domain": "d",
+                                                       "stream": "mediawiki.revision-create"},
+                                              "type": "edit", "rev_content_changed": True})] * 2)
+    monkeypatch.setattr(K, "kafka_source", lambda spark, cfg: jsonl_source(spark, src, streaming=True))
+
+    def finish(spark, timeout=None):
+        for q in spark.streams.active:
+            q.processAllAvailable()
+            q.stop()
+
+    monkeypatch.setattr(J, "await_any", finish)
+    base = str(tmp_path / "run")
+    J.main(["--servers", "unused:9092", "--base", base])
+    layout = J.RunLayout(base)
+    assert spark.read.parquet(layout.raw()).count() == 2
+    assert [r.content_changed_count for r in J.current_metric(spark, layout, "content_change_ratio").collect()] == [2]
