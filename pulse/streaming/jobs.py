@@ -174,6 +174,10 @@ def run_all(events: DataFrame, layout: RunLayout, watermark: str = WATERMARK,
     if metrics_from_archive:
         from pulse.sources.archive import archive_stream
 
+        if trigger and (trigger.get("availableNow") or trigger.get("once")):
+            # run-to-completion triggers see only the files present at start:
+            # let the archive finish before its readers start
+            queries[0].awaitTermination()
         source = archive_stream(events.sparkSession, layout.raw())
     for name in metrics or list(METRICS):
         queries.append(start_metric(source, name, layout, watermark, trigger, history_format=history_format))
