@@ -20,6 +20,7 @@ from pulse.operators import shaping as S
 from pulse.plans.barriers import fence, materialize
 from pulse.plans.fixtures import capture_values, standard_events
 from pulse.schema import STANDARD_COLUMNS
+from pulse.sources.capture import frame_lines
 from pulse.streaming import sinks as SK
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -244,7 +245,37 @@ def q_normalized_documents(spark, sf_dir):
                       F.col("bot.windowSec").alias("windowSec"))
 
 
+CAPTURE_FILES = 4        # capture_framing: events spread over 4 capture files
+CAPTURE_SPLIT = 1000     # ... each cut into splits of 1000 events (bounded groups)
+
+
+def q_capture_framing(spark, sf_dir):
+    """SSE framing over a capture derived from the whole table.
+
+    Every event becomes ``event:``, ``id:`` and two ``data:`` lines (its JSON
+    cut after the first comma, so framing must re-join the parts) and a
+    terminating blank line; every 7th event loses its closing brace. Lines go
+    to 4 capture files in splits of 1000 events, then through
+    :func:`pulse.sources.capture.frame_lines`."""
+    cap = capture_values(spark, sf_dir)
+    damaged = cap.select("offset", F.when(F.col("offset") % CORRUPT_EVERY == 0,
+                                          F.regexp_replace("value", r"\}$", "")).otherwise(F.col("value")).alias("v"))
+    cut = F.length(F.substring_index("v", ",", 1)) + 1          # position of the first comma
+    lines = F.array(F.lit("event: message"), F.concat(F.lit("id: "), F.col("offset").cast("string")),
+                    F.concat(F.lit("data: "), F.substring("v", 1, cut)),
+                    F.concat(F.lit("data: "), F.expr("substring(v, length(substring_index(v, ',', 1)) + 2)")),
+                    F.lit(""))
+    per_event = damaged.select("offset", F.posexplode(lines).alias("i", "line"))
+    located = per_event.select(
+        F.concat(F.lit("capture-"), (F.col("offset") % CAPTURE_FILES).cast("string")).alias("file"),
+        (F.col("offset") / CAPTURE_FILES / CAPTURE_SPLIT).cast("long").alias("split"),
+        (F.col("offset") * 5 + F.col("i")).alias("pos"), "line")
+    framed = frame_lines(located)
+    return framed.select(F.col("sse_id"), F.col("is_valid"))
+
+
 QUERIES.update({
+    "capture_framing": q_capture_framing,
     "snapshot_live": q_snapshot_live,
     "normalized_documents": q_normalized_documents,
 })

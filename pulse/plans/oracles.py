@@ -199,3 +199,8 @@ SELECT CAST(epoch(window_start) AS BIGINT) AS doc_id,
        CAST(60 AS BIGINT) AS "windowSec"
 FROM m3""",
 })
+
+ORACLES.update({
+    "capture_framing": """
+SELECT CAST(event_id AS VARCHAR) AS sse_id, event_id % 7 <> 0 AS is_valid FROM events""",
+})
