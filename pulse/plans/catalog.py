@@ -255,7 +255,8 @@ def q_capture_framing(spark, sf_dir):
     Every event becomes ``event:``, ``id:`` and two ``data:`` lines (its JSON
     cut after the first comma, so framing must re-join the parts) and a
     terminating blank line; every 7th event loses its closing brace. Lines go
-    to 4 capture files in splits of 1000 events, then through
+    to 4 capture files in splits of 1000 events, are written once (like
+    capture files on disk) and go through
     :func:`pulse.sources.capture.frame_lines`."""
     cap = capture_values(spark, sf_dir)
     damaged = cap.select("offset", F.when(F.col("offset") % CORRUPT_EVERY == 0,
@@ -270,7 +271,8 @@ def q_capture_framing(spark, sf_dir):
         F.concat(F.lit("capture-"), (F.col("offset") % CAPTURE_FILES).cast("string")).alias("file"),
         (F.col("offset") / CAPTURE_FILES / CAPTURE_SPLIT).cast("long").alias("split"),
         (F.col("offset") * 5 + F.col("i")).alias("pos"), "line")
-    framed = frame_lines(located)
+    # written once, as capture files would be: framing reads it in two passes
+    framed = frame_lines(materialize(located))
     return framed.select(F.col("sse_id"), F.col("is_valid"))
 
 
