@@ -337,3 +337,19 @@ def test_main_entry_point(spark, tmp_path, monkeypatch):
     layout = J.RunLayout(base)
     assert spark.read.parquet(layout.raw()).count() == 2
     assert [r.content_changed_count for r in J.current_metric(spark, layout, "content_change_ratio").collect()] == [2]
+
+
+def test_read_raw_range_boundaries(spark, tmp_path):
+    rows = [json.dumps({"meta": {"dt": t}}) for t in
+            ["2024-01-01T00:59:59.999Z", "2024-01-01T01:00:00.000Z", "2024-01-01T01:30:00.000Z",
+             "2024-01-01T02:00:00.000Z", "garbage"]]
+    path = str(tmp_path / "raw")
+    S.write_raw(P.parse_events(spark.createDataFrame([(r,) for r in rows], "value string")), path)
+
+    def hours(df):
+        return sorted(str(r.event_time)[11:19] for r in df.collect())
+
+    assert hours(read_raw(spark, path, "2024-01-01T01:00:00Z", "2024-01-01T02:00:00Z")) == ["01:00:00", "01:30:00"]
+    assert hours(read_raw(spark, path, start="2024-01-01T01:30:00Z")) == ["01:30:00", "02:00:00"]
+    assert hours(read_raw(spark, path, end="2024-01-01T01:00:00Z")) == ["00:59:59"]
+    assert read_raw(spark, path).count() == 5                 # no range: the null-time row too
