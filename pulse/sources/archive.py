@@ -18,17 +18,49 @@ def _hour_key(t: datetime) -> int:
     return ((t.year * 100 + t.month) * 100 + t.day) * 100 + t.hour
 
 
-def read_raw(spark: SparkSession, path: str, start=None, end=None) -> DataFrame:
+def _hour_col():
+    return ((F.col("year") * 100 + F.col("month")) * 100 + F.col("day")) * 100 + F.col("hour")
+
+
+def compact_archive(spark: SparkSession, live: str, compacted: str, until) -> None:
+    """Rewrite the closed hours (before ``until``) of the streaming archive as
+    a compacted copy with few, well-sized files per hour.
+
+    The streaming sink writes one file per task and hour on every
+    micro-batch. This job reads the closed hours (partition-pruned) and
+    writes them with a ``rebalance`` hint: adaptive execution sizes the output
+    files and splits a hot hour over several tasks instead of funnelling it
+    into one. Dynamic partition overwrite makes a rerun replace the same
+    hours. The live archive is left as it is (its file-sink log stays valid);
+    :func:`read_raw` takes compacted hours from the copy and the rest from
+    the live archive.
+    """
+    key = _hour_key(_utc(until))
+    from pulse.schema import PARTITION_COLUMNS
+
+    closed = spark.read.parquet(live).filter(_hour_col() < key)
+    (closed.hint("rebalance", *PARTITION_COLUMNS).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITION_COLUMNS).parquet(compacted))
+    spark.createDataFrame([(key,)], "until long").write.mode("overwrite").parquet(f"{compacted}/_until")
+
+
+def read_raw(spark: SparkSession, path: str, start=None, end=None, compacted: str | None = None) -> DataFrame:
     """Archived standard events with ``start <= event_time < end`` (UTC).
 
     Besides the exact ``event_time`` predicate (pushed into the Parquet scan),
     the range is turned into a predicate on the partition columns alone, so
     directories outside the hours of the range are never listed or opened.
     Rows with a null event time live in the default partition and are only
-    returned when no range is given.
+    returned when no range is given. With ``compacted`` (see
+    :func:`compact_archive`) hours before its watermark are read from the
+    compacted copy, later ones from the live archive.
     """
     df = spark.read.parquet(path)
-    key = ((F.col("year") * 100 + F.col("month")) * 100 + F.col("day")) * 100 + F.col("hour")
+    key = _hour_col()
+    if compacted is not None:
+        until = spark.read.parquet(f"{compacted}/_until").first()[0]       # one value
+        old = spark.read.parquet(compacted).filter(key < until)
+        df = old.unionByName(df.filter((key >= until) | F.col("year").isNull()))
     if start is not None:
         s = _utc(start)
         df = df.filter(key >= _hour_key(s)).filter(F.col("event_time") >= F.lit(s))

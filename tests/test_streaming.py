@@ -353,3 +353,24 @@ def test_read_raw_range_boundaries(spark, tmp_path):
     assert hours(read_raw(spark, path, start="2024-01-01T01:30:00Z")) == ["01:30:00", "02:00:00"]
     assert hours(read_raw(spark, path, end="2024-01-01T01:00:00Z")) == ["00:59:59"]
     assert read_raw(spark, path).count() == 5                 # no range: the null-time row too
+
+
+def test_compact_archive(spark, tmp_path):
+    from pulse.sources.archive import compact_archive
+
+    live, comp = str(tmp_path / "raw"), str(tmp_path / "compacted")
+    events = P.parse_events(capture_values(spark, SF).select("value"))
+    for part in range(3):                                   # three appends = many small files
+        S.write_raw(events.filter(F.expr(f"hash(raw_json) % 3 = {part} or hash(raw_json) % 3 = -{part}")), live)
+    compact_archive(spark, live, comp, "2024-01-01T01:00:00Z")
+    before = read_raw(spark, live).count()
+    both = read_raw(spark, live, compacted=comp)
+    assert both.count() == before == events.count()
+    assert read_raw(spark, live, "2024-01-01T00:30:00Z", "2024-01-01T01:30:00Z", compacted=comp).count() == \
+        read_raw(spark, live, "2024-01-01T00:30:00Z", "2024-01-01T01:30:00Z").count()
+    hour0 = [f for f in os.listdir(f"{comp}/year=2024/month=1/day=1/hour=0") if f.endswith(".parquet")]
+    live0 = [f for f in os.listdir(f"{live}/year=2024/month=1/day=1/hour=0") if f.endswith(".parquet")]
+    assert 0 < len(hour0) < len(live0)
+    assert not os.path.exists(f"{comp}/year=2024/month=1/day=1/hour=1")   # open hour stays live
+    compact_archive(spark, live, comp, "2024-01-01T01:00:00Z")          # rerun: same result
+    assert read_raw(spark, live, compacted=comp).count() == before
