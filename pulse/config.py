@@ -69,18 +69,13 @@ class Config:
 
 
 def checkpoint_root(spark: SparkSession, fallback: str | None = None) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
-
-    On a cluster the platform sets it to a shared file system; it is only set
-    here (to ``fallback``, or a private folder of a local session) when the
-    session leaves it unset, as in tests.
-    """
-    from pulse.plans.barriers import ensure_checkpoint_dir
-
-    if fallback and not spark.conf.get("spark.checkpoint.dir", None) \
-            and not spark.sparkContext.getCheckpointDir():
-        spark.conf.set("spark.checkpoint.dir", fallback)
-    return ensure_checkpoint_dir(spark).rstrip("/")
+    """The shared folder named by ``spark.checkpoint.dir`` (stable across
+    application restarts, unlike the per-application folder Spark derives from
+    it for RDD checkpoints). ``fallback`` only applies when it is unset, as in
+    tests."""
+    from pulse.plans.barriers import checkpoint_folder
+
+    return checkpoint_folder(spark, fallback)
 
 
 def use_utc(spark: SparkSession) -> None:

@@ -25,22 +25,34 @@ def fence(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     return df.select(*keep, F.inline(F.array(F.struct(*cols))))
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The reliable checkpoint folder: ``spark.checkpoint.dir`` from the session.
+_LOCAL_FOLDERS: dict[str, str] = {}     # private folder of a local session without one
+
+
+def checkpoint_folder(spark: SparkSession, fallback: str | None = None) -> str:
+    """The shared folder named by ``spark.checkpoint.dir``, as configured.
 
-    Only a local session without one gets a private folder (tests); a cluster
-    session must name a shared folder.
+    Only a local session without one gets ``fallback`` or a private folder
+    (tests); a cluster session must name a shared folder. The session config
+    is read, never changed (Spark refuses runtime changes of core settings).
     """
+    d = spark.conf.get("spark.checkpoint.dir", None) or fallback
+    if not d:
+        sc = spark.sparkContext
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+        if sc.applicationId not in _LOCAL_FOLDERS:
+            _LOCAL_FOLDERS[sc.applicationId] = tempfile.mkdtemp(prefix="pulse-checkpoint-")
+        d = _LOCAL_FOLDERS[sc.applicationId]
+    return d.rstrip("/")
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Make ``DataFrame.checkpoint()`` write under :func:`checkpoint_folder`."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        d = tempfile.mkdtemp(prefix="pulse-checkpoint-")
-        spark.conf.set("spark.checkpoint.dir", d)
+    d = checkpoint_folder(spark)
     sc.setCheckpointDir(d)
     return d
 

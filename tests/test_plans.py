@@ -81,3 +81,15 @@ def test_top_n_with_others_limits_rows_before_the_shuffle(spark):
         (F.col("id") % 977).cast("string").alias("event_type"), F.lit(1).cast("long").alias("cnt"))
     plan = _physical(R.top_n_with_others(pts))
     assert "WindowGroupLimit" in plan
+
+
+def test_layout_uses_the_sessions_checkpoint_folder(spark):
+    from pulse.config import checkpoint_root
+    from pulse.streaming.jobs import default_layout
+
+    root = checkpoint_root(spark, fallback="/should/not/be/used")
+    assert root == spark.conf.get("spark.checkpoint.dir").rstrip("/")   # as configured, no per-app suffix
+    assert "/should/not/be/used" not in root                      # a configured folder wins
+    layout = default_layout(spark, run="r1")
+    assert layout.checkpoint("bot_ratio").startswith(root) and layout.checkpoint("bot_ratio").endswith(
+        "/r1/checkpoints/bot_ratio")
