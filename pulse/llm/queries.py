@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulse.llm import chat, decontaminate, mixing, quality, sharding, url_filter
+from pulse.llm import chat, decontaminate, jaccard_join, line_dedup, mixing, quality, sharding, toxicity, url_filter
 from pulse.llm.common import table, word_count
 
 SHARDS = 8
@@ -70,4 +70,29 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("loss", 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_mixing, op3_url_filter, op5_decontamination, op6_quality_rules, op7_chat_format)}
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's shingle count and its component of near duplicates."""
+    out = jaccard_join.similar_documents(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_shingles", F.col("component").alias("component_id"))
+
+
+TOXIC = 0.7
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity, learned from the labels of two thirds of the ids."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 3 == 1
+    weights = toxicity.train(docs.where(~held_out), labels.where(~held_out))
+    out = toxicity.score(docs, weights, ["doc_id"])
+    return out.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= TOXIC).cast("int").alias("predicted"))
+
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's lines that go because a line like them stands earlier."""
+    out = line_dedup.duplicate_lines(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_dropped", "dropped")
+
+
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_mixing, op3_url_filter, op4_jaccard_join,
+                                 op5_decontamination, op6_quality_rules, op7_chat_format, op8_toxicity, op10_line_dedup)}
