@@ -117,6 +117,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
                                   F.max(F.coalesce("changed", F.lit(False))).alias("reparameterised")).drop("item_key")
 
 
+def clean_documents(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that hold no benchmark item."""
+    found = leaks(docs, benchmark, id_col, text_col).select(F.col("id").alias("_i"), F.col("text_key").alias("_k")).distinct()
+    d = docs.withColumn("_key", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    return d.join(found, (d["_key"] == found["_k"]) & d[id_col].eqNullSafe(found["_i"]), "left_anti").drop("_key")
+
+
 def _by(*cols):
     from pyspark.sql import Window
 

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulse.llm import hashing as H
-from pulse.llm.common import stash
+from pulse.llm.common import WORD, stash
 from pulse.llm.components import components
 
 SHINGLE = 5
@@ -158,7 +158,9 @@ def _compare(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
 
 
 def similar_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, levels: int = LEVELS) -> DataFrame:
-    """(id, n_shingles, component): every row of ``df`` with the least id reachable by links.
+    """(id, digest, n_shingles, component, label): every row of ``df`` with the least id reachable by links.
+
+    ``digest`` is the text's, ``label`` the component's own identity (null without shingles).
 
     Links: 100 * shared >= 80 * union of the sets of distinct ``size``-word
     shingles (A-Z lower-cased; the whole sequence if shorter). Texts that are
@@ -226,9 +228,23 @@ def similar_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     labels = components(links)
     f = features.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = f.where(F.col("label").isNotNull()).groupBy("label").agg(F.min("id").alias("component"))
-    alone = f.where(F.col("label").isNull()).select("id", "n", F.col("id").alias("component"))
-    out = f.join(least, "label").select("id", "n", "component").union(alone)
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component")
+    alone = f.where(F.col("label").isNull()).select("id", "digest", "n", F.col("id").alias("component"), "label")
+    out = f.join(least, "label").select("id", "digest", "n", "component", "label").union(alone)
+    return out.select(F.col("id").alias(id_col), "digest", F.col("n").alias("n_shingles"), "component", "label")
+
+
+def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``df`` that stay: of each component the least by (id, digest of
+    the text), null ids first; of equal rows one. Texts without words all stay."""
+    found = similar_documents(df, id_col, text_col)
+    some = found.where(F.col("label").isNotNull()).groupBy("label").agg(F.min(F.struct(F.col(id_col).alias("id"), "digest")).alias("s"))
+    stays = some.select(F.col("s.id").alias("_id"), F.col("s.digest").alias("_digest"))
+    d = df.withColumn("_key", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    first = F.row_number().over(Window.partitionBy("_key", id_col).orderBy("_key"))
+    chosen = d.join(stays, (d["_key"] == stays["_digest"]) & d[id_col].eqNullSafe(stays["_id"]))
+    chosen = chosen.withColumn("_nth", first).where(F.col("_nth") == 1)
+    wordless = df.where(F.coalesce(F.regexp_count(text_col, F.lit(WORD)), F.lit(0)) == 0)
+    return chosen.select(*df.columns).union(wordless)
 
 
 def _linked(found: DataFrame) -> DataFrame:

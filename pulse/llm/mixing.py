@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulse.llm.common import collapse_rows, stash
+from pulse.llm.common import collapse_rows, stash, word_count
 
 ROWS_PER_SLICE = 50_000
 JUNK = "0123456789#*$%&|<>"
@@ -119,3 +119,16 @@ def mix(df: DataFrame, id_col: str, size: Column, quality: Column | None = None,
     times = F.col("epochs") + F.when(F.col("_i") <= F.col("fit"), 1).otherwise(0)
     return each.select(F.col("id").alias(id_col), "size", "digest", "source", "source_size", "target",
                        (F.col("size") * times).alias("taken"), times.cast("int").alias("times"))
+
+
+def mixed(df: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``df`` as often as the mix takes them; rows that it leaves out are gone."""
+    found = mix(df, id_col, word_count(F.col(text_col)), source_col=source_col, text_col=text_col, **options)
+    times = found.groupBy(F.col(id_col).alias("_id"), F.col("source").alias("_source"), F.col("digest").alias("_digest")).agg(F.sum("times").alias("_times"))
+    times = times.where(F.col("_times") > 0)
+    d = df.withColumn("_key", F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")))
+    same = (d["_key"] == times["_digest"]) & d[id_col].eqNullSafe(times["_id"]) & d[source_col].eqNullSafe(times["_source"])
+    # Equal rows were drawn together, so one of them is written for all.
+    first = F.row_number().over(Window.partitionBy("_key", id_col, source_col).orderBy("_key"))
+    one = d.join(times, same).withColumn("_nth", first).where(F.col("_nth") == 1)
+    return one.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), "_times"))).select(*df.columns)

@@ -119,3 +119,12 @@ def without_lines(text: Column, removed: Column) -> Column:
     """``text`` without the lines whose hash is in ``removed`` (null: the text as it is)."""
     lines = F.filter(F.split(text, "\n", -1), lambda x: ~F.coalesce(F.array_contains(removed, _line(normal_line(x))["h"]), F.lit(False)))
     return F.when(removed.isNull(), text).otherwise(F.array_join(lines, "\n"))
+
+
+def clean_documents(df: DataFrame, host_col: str = "source", text_col: str = "text", length_col: str | None = None) -> DataFrame:
+    """The kept rows of ``df``, their texts without the removed lines; ``length_col`` is set to the text's code points."""
+    judged = quality_rules(df, host_col=host_col, text_col=text_col).where("kept")
+    out = judged.withColumn(text_col, without_lines(F.col(text_col), F.col("removed")))
+    if length_col:
+        out = out.withColumn(length_col, F.length(text_col).cast(df.schema[length_col].dataType))
+    return out.select(*df.columns)

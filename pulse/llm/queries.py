@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulse.llm import chat, decontaminate, jaccard_join, line_dedup, mixing, quality, sharding, toxicity, url_filter
+from pulse.llm import chat, decontaminate, html_extract, jaccard_join, line_dedup, mixing, quality, sharding, toxicity, url_filter
 from pulse.llm.common import table, word_count
 
 SHARDS = 8
@@ -88,6 +88,13 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= TOXIC).cast("int").alias("predicted"))
 
 
+def op9_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    pages = table(spark, sf_dir, "pages")
+    out = html_extract.extract(pages, html_extract.train(pages), ["page_id", "url"])
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's lines that go because a line like them stands earlier."""
     out = line_dedup.duplicate_lines(table(spark, sf_dir, "documents"))
@@ -95,4 +102,4 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_sharding, op2_mixing, op3_url_filter, op4_jaccard_join,
-                                 op5_decontamination, op6_quality_rules, op7_chat_format, op8_toxicity, op10_line_dedup)}
+                                 op5_decontamination, op6_quality_rules, op7_chat_format, op8_toxicity, op9_html_extract, op10_line_dedup)}
