@@ -83,10 +83,12 @@ NAMES = ["id", "digest", "n", "node", "buckets", "counts", "tally"]
 
 
 def cells(docs: DataFrame, order: np.ndarray, heavy: np.ndarray, size: int = SHINGLE) -> DataFrame:
-    """(token, part, split, node, n, pos): each document in the cells of its first shingles.
+    """(token, node, info): each document in the cells of its first shingles.
 
     ``order`` ranks the buckets, rare ones first; a token is a shingle's hash
     with its bucket's rank on top. ``heavy`` gives the parts of a bucket's cells.
+    ``info`` packs what :func:`_unpacked` reads: whether the cell is split, the
+    part, n and pos, so a row of this largest shuffle is three numbers.
     """
     low = np.uint64((1 << (64 - BUCKET_BITS)) - 1)
     shift = np.uint64(64 - BUCKET_BITS)
@@ -113,12 +115,20 @@ def cells(docs: DataFrame, order: np.ndarray, heavy: np.ndarray, size: int = SHI
                     token = np.concatenate([p[0] for p in parts])
                     split = heavy[(token >> shift).astype(np.int64)]
                     node = np.repeat(np.array([p[1] for p in parts], np.int64), lengths)
-                    yield pa.record_batch([
-                        pa.array(token.view(np.int64)), pa.array((H.mix(node.view(np.uint64)) % split.astype(np.uint64)).astype(np.int32)),
-                        pa.array(split > 1), pa.array(node), pa.array(np.repeat(np.array([p[2] for p in parts], np.int32), lengths)),
-                        pa.array(np.concatenate([np.arange(x, dtype=np.int32) for x in lengths]))], ["token", "part", "split", "node", "n", "pos"])
+                    part = (H.mix(node.view(np.uint64)) % split.astype(np.uint64)).astype(np.int64)
+                    n = np.repeat(np.array([p[2] for p in parts], np.int64), lengths)
+                    pos = np.concatenate([np.arange(x, dtype=np.int64) for x in lengths])
+                    info = ((split > 1).astype(np.int64) << 62) | (part << 56) | (n << 28) | pos
+                    yield pa.record_batch([pa.array(token.view(np.int64)), pa.array(node), pa.array(info)], ["token", "node", "info"])
 
-    return docs.select("text").mapInArrow(run, "token long, part int, split boolean, node long, n int, pos int")
+    return docs.select("text").mapInArrow(run, "token long, node long, info long")
+
+
+def _unpacked(rows: DataFrame) -> DataFrame:
+    def bits(start: int, width: int):
+        return F.shiftright("info", start).bitwiseAND(F.lit((1 << width) - 1).cast("long"))
+
+    return rows.select("token", bits(56, 6).alias("part"), (bits(62, 1) == 1).alias("split"), "node", bits(28, 28).alias("n"), bits(0, 28).alias("pos"))
 
 
 def _may_link(nx, ny, px, py):
@@ -127,6 +137,32 @@ def _may_link(nx, ny, px, py):
     return (5 * F.least(nx, ny) >= 4 * F.greatest(nx, ny)) & (9 * F.least(nx - px, ny - py) >= need)
 
 
+FILTER_BITS = 25            # the filter's table has 2**25 bits (4 MB), whatever the size of the corpus
+
+
+def _texts_of(docs: DataFrame, reps: DataFrame) -> DataFrame:
+    """(node, text) of the documents named in ``reps`` (node, _digest, _id).
+
+    A bit table of the wanted digests, of fixed size, spares most other texts
+    the shuffle while the wanted ones are few; the join decides.
+    """
+    at = F.pmod("_digest", F.lit(1 << FILTER_BITS))
+    filled = reps.groupBy(F.shiftright(at, 5).alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), at.bitwiseAND(F.lit(31).cast("long")).cast("int"))).alias("bits"))
+    filled = filled.toPandas()      # 2**20 rows at most
+    bits = np.zeros(1 << (FILTER_BITS - 5), np.uint32)
+    bits[filled["word"].to_numpy(np.int64)] = filled["bits"].to_numpy(np.int64).astype(np.uint32)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at = b.column("digest").to_numpy() & ((1 << FILTER_BITS) - 1)
+            yield b.filter(pa.array((bits[at >> 5] >> (at & 31).astype(np.uint32)) & 1 == 1))
+
+    some = docs.select("id", "digest", "text").mapInArrow(run, "id long, digest long, text string").withColumn("_key", F.xxhash64("digest", "id"))
+    wanted = reps.select("node", "_digest", "_id", F.xxhash64("_digest", "_id").alias("_key"))
+    found = some.join(wanted, "_key").where((F.col("digest") == F.col("_digest")) & F.col("id").eqNullSafe(F.col("_id")))
+    return found.select("_key", "node", "text").dropDuplicates(["_key"]).select("node", "text")
+
+
 def _compare(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
     """(center, node, shared, n_center, n_node): exact intersections of each node's set with its center's.
 
@@ -179,20 +215,24 @@ def similar_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ranked = np.argsort(counts, kind="stable")
     order = np.empty(len(counts), np.uint64)
     order[ranked] = np.arange(len(counts), dtype=np.uint64)
-    heavy = (1 + counts[ranked] // CELL_ROWS).astype(np.int64)      # by rank, as tokens carry it
+    heavy = np.minimum(63, 1 + counts[ranked] // CELL_ROWS)      # by rank, as tokens carry it
     features = features.where("not tally")
 
-    entry = F.struct("pos", "n", "node")
+    # Of a linked pair the smaller set has the first shared shingle in its first ninth, so a cell
+    # matters to a document if another one, or it itself and any other, is there with such a place.
     cell = Window.partitionBy("token", "part")
-    rows = cells(docs, order, heavy, size)
-    kept = rows.select("*", F.min(entry).over(cell).alias("pivot"), (F.min("node").over(cell) != F.max("node").over(cell)).alias("shared"))
-    kept = stash(kept.where(F.col("shared") | F.col("split")).drop("shared"))
+    rows = _unpacked(cells(docs, order, heavy, size).repartition("token", F.shiftright("info", 56).bitwiseAND(F.lit(63).cast("long"))))
+    early = F.col("pos") * 9 <= F.col("n")
+    first = F.when(early, F.col("node"))
+    other = (F.min(first).over(cell) != F.col("node")) | (F.max(first).over(cell) != F.col("node"))
+    anyone = (F.min("node").over(cell) != F.col("node")) | (F.max("node").over(cell) != F.col("node"))
+    rows = rows.select("*", F.min(F.struct("pos", "n", "node")).over(cell).alias("pivot"), other.alias("other"), (early & anyone).alias("mine"))
+    kept = stash(rows.where(F.coalesce("other", F.lit(False)) | F.col("mine") | F.col("split")).drop("other", "mine"))
 
     involved = kept.select("node").distinct()
     reps = features.where(F.col("node").isNotNull()).groupBy("node").agg(F.min(F.struct("digest", "id")).alias("rep"))
     reps = reps.join(involved, "node").select("node", F.col("rep.digest").alias("_digest"), F.col("rep.id").alias("_id"))
-    texts = docs.join(reps, (docs["digest"] == reps["_digest"]) & docs["id"].eqNullSafe(reps["_id"]))
-    texts = stash(texts.select("node", "_digest", "_id", "text").dropDuplicates(["_digest", "_id"]).select("node", "text"))
+    texts = stash(_texts_of(docs, stash(reps)))
 
     links, known = None, None
     entries = kept.select("token", "node", "n", "pos", F.col("node").alias("label"), "pivot")
