@@ -1,11 +1,9 @@
 """Quality rules: base features and cross-document line frequency, in Spark SQL.
 
 Lines are normalised and hashed; the distinct documents of each (host, line)
-are counted; lines above the limit are removed, and documents that lose more
-than half of their words that way are rejected. Exact copies of a text count
-once. A line also has to stand in documents that differ otherwise: lines whose
-documents mostly share one min-hash signature are the body of a group of near
-copies, which is the near-duplicate stage's business, and stay.
+are counted; lines above both limits, a number and a share of the host's
+documents, are removed, and documents that lose more than half of their words
+that way are rejected. Exact copies of a text count once, as one document.
 """
 
 from __future__ import annotations
@@ -20,13 +18,13 @@ SYMBOLS = "#*$%&|<>"
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 # --------------------------------------
 LINE_LIMIT = 10         # distinct documents of a host that may share a line
+LINE_SHARE = 0.01       # ... and their share of the host's distinct documents
 MIN_LEFT_PERCENT = 50   # words that a document must keep
 
 
 def base_features(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """``df`` with ``words`` dropped again and n_words, word_chars, n_symbols,
-    n_dup_lines, n_repeat_words (long), base_failed, and ``signature``: the least
-    hash of the text's 3-word windows (null without one). Null text: no words."""
+    """``df`` with n_words, word_chars, n_symbols,
+    n_dup_lines, n_repeat_words (long) and base_failed. Null text: no words."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     solid = F.translate(text, SPACES, "")
     lines = F.filter(F.split(text, "\n", -1), lambda x: F.length(F.translate(x, SPACES, "")) > 0)
@@ -49,8 +47,7 @@ def base_features(df: DataFrame, text_col: str = "text") -> DataFrame:
         lambda x: x["twice"]), lambda x: x["i"])
     covered = F.aggregate(F.sort_array(twice), F.struct(F.lit(0).alias("n"), F.lit(-3).alias("last")),
                           lambda s, i: F.struct((s["n"] + F.least(F.lit(3), i - s["last"])).alias("n"), i.alias("last")), lambda s: s["n"])
-    d = d.select("*", F.when(repeats, covered).otherwise(F.lit(0)).cast("long").alias("n_repeat_words"),
-                 F.array_min("_h").alias("signature")).drop("_h", "_at")
+    d = d.select("*", F.when(repeats, covered).otherwise(F.lit(0)).cast("long").alias("n_repeat_words")).drop("_h", "_at")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     return d.withColumn("base_failed", failed)
 
@@ -70,27 +67,27 @@ def _line(norm: Column) -> Column:
     return F.struct(F.when(norm != "", F.xxhash64(norm)).alias("h"), F.when(norm != "", blanks + 1).otherwise(F.lit(0)).alias("w"))
 
 
-def frequent_lines(lines: DataFrame, limit: int = LINE_LIMIT) -> DataFrame:
-    """(host, h) of the lines above the limit.
+def frequent_lines(lines: DataFrame, limit: int = LINE_LIMIT, share: float = LINE_SHARE) -> DataFrame:
+    """(host, h) of the lines in more than ``limit`` distinct documents and more than ``share`` of their host's.
 
-    ``lines``: host, h, text_key, signature, one row for each line of a document
-    or more. Counts are aggregated before and after the shuffle, so a line that
-    stands in every document costs each task one row.
+    ``lines``: host, h, text_key, one row for each line of a document or more.
+    Counts are aggregated before and after the shuffle, so a line that stands in
+    every document costs each task one row.
     """
-    docs = lines.groupBy("host", "h", "text_key").agg(F.min("signature").alias("signature"))
-    by_signature = docs.groupBy("host", "h", "signature").agg(F.count(F.lit(1)).alias("n"))
-    per_line = by_signature.groupBy("host", "h").agg(F.sum("n").alias("n_docs"), F.count(F.lit(1)).alias("n_signatures"))
-    return per_line.where((F.col("n_docs") > limit) & (2 * F.col("n_signatures") > F.col("n_docs"))).select("host", "h")
+    often = lines.groupBy("host", "h", "text_key").agg(F.lit(1).alias("one")).groupBy("host", "h").agg(F.count(F.lit(1)).alias("n"))
+    often = often.where(F.col("n") > limit)
+    docs = lines.groupBy("host", "text_key").agg(F.lit(1).alias("one")).groupBy(F.col("host").alias("_host")).agg(F.count(F.lit(1)).alias("docs"))
+    return often.join(docs, often["host"].eqNullSafe(docs["_host"])).where(F.col("n") > share * F.col("docs")).select("host", "h")
 
 
 def quality_rules(df: DataFrame, keep: list[str] | None = None, host_col: str = "source", text_col: str = "text",
-                  limit: int = LINE_LIMIT, min_left_percent: int = MIN_LEFT_PERCENT) -> DataFrame:
+                  limit: int = LINE_LIMIT, share: float = LINE_SHARE, min_left_percent: int = MIN_LEFT_PERCENT) -> DataFrame:
     """The columns ``keep`` (default: all) with the base features, ``removed_words``,
     ``removed`` (hashes of the document's removed lines; null if none) and ``kept``.
 
     One row per row of ``df``. A document is kept unless a base rule fails or
     fewer than ``min_left_percent`` of its words stand outside lines that more
-    than ``limit`` distinct documents of its host share. Null text has no words
+    than ``limit`` distinct documents and more than ``share`` of those of its host hold. Null text has no words
     and fails; a null host is a host; repeated rows count once and are judged
     alike; no rows give no rows. Columns of ``df`` named like a result are
     replaced.
@@ -99,9 +96,9 @@ def quality_rules(df: DataFrame, keep: list[str] | None = None, host_col: str =
     base = base_features(df.select(*keep, F.col(host_col).alias("_host"), F.col(text_col).alias("_text")), "_text")
     base = base.withColumn("_key", F.xxhash64("_text")).withColumn("_lines", line_table(F.col("_text"))).drop("_text")
     base = stash(base.withColumn("_row", F.monotonically_increasing_id()))
-    lines = base.select("_row", F.col("_host").alias("host"), F.col("_key").alias("text_key"), "signature", F.explode("_lines").alias("l"))
-    lines = lines.select("_row", "host", "text_key", "signature", "l.h", "l.w").where(F.col("h").isNotNull())
-    often = stash(frequent_lines(lines, limit))
+    lines = base.select("_row", F.col("_host").alias("host"), F.col("_key").alias("text_key"), F.explode("_lines").alias("l"))
+    lines = lines.select("_row", "host", "text_key", "l.h", "l.w").where(F.col("h").isNotNull())
+    often = stash(frequent_lines(lines, limit, share))
     o = often.select(F.col("host").alias("_h1"), F.col("h").alias("_h2"))
     hits = lines.join(o, lines["host"].eqNullSafe(o["_h1"]) & (lines["h"] == o["_h2"]))
     lost = hits.groupBy("_row").agg(F.sum("w").alias("_lost"), F.collect_set("h").alias("removed"))
@@ -112,7 +109,7 @@ def quality_rules(df: DataFrame, keep: list[str] | None = None, host_col: str =
 
 
 FEATURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-RESULTS = [*FEATURES, "base_failed", "removed_words", "removed", "kept", "signature"]
+RESULTS = [*FEATURES, "base_failed", "removed_words", "removed", "kept"]
 
 
 def without_lines(text: Column, removed: Column) -> Column:
