@@ -18,9 +18,11 @@ def event_ts(col) -> Column:
     The fixed pattern ``yyyy-MM-dd'T'HH:mm:ss.SSSX`` is tried first; the
     pattern-free parse then accepts the other valid ISO shapes (no millis,
     micros, ``+00:00`` offsets), so this accepts more than the fixed pattern.
+    Text without a full date is bad input: a bare time would become today's.
     """
     c = _c(col)
-    return F.coalesce(F.try_to_timestamp(c, F.lit(EVENT_TIME_PATTERN)), F.try_to_timestamp(c))
+    dated = F.when(c.rlike(r"^\s*\d{4}-\d{2}-\d{2}"), c)
+    return F.coalesce(F.try_to_timestamp(c, F.lit(EVENT_TIME_PATTERN)), F.try_to_timestamp(dated))
 
 
 def iso_to_epoch(col) -> Column:

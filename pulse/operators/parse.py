@@ -118,9 +118,30 @@ def parse_events(df: DataFrame, schema: StructType = EVENT_SCHEMA, col: str = "v
     return fence(flat, ["event_time", "stream"]).select(*wanted)
 
 
+# Closes the probe array of is_valid_json; no payload contains it by chance.
+_END = "end-of-value-5b1e0c7a"
+
+
 def is_valid_json(col) -> Column:
+    """True for exactly one well-formed JSON value.
+
+    The variant parser stops after the first value, so the text is parsed as
+    the first of two array elements: trailing text breaks the array or moves
+    the second element away. Duplicate keys are valid (last one wins, set by
+    :func:`pulse.config.use_utc`); ``NaN`` and ``Infinity`` are not JSON and
+    are rejected.
+    """
+    c = F.col(col) if isinstance(col, str) else col
+    probe = F.try_parse_json(F.concat(F.lit("["), c, F.lit(f',"{_END}"]')))
+    return (F.coalesce(F.try_variant_get(probe, "$[1]", "string") == _END, F.lit(False))
+            & F.try_variant_get(probe, "$[2]", "string").isNull() & F.try_parse_json(c).isNotNull())
+
+
+def one_line(col) -> Column:
+    """Well-formed JSON text on one line. A raw line break cannot stand inside a
+    JSON string, so every one is white space between tokens."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.try_parse_json(c).isNotNull()
+    return F.translate(c.cast("string"), "\r\n", "  ")
 
 
 def valid_json(df: DataFrame, col: str = "value") -> DataFrame:
@@ -164,7 +185,7 @@ def subscribed(df: DataFrame, topics: Iterable[str]) -> DataFrame:
 
 
 def to_value(df: DataFrame, col: str = "raw_json") -> DataFrame:
-    """Standard events back to a one-column ``value`` (the original JSON text,
-    non-ASCII kept as is); rows without text are re-serialised from columns."""
+    """Standard events back to a one-column ``value``: the original JSON on one
+    line (non-ASCII kept as is); rows without text are re-serialised from columns."""
     fallback = F.to_json(F.struct(*[c for c in df.columns if c != col]))
-    return df.select(F.coalesce(F.col(col), fallback).alias("value"))
+    return df.select(F.coalesce(one_line(col), fallback).alias("value"))

@@ -16,6 +16,11 @@ from pulse.config import (
     BOT_WINDOW_SEC,
     BUCKET_SEC,
     CONTENT_WINDOW_SEC,
+    KEY_BOT,
+    KEY_BY_TYPE,
+    KEY_CONTENT,
+    KEY_TOP,
+    KEY_TOTAL,
     NORMALIZED_RANGE_MIN,
     NORMALIZED_WINDOW_SEC,
     RANGE_MIN,
@@ -67,19 +72,27 @@ def type_share(totals: DataFrame) -> DataFrame:
 
 def stacked_by_type(series: DataFrame, keys: list[str], last_n: int | None = None) -> DataFrame:
     """One row per shared timestamp (the last N across all types), one column
-    per key, missing points as 0. ``keys`` come from :func:`series_key_list`."""
+    per key, missing points as 0. ``keys`` come from :func:`series_key_list`; a
+    null type is labelled ``null``."""
     pts = R.last_n_timestamps(series, last_n, "t")
     if not keys:
         return pts.select("t").distinct()
-    wide = pts.groupBy("t").pivot("type", keys).agg(F.sum("v"))
-    return wide.na.fill(0, subset=keys).orderBy("t")
+    label = F.coalesce(F.col("type"), F.lit("null"))
+    cols = [F.coalesce(F.sum(F.when(label == k, F.col("v"))), F.lit(0).cast("long")).alias(k) for k in keys]
+    return pts.groupBy("t").agg(*cols).orderBy("t")
+
+
+def stacked_long(wide: DataFrame, keys: list[str]) -> DataFrame:
+    """The stacked rows as ``t, type, v``, zeros included."""
+    entries = F.array(*[F.struct(F.lit(k).alias("type"), F.col(f"`{k}`").alias("v")) for k in keys])
+    return wide.select("t", F.inline(entries)) if keys else wide.select("t", F.lit(None).cast("string").alias("type"), F.lit(0).cast("long").alias("v")).limit(0)
 
 
 def series_key_list(series: DataFrame, n: int = SERIES_KEYS) -> list[str]:
     """The first ``n`` series keys as a Python list (at most ``n`` values cross
     to the driver: the pivot needs its column names before planning)."""
     rows = R.series_keys(series, "type", "v", n).orderBy("position").collect()
-    return [r["key"] for r in rows]
+    return list(dict.fromkeys("null" if r["key"] is None else r["key"] for r in rows))
 
 
 # --- single-value objects -------------------------------------------------------
@@ -135,14 +148,12 @@ def dashboard(m1: DataFrame, m2_top: DataFrame, m3: DataFrame, m4: DataFrame, m5
     scalar subquery over that bounded data.
     """
     spark = m1.sparkSession
-    # One point per window: with 0 < limit <= retained the retention cut
-    # cannot change the last points, so its cutoff subquery is skipped.
-    bounded = limit is not None and 0 < limit <= retained
-    total = total_series(m1 if bounded else R.retain_latest(m1, retained), limit)
-    series = _type_series(R.retain_latest(m2_top, retained), limit)     # arrays are sorted below
+    total = total_series(R.retain_latest(m1, retained), limit)
+    # a null type and a type named "null" are one label: summed before the map is built
+    labelled = type_points(R.retain_latest(m2_top, retained)).groupBy(F.coalesce("type", F.lit("null")).alias("type"), "t").agg(F.sum("v").alias("v"))
+    series = R.last_n_per_series(labelled, "type", limit)       # arrays are sorted below
     per_type = series.groupBy("type").agg(_points(series).alias("points"))
-    by_type = per_type.agg(F.map_from_entries(F.collect_list(F.struct(
-        F.coalesce(F.col("type"), F.lit("null")), "points"))))
+    by_type = per_type.agg(F.map_from_entries(F.collect_list(F.struct("type", "points"))))
     ranked = top_wiki(R.top_domains(m4)).select((-F.col("v")).alias("o"), "k", "v")
     top = ranked.agg(F.transform(F.sort_array(F.collect_list(F.struct("o", "k", "v"))),
                                  lambda x: F.struct(x["k"].alias("k"), x["v"].alias("v"))))
@@ -166,6 +177,71 @@ def dashboard(m1: DataFrame, m2_top: DataFrame, m3: DataFrame, m4: DataFrame, m5
     return doc.filter(present)
 
 
+def dashboard_from_snapshots(live: DataFrame, limit: int | None = None, now: Column | None = None) -> DataFrame:
+    """The dashboard document from the store's unexpired values (``metric_key, payload``).
+
+    Absent and unreadable payloads give empty lists and zero objects; points
+    with a null or bad ``ts`` are skipped; series are cut to their last
+    ``limit`` points. No row when no key is present. Payloads are bounded by the
+    retention, and each is reshaped inside its row.
+    """
+    keys = (KEY_TOTAL, KEY_BY_TYPE, KEY_BOT, KEY_TOP, KEY_CONTENT)
+    payload = [F.max(F.when(F.col("metric_key") == k, F.col("payload"))).alias(f"_{i}") for i, k in enumerate(keys)]
+    row = live.where(F.try_parse_json("payload").isNotNull()).agg(F.count(F.lit(1)).alias("_n"), *payload).where(F.col("_n") > 0)
+
+    def last(points: Column) -> Column:
+        points = F.array_sort(F.filter(points, lambda p: p["t"].isNotNull()))
+        if limit is None or limit <= 0:
+            return points
+        return F.slice(points, F.greatest(F.size(points) - limit + 1, F.lit(1)), limit)
+
+    m1 = F.from_json("_0", "array<struct<ts:string,count:bigint>>")
+    total = last(F.transform(m1, lambda x: F.struct(iso_to_epoch(x["ts"]).alias("t"), F.coalesce(x["count"], F.lit(0).cast("long")).alias("v"))))
+    m2 = F.from_json("_1", "array<struct<ts:string,type_counts:map<string,bigint>>>")
+    entries = F.flatten(F.transform(m2, lambda w: F.transform(F.map_entries(w["type_counts"]), lambda e: F.struct(
+        e["key"].alias("type"), iso_to_epoch(w["ts"]).alias("t"), e["value"].alias("v")))))
+    one = row.select("*", total.alias("_total"), F.array_sort(entries).alias("_entries"))
+    names = F.transform("_entries", lambda e: e["type"])
+    types = F.array_distinct(names)
+    by_type = F.map_from_arrays(types, F.transform(types, lambda ty, i: last(F.transform(
+        F.slice("_entries", F.array_position(names, ty).cast("int"),
+                (F.coalesce(F.array_position(names, F.get(types, i + 1)), F.size("_entries") + 1) - F.array_position(names, ty)).cast("int")),
+        lambda e: F.struct(e["t"].alias("t"), e["v"].alias("v"))))))
+    zero, none = F.lit(0).cast("long"), F.lit(0.0)
+    bot = F.from_json("_2", "struct<bot_ratio:double,bot_count:bigint,total_count:bigint>")
+    change = F.from_json("_4", "struct<content_change_ratio:double,content_changed_count:bigint,total_revision_count:bigint>")
+    top = F.transform(F.from_json("_3", "array<struct<domain:string,count:bigint>>"), lambda x: F.struct(x["domain"].alias("k"), x["count"].alias("v")))
+    return one.select(
+        F.lit(BUCKET_SEC).alias("bucketSec"), F.lit(RANGE_MIN).alias("rangeMin"),
+        (now if now is not None else F.unix_seconds(F.current_timestamp())).alias("now"),
+        F.coalesce("_total", F.array().cast("array<struct<t:bigint,v:bigint>>")).alias("total"),
+        F.coalesce(by_type, F.create_map().cast("map<string,array<struct<t:bigint,v:bigint>>>")).alias("byType"),
+        F.struct(F.lit(BOT_WINDOW_SEC).alias("windowSec"), F.coalesce(bot["total_count"], zero).alias("total"),
+                 F.coalesce(bot["bot_count"], zero).alias("bot"), F.coalesce(bot["bot_ratio"], none).alias("ratio")).alias("bot"),
+        F.coalesce(top, F.array().cast("array<struct<k:string,v:bigint>>")).alias("topWiki"),
+        F.struct(F.lit(CONTENT_WINDOW_SEC).alias("windowSec"), F.coalesce(change["total_revision_count"], zero).alias("total"),
+                 F.coalesce(change["content_changed_count"], zero).alias("changed"), F.coalesce(change["content_change_ratio"], none).alias("ratio")).alias("contentChange"))
+
+
+def document_rows(doc: DataFrame) -> DataFrame:
+    """A dashboard document as rows ``part, key, t, v, ratio``."""
+    nil, no_t, no_r = F.lit(None).cast("string"), F.lit(None).cast("long"), F.lit(None).cast("double")
+
+    def entry(part, key, t, v, ratio):
+        return F.struct(F.lit(part).alias("part"), key.alias("key"), t.alias("t"), v.cast("long").alias("v"), ratio.alias("ratio"))
+
+    def whole(part: str, names: tuple[str, str]) -> Column:
+        c = F.col(part)
+        return F.array(*[entry(part, F.lit(n), no_t, c[n], no_r) for n in names], entry(part, F.lit("ratio"), no_t, no_t, c["ratio"]))
+
+    parts = F.concat(
+        F.transform("total", lambda p: entry("total", nil, p["t"], p["v"], no_r)),
+        F.flatten(F.transform(F.map_entries("byType"), lambda e: F.transform(e["value"], lambda p: entry("byType", e["key"], p["t"], p["v"], no_r)))),
+        F.transform("topWiki", lambda p: entry("topWiki", p["k"], no_t, p["v"], no_r)),
+        whole("bot", ("total", "bot")), whole("contentChange", ("total", "changed")))
+    return doc.select(F.inline(parts))
+
+
 # --- schema-variant normaliser (SHP8) -------------------------------------------------
 
 def _st(**fields) -> StructType:
@@ -174,12 +250,13 @@ def _st(**fields) -> StructType:
 
 _L, _D, _S = LongType(), DoubleType(), StringType()
 _POINT = _st(t=_L, v=_L)
-_M1 = ArrayType(_st(ts=_S, window_start=_S, t=_S, count=_L, event_count=_L, v=_L))
+_M1 = ArrayType(_st(ts=_S, window_start=_S, t=_S, count=_S, event_count=_S, v=_S))
 _M2 = ArrayType(_st(ts=_S, type_counts=MapType(_S, _S), typeCounts=MapType(_S, _S)))
-_M3 = _st(bot_ratio=_D, ratio=_D, bot_count=_L, bot=_L, total_count=_L, total=_L, windowSec=_L)
-_M4 = ArrayType(_st(domain=_S, k=_S, count=_L, v=_L))
-_M5 = _st(content_change_ratio=_D, ratio=_D, content_changed_count=_L, changed=_L,
-          total_revision_count=_L, total=_L, windowSec=_L)
+# Counts are read as text: producers wrote 3, 3.0 and "3" (see _number).
+_M3 = _st(bot_ratio=_S, ratio=_S, bot_count=_S, bot=_S, total_count=_S, total=_S, windowSec=_S)
+_M4 = ArrayType(_st(domain=_S, k=_S, count=_S, v=_S))
+_M5 = _st(content_change_ratio=_S, ratio=_S, content_changed_count=_S, changed=_S,
+          total_revision_count=_S, total=_S, windowSec=_S)
 
 # Every field name any producer version used, in one schema.
 RAW_DASHBOARD = _st(
@@ -192,6 +269,12 @@ RAW_DASHBOARD = _st(
 )
 
 
+def _number(c: Column, kind: str = "long") -> Column:
+    """A JSON number or numeric text; null if it is neither."""
+    d = c.cast("string").try_cast("double")
+    return d if kind == "double" else d.try_cast("long")
+
+
 def _first(raw, *names):
     return F.coalesce(*[raw[n] for n in names])
 
@@ -215,10 +298,10 @@ def normalize_dashboard(df: DataFrame, col: str = "json") -> DataFrame:
     m1 = _first(r, "metric1", "events_total", "total")
     total = F.filter(F.transform(m1, lambda x: F.struct(
         iso_to_epoch(F.coalesce(x["ts"], x["window_start"], x["t"])).alias("t"),
-        F.coalesce(x["count"], x["event_count"], x["v"], F.lit(0).cast("long")).alias("v"))),
+        _number(F.coalesce(x["count"], x["event_count"], x["v"], F.lit("0"))).alias("v"))),
         lambda p: p["t"].isNotNull())
     total_pass = F.transform(r["total"], lambda x: F.struct(
-        x["t"].cast("long").alias("t"), x["v"].alias("v")))
+        _number(x["t"]).alias("t"), _number(x["v"]).alias("v")))
 
     m2 = _first(r, "metric2", "events_by_type", "byTypeWindows")
     windows = F.filter(F.transform(m2, lambda w: F.struct(
@@ -228,33 +311,36 @@ def normalize_dashboard(df: DataFrame, col: str = "json") -> DataFrame:
     entries = F.flatten(F.transform(windows, lambda w: F.transform(F.map_entries(w["c"]), lambda e: F.struct(
         e["key"].alias("type"), w["t"].alias("t"),
         F.coalesce(e["value"].cast("double").cast("long"), F.lit(0).cast("long")).alias("v")))))
+    # sorted by type, each type is one slice of the entries
+    entries = F.array_sort(entries)
     types = F.array_distinct(F.transform(entries, lambda e: e["type"]))
-    by_type = F.map_from_arrays(types, F.transform(types, lambda ty: F.array_sort(F.transform(
-        F.filter(entries, lambda e: e["type"] == ty), lambda e: F.struct(e["t"].alias("t"), e["v"].alias("v"))))))
+    names = F.transform(entries, lambda e: e["type"])
+    by_type = F.map_from_arrays(types, F.transform(types, lambda ty, i: F.transform(
+        F.slice(entries, F.array_position(names, ty).cast("int"),
+                F.coalesce(F.array_position(names, F.get(types, i + 1)), F.size(entries) + 1).cast("int") - F.array_position(names, ty).cast("int")),
+        lambda e: F.struct(e["t"].alias("t"), e["v"].alias("v")))))
 
     def obj(src, pairs):
         return F.when(src.isNotNull(), F.struct(*[
-            F.coalesce(*[src[n] for n in names], F.lit(default)).alias(out)
+            F.coalesce(*[_number(src[n], "double" if isinstance(default, float) else "long") for n in names], F.lit(default)).alias(out)
             for out, names, default in pairs]))
 
     m3 = _first(r, "metric3", "bot_ratio", "bot")
     bot = obj(m3, [("ratio", ("bot_ratio", "ratio"), 0.0), ("bot", ("bot_count", "bot"), 0),
                    ("total", ("total_count", "total"), 0), ("windowSec", ("windowSec",), NORMALIZED_WINDOW_SEC)])
-    bot_pass = F.struct(r["bot"]["ratio"].alias("ratio"), r["bot"]["bot"].alias("bot"),
-                        r["bot"]["total"].alias("total"), r["bot"]["windowSec"].alias("windowSec"))
+    bot_pass = F.struct(_number(r["bot"]["ratio"], "double").alias("ratio"), *[_number(r["bot"][n]).alias(n) for n in ("bot", "total", "windowSec")])
     m5 = _first(r, "metric5", "content_change_ratio", "contentChange")
     cc = obj(m5, [("ratio", ("content_change_ratio", "ratio"), 0.0),
                   ("changed", ("content_changed_count", "changed"), 0),
                   ("total", ("total_revision_count", "total"), 0),
                   ("windowSec", ("windowSec",), NORMALIZED_WINDOW_SEC)])
-    cc_pass = F.struct(r["contentChange"]["ratio"].alias("ratio"), r["contentChange"]["changed"].alias("changed"),
-                       r["contentChange"]["total"].alias("total"),
-                       r["contentChange"]["windowSec"].alias("windowSec"))
+    cc_pass = F.struct(_number(r["contentChange"]["ratio"], "double").alias("ratio"),
+                       *[_number(r["contentChange"][n]).alias(n) for n in ("changed", "total", "windowSec")])
     m4 = _first(r, "metric4", "top_domains", "topWiki", "top_domain")
     top = F.coalesce(F.transform(m4, lambda x: F.struct(
         F.coalesce(x["domain"], x["k"], F.lit(UNKNOWN_KEY)).alias("k"),
-        F.coalesce(x["count"], x["v"], F.lit(0).cast("long")).alias("v"))), F.array())
-    top_pass = F.transform(r["topWiki"], lambda x: F.struct(x["k"].alias("k"), x["v"].alias("v")))
+        _number(F.coalesce(x["count"], x["v"], F.lit("0"))).alias("v"))), F.array())
+    top_pass = F.transform(r["topWiki"], lambda x: F.struct(x["k"].alias("k"), _number(x["v"]).alias("v")))
 
     def pick(passthrough, built):
         return F.when(normal, passthrough).otherwise(built)

@@ -7,20 +7,27 @@ the matching oracle in :mod:`pulse.plans.oracles`.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from pulse.config import Config
 
 from pulse.functions.time import with_time_partitions
 from pulse.operators import metrics as M
 from pulse.operators import parse as P
 from pulse.operators import ranking as R
 from pulse.operators import shaping as S
-from pulse.plans.barriers import fence, materialize
-from pulse.plans.fixtures import capture_values, standard_events
+from pulse.plans.barriers import checkpoint_folder, fence, materialize
+from pulse.plans.fixtures import capture_values, consumed_records, standard_events
 from pulse.schema import STANDARD_COLUMNS
+from pulse.sources.archive import compact_archive, read_raw
 from pulse.sources.capture import frame_lines
+from pulse.sources.files import jsonl_source
+from pulse.streaming import jobs as J
 from pulse.streaming import sinks as SK
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,8 +90,13 @@ def q_latest_content_change(spark, sf_dir):
     return R.latest_row(M.content_change_ratio(_ev(spark, sf_dir)))
 
 
+def _retained_top5(spark, sf_dir):
+    # ranking is per window, so the cut to the newest windows goes first
+    return R.top_n_with_others(materialize(R.retain_latest(materialize(M.events_by_type(_ev(spark, sf_dir))))))
+
+
 def q_retained_windows(spark, sf_dir):
-    return R.retain_latest(materialize(_top5(spark, sf_dir)))
+    return _retained_top5(spark, sf_dir)
 
 
 QUERIES: dict[str, Query] = {
@@ -133,13 +145,14 @@ def q_malformed_events(spark, sf_dir):
 def q_raw_partitions(spark, sf_dir):
     """Rows per hourly archive partition (null times form the default partition)."""
     parts = with_time_partitions(_ev(spark, sf_dir).select("event_time"))
-    return parts.groupBy("year", "month", "day", "hour").agg(F.count(F.lit(1)).alias("n"))
+    out = parts.groupBy("year", "month", "day", "hour").agg(F.count(F.lit(1)).alias("n"))
+    return out.fillna(-1, ["year", "month", "day", "hour"])      # -1: the default partition
 
 
 # --- shaping ----------------------------------------------------------------------------
 
 def _series(spark, sf_dir):
-    return S.type_points(_top5(spark, sf_dir))
+    return S.type_points(_retained_top5(spark, sf_dir))
 
 
 def q_total_series_last_n(spark, sf_dir):
@@ -147,7 +160,7 @@ def q_total_series_last_n(spark, sf_dir):
 
 
 def q_by_type_series_last_n(spark, sf_dir):
-    return S.by_type_series(_top5(spark, sf_dir), SERIES_POINTS)
+    return S.by_type_series(_retained_top5(spark, sf_dir), SERIES_POINTS)
 
 
 def q_type_totals_share(spark, sf_dir):
@@ -160,7 +173,8 @@ def q_series_keys(spark, sf_dir):
 
 def q_stacked_by_type(spark, sf_dir):
     series = materialize(_series(spark, sf_dir))     # keys, cutoff and pivot passes
-    return S.stacked_by_type(series, S.series_key_list(series), SERIES_POINTS)
+    keys = S.series_key_list(series)
+    return S.stacked_long(S.stacked_by_type(series, keys, SERIES_POINTS), keys)
 
 
 def q_gauge_percent(spark, sf_dir):
@@ -179,14 +193,43 @@ def q_top_wiki(spark, sf_dir):
     return S.top_wiki(R.top_domains(materialize(M.domain_counts(_ev(spark, sf_dir)))))
 
 
+def _all_metrics(spark, sf_dir):
+    """(the five metrics with metric 2 cut and ranked, newest event time) from one pass over the events."""
+    ev = _ev(spark, sf_dir)
+    m = M.metrics_of_cube(materialize(M.base_cube(ev)))
+    top5 = materialize(R.top_n_with_others(materialize(R.retain_latest(materialize(m["m2"])))))
+    return (materialize(m["m1"]), top5, materialize(m["m3"]), materialize(m["m4"]), materialize(m["m5"])), ev.select(F.max("event_time")).scalar()
+
+
 def q_dashboard_document(spark, sf_dir):
-    # Parse once: the narrow projection the five metrics read is materialised,
-    # then every part of the document aggregates that copy.
-    ev = materialize(_ev(spark, sf_dir))
-    now = F.unix_seconds(ev.select(F.max("event_time")).scalar())
-    return S.dashboard(M.total_events(ev), R.top_n_with_others(materialize(M.events_by_type(ev))),
-                       M.bot_ratio(ev), M.domain_counts(ev), M.content_change_ratio(ev),
-                       limit=SERIES_POINTS, now=now)
+    metrics, _ = _all_metrics(spark, sf_dir)
+    return _filled(S.document_rows(S.dashboard(*metrics, limit=SERIES_POINTS, now=F.lit(0).cast("long"))))
+
+
+def _filled(rows):
+    """Document rows with -1 for a point's or value's absent numbers."""
+    return rows.fillna(-1, ["t", "v"]).fillna(-1.0, ["ratio"])
+
+
+def _store(spark, sf_dir):
+    metrics, stamp = _all_metrics(spark, sf_dir)
+    return materialize(SK.snapshot_table(*metrics, stamp))
+
+
+def _document_at(spark, sf_dir, age: int):
+    table = _store(spark, sf_dir)
+    at = F.col("updated_at") + F.make_interval(secs=F.lit(age))
+    return _filled(S.document_rows(S.dashboard_from_snapshots(SK.live_snapshots(table, at), SERIES_POINTS, F.lit(0).cast("long"))))
+
+
+def q_dashboard_from_store(spark, sf_dir):
+    """The document from the stored serving values, read as they are written."""
+    return _document_at(spark, sf_dir, 0)
+
+
+def q_dashboard_from_store_400s(spark, sf_dir):
+    """... read 400 s later: the two 300 s values have expired and give zeros."""
+    return _document_at(spark, sf_dir, SNAPSHOT_AGE_SECONDS)
 
 
 QUERIES.update({
@@ -203,6 +246,8 @@ QUERIES.update({
     "content_change_object": q_content_change_object,
     "top_wiki": q_top_wiki,
     "dashboard_document": q_dashboard_document,
+    "dashboard_from_store": q_dashboard_from_store,
+    "dashboard_from_store_400s": q_dashboard_from_store_400s,
 })
 
 
@@ -213,15 +258,15 @@ SNAPSHOT_AGE_SECONDS = 400      # snapshot_live reads the store 400 s after writ
 
 
 def q_snapshot_live(spark, sf_dir):
-    """Serving store stamped at the newest event time and read 400 s later:
-    the 300 s values (bot ratio, content change) have expired."""
-    ev = materialize(_ev(spark, sf_dir))
-    stamp = ev.select(F.max("event_time")).scalar()
-    table = SK.snapshot_table(M.total_events(ev), R.top_n_with_others(materialize(M.events_by_type(ev))),
-                              M.bot_ratio(ev), M.domain_counts(ev), M.content_change_ratio(ev), stamp)
-    live = SK.live_snapshots(table, stamp + F.make_interval(secs=F.lit(SNAPSHOT_AGE_SECONDS)))
-    entries = F.coalesce(F.json_array_length("payload"), F.size(F.json_object_keys("payload")))
-    return live.select("metric_key", "updated_at", "expires_at", entries.cast("long").alias("entries"))
+    """Every value in the store stamped at the newest event time and read 400 s
+    later: the 300 s values (bot ratio, content change) have expired."""
+    table = _store(spark, sf_dir)
+    live = SK.live_snapshots(table, F.col("updated_at") + F.make_interval(secs=F.lit(SNAPSHOT_AGE_SECONDS)))
+    kind = "array<struct<ts:string,count:bigint,domain:string,type_counts:map<string,bigint>>>"
+    rows = live.select("metric_key", "updated_at", "expires_at", F.inline(F.from_json("payload", kind)))
+    counts = F.when(F.col("type_counts").isNull(), F.create_map(F.coalesce("domain", F.lit("")), "count")).otherwise(F.col("type_counts"))
+    out = rows.select("metric_key", "updated_at", "expires_at", "ts", F.explode(counts).alias("name", "n"))
+    return out.withColumn("name", F.nullif("name", F.lit("")))
 
 
 def q_normalized_documents(spark, sf_dir):
@@ -249,6 +294,20 @@ CAPTURE_FILES = 4        # capture_framing: events spread over 4 capture files
 CAPTURE_SPLIT = 1000     # ... each cut into splits of 1000 events (bounded groups)
 
 
+def _capture_lines(events):
+    """(file, split, pos, line) of capture files that hold ``events`` (offset, value)."""
+    cut = F.length(F.substring_index("value", ",", 1)) + 1          # position of the first comma
+    lines = F.array(F.lit("event: message"), F.concat(F.lit("id: "), F.col("offset").cast("string")),
+                    F.concat(F.lit("data: "), F.substring("value", 1, cut)),
+                    F.concat(F.lit("data: "), F.expr("substring(value, length(substring_index(value, ',', 1)) + 2)")),
+                    F.lit(""))
+    per_event = events.select("offset", F.posexplode(lines).alias("i", "line"))
+    return per_event.select(
+        F.concat(F.lit("capture-"), (F.col("offset") % CAPTURE_FILES).cast("string")).alias("file"),
+        (F.col("offset") / CAPTURE_FILES / CAPTURE_SPLIT).cast("long").alias("split"),
+        (F.col("offset") * 5 + F.col("i")).alias("pos"), "line")
+
+
 def q_capture_framing(spark, sf_dir):
     """SSE framing over a capture derived from the whole table.
 
@@ -261,19 +320,13 @@ def q_capture_framing(spark, sf_dir):
     cap = capture_values(spark, sf_dir)
     damaged = cap.select("offset", F.when(F.col("offset") % CORRUPT_EVERY == 0,
                                           F.regexp_replace("value", r"\}$", "")).otherwise(F.col("value")).alias("v"))
-    cut = F.length(F.substring_index("v", ",", 1)) + 1          # position of the first comma
-    lines = F.array(F.lit("event: message"), F.concat(F.lit("id: "), F.col("offset").cast("string")),
-                    F.concat(F.lit("data: "), F.substring("v", 1, cut)),
-                    F.concat(F.lit("data: "), F.expr("substring(v, length(substring_index(v, ',', 1)) + 2)")),
-                    F.lit(""))
-    per_event = damaged.select("offset", F.posexplode(lines).alias("i", "line"))
-    located = per_event.select(
-        F.concat(F.lit("capture-"), (F.col("offset") % CAPTURE_FILES).cast("string")).alias("file"),
-        (F.col("offset") / CAPTURE_FILES / CAPTURE_SPLIT).cast("long").alias("split"),
-        (F.col("offset") * 5 + F.col("i")).alias("pos"), "line")
+    located = _capture_lines(damaged.select("offset", F.col("v").alias("value")))
     # written once, as capture files would be: framing reads it in two passes
     framed = frame_lines(materialize(located))
-    return framed.select(F.col("sse_id"), F.col("is_valid"))
+    meta = F.from_json("value", "type string, title string, revision struct<new:bigint>, meta struct<domain:string>")
+    read = framed.select("sse_id", "is_valid", F.when(F.col("is_valid"), meta).alias("e"))
+    return read.select("sse_id", "is_valid", F.col("e.type").alias("event_type"), F.col("e.title").alias("title"),
+                       F.coalesce("e.revision.new", F.lit(-1).cast("long")).alias("revision"), F.col("e.meta.domain").alias("domain"))
 
 
 QUERIES.update({
@@ -281,3 +334,56 @@ QUERIES.update({
     "snapshot_live": q_snapshot_live,
     "normalized_documents": q_normalized_documents,
 })
+
+
+# --- streams, sinks and the archive over files derived from the table -----------------
+
+
+def _run_folder(spark) -> str:
+    return f"{checkpoint_folder(spark)}/pulse-run-{uuid.uuid4().hex}"
+
+
+def _replayed(spark, sf_dir, folder: str):
+    """The consumed records as JSON lines, read back as a stream."""
+    consumed_records(spark, sf_dir).select(F.col("value").cast("string").alias("value")).write.text(f"{folder}/lines")
+    return P.parse_events(jsonl_source(spark, f"{folder}/lines", streaming=True), columns=M.METRIC_COLUMNS)
+
+
+def _stream_metric(name: str) -> Query:
+    def query(spark, sf_dir):
+        folder = _run_folder(spark)
+        layout = J.RunLayout(folder)
+        J.start_metric(_replayed(spark, sf_dir, folder), name, layout, trigger={"availableNow": True}, refresh_snapshot=False).awaitTermination()
+        return J.current_metric(spark, layout, name).select(*StructType.fromDDL(J.METRIC_SCHEMAS[name]).names)
+
+    query.__doc__ = f"{name} as an update-mode stream over JSON lines, run to completion: the current revisions."
+    return query
+
+
+def q_jsonl_roundtrip(spark, sf_dir):
+    """Every captured event cut into two ``data:`` lines, framed, written as JSON lines by
+    the sink, read back and parsed: the same windows as the direct parse."""
+    folder = _run_folder(spark)
+    framed = frame_lines(materialize(_capture_lines(capture_values(spark, sf_dir))))
+    framed.select("value").write.parquet(f"{folder}/framed")
+    stream = spark.readStream.schema("value string").parquet(f"{folder}/framed")
+    SK.jsonl_sink(stream, f"{folder}/lines", f"{folder}/checkpoint", {"availableNow": True}).awaitTermination()
+    records = P.subscribed(P.with_topic(jsonl_source(spark, f"{folder}/lines")), Config().topics)
+    return M.events_by_type(P.parse_events(records, columns=M.METRIC_COLUMNS))
+
+
+def q_archive_compacted_read(spark, sf_dir):
+    """Rows per hour of a pruned range of the raw archive, of which closed hours were
+    compacted before half of the events (late ones) arrived."""
+    folder = _run_folder(spark)
+    ev = _ev(spark, sf_dir).withColumn("late", F.pmod(F.xxhash64("event_time", "domain", "event_type"), F.lit(2)))
+    for late in (0, 1):
+        SK.write_raw(ev.where(F.col("late") == late).drop("late"), f"{folder}/raw")
+        if not late:
+            compact_archive(spark, f"{folder}/raw", f"{folder}/compacted", "2024-01-01T04:00:00Z")
+    rows = read_raw(spark, f"{folder}/raw", "2024-01-01T01:00:00Z", "2024-01-01T05:00:00Z", f"{folder}/compacted")
+    return rows.groupBy("year", "month", "day", "hour").agg(F.count(F.lit(1)).alias("n"))
+
+
+QUERIES.update({f"stream_metric_{i + 1}": _stream_metric(name) for i, name in enumerate(J.METRICS)})
+QUERIES.update({"jsonl_roundtrip": q_jsonl_roundtrip, "archive_compacted_read": q_archive_compacted_read})

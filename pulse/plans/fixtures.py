@@ -1,7 +1,7 @@
 """Edit-event messages derived from the driver's ``events`` table.
 
 The derivation (documented in FIXTURES.md §4) turns every ``events`` row into
-one JSON edit event, compresses time 360x so that 10-second windows hold
+one JSON edit event, compresses time 120x so that 10-second windows hold
 several events, routes it to a topic and keeps what a consumer subscribed to
 the two metric topics sees. Every registered query starts here, so its work
 grows with the table and goes through the real JSON parse path.
@@ -13,52 +13,33 @@ stated next to each column below and mirrored in the oracle SQL.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from pulse.config import Config, use_utc
 from pulse.sources.files import ensure_parallelism
 from pulse.operators.parse import parse_events, subscribed, topic_for
 
 T0_MICROS = 1704067200000000  # 2024-01-01T00:00:00Z
-TIME_COMPRESSION = 360
+TIME_COMPRESSION = 120
 KAFKA_PARTITIONS = 4
+# Every n-th event_id has a time without a date, no type, the type "null", no flag.
+BAD_TIME, NO_TYPE, NULL_LABEL, NO_BOT, NO_CHANGED = 101, 97, 89, 11, 13
 
 
-_SCHEMAS: dict[tuple, StructType] = {}
-
-
-def _identity(path: str):
-    """(path, mtime, size) of a local file, else None (no schema memo)."""
-    try:
-        st = os.stat(path.removeprefix("file:"))
-    except OSError:
-        return None
-    return path, st.st_mtime_ns, st.st_size
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True,
-               columns: list[str] | None = None) -> DataFrame:
-    """Read one driver table; small single-split files are spread over the
-    cluster's cores (see :func:`pulse.sources.files.ensure_parallelism`).
+def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
+    """Read one driver table, as it is split.
 
-    Like a catalog table, the schema is inferred once per file version (path,
-    modification time, size) and then given to the reader, which skips the
-    footer-reading job. ``columns`` are selected before the spread, whose
-    shuffle would otherwise keep every column alive (no scan pruning).
+    Only where the session names ``spark.pulse.minPartitions`` (the local
+    benchmark does, whose tables are one split each) is a scan of fewer splits
+    spread (see :func:`pulse.sources.files.ensure_parallelism`), after
+    ``columns`` are selected.
     """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = _identity(path)
-    known = _SCHEMAS.get(key) if key else None
-    df = (spark.read.schema(known) if known is not None else spark.read).parquet(path)
-    if key and known is None:
-        _SCHEMAS[key] = df.schema
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     if columns is not None:
         df = df.select(*columns)
-    return ensure_parallelism(df) if spread else df
+    least = spark.conf.get("spark.pulse.minPartitions", None)
+    return ensure_parallelism(df, int(least)) if least else df
 
 
 def _k() -> Column:
@@ -88,7 +69,8 @@ def _capture(spark: SparkSession, sf_dir: str) -> DataFrame:
               .otherwise(F.lit("mediawiki.revision-create")))
     page = F.concat(F.lit("Page "), _s(eid % 997))
     meta = F.struct(
-        F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("dt"),
+        F.when(eid % BAD_TIME == 0, F.lit("12:30"))
+        .otherwise(F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")).alias("dt"),
         domain.alias("domain"),
         stream.alias("stream"),
         F.concat(F.lit("https://"), domain, F.lit("/wiki/"), page).alias("uri"),
@@ -96,19 +78,20 @@ def _capture(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     event = F.struct(
         meta.alias("meta"),
-        F.concat(F.col("base_type"), F.lit("_"), _s(k % 3)).alias("type"),
+        F.when(eid % NO_TYPE == 0, F.lit(None).cast("string")).when(eid % NULL_LABEL == 0, F.lit("null"))
+        .otherwise(F.concat(F.col("base_type"), F.lit("_"), _s(k % 3))).alias("type"),
         F.concat(F.lit("w"), _s(uid % 40), F.lit("wiki")).alias("wiki"),
         page.alias("title"),
         F.col("base_type").alias("comment"),
         F.concat(F.lit("user"), _s(uid)).alias("user"),
-        (k % 4 == 0).alias("bot"),
+        F.when(eid % NO_BOT != 0, k % 4 == 0).alias("bot"),
         (k % 7 == 0).alias("minor"),
         (k % 16).cast("int").alias("namespace"),
         F.struct((eid * 2 + 1).alias("new"), (eid * 2).alias("old")).alias("revision"),
         F.struct((k + 100).alias("new"), F.lit(100).cast("long").alias("old")).alias("length"),
         (k % 2 == 0).alias("patrolled"),
         F.unix_seconds("event_time").alias("timestamp"),
-        (k % 5 != 0).alias("rev_content_changed"),
+        F.when(eid % NO_CHANGED != 0, k % 5 != 0).alias("rev_content_changed"),
     )
     return base.select(eid.alias("offset"), F.to_json(event).alias("value"),
                        F.col("event_time").alias("ingest_time"), stream.alias("stream"))

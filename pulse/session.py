@@ -12,7 +12,7 @@ from pyspark.sql import SparkSession
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, scratch: str | None = None,
-                  **conf) -> SparkSession:
+                  min_partitions: int | None = None, **conf) -> SparkSession:
     scratch = scratch or tempfile.mkdtemp(prefix="pulse-", dir=os.environ.get("PULSE_SCRATCH", "/tmp"))
     b = (
         SparkSession.builder.master(f"local[{cpus}]")
@@ -29,6 +29,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, scratch: s
         .config("spark.checkpoint.dir", f"{scratch}/checkpoints")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
+    if min_partitions:      # one-split test tables are spread over the cores (plans.fixtures.read_table)
+        b = b.config("spark.pulse.minPartitions", str(min_partitions))
     for k, v in conf.items():
         b = b.config(k.replace("__", "."), v)
     spark = b.getOrCreate()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,26 +23,49 @@ def _hour_col():
     return ((F.col("year") * 100 + F.col("month")) * 100 + F.col("day")) * 100 + F.col("hour")
 
 
+_FILE = "_metadata.file_path"
+
+
+def _compacted_runs(spark: SparkSession, compacted: str) -> tuple[int, list[str]]:
+    """Number of finished compaction runs, and the live files they cover.
+
+    File names are planning metadata, like the listing Spark itself keeps on
+    the driver; no rows are read.
+    """
+    try:
+        done = spark.read.parquet(f"{compacted}/files").select("run", "path").collect()
+    except AnalysisException:       # no run yet
+        return 0, []
+    return max((r["run"] for r in done), default=-1) + 1, [r["path"] for r in done]
+
+
+def _without(df: DataFrame, paths: list[str]) -> DataFrame:
+    """``df`` without those files; a predicate on the file name alone, so they are never opened."""
+    return df.filter(~F.col(_FILE).isin(paths)) if paths else df
+
+
 def compact_archive(spark: SparkSession, live: str, compacted: str, until) -> None:
-    """Rewrite the closed hours (before ``until``) of the streaming archive as
-    a compacted copy with few, well-sized files per hour.
-
-    The streaming sink writes one file per task and hour on every
-    micro-batch. This job reads the closed hours (partition-pruned) and
-    writes them with a ``rebalance`` hint: adaptive execution sizes the output
-    files and splits a hot hour over several tasks instead of funnelling it
-    into one. Dynamic partition overwrite makes a rerun replace the same
-    hours. The live archive is left as it is (its file-sink log stays valid);
-    :func:`read_raw` takes compacted hours from the copy and the rest from
-    the live archive.
+    """Copy the closed hours (before ``until``) of the streaming archive into few,
+    well-sized files per hour.
+
+    The streaming sink writes one file per task and hour on every micro-batch.
+    Each run reads only the live files of closed hours that no earlier run
+    covered (newly closed hours, and late rows of older ones) and writes them
+    under ``data/run=<n>`` with a ``rebalance`` hint: adaptive execution sizes
+    the output files and splits a hot hour over several tasks. The run's file
+    list, written last under ``files/run=<n>``, makes it count; a run that died
+    before that is overwritten by the next. The live archive is left as it is.
     """
-    key = _hour_key(_utc(until))
     from pulse.schema import PARTITION_COLUMNS
 
-    closed = spark.read.parquet(live).filter(_hour_col() < key)
-    (closed.hint("rebalance", *PARTITION_COLUMNS).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITION_COLUMNS).parquet(compacted))
-    spark.createDataFrame([(key,)], "until long").write.mode("overwrite").parquet(f"{compacted}/_until")
+    run, covered = _compacted_runs(spark, compacted)
+    new = _without(spark.read.parquet(live).filter(_hour_col() < _hour_key(_utc(until))), covered)
+    files = new.select(F.col(_FILE).alias("path")).distinct()
+    if files.isEmpty():
+        return
+    (new.hint("rebalance", *PARTITION_COLUMNS).write.mode("overwrite")
+     .partitionBy(*PARTITION_COLUMNS).parquet(f"{compacted}/data/run={run}"))
+    files.write.mode("overwrite").parquet(f"{compacted}/files/run={run}")
 
 
 def read_raw(spark: SparkSession, path: str, start=None, end=None, compacted: str | None = None) -> DataFrame:
@@ -52,15 +76,16 @@ def read_raw(spark: SparkSession, path: str, start=None, end=None, compacted: st
     directories outside the hours of the range are never listed or opened.
     Rows with a null event time live in the default partition and are only
     returned when no range is given. With ``compacted`` (see
-    :func:`compact_archive`) hours before its watermark are read from the
-    compacted copy, later ones from the live archive.
+    :func:`compact_archive`) the files it covers are read from the copy, all
+    others, late ones of closed hours among them, from the live archive.
     """
     df = spark.read.parquet(path)
     key = _hour_col()
     if compacted is not None:
-        until = spark.read.parquet(f"{compacted}/_until").first()[0]       # one value
-        old = spark.read.parquet(compacted).filter(key < until)
-        df = old.unionByName(df.filter((key >= until) | F.col("year").isNull()))
+        runs, covered = _compacted_runs(spark, compacted)
+        if runs:
+            old = spark.read.parquet(f"{compacted}/data").filter(F.col("run") < runs).drop("run")
+            df = old.unionByName(_without(df, covered))
     if start is not None:
         s = _utc(start)
         df = df.filter(key >= _hour_key(s)).filter(F.col("event_time") >= F.lit(s))

@@ -132,13 +132,8 @@ def metric_batch_writer(spec: MetricSpec, layout: RunLayout, refresh_snapshot: b
             batch.unpersist()
         if refresh_snapshot:
             now = F.current_timestamp()
-            row = S.snapshot_rows(spec.snapshot(cur), spec.snapshot_key, now) \
-                .withColumn("batch_id", F.lit(batch_id).cast("long"))
-            # two alternating slots per metric: the store stays two rows per
-            # key, a reader always finds one complete slot, a replay rewrites
-            # its own slot
-            row.write.mode("overwrite").parquet(
-                f"{layout.snapshots()}/metric={spec.name}/slot={batch_id % 2}")
+            row = S.snapshot_rows(spec.snapshot(cur), spec.snapshot_key, now)
+            S.write_snapshot(row, f"{layout.snapshots()}/metric={spec.name}", batch_id)
 
     return on_batch
 
@@ -234,6 +229,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--servers", default=Config.kafka_servers)
     ap.add_argument("--topics", default=",".join(Config.topics))
     ap.add_argument("--max-offsets-per-trigger", type=int, default=Config.max_offsets_per_trigger)
+    ap.add_argument("--min-partitions", type=int, default=Config.min_partitions)
     ap.add_argument("--base", default=None)
     ap.add_argument("--watermark", default=Config.watermark)
     ap.add_argument("--metrics-from-archive", action="store_true")
@@ -245,7 +241,7 @@ def main(argv: list[str] | None = None) -> None:
     if args.rocksdb_state:
         use_rocksdb_state(spark)
     cfg = Config(kafka_servers=args.servers, topics=tuple(args.topics.split(",")),
-                 max_offsets_per_trigger=args.max_offsets_per_trigger)
+                 max_offsets_per_trigger=args.max_offsets_per_trigger, min_partitions=args.min_partitions)
     layout = RunLayout(args.base) if args.base else default_layout(spark)
     events = parse_events(kafka_source(spark, cfg))
     run_all(events, layout, args.watermark, metrics_from_archive=args.metrics_from_archive)
@@ -267,7 +263,7 @@ def capture_producer(spark: SparkSession, captures: str, out: str, checkpoint: s
     ``<out>/batch_id=<n>/topic=<topic>`` (overwrite per batch id, so a replay
     rewrites its own output) or, with ``kafka_servers``, to Kafka.
     """
-    from pulse.operators.parse import with_topic
+    from pulse.operators.parse import one_line, with_topic
     from pulse.sources.capture import frame_lines, valid_events
 
     reader = spark.readStream.format("text")
@@ -286,7 +282,7 @@ def capture_producer(spark: SparkSession, captures: str, out: str, checkpoint: s
                 for_kafka = for_kafka.option(k, v)
             for_kafka.save()
         else:
-            (routed.select(F.col("value").cast("string").alias("value"), "topic")
+            (routed.select(one_line("value").alias("value"), "topic")
              .write.mode("overwrite").partitionBy("topic").text(f"{out}/batch_id={batch_id}"))
 
     w = lines.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)

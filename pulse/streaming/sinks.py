@@ -28,7 +28,7 @@ from pulse.config import (
 )
 from pulse.functions.time import iso_text, with_time_partitions
 from pulse.operators import ranking as R
-from pulse.operators.parse import valid_json
+from pulse.operators.parse import one_line, valid_json
 from pulse.schema import PARTITION_COLUMNS
 
 # --- raw archive (SINK1) -----------------------------------------------------------
@@ -158,8 +158,10 @@ def type_series_snapshot(m2_top: DataFrame, retained: int = RETAINED_WINDOWS,
                          type_col: str = "final_type") -> DataFrame:
     """Metric 2 serving value: ``[{ts,type_counts:{type:n}}]`` newest first."""
     kept = R.retain_latest(m2_top, retained)
-    per_window = kept.groupBy("window_start").agg(F.map_from_entries(F.collect_list(F.struct(
-        F.coalesce(F.col(type_col), F.lit("null")), F.col("cnt")))).alias("type_counts"))
+    # a null type and a type named "null" are one label: summed before the map is built
+    labelled = kept.groupBy("window_start", F.coalesce(F.col(type_col), F.lit("null")).alias("_type")).agg(F.sum("cnt").alias("_cnt"))
+    per_window = labelled.groupBy("window_start").agg(
+        F.map_from_entries(F.collect_list(F.struct("_type", "_cnt"))).alias("type_counts"))
     return per_window.agg(_newest_first(per_window, {"ts": iso_text("window_start"),
                                                      "type_counts": F.col("type_counts")}).alias("payload"))
 
@@ -204,6 +206,23 @@ def snapshot_table(m1: DataFrame, m2_top: DataFrame, m3: DataFrame, m4: DataFram
     return out
 
 
+def write_snapshot(row: DataFrame, path: str, batch_id: int) -> None:
+    """Write one metric's snapshot row to the slot that does not hold its newest
+    version, so a reader always finds one complete slot. A replayed batch
+    rewrites the slot it wrote before."""
+    spark = row.sparkSession
+    held: dict[int, int] = {}
+    for slot in (0, 1):
+        try:
+            v = spark.read.parquet(f"{path}/slot={slot}").agg(F.max("batch_id")).first()[0]
+        except AnalysisException:       # slot not written yet
+            v = None
+        held[slot] = -1 if v is None else v
+    same = [s for s in held if held[s] == batch_id]
+    target = same[0] if same else min(held, key=lambda s: (held[s], s))
+    row.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite").parquet(f"{path}/slot={target}")
+
+
 def live_snapshots(snapshots: DataFrame, now: Column) -> DataFrame:
     """The store's view at ``now``: unexpired rows, newest per key."""
     alive = snapshots.filter(F.col("expires_at") > now)
@@ -214,9 +233,9 @@ def live_snapshots(snapshots: DataFrame, now: Column) -> DataFrame:
 
 
 def jsonl_sink(records: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """Append every well-formed record's JSON text as one line (malformed
+    """Append every well-formed record's JSON text as one line, whatever line breaks it had (malformed
     records are skipped instead of stopping the archive)."""
-    lines = valid_json(records).select(F.col("value").cast("string").alias("value"))
+    lines = valid_json(records).select(one_line("value").alias("value"))
     w = lines.writeStream.format("text").outputMode("append").option("path", path) \
         .option("checkpointLocation", checkpoint)
     return (w.trigger(**trigger) if trigger else w).start()
@@ -231,7 +250,7 @@ def kafka_sink_options(servers: str, producer_options: dict | None = None) -> di
 
 def kafka_frame(records: DataFrame) -> DataFrame:
     """Column contract of the Kafka writer: ``topic``, ``value`` (no key)."""
-    return records.select("topic", F.col("value").cast("binary").alias("value"))
+    return records.select("topic", one_line("value").cast("binary").alias("value"))
 
 
 def kafka_sink(records: DataFrame, servers: str, checkpoint: str,

@@ -36,7 +36,7 @@ def _norm(v):
 
     if v is None or (isinstance(v, float) and math.isnan(v)):
         return None
-    if v is pd.NaT:
+    if v is pd.NaT or v is pd.NA:
         return None
     if isinstance(v, (pd.Timestamp, dt.datetime)):
         ts = pd.Timestamp(v)
@@ -80,8 +80,12 @@ def compare(spark, sf_dir: str, names=None):
     results = {}
     for name in names or qs:
         t = time.time()
-        frame = qs[name](spark, sf_dir)
-        sdf = frame.toPandas()
+        try:
+            frame = qs[name](spark, sf_dir)
+            sdf = frame.toPandas()
+        except Exception as e:      # report the query and go on
+            results[name] = (f"ERROR {str(e)[:300]}", 0, time.time() - t)
+            continue
         ts = time.time() - t
         if name not in oracles:
             results[name] = ("no-oracle", len(sdf), ts)

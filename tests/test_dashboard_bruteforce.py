@@ -1,4 +1,4 @@
-"""``dashboard_document`` (no SQL oracle) against a brute-force build.
+"""The dashboard document against a brute-force build, besides its SQL oracle.
 
 The expected document is assembled in plain Python, following the original
 API's shaping rules, from metric tables that DuckDB computes over the same
@@ -8,9 +8,11 @@ small fixture (sf0.001); the Spark document must equal it field by field.
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from oracle_check import duck
-from pulse.plans.catalog import SERIES_POINTS
+from pulse.operators import shaping as S
+from pulse.plans.catalog import SERIES_POINTS, _all_metrics
 from pulse.plans.oracles import M1, M2, M2_TOP, M3, M4, M5, _with
 
 SF = "/root/testdata/sf0.001"
@@ -32,8 +34,9 @@ def expected_document(sf_dir, limit):
     # byType: per type, points ascending, last `limit` each
     by_type = {}
     for w, typ, n in rows("SELECT window_start, final_type, cnt FROM top5"):
-        by_type.setdefault("null" if typ is None else typ, []).append({"t": _epoch(w), "v": n})
-    by_type = {k: sorted(v, key=lambda p: p["t"])[-limit:] for k, v in by_type.items()}
+        points = by_type.setdefault("null" if typ is None else typ, {})
+        points[_epoch(w)] = points.get(_epoch(w), 0) + n
+    by_type = {k: [{"t": t, "v": v[t]} for t in sorted(v)[-limit:]] for k, v in by_type.items()}
     # bot / contentChange: newest window, zero defaults
     b = rows("SELECT total_count, bot_count, bot_ratio FROM m3 ORDER BY window_start DESC LIMIT 1")
     bot = {"windowSec": 60, "total": 0, "bot": 0, "ratio": 0.0}
@@ -55,9 +58,8 @@ def expected_document(sf_dir, limit):
 
 @pytest.mark.parametrize("sf", [SF])
 def test_dashboard_equals_bruteforce(spark, sf):
-    import __spark_entry__ as E
-
-    got = E.queries()["dashboard_document"](spark, sf).collect()
+    metrics, newest = _all_metrics(spark, sf)
+    got = S.dashboard(*metrics, limit=SERIES_POINTS, now=F.unix_seconds(newest)).collect()
     assert len(got) == 1
     doc = got[0].asDict(recursive=True)
     want = expected_document(sf, SERIES_POINTS)

@@ -368,9 +368,10 @@ def test_compact_archive(spark, tmp_path):
     assert both.count() == before == events.count()
     assert read_raw(spark, live, "2024-01-01T00:30:00Z", "2024-01-01T01:30:00Z", compacted=comp).count() == \
         read_raw(spark, live, "2024-01-01T00:30:00Z", "2024-01-01T01:30:00Z").count()
-    hour0 = [f for f in os.listdir(f"{comp}/year=2024/month=1/day=1/hour=0") if f.endswith(".parquet")]
+    hour0 = [f for f in os.listdir(f"{comp}/data/run=0/year=2024/month=1/day=1/hour=0") if f.endswith(".parquet")]
     live0 = [f for f in os.listdir(f"{live}/year=2024/month=1/day=1/hour=0") if f.endswith(".parquet")]
     assert 0 < len(hour0) < len(live0)
-    assert not os.path.exists(f"{comp}/year=2024/month=1/day=1/hour=1")   # open hour stays live
+    assert not os.path.exists(f"{comp}/data/run=0/year=2024/month=1/day=1/hour=1")   # open hour stays live
     compact_archive(spark, live, comp, "2024-01-01T01:00:00Z")          # rerun: same result
     assert read_raw(spark, live, compacted=comp).count() == before
+    assert not os.path.exists(f"{comp}/data/run=1")         # nothing new, nothing rewritten
