@@ -16,7 +16,7 @@ region. Two facts keep the regions local and the join exact:
 Documents linked to one pivot are connected, so a region's members are never
 paired among each other. Cells that hold members of several components recurse:
 what is left meets the pivots of what is left, and after ``levels`` rounds the
-remaining pairs of different components that pass the size, position and
+remaining pairs of different components that pass the size, position, count and
 triangle windows are compared exactly. No pair of linked documents is lost.
 """
 
@@ -163,16 +163,26 @@ def _texts_of(docs: DataFrame, reps: DataFrame) -> DataFrame:
     return found.select("_key", "node", "text").dropDuplicates(["_key"]).select("node", "text")
 
 
-def _compare(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+def _least_shared(nx, ny):
+    """Of a linked pair's shared shingles, those that lie among the first ones of
+    both: all but what can lie behind the end of either's first ones."""
+    def behind(n):
+        return F.floor((4 * n + 4) / 5) - 1
+
+    return F.ceil(4 * (nx + ny) / 9) - F.greatest(behind(nx), behind(ny))
+
+
+def _compare(pairs: DataFrame, docs: DataFrame, reps: DataFrame, size: int) -> DataFrame:
     """(center, node, shared, n_center, n_node): exact intersections of each node's set with its center's.
 
-    Nodes travel to their center once; a center with many nodes is copied into
+    Only the texts of these nodes are read. They travel to their center once; a center with many nodes is copied into
     several groups. Groups arrive sorted, center first, and are read as a stream.
     """
     counts = pairs.groupBy("center").agg(F.floor(F.count(F.lit(1)) / REGION_ROWS).cast("int").alias("last"))
     to = pairs.join(counts, "center").select("center", F.pmod(F.xxhash64("node"), F.col("last") + 1).cast("int").alias("group"), "node", F.lit(1).alias("kind"))
     own = counts.select("center", F.explode(F.sequence(F.lit(0), "last")).alias("group"), F.col("center").alias("node"), F.lit(0).alias("kind"))
-    rows = to.union(own).join(texts, "node").repartition("center", "group").sortWithinPartitions("center", "group", "kind")
+    wanted = stash(reps.join(pairs.select("node").union(pairs.select("center")).distinct(), "node"))
+    rows = to.union(own).join(_texts_of(docs, wanted), "node").repartition("center", "group").sortWithinPartitions("center", "group", "kind")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, center = None, None
@@ -218,21 +228,12 @@ def similar_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     heavy = np.minimum(63, 1 + counts[ranked] // CELL_ROWS)      # by rank, as tokens carry it
     features = features.where("not tally")
 
-    # Of a linked pair the smaller set has the first shared shingle in its first ninth, so a cell
-    # matters to a document if another one, or it itself and any other, is there with such a place.
     cell = Window.partitionBy("token", "part")
     rows = _unpacked(cells(docs, order, heavy, size).repartition("token", F.shiftright("info", 56).bitwiseAND(F.lit(63).cast("long"))))
-    early = F.col("pos") * 9 <= F.col("n")
-    first = F.when(early, F.col("node"))
-    other = (F.min(first).over(cell) != F.col("node")) | (F.max(first).over(cell) != F.col("node"))
-    anyone = (F.min("node").over(cell) != F.col("node")) | (F.max("node").over(cell) != F.col("node"))
-    rows = rows.select("*", F.min(F.struct("pos", "n", "node")).over(cell).alias("pivot"), other.alias("other"), (early & anyone).alias("mine"))
-    kept = stash(rows.where(F.coalesce("other", F.lit(False)) | F.col("mine") | F.col("split")).drop("other", "mine"))
-
-    involved = kept.select("node").distinct()
-    reps = features.where(F.col("node").isNotNull()).groupBy("node").agg(F.min(F.struct("digest", "id")).alias("rep"))
-    reps = reps.join(involved, "node").select("node", F.col("rep.digest").alias("_digest"), F.col("rep.id").alias("_id"))
-    texts = stash(_texts_of(docs, stash(reps)))
+    rows = rows.select("*", F.min(F.struct("pos", "n", "node")).over(cell).alias("pivot"), (F.min("node").over(cell) != F.max("node").over(cell)).alias("shared"))
+    kept = stash(rows.where(F.col("shared") | F.col("split")).drop("shared"))
+    reps = stash(features.where(F.col("node").isNotNull()).groupBy("node").agg(F.min(F.struct("digest", "id")).alias("rep"))
+                 .select("node", F.col("rep.digest").alias("_digest"), F.col("rep.id").alias("_id")))
 
     links, known = None, None
     entries = kept.select("token", "node", "n", "pos", F.col("node").alias("label"), "pivot")
@@ -244,11 +245,13 @@ def similar_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
             entries = entries.join(pivots, "token")
         px = F.col("pivot")
         met = entries.where((F.col("node") != px["node"]) & _may_link(F.col("n"), px["n"], F.col("pos"), px["pos"]))
-        met = met.groupBy("node", px["node"].alias("center")).agg(F.count(F.lit(1)).alias("cells"))
+        met = met.groupBy("node", "n", px["node"].alias("center"), px["n"].alias("m")).agg(F.count(F.lit(1)).alias("cells"))
+        # Only cells of this pivot are counted, so a quarter of what a link needs is asked for; the rest is met below.
+        met = met.where(4 * F.col("cells") >= _least_shared(F.col("n"), F.col("m")))
         nearest = met.groupBy("node").agg(F.max(F.struct("cells", "center")).alias("m")).select("node", F.col("m.center").alias("center"))
         if known is not None:
             nearest = nearest.join(known.select("node", "center"), ["node", "center"], "left_anti")
-        found = stash(_compare(stash(nearest), texts, size))
+        found = stash(_compare(stash(nearest), docs, reps, size))
         known = found if known is None else stash(known.union(found))
         links = stash(_linked(known))
 
@@ -262,8 +265,12 @@ def similar_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     window = F.coalesce((F.col("p_x") != F.col("p_y")) | (F.abs(F.col("d_x") - F.col("d_y")) <= 0.2 + 1e-9), F.lit(True))
     pairs = x.join(y, (x["token_x"] == y["token_y"]) & (x["node_x"] < y["node_y"]) & (x["label_x"] != y["label_y"])
                    & _may_link(x["n_x"], y["n_y"], x["pos_x"], y["pos_y"]) & window)
-    pairs = stash(pairs.select(F.col("node_x").alias("center"), F.col("node_y").alias("node")).distinct())
-    links = links.union(_linked(_compare(pairs, texts, size)))
+    pairs = stash(pairs.select(F.col("node_x").alias("center"), F.col("n_x").alias("m"), F.col("node_y").alias("node"), F.col("n_y").alias("n")).distinct())
+    # How many of their first shingles they share, against what a link needs.
+    here = kept.select("token", "node").distinct()
+    both = pairs.join(here.select("token", F.col("node").alias("center")), "center").join(here, ["token", "node"])
+    enough = both.groupBy("center", "node", "m", "n").agg(F.count(F.lit(1)).alias("cells")).where(F.col("cells") >= _least_shared(F.col("n"), F.col("m")))
+    links = links.union(_linked(_compare(stash(enough.select("center", "node")), docs, reps, size)))
 
     labels = components(links)
     f = features.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
