@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulse.llm import hashing as H
+from pulse.llm.common import stash
 
 FEATURE_BITS = 20
 MASK = (1 << FEATURE_BITS) - 1
@@ -77,6 +78,13 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(x, -60, 60)))
 
 
+def telling(in_p: np.ndarray, in_u: np.ndarray, n_p: int, n_u: int) -> np.ndarray:
+    """Whether a feature's share of the positives differs from its share of the unlabelled by ``MIN_Z`` standard errors."""
+    rate = (in_p + in_u + 1) / (n_p + n_u + 2)
+    z = (in_p / n_p - in_u / n_u) / np.sqrt(rate * (1 - rate) * (1 / n_p + 1 / n_u))
+    return (np.abs(z) >= MIN_Z) & ((in_p >= MIN_POSITIVES) | (z < 0))
+
+
 def fit(index: np.ndarray, value: np.ndarray, begin: np.ndarray, positive: np.ndarray, prior: float, epochs: int = EPOCHS, rate: float = RATE) -> np.ndarray:
     """Weights (features, then the bias) by full-batch Adam on the non-negative risk.
 
@@ -89,11 +97,7 @@ def fit(index: np.ndarray, value: np.ndarray, begin: np.ndarray, positive: np.nd
     if not n_p or not n_u:
         return weights
     row = np.repeat(np.arange(len(positive)), np.diff(begin))
-    in_p = np.bincount(index[positive[row]], minlength=size)
-    in_u = np.bincount(index[~positive[row]], minlength=size)
-    rate_p, rate_u, rate_all = in_p / n_p, in_u / n_u, (in_p + in_u + 1) / (n_p + n_u + 2)
-    z = (rate_p - rate_u) / np.sqrt(rate_all * (1 - rate_all) * (1 / n_p + 1 / n_u))
-    used = (np.abs(z) >= MIN_Z) & ((in_p >= MIN_POSITIVES) | (z < 0))
+    used = telling(np.bincount(index[positive[row]], minlength=size), np.bincount(index[~positive[row]], minlength=size), n_p, n_u)
     mine = used[index]
     index, value, row = index[mine], value[mine], row[mine]
     begin = np.searchsorted(row, np.arange(len(positive) + 1))
@@ -115,14 +119,20 @@ def fit(index: np.ndarray, value: np.ndarray, begin: np.ndarray, positive: np.nd
     return weights
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for i in range(0, b.num_rows, rows):
+            yield b.slice(i, rows)
+
+
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
           max_positive: int = MAX_POSITIVE, max_unlabelled: int = MAX_UNLABELLED) -> np.ndarray:
     """Weights learned from at most ``max_positive`` rows with label 1 and
     ``max_unlabelled`` rows of any kind, the least by a hash of their id.
 
     The class prior is the share of label 1 among all of ``labels`` (kept within
-    0.001 and 0.5). The sample's ids are found first, on narrow columns; then its
-    rows become feature indices on the executors, and only those reach the driver.
+    0.001 and 0.5). The sample's ids are found first, on narrow columns; features
+    are counted and chosen on the executors, and only the chosen ones' values reach the driver.
     """
     by_hash = F.xxhash64("id")
     l = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(label_col).alias("y"))
@@ -132,19 +142,42 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     u = docs.select(F.col(id_col).alias("id")).where(F.col("id").isNotNull()).orderBy(by_hash, "id").limit(max_unlabelled).withColumn("positive", F.lit(False))
     chosen = p.union(u.distinct())
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for i in range(0, b.num_rows, 512):
-                part = b.slice(i, 512)
-                index, value, begin = features(part.column("text"))
-                index, value = index.astype(np.int32), value.astype(np.float32)
-                spans = list(zip(begin[:-1], begin[1:]))
-                yield pa.record_batch([part.column("positive"), pa.array([index[a:z].tobytes() for a, z in spans], pa.binary()),
-                                       pa.array([value[a:z].tobytes() for a, z in spans], pa.binary())], ["positive", "index", "value"])
-
     # Two narrow columns of at most max_positive + max_unlabelled rows: a proven bound for the broadcast.
-    sample = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id")
-    rows = sample.select("positive", "text").mapInArrow(run, "positive boolean, index binary, value binary").collect()
+    sample = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id").select("positive", "text")
+    sample = stash(sample)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = np.zeros((2, 1 << FEATURE_BITS), np.int32)
+        for part in _slices(batches):
+            index, _, begin = features(part.column("text"))
+            of = np.repeat(part.column("positive").to_numpy(zero_copy_only=False).astype(np.int64), np.diff(begin))
+            found += np.bincount((of << FEATURE_BITS) | index, minlength=2 << FEATURE_BITS).reshape(2, -1).astype(np.int32)
+        some = np.flatnonzero(found.sum(0))
+        yield pa.record_batch([pa.array(some), pa.array(found[1, some].astype(np.int64)), pa.array(found[0, some].astype(np.int64))], ["feature", "in_p", "in_u"])
+
+    n = {r["positive"]: r["n"] for r in sample.groupBy("positive").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if len(n) < 2:
+        return np.zeros((1 << FEATURE_BITS) + 1)
+    sums = sample.mapInArrow(count, "feature long, in_p long, in_u long").groupBy("feature").agg(F.sum("in_p").alias("in_p"), F.sum("in_u").alias("in_u"))
+    # A loose form of the test below, so that only the features that may pass it reach the driver.
+    rate = (F.col("in_p") + F.col("in_u")) / (n[True] + n[False] + 2)
+    apart = F.abs(F.col("in_p") / n[True] - F.col("in_u") / n[False]) >= 0.9 * MIN_Z * F.sqrt(rate * (1 - rate) * (1 / n[True] + 1 / n[False]))
+    top = sums.where(apart).toPandas()
+    mask = np.zeros(1 << FEATURE_BITS, bool)
+    mask[top["feature"][telling(top["in_p"].to_numpy(), top["in_u"].to_numpy(), n[True], n[False])].to_numpy(np.int64)] = True
+    kept = np.flatnonzero(mask)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        used = np.zeros(1 << FEATURE_BITS, bool)
+        used[kept] = True
+        for part in _slices(batches):
+            index, value, begin = features(part.column("text"), used)
+            index, value = index.astype(np.int32), value.astype(np.float32)
+            spans = list(zip(begin[:-1], begin[1:]))
+            yield pa.record_batch([part.column("positive"), pa.array([index[a:z].tobytes() for a, z in spans], pa.binary()),
+                                   pa.array([value[a:z].tobytes() for a, z in spans], pa.binary())], ["positive", "index", "value"])
+
+    rows = sample.mapInArrow(run, "positive boolean, index binary, value binary").collect()
     index = np.frombuffer(b"".join(r["index"] for r in rows), np.int32).astype(np.int64)
     value = np.frombuffer(b"".join(r["value"] for r in rows), np.float32).astype(np.float64)
     begin = np.concatenate([[0], np.cumsum([len(r["index"]) // 4 for r in rows])]).astype(np.int64)
@@ -165,10 +198,8 @@ def score(docs: DataFrame, weights: np.ndarray, keep: list[str], text_col: str =
         dense = np.zeros((1 << FEATURE_BITS) + 1)
         dense[known[0]] = known[1]
         used = dense != 0
-        for b in batches:
-            for i in range(0, b.num_rows, 512):
-                part = b.slice(i, 512)
-                index, value, begin = features(part.column("_text"), used)
-                yield pa.record_batch([*[part.column(c) for c in keep], pa.array(sigmoid(margins(dense, index, value, begin)))], [*keep, "score"])
+        for part in _slices(batches):
+            index, value, begin = features(part.column("_text"), used)
+            yield pa.record_batch([*[part.column(c) for c in keep], pa.array(sigmoid(margins(dense, index, value, begin)))], [*keep, "score"])
 
     return docs.select(*keep, F.col(text_col).alias("_text")).mapInArrow(run, schema)
