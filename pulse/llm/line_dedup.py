@@ -5,8 +5,8 @@ get a 64-bit SimHash. Two lines link when their SimHashes differ in at most 3
 bits and their edit similarity is at least 0.8. The 64 bits are cut into five
 blocks; of five blocks three differing bits leave two intact, so lines that link
 meet in one of the ten pairs of blocks. Equal lines are one line from the start,
-and where many variants share a pair of blocks, each first meets the bucket's
-most frequent line: variants linked to it are connected and never paired among
+and where more than a few variants share a pair of blocks, each first meets the
+bucket's most frequent line: variants linked to it are connected and never paired among
 each other. Of every connected group one occurrence stays, the first by
 document and position.
 """
@@ -18,7 +18,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulse.llm import hashing as H
@@ -28,6 +28,8 @@ from pulse.llm.toxicity import PLAIN
 
 MAX_BITS, MIN_SIMILARITY = 3, 0.8
 MIN_WORDS = 5                                       # shorter lines stay as they are
+SMALL = 8                                           # lines of a bucket that are compared as they stand
+FILTER_BITS = 25
 BLOCKS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
 
 
@@ -90,14 +92,18 @@ def line_table(docs: DataFrame, min_words: int) -> DataFrame:
     return docs.select("id", "digest", "text").mapInArrow(run, "id long, digest long, pos int, key long, simhash long, n int")
 
 
-def line_texts(docs: DataFrame, min_words: int) -> DataFrame:
-    """(key, line): the normalised text of every line of ``min_words`` words or more."""
+def line_texts(docs: DataFrame, min_words: int, bits: np.ndarray) -> DataFrame:
+    """(key, line): the normalised text of every line of ``min_words`` words or
+    more whose bit is set; the caller's join decides."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _slices(batches):
             raw, offsets = H.text_bytes(b.column("text"))
             starts, ends, _, _, words, first = _line_rows(raw, offsets)
-            long = np.flatnonzero(np.diff(first) >= min_words)
-            keys = _keys(words, first)[long]
+            keys = _keys(words, first)
+            at = (keys & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)
+            set_ = (bits[at >> 5] >> (at & 31).astype(np.uint32)) & 1 == 1
+            long = np.flatnonzero((np.diff(first) >= min_words) & set_)
+            keys = keys[long]
             plain = H.LOWER[np.where(PLAIN[raw], raw, np.uint8(0x20))].tobytes()
             texts = [" ".join(plain[s:e].decode("utf-8", "replace").split()) for s, e in zip(starts[long], ends[long])]
             yield pa.record_batch([pa.array(keys.view(np.int64)), pa.array(texts, pa.string())], ["key", "line"])
@@ -147,14 +153,37 @@ def _near(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
 
 
 def _buckets(lines: DataFrame) -> DataFrame:
-    """Every line in the bucket of each pair of blocks: ``which`` and the blocks' bits."""
+    """Every line in the bucket of each pair of blocks: which pair, and the blocks' bits."""
     def bits(i: int) -> Column:
         start, width = BLOCKS[i]
         return F.shiftrightunsigned("simhash", start).bitwiseAND(F.lit((1 << width) - 1).cast("long"))
 
-    pairs = [F.struct(F.lit(k).alias("which"), (F.shiftleft(bits(i), 13) + bits(j)).alias("bits")) for k, (i, j) in enumerate(combinations(range(5), 2))]
-    b = lines.select("*", F.explode_outer(F.array(*pairs)).alias("_b"))
-    return b.select("*", "_b.which", "_b.bits").drop("_b")
+    pairs = [F.shiftleft(F.lit(k).cast("long"), 26).bitwiseOR(F.shiftleft(bits(i), 13)).bitwiseOR(bits(j)) for k, (i, j) in enumerate(combinations(range(5), 2))]
+    return lines.select("key", "simhash", "times", F.explode_outer(F.array(*pairs)).alias("bucket"))
+
+
+def _met(buckets: DataFrame) -> DataFrame:
+    """(bucket, key, simhash, pivot, _s, large, near) of the lines that may link in a bucket.
+
+    In buckets of up to ``SMALL`` lines ``near`` has the close lines that follow,
+    so lines that met by chance are gone. One pass over the sorted buckets.
+    """
+    w = Window.partitionBy("bucket").orderBy(F.col("times").desc(), "key")
+    ahead = [(F.lead("key", k).over(w), F.lead("simhash", k).over(w)) for k in range(1, SMALL)]
+    near = F.filter(F.array(*[F.when(_close(F.col("simhash"), s), key) for key, s in ahead]), lambda x: x.isNotNull())
+    large = F.count(F.lit(1)).over(Window.partitionBy("bucket")) > SMALL
+    m = buckets.select("bucket", "key", "simhash", F.first("key").over(w).alias("pivot"), F.first("simhash").over(w).alias("_s"), large.alias("large"), near.alias("near"))
+    return m.where(F.col("large") | (F.size("near") > 0))
+
+
+def _bit_table(keys: DataFrame) -> np.ndarray:
+    """A bit for each residue of the wanted keys, 2**25 of them whatever their number."""
+    at = F.pmod("key", F.lit(1 << FILTER_BITS))
+    filled = keys.groupBy(F.shiftright(at, 5).alias("word")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), at.bitwiseAND(F.lit(31).cast("long")).cast("int"))).alias("bits")).toPandas()
+    bits = np.zeros(1 << (FILTER_BITS - 5), np.uint32)
+    bits[filled["word"].to_numpy(np.int64)] = filled["bits"].to_numpy(np.int64).astype(np.uint32)
+    return bits
 
 
 def _close(x: Column, y: Column) -> Column:
@@ -178,16 +207,17 @@ def duplicate_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     first = F.min(F.struct("id", "digest", "pos"))
     distinct = stash(body.groupBy("key").agg(F.first("simhash").alias("simhash"), F.count(F.lit(1)).alias("times")))
 
-    # Each variant with its bucket's most frequent line; then pairs across what that connects.
-    buckets = _buckets(distinct)
-    pivots = buckets.groupBy("which", "bits").agg(F.max(F.struct("times", "key", "simhash")).alias("p"), F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-    met = stash(buckets.join(pivots, ["which", "bits"]).select("which", "bits", "key", "simhash", F.col("p.key").alias("pivot"), F.col("p.simhash").alias("_s")))
+    # Small buckets give their close pairs at once. In larger ones each variant first meets the most
+    # frequent one; then pairs across what that connects.
+    met = stash(_met(_buckets(distinct)))
+    small = met.where(~F.col("large")).select(F.col("key").alias("a"), F.explode("near").alias("b"))
+    met = met.where("large").drop("near")
     star = met.where((F.col("key") != F.col("pivot")) & _close(F.col("simhash"), F.col("_s"))).select(F.col("key").alias("a"), F.col("pivot").alias("b"))
-    star = stash(star.distinct())
+    star = stash(star.union(small).distinct())
     pairs = stash(star.union(_across(met, star)).distinct())
 
     involved = stash(pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key"))).distinct())
-    texts = stash(line_texts(docs, min_words).join(involved, "key").dropDuplicates(["key"]))
+    texts = stash(line_texts(docs, min_words, _bit_table(involved)).join(involved, "key").dropDuplicates(["key"]))
     links = stash(_near(pairs, texts, least))
     # Close variants that an unverified pair connected may still link directly.
     again = _across(met.join(involved, "key"), links).distinct().join(pairs, ["a", "b"], "left_anti")
@@ -207,13 +237,12 @@ def duplicate_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def _across(met: DataFrame, links: DataFrame) -> DataFrame:
     """Close pairs (a, b) that share a bucket but no component of ``links``."""
     labels = components(links).withColumnRenamed("node", "key")
-    m = met.join(labels, "key", "left").select("which", "bits", "key", "simhash", F.coalesce("label", "key").alias("label"))
-    several = m.groupBy("which", "bits").agg(F.min("label").alias("low"), F.max("label").alias("high")).where(F.col("low") != F.col("high"))
-    m = stash(m.join(several.select("which", "bits"), ["which", "bits"]))
-    x = m.select("which", "bits", F.col("key").alias("a"), F.col("simhash").alias("_x"), F.col("label").alias("_l"))
-    y = m.select("which", "bits", F.col("key").alias("b"), F.col("simhash").alias("_y"), F.col("label").alias("_m"))
-    same = (x["which"] == y["which"]) & (x["bits"] == y["bits"])
-    return x.join(y, same & (F.col("a") < F.col("b")) & (F.col("_l") != F.col("_m")) & _close(F.col("_x"), F.col("_y"))).select("a", "b")
+    m = met.join(labels, "key", "left").select("bucket", "key", "simhash", F.coalesce("label", "key").alias("label"))
+    several = m.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where(F.col("low") != F.col("high"))
+    m = stash(m.join(several.select("bucket"), "bucket"))
+    x = m.select("bucket", F.col("key").alias("a"), F.col("simhash").alias("_x"), F.col("label").alias("_l"))
+    y = m.select("bucket", F.col("key").alias("b"), F.col("simhash").alias("_y"), F.col("label").alias("_m"))
+    return x.join(y, (x["bucket"] == y["bucket"]) & (F.col("a") < F.col("b")) & (F.col("_l") != F.col("_m")) & _close(F.col("_x"), F.col("_y"))).select("a", "b")
 
 
 def without_lines(df: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -474,7 +474,9 @@ def plain_lines(text):
     return out
 
 
-def test_line_dedup_by_brute_force(spark):
+@pytest.mark.parametrize("small", [2, 8])
+def test_line_dedup_by_brute_force(spark, monkeypatch, small):
+    monkeypatch.setattr(line_dedup, "SMALL", small)     # larger buckets go through their most frequent line
     import pyarrow as pa
     rng = random.Random(11)
     bases = [words(rng.randrange(5, 60), rng, 10**6) for _ in range(12)]
