@@ -231,7 +231,9 @@ def similar_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     cell = Window.partitionBy("token", "part")
     rows = _unpacked(cells(docs, order, heavy, size).repartition("token", F.shiftright("info", 56).bitwiseAND(F.lit(63).cast("long"))))
     rows = rows.select("*", F.min(F.struct("pos", "n", "node")).over(cell).alias("pivot"), (F.min("node").over(cell) != F.max("node").over(cell)).alias("shared"))
-    kept = stash(rows.where(F.col("shared") | F.col("split")).drop("shared"))
+    again = F.lag("node").over(cell.orderBy("node")) == F.col("node")      # an equal set from another task
+    rows = rows.withColumn("again", F.coalesce(again, F.lit(False)))
+    kept = stash(rows.where((F.col("shared") | F.col("split")) & ~F.col("again")).drop("shared", "again"))
     reps = stash(features.where(F.col("node").isNotNull()).groupBy("node").agg(F.min(F.struct("digest", "id")).alias("rep"))
                  .select("node", F.col("rep.digest").alias("_digest"), F.col("rep.id").alias("_id")))
 
@@ -256,18 +258,21 @@ def similar_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
         links = stash(_linked(known))
 
     # What is left: pairs of different components, compared exactly.
-    left = stash(_open_cells(kept, links))
+    left = _open_cells(kept, links)
     distance = F.col("shared") / (F.col("n_center") + F.col("n_node") - F.col("shared"))
     near = known.groupBy("node").agg(F.max(F.struct(distance.alias("j"), "center")).alias("m"))
     left = left.join(near, "node", "left").select("token", "node", "n", "pos", "label", F.col("m.center").alias("p"), (1 - F.col("m.j")).alias("d"))
+    # A pair shares no more cells than either document has left.
+    left = stash(left.withColumn("cells", F.count(F.lit(1)).over(Window.partitionBy("node"))))
     x = left.select(*[F.col(c).alias(c + "_x") for c in left.columns])
     y = left.select(*[F.col(c).alias(c + "_y") for c in left.columns])
     window = F.coalesce((F.col("p_x") != F.col("p_y")) | (F.abs(F.col("d_x") - F.col("d_y")) <= 0.2 + 1e-9), F.lit(True))
     pairs = x.join(y, (x["token_x"] == y["token_y"]) & (x["node_x"] < y["node_y"]) & (x["label_x"] != y["label_y"])
-                   & _may_link(x["n_x"], y["n_y"], x["pos_x"], y["pos_y"]) & window)
+                   & _may_link(x["n_x"], y["n_y"], x["pos_x"], y["pos_y"]) & window
+                   & (F.least("cells_x", "cells_y") >= _least_shared(F.col("n_x"), F.col("n_y"))))
     pairs = stash(pairs.select(F.col("node_x").alias("center"), F.col("n_x").alias("m"), F.col("node_y").alias("node"), F.col("n_y").alias("n")).distinct())
     # How many of their first shingles they share, against what a link needs.
-    here = kept.select("token", "node").distinct()
+    here = left.select("token", "node")
     both = pairs.join(here.select("token", F.col("node").alias("center")), "center").join(here, ["token", "node"])
     enough = both.groupBy("center", "node", "m", "n").agg(F.count(F.lit(1)).alias("cells")).where(F.col("cells") >= _least_shared(F.col("n"), F.col("m")))
     links = links.union(_linked(_compare(stash(enough.select("center", "node")), docs, reps, size)))
@@ -305,4 +310,4 @@ def _open_cells(kept: DataFrame, links: DataFrame) -> DataFrame:
     labels = components(links)
     e = kept.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")).select("token", "node", "n", "pos", "label")
     several = e.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where(F.col("low") != F.col("high"))
-    return e.join(several.select("token"), "token").distinct()
+    return e.join(several.select("token"), "token")
