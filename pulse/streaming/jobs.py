@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.types import StructType
 
 from pulse.config import (
@@ -52,6 +52,7 @@ class MetricSpec:
     keys: tuple[str, ...]                           # key of one metric row
     snapshot_key: str
     snapshot: Callable[[DataFrame], DataFrame]      # current metric -> one-row payload
+    retained: int = RETAINED_WINDOWS                # windows that the serving value can show
 
 
 METRICS: dict[str, MetricSpec] = {
@@ -64,15 +65,15 @@ METRICS: dict[str, MetricSpec] = {
         lambda cur: S.type_series_snapshot(R.top_n_with_others(cur))),
     "bot_ratio": MetricSpec(
         "bot_ratio", lambda ev, wm: M.bot_ratio(ev, watermark=wm), tuple(WINDOW_KEYS), KEY_BOT,
-        lambda cur: S.latest_snapshot(cur, "bot_ratio", ["bot_count", "total_count"])),
+        lambda cur: S.latest_snapshot(cur, "bot_ratio", ["bot_count", "total_count"]), retained=1),
     "top_domains": MetricSpec(
         "top_domains", lambda ev, wm: M.domain_counts(ev, watermark=wm), (*WINDOW_KEYS, "domain"),
-        KEY_TOP, S.ranking_snapshot),
+        KEY_TOP, S.ranking_snapshot, retained=1),
     "content_change_ratio": MetricSpec(
         "content_change_ratio", lambda ev, wm: M.content_change_ratio(ev, watermark=wm),
         tuple(WINDOW_KEYS), KEY_CONTENT,
         lambda cur: S.latest_snapshot(cur, "content_change_ratio",
-                                      ["content_changed_count", "total_revision_count"])),
+                                      ["content_changed_count", "total_revision_count"]), retained=1),
 }
 
 
@@ -111,7 +112,7 @@ def _log(layout: RunLayout, name: str, history_format: str) -> S.UpdateLog:
 
 
 def metric_batch_writer(spec: MetricSpec, layout: RunLayout, refresh_snapshot: bool = True,
-                        retained: int = RETAINED_WINDOWS, history_format: str = "parquet"):
+                        retained: int | None = None, history_format: str = "parquet"):
     """The ``foreachBatch`` callback of one metric query.
 
     Writes the changed rows to the history log; with ``refresh_snapshot`` it
@@ -119,7 +120,7 @@ def metric_batch_writer(spec: MetricSpec, layout: RunLayout, refresh_snapshot: b
     serving value from that state (never from the whole history).
     """
     log = _log(layout, spec.name, history_format)
-    serving = S.ServingState(layout.serving(spec.name), list(spec.keys), retained)
+    serving = S.ServingState(layout.serving(spec.name), list(spec.keys), retained or spec.retained)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
@@ -204,9 +205,31 @@ def use_rocksdb_state(spark: SparkSession) -> None:
                    "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
 
+class LateRows(StreamingQueryListener):
+    """Rows that the stateful aggregates dropped as late, per query name, over all
+    micro-batches since it was added (``spark.streams.addListener``)."""
+
+    def __init__(self) -> None:
+        self.dropped: dict[str | None, int] = {}
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        late = sum(op.numRowsDroppedByWatermark for op in event.progress.stateOperators)
+        self.dropped[event.progress.name] = self.dropped.get(event.progress.name, 0) + late
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
 def dropped_late_rows(query: StreamingQuery) -> int:
     """Rows the stateful aggregate dropped as late, over the micro-batches
-    still in the query's progress history (``recentProgress``)."""
+    still in the query's progress history (``recentProgress``); :class:`LateRows`
+    counts all of them."""
     return sum(op.get("numRowsDroppedByWatermark", 0)
                for progress in (query.recentProgress or [])
                for op in progress.get("stateOperators", []))

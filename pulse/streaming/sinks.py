@@ -63,8 +63,8 @@ class UpdateLog:
         self.schema = schema
 
     def write(self, batch: DataFrame, batch_id: int) -> None:
-        """Write one micro-batch; replaying the same id overwrites it."""
-        batch.write.mode("overwrite").format(self.fmt).save(f"{self.path}/batch_id={batch_id}")
+        """Write one micro-batch in sized files; replaying the same id overwrites it."""
+        batch.hint("rebalance").write.mode("overwrite").format(self.fmt).save(f"{self.path}/batch_id={batch_id}")
 
     def read(self, spark: SparkSession) -> DataFrame:
         reader = spark.read.format(self.fmt)

@@ -1,5 +1,6 @@
 import json
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -101,6 +102,8 @@ def test_late_data_dropped_after_spacer(spark, tmp_path):
         assert q.exception() is None
         return q
 
+    late = J.LateRows()
+    spark.streams.addListener(late)
     _write_lines(src, "1.jsonl", [ev("2024-01-01T00:10:00.000Z")] * 3)
     run_once()
     _write_lines(src, "2.jsonl", [ev("2024-01-01T00:20:00.000Z")])          # watermark jumps
@@ -115,6 +118,12 @@ def test_late_data_dropped_after_spacer(spark, tmp_path):
     assert cur == {"00:10:00": 3, "00:20:00": 2, "00:19:00": 1}
     assert "00:05:00" not in cur
     assert J.dropped_late_rows(q) == 2                                        # 00:05:00, 00:10:01
+    for _ in range(100):        # progress events arrive a little later
+        if late.dropped.get("pulse_events_total") == 2:
+            break
+        time.sleep(0.1)
+    spark.streams.removeListener(late)
+    assert late.dropped["pulse_events_total"] == 2
 
 
 def test_update_log_replay_safe(spark, tmp_path):
@@ -186,7 +195,9 @@ def test_jsonl_sink_skips_malformed(spark, tmp_path):
 
 
 def test_kafka_options():
-    opts = kafka_source_options(Config(kafka_servers="k:9092"))
+    plain = kafka_source_options(Config())         # no intake cap and no split count unless asked for
+    assert "maxOffsetsPerTrigger" not in plain and "minPartitions" not in plain
+    opts = kafka_source_options(Config(kafka_servers="k:9092", max_offsets_per_trigger=5000, min_partitions=2))
     assert opts == {"kafka.bootstrap.servers": "k:9092", "subscribe": "wiki-recentchange,wiki-revision-create",
                     "startingOffsets": "latest", "failOnDataLoss": "false", "minPartitions": "2",
                     "maxOffsetsPerTrigger": "5000"}
