@@ -66,14 +66,15 @@ def branches(messages: DataFrame, best: int = 1) -> DataFrame:
         .select("tree", "node", "to", F.col("score").alias("sum"), F.lit(1).cast("long").alias("hops"))
     reach, tables = stash(reach), []
     while True:
-        tables.append(reach.where(F.col("to").isNotNull()).select("tree", "node", "to"))
+        climbing = reach.where(F.col("to").isNotNull())     # messages at their root are done and join no more
+        tables.append(climbing.select("tree", "node", "to"))
         if not tables[-1].take(1):
             break
         up = reach.select(F.col("tree").alias("_t"), F.col("node").alias("_n"), F.col("to").alias("_to"),
                           F.col("sum").alias("_sum"), F.col("hops").alias("_hops"))
-        reach = stash(reach.join(up, reach["tree"].eqNullSafe(up["_t"]) & (reach["to"] == up["_n"]), "left")
-                      .select("tree", "node", F.col("_to").alias("to"), (F.col("sum") + F.coalesce("_sum", F.lit(0.0))).alias("sum"),
-                              (F.col("hops") + F.coalesce("_hops", F.lit(0))).alias("hops")))
+        step = climbing.join(up, climbing["tree"].eqNullSafe(up["_t"]) & (climbing["to"] == up["_n"]))
+        step = step.select("tree", "node", F.col("_to").alias("to"), (F.col("sum") + F.col("_sum")).alias("sum"), (F.col("hops") + F.col("_hops")).alias("hops"))
+        reach = stash(reach.where(F.col("to").isNull()).union(step))
     parents = jump.where(F.col("to").isNotNull()).select(F.col("tree").alias("_t"), F.col("to").alias("_n")).distinct()
     leaves = reach.join(parents, reach["tree"].eqNullSafe(parents["_t"]) & (reach["node"] == parents["_n"]), "left_anti")
     ranked = leaves.withColumn("rank", F.row_number().over(Window.partitionBy("tree").orderBy(F.col("sum").desc(), "node")))
