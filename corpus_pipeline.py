@@ -29,7 +29,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
-    return decontaminate.clean_documents(docs, table(spark, sf_dir, "benchmark"))
+    return decontaminate.clean_documents(docs, table(spark, sf_dir, "benchmark"), plain=True)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,6 +5,8 @@ copied with other values keeps its template. Windows of template words of the
 documents meet those of the benchmark in a hash join. Where a template has
 slots, the values on both sides must map one to one over the whole match:
 ``3 apples ... 3 pears`` may become ``5 ... 5`` but not ``5 ... 6``.
+Names are told by their capitals, so a copy in other letter case has another
+template: the lower-cased words go through the same join in windows of their own.
 """
 
 from __future__ import annotations
@@ -43,14 +45,29 @@ def _tokens(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))
 
 
+def _hashes(tokens: str, window: int, *salt: Column) -> Column:
+    """Hashes of the windows of a column of token hashes; empty if too short."""
+    t, n = F.col(tokens), F.size(tokens)
+    hashes = F.transform(F.sequence(F.lit(0), F.greatest(n - window, F.lit(0))),
+                         lambda i: F.xxhash64(*salt, *[F.get(t, i + k) for k in range(window)]))
+    return F.when(n >= window, hashes).otherwise(F.array().cast("array<bigint>"))
+
+
 def _with_windows(df: DataFrame, text_col: str, window: int) -> DataFrame:
     """``df`` with ``_tokens`` (hashes of template words) and ``_windows`` (hashes of windows; empty if too short)."""
     d = df.withColumn("_words", _tokens(template_text(F.coalesce(F.col(text_col), F.lit("")))))
     d = d.withColumn("_tokens", F.transform("_words", lambda w: F.xxhash64(w)))
-    t, n = F.col("_tokens"), F.size("_tokens")
-    hashes = F.transform(F.sequence(F.lit(0), F.greatest(n - window, F.lit(0))),
-                         lambda i: F.xxhash64(*[F.get(t, i + k) for k in range(window)]))
-    return d.withColumn("_windows", F.when(n >= window, hashes).otherwise(F.array().cast("array<bigint>")))
+    return d.withColumn("_windows", _hashes("_tokens", window))
+
+
+def _with_plain(df: DataFrame, text_col: str) -> DataFrame:
+    """``df`` with ``_plain`` (hashes of the lower-cased words)."""
+    return df.withColumn("_plain", F.transform(_tokens(F.lower(F.coalesce(F.col(text_col), F.lit("")))), lambda w: F.xxhash64(w)))
+
+
+def _plain_windows(length: int) -> Column:
+    """Hashes of the windows of ``length`` plain words, apart from those of template words and of other lengths."""
+    return _hashes("_plain", length, F.lit("plain"), F.lit(length))
 
 
 def _slots(text: Column) -> tuple[Column, Column]:
@@ -59,14 +76,16 @@ def _slots(text: Column) -> tuple[Column, Column]:
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-          item_text: str = "text", window: int = WINDOW, min_literal: int = MIN_LITERAL, min_windows: int = MIN_WINDOWS) -> DataFrame:
+          item_text: str = "text", window: int = WINDOW, min_literal: int = MIN_LITERAL, min_windows: int = MIN_WINDOWS, plain: bool = False) -> DataFrame:
     """(id, text_key, item, n_windows, item_windows, reparameterised): the documents that hold a benchmark item.
 
     One row for each distinct (id, text) and item of which at least
     ``min_windows`` windows agree at one offset (all of them in a shorter item),
     with consistent slots. Windows with fewer than ``min_literal`` plain words
     prove nothing and are left out; items of fewer than ``window`` words never
-    match. Null ids are values, null texts are empty, repeated rows give one
+    match as templates. With ``plain``, as many windows of the lower-cased words
+    prove a copy as well, whatever its letter case. The counts are
+    those of the template where it matches. Null ids are values, null texts are empty, repeated rows give one
     row, extra columns are ignored; no documents or items give no rows.
     """
     items = stash(_with_windows(benchmark.select(F.col(item_col).alias("item"), F.coalesce(F.col(item_text), F.lit("")).alias("_item_text")), "_item_text", window)
@@ -77,18 +96,31 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     inside = F.aggregate(F.slice("_marks", F.col("ipos") + 1, F.lit(window)), F.lit(0), lambda s, x: s + x)
     b = b.withColumn("slots", inside).where(F.col("slots") <= window - min_literal)
     by_item = F.count(F.lit(1)).over(_by("item", "_item_text"))
-    b = stash(b.withColumn("item_windows", by_item).withColumn("item_key", F.xxhash64("_item_text")).select("item", "item_key", "item_windows", "ipos", "h", "slots"))
+    b = b.withColumn("item_windows", by_item).withColumn("item_key", F.xxhash64("_item_text")).withColumn("length", F.lit(0))
+    b = b.select("item", "item_key", "item_windows", "ipos", "h", "slots", "length")
+    lengths: list[int] = []     # of plain windows; template windows have length 0
+    if plain:
+        words = stash(_with_plain(items.select("item", F.xxhash64("_item_text").alias("item_key"), "_item_text"), "_item_text").drop("_item_text")
+                      .withColumn("length", F.least(F.size("_plain"), F.lit(window))))
+        lengths = sorted(r[0] for r in words.where(F.col("length") == window).select("length").distinct().collect())      # at most ``window`` numbers
+        for n in lengths:
+            own = words.where(F.col("length") == n).withColumn("h", _plain_windows(n))
+            b = b.union(own.select("item", "item_key", F.size("h").alias("item_windows"), F.posexplode("h").alias("ipos", "h"), F.lit(0).alias("slots"), "length"))
+    b = stash(b)
 
     d = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("_doc_text")).withColumn("text_key", F.xxhash64("_doc_text"))
     # Outer: for the inner form Spark infers a filter on the array's size and pushes it, with the
     # whole tokenising copied into it, below the projections.
-    w = _with_windows(d, "_doc_text", window).select("id", "text_key", F.posexplode_outer("_windows").alias("pos", "_h"))
+    # Plain windows follow the template's; their offsets are all shifted alike.
+    w = _with_windows(d, "_doc_text", window)
+    w = (_with_plain(w, "_doc_text") if lengths else w).withColumn("_all", F.concat("_windows", *[_plain_windows(n) for n in lengths]))
+    w = w.select("id", "text_key", F.posexplode_outer("_all").alias("pos", "_h"))
     small = b.count() <= BROADCAST_ROWS     # a checked size; beyond it Spark joins by shuffle
     hits = w.join(F.broadcast(b) if small else b, w["_h"] == b["h"])
-    hits = stash(hits.select("id", "text_key", "pos", "item", "item_key", "item_windows", "ipos", "slots").distinct())
+    hits = stash(hits.select("id", "text_key", "pos", "item", "item_key", "item_windows", "ipos", "slots", "length").distinct())
 
     keys = ["id", "text_key", "item", "item_key"]
-    runs = hits.groupBy(*keys, "item_windows", (F.col("pos") - F.col("ipos")).alias("offset")).agg(
+    runs = hits.groupBy(*keys, "length", "item_windows", (F.col("pos") - F.col("ipos")).alias("offset")).agg(
         F.countDistinct("ipos").alias("n"), F.min("ipos").alias("first"), F.max("ipos").alias("last"), F.max("slots").alias("slots"))
     runs = stash(runs.where(F.col("n") >= F.least(F.lit(min_windows), F.col("item_windows"))))
 
@@ -109,17 +141,18 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
         ((F.count(F.lit(1)) == F.countDistinct("theirs")) & (F.count(F.lit(1)) == F.countDistinct("ours"))).alias("consistent"),
         F.max((F.col("theirs") != F.col("ours"))).alias("changed"))
     c = checked.select(*[F.col(k).alias("_" + k) for k in keys], F.col("offset").alias("_offset"), "consistent", "changed")
-    same = F.lit(True)
+    same = runs["slots"] > 0
     for k in keys:
         same = same & runs[k].eqNullSafe(c["_" + k])
     out = runs.join(c, same & (runs["offset"] == c["_offset"]), "left").where((F.col("slots") == 0) | F.col("consistent"))
-    return out.groupBy(*keys).agg(F.max("n").alias("n_windows"), F.max("item_windows").alias("item_windows"),
-                                  F.max(F.coalesce("changed", F.lit(False))).alias("reparameterised")).drop("item_key")
+    counts = F.max(F.struct(F.col("length") == 0, F.col("n").alias("n_windows"), "item_windows")).alias("_counts")
+    out = out.groupBy(*keys).agg(counts, F.max(F.coalesce("changed", F.lit(False))).alias("reparameterised"))
+    return out.select("id", "text_key", "item", "_counts.n_windows", "_counts.item_windows", "reparameterised")
 
 
-def clean_documents(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that hold no benchmark item."""
-    found = leaks(docs, benchmark, id_col, text_col).select(F.col("id").alias("_i"), F.col("text_key").alias("_k")).distinct()
+def clean_documents(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", plain: bool = False) -> DataFrame:
+    """The rows of ``docs`` that hold no benchmark item (``plain``: see :func:`leaks`)."""
+    found = leaks(docs, benchmark, id_col, text_col, plain=plain).select(F.col("id").alias("_i"), F.col("text_key").alias("_k")).distinct()
     d = docs.withColumn("_key", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
     return d.join(found, (d["_key"] == found["_k"]) & d[id_col].eqNullSafe(found["_i"]), "left_anti").drop("_key")
 

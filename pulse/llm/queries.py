@@ -42,7 +42,7 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents that hold a benchmark item, with the item and the windows that agree."""
-    out = decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    out = decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), plain=True)
     return out.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "n_windows", "item_windows", "reparameterised")
 
 

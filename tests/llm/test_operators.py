@@ -265,6 +265,20 @@ def test_leaks(spark):
     assert decontaminate.leaks(awkward(spark), b).count() == 0
 
 
+def test_leaks_in_any_letter_case(spark):
+    rng = random.Random(61)
+    pad = lambda: " ".join(words(20, rng, 10**6))      # noqa: E731
+    q, fox = BENCH[0][1], BENCH[1][1]
+    docs = {10: q, 12: q.replace("12", "57").replace("Mary", "John"), 30: f"{pad()} {q.upper()} {pad()}", 31: fox.title(), 32: f"{pad()} {q.lower()}",
+            33: fox.upper().replace(" ", " , "), 34: " ".join(fox.upper().split()[:12]) + " " + pad(), 35: pad()}
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    b = spark.createDataFrame(BENCH[:2], "item_id long, text string")
+    out = {(r.id, r.item): r.reparameterised for r in decontaminate.leaks(df, b, plain=True).collect()}
+    assert out == {(10, 1): False, (12, 1): True, (30, 1): False, (31, 2): False, (32, 1): False, (33, 2): False}
+    assert {r.doc_id for r in decontaminate.clean_documents(df, b, plain=True).collect()} == {34, 35}
+    assert decontaminate.leaks(df.limit(0), b, plain=True).count() == 0 and decontaminate.leaks(df, b.limit(0), plain=True).count() == 0
+
+
 # --- quality rules -------------------------------------------------------------------
 
 def base(text):
