@@ -6,7 +6,8 @@ documents meet those of the benchmark in a hash join. Where a template has
 slots, the values on both sides must map one to one over the whole match:
 ``3 apples ... 3 pears`` may become ``5 ... 5`` but not ``5 ... 6``.
 Names are told by their capitals, so a copy in other letter case has another
-template: the lower-cased words go through the same join in windows of their own.
+template: the lower-cased words go through the same join in windows of their
+own, and an item of fewer words than a window as one window of all its words.
 """
 
 from __future__ import annotations
@@ -84,7 +85,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     with consistent slots. Windows with fewer than ``min_literal`` plain words
     prove nothing and are left out; items of fewer than ``window`` words never
     match as templates. With ``plain``, as many windows of the lower-cased words
-    prove a copy as well, whatever its letter case. The counts are
+    prove a copy as well, whatever its letter case and however few of its words
+    are no placeholder; an item of fewer than ``window`` words is one window of
+    all its words, and only items without a word never match. The counts are
     those of the template where it matches. Null ids are values, null texts are empty, repeated rows give one
     row, extra columns are ignored; no documents or items give no rows.
     """
@@ -102,7 +105,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     if plain:
         words = stash(_with_plain(items.select("item", F.xxhash64("_item_text").alias("item_key"), "_item_text"), "_item_text").drop("_item_text")
                       .withColumn("length", F.least(F.size("_plain"), F.lit(window))))
-        lengths = sorted(r[0] for r in words.where(F.col("length") == window).select("length").distinct().collect())      # at most ``window`` numbers
+        lengths = sorted(r[0] for r in words.where(F.col("length") > 0).select("length").distinct().collect())      # at most ``window`` numbers
         for n in lengths:
             own = words.where(F.col("length") == n).withColumn("h", _plain_windows(n))
             b = b.union(own.select("item", "item_key", F.size("h").alias("item_windows"), F.posexplode("h").alias("ipos", "h"), F.lit(0).alias("slots"), "length"))

@@ -279,6 +279,18 @@ def test_leaks_in_any_letter_case(spark):
     assert decontaminate.leaks(df.limit(0), b, plain=True).count() == 0 and decontaminate.leaks(df, b.limit(0), plain=True).count() == 0
 
 
+def test_leaks_of_short_and_numeric_items(spark):
+    rng = random.Random(62)
+    pad = lambda: " ".join(words(20, rng, 10**6))      # noqa: E731
+    sums = "12 + 7 - 3 * 5 / 2 + 11 - 9 * 4 + 1"
+    b = spark.createDataFrame([(1, "What is 3 plus 4?"), (2, sums), (3, "Paris"), (4, "?!"), (5, None), (6, "Seven words are one fewer than eight")], "item_id long, text string")
+    docs = {1: f"{pad()}. What is 3 plus 4? {pad()}", 2: f"{pad()} {sums} {pad()}", 3: "WHAT IS 3 PLUS 4", 4: "What is 3 plus 5?", 5: sums.replace("11", "12"),
+            6: "In PARIS, today", 7: "?!", 8: None, 9: "parisian", 10: "seven words are one fewer than eight", 11: "words are one fewer than eight", 12: "What is 3"}
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    out = sorted((r.id, r.item, r.n_windows, r.item_windows) for r in decontaminate.leaks(df, b, plain=True).collect())
+    assert out == [(1, 1, 1, 1), (2, 2, 2, 2), (3, 1, 1, 1), (6, 3, 1, 1), (10, 6, 1, 1)]
+
+
 # --- quality rules -------------------------------------------------------------------
 
 def base(text):
