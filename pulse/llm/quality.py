@@ -1,9 +1,9 @@
 """Quality rules: base features and cross-document line frequency, in Spark SQL.
 
 Lines are normalised and hashed; the distinct documents of each (host, line)
-are counted; lines above both limits, a number and a share of the host's
-documents, are removed, and documents that lose more than half of their words
-that way are rejected. Exact copies of a text count once, as one document.
+are counted; lines above a number of documents that doesn't grow with the host
+are removed, and documents that lose more than half of their words that way are
+rejected. Exact copies of a text count once, as one document.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ SYMBOLS = "#*$%&|<>"
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 # --------------------------------------
 LINE_LIMIT = 10         # distinct documents of a host that may share a line
-LINE_SHARE = 0.01       # ... and their share of the host's distinct documents
+LINE_SHARE = 0.0        # ... and their share of the host's distinct documents, if a caller wants one
 MIN_LEFT_PERCENT = 50   # words that a document must keep
 
 
@@ -76,6 +76,8 @@ def frequent_lines(lines: DataFrame, limit: int = LINE_LIMIT, share: float = LIN
     """
     often = lines.groupBy("host", "h", "text_key").agg(F.lit(1).alias("one")).groupBy("host", "h").agg(F.count(F.lit(1)).alias("n"))
     often = often.where(F.col("n") > limit)
+    if share <= 0:
+        return often.select("host", "h")
     docs = lines.groupBy("host", "text_key").agg(F.lit(1).alias("one")).groupBy(F.col("host").alias("_host")).agg(F.count(F.lit(1)).alias("docs"))
     return often.join(docs, often["host"].eqNullSafe(docs["_host"])).where(F.col("n") > share * F.col("docs")).select("host", "h")
 

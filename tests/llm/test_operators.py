@@ -341,6 +341,15 @@ def test_base_features_and_line_frequency(spark):
         assert r.text.split("\n") == [x for x in source[0].split("\n") if (source[1], norm(x)) not in frequent]
 
 
+def test_line_limit_does_not_grow_with_the_host(spark):
+    text = lambda i: " ".join(f"d{i}x{k}" for k in range(50))      # noqa: E731
+    shared = [(i, "All rights reserved by the owner\n" + text(i), "h") for i in range(12)]
+    for others in (0, 2000):
+        df = spark.createDataFrame(shared + [(100 + i, text(100 + i), "h") for i in range(others)], "doc_id long, text string, source string")
+        out = {r.doc_id: r.removed_words for r in quality.quality_rules(df, keep=["doc_id"]).collect()}
+        assert out == {i: 6 if i < 12 else 0 for i, *_ in df.collect()}
+
+
 def test_quality_of_awkward_rows(spark):
     df = awkward(spark).withColumn("kept", F.lit("clash")).withColumn("n_words", F.lit(-1))
     out = quality.quality_rules(df, keep=["doc_id", "text"]).collect()
