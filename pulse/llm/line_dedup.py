@@ -27,7 +27,7 @@ from pulse.llm.components import components
 from pulse.llm.toxicity import PLAIN
 
 MAX_BITS, MIN_SIMILARITY = 3, 0.8
-MIN_WORDS = 5                                       # shorter lines stay as they are
+MIN_WORDS = 5                                       # unless the caller says otherwise, shorter lines stay as they are
 SMALL = 8                                           # lines of a bucket that are compared as they stand
 FILTER_BITS = 25
 BLOCKS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
@@ -196,7 +196,8 @@ def duplicate_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     A line goes if a linked line, or a line linked to one, stands earlier by
     (id, digest of the text, line number), null ids first. Lines of fewer than
-    ``min_words`` words stay. Null texts have no lines; rows equal in id and
+    ``min_words`` words stay (1: every line that has a word is compared, also one
+    in a script without blanks, which counts as one word). Null texts have no lines; rows equal in id and
     text are one document with one result each; no rows give no rows; other
     columns are ignored.
     """

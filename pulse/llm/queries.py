@@ -97,7 +97,7 @@ def op9_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's lines that go because a line like them stands earlier."""
-    out = line_dedup.duplicate_lines(table(spark, sf_dir, "documents"))
+    out = line_dedup.duplicate_lines(table(spark, sf_dir, "documents"), min_words=1)
     return out.select("doc_id", "n_lines", "n_dropped", "dropped")
 
 

@@ -557,6 +557,14 @@ def test_line_dedup_by_brute_force(spark, monkeypatch, small):
     assert cleaned == {d: "\n".join(x for i, x in enumerate(t.split("\n")) if i not in want[d]) for d, t in docs}
 
 
+def test_short_lines_are_lines(spark, tmp_path):
+    from pulse.llm.queries import QUERIES
+    docs = [(1, "All rights reserved\nfirst\n\u4eca\u5929\u5929\u6c14\u5f88\u597d"), (2, "second\nall rights reserved.\n--\n"), (3, "\u4eca\u5929\u5929\u6c14\u5f88\u597d\n--\n\nFirst!\nthird")]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.n_lines, r.dropped) for r in QUERIES["op10_line_dedup"](spark, str(tmp_path)).collect()}
+    assert got == {1: (3, []), 2: (3, [1]), 3: (5, [0, 3])}         # lines without a word stay
+
+
 def test_line_dedup_of_awkward_rows(spark):
     df = awkward(spark)
     out = line_dedup.duplicate_lines(df).collect()
