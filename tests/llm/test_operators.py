@@ -448,6 +448,17 @@ def test_blocks():
     assert [x.text for x in html_extract.blocks("a < b <p>c&am<q")] == ["a < b", "c&am"]
 
 
+def test_elements_without_an_end_tag_cut_nothing():
+    texts = lambda page: [x.text for x in html_extract.blocks(page)]      # noqa: E731
+    assert texts("<p>one<datalist><option value=a><option value=b></datalist><p>two") == ["one", "two"]
+    assert texts("<article><p>one <svg class=icon /> two</p><p>three <svg><path d='x'/></svg> four") == ["one two", "three four"]
+    assert texts("<p>Let <math><mi>x</mi></math> be <object data=a>a drawing</object> <noscript>shown</noscript></p>") == ["Let x be a drawing shown"]
+    chosen = html_extract.blocks("<p>pick<select><optgroup><option>a<option>b<optgroup><option>c</select>rest</p><p>end")
+    assert [(x.text, x.path[-1]) for x in chosen] == [("pick", "p"), ("a", "option"), ("b", "option"), ("c", "option"), ("rest", "p"), ("end", "p")]
+    assert sum(x == "option" for x in chosen[3].path) == 1
+    assert texts("<p>a<script>no</script><style>no</style><title>no</title><iframe>no</iframe><textarea>no</textarea>b") == ["ab"]
+
+
 def test_gradient_by_finite_differences():
     rng = np.random.default_rng(1)
     w = html_extract.start_weights(3)
