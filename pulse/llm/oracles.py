@@ -106,5 +106,32 @@ SELECT conv_id, count(*) AS n_turns,
 FROM turns GROUP BY conv_id
 """
 
-ORACLES = {"op1_sharding": OP1, "op2_mixing": OP2, "op3_url_filter": OP3, "op7_chat_format": OP7}
+OP11 = r"""
+WITH pieces AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang,
+               unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents)),
+grams AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+  FROM pieces, (VALUES (1), (2), (3)) AS sizes(k)),
+f AS (SELECT lang, k, phrase, count(*)::HUGEINT AS f, string_split(phrase, ' ') AS w FROM grams GROUP BY lang, k, phrase HAVING count(*) >= 10),
+totals AS (SELECT lang, count(*) AS n FROM grams WHERE k = 1 GROUP BY lang),
+cuts AS (
+  SELECT c.lang, c.k, c.phrase, c.f AS a, at, l.f AS l, r.f AS r, 1000000 * c.f * c.f // (l.f * r.f) AS score
+  FROM f AS c, (VALUES (1), (2)) AS places(at), f AS l, f AS r
+  WHERE at < c.k AND l.lang = c.lang AND l.phrase = array_to_string(c.w[1:at], ' ') AND r.lang = c.lang AND r.phrase = array_to_string(c.w[at + 1:], ' ')),
+weakest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, at) = 1),
+held AS (
+  SELECT lang, phrase, max(f) AS held
+  FROM (SELECT lang, f, array_to_string(w[1:2], ' ') AS phrase FROM f WHERE k = 3 UNION ALL SELECT lang, f, array_to_string(w[2:3], ' ') FROM f WHERE k = 3)
+  GROUP BY lang, phrase),
+ranked AS (
+  SELECT weakest.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank
+  FROM weakest LEFT JOIN held USING (lang, phrase) WHERE held IS NULL OR 100 * held < 50 * a)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+ORACLES = {"op1_sharding": OP1, "op2_mixing": OP2, "op3_url_filter": OP3, "op7_chat_format": OP7, "op11_phrases": OP11}
 assert ROWS_PER_SLICE       # the slices of op2 change where rows are sorted, not their order

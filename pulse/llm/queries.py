@@ -3,11 +3,26 @@ to its whole table and derives the digest columns of its contract."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulse.llm import chat, decontaminate, html_extract, jaccard_join, line_dedup, mixing, quality, sharding, toxicity, url_filter
-from pulse.llm.common import table, word_count
+from pulse.llm import (
+    bpe,
+    chat,
+    decontaminate,
+    html_extract,
+    jaccard_join,
+    line_dedup,
+    mixing,
+    periodic,
+    phrases,
+    quality,
+    sharding,
+    toxicity,
+    url_filter,
+)
+from pulse.llm.common import table, word_count, words
 
 SHARDS = 8
 
@@ -101,5 +116,46 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", "dropped")
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every language's first 2000 collocations."""
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def repeated_from(text: Column, doc_id: Column) -> Column:
+    """The contract's input: the words of a tenth of the documents repeat with period p from word a on (other texts as they are)."""
+    h = F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))
+    g, n, w = F.floor(h / 10), F.size(words(text)).cast("long"), words(text)
+    a = F.pmod(g, n)
+    p = 1 + F.floor((n - a) / (3 + F.pmod(g, F.lit(8))))
+    copies = F.flatten(F.array_repeat(F.slice(w, (a + 1).cast("int"), p.cast("int")), F.ceil((n - a) / p).cast("int")))
+    told = F.slice(F.concat(F.slice(w, F.lit(1), a.cast("int")), copies), F.lit(1), n.cast("int"))
+    return F.when((h % 10 == 0) & (n > 0), F.array_join(told, " ")).otherwise(text)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's periodic runs and what is left without their repeats."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", repeated_from(F.col("text"), F.col("doc_id")).alias("text"))
+    out = periodic.periodic_runs(docs, ["doc_id"])
+    top = F.get(F.array_sort(F.transform("runs", lambda r: F.struct((-r["length"]).alias("o"), r["start"], r["period"]))), F.lit(0))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), F.concat(r["period"].cast("string"), F.lit("\n")))), "")
+    out = out.select("doc_id", F.size("runs").cast("long").alias("n_runs"), top.alias("top"), F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+    length = -F.col("top.o")
+    return out.select("doc_id", "n_runs", F.col("top.start").alias("start"), length.alias("length"), F.col("top.period").alias("period"),
+                      F.floor(1000 * length / F.col("top.period")).alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
+RANK_FILE = "byte_bpe_50k.tiktoken"
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
+    """Every document's ids and the bytes they decode to."""
+    vocabulary = bpe.Vocabulary.read(path or public_tokenizers.path(RANK_FILE), public_tokenizers.PATTERN)
+    ids = bpe.encode(table(spark, sf_dir, "documents"), vocabulary, ["doc_id"])
+    both = bpe.decode(ids, vocabulary, ["doc_id", "ids"])
+    return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+                       F.sha2("bytes", 256).alias("decoded_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (op1_sharding, op2_mixing, op3_url_filter, op4_jaccard_join,
-                                 op5_decontamination, op6_quality_rules, op7_chat_format, op8_toxicity, op9_html_extract, op10_line_dedup)}
+                                 op5_decontamination, op6_quality_rules, op7_chat_format, op8_toxicity, op9_html_extract, op10_line_dedup,
+                                 op11_phrases, op12_periodic_runs, op13_byte_bpe)}
