@@ -50,3 +50,12 @@ def with_time_partitions(df, time_col: str = "event_time"):
         F.dayofmonth(t).alias("day"),
         F.hour(t).alias("hour"),
     )
+
+
+_UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
+
+
+def duration_seconds(text: str) -> int:
+    """Seconds of a duration such as ``10 seconds`` or ``2 minutes``."""
+    n, unit = text.split()
+    return int(n) * _UNIT_SECONDS[unit.lower().rstrip("s")]

@@ -52,7 +52,10 @@ _SOURCE = {
     "event_type": ("type",), "bot": ("bot",), "wiki": ("wiki",), "title": ("title",), "user": ("user",),
     "comment": ("comment",), "namespace": ("namespace",), "minor": ("minor",),
     "rev_content_changed": ("rev_content_changed",), "raw_json": (),
+    "message_id": ("meta", "id"), "revision": ("revision", "new"),
 }
+# Columns beyond the standard event, parsed only where ``columns`` names them.
+EXTRA_COLUMNS = ["message_id", "revision"]
 
 
 def pruned_schema(columns, schema: StructType = EVENT_SCHEMA) -> StructType:
@@ -82,8 +85,8 @@ def parse_events(df: DataFrame, schema: StructType = EVENT_SCHEMA, col: str = "v
     the archive but fall out of every window).
 
     ``columns`` (default: all 13) restricts the output, and the JSON parse, to
-    the standard columns a caller reads (``event_time`` and ``stream`` are
-    always kept): the nested schema is pruned by hand, because Catalyst
+    the columns a caller reads, of the standard ones and ``EXTRA_COLUMNS``
+    (``event_time`` and ``stream`` are always kept): the nested schema is pruned by hand, because Catalyst
     cannot prune a parse whose result feeds several columns.
 
     The JSON is parsed once per message. ``event_time`` and ``stream`` -- the
@@ -94,7 +97,7 @@ def parse_events(df: DataFrame, schema: StructType = EVENT_SCHEMA, col: str = "v
     push-down; this makes batch reads of raw messages behave the same.)
     """
     wanted = list(STANDARD_COLUMNS if columns is None else
-                  [c for c in STANDARD_COLUMNS if c in set(columns) | {"event_time", "stream"}])
+                  [c for c in (*STANDARD_COLUMNS, *EXTRA_COLUMNS) if c in set(columns) | {"event_time", "stream"}])
     if columns is not None:
         schema = pruned_schema(wanted, schema)
     text = _text(df, col)
@@ -113,6 +116,8 @@ def parse_events(df: DataFrame, schema: StructType = EVENT_SCHEMA, col: str = "v
         "minor": default_false("data.minor"),
         "rev_content_changed": default_false("data.rev_content_changed"),
         "raw_json": F.col("json_str"),
+        "message_id": F.col("data.meta.id"),
+        "revision": F.col("data.revision.new"),
     }
     flat = data.select(*[exprs[c].alias(c) for c in wanted])
     return fence(flat, ["event_time", "stream"]).select(*wanted)

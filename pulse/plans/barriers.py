@@ -4,7 +4,9 @@ multi-pass query reads a materialised intermediate instead of recomputing it.
 
 from __future__ import annotations
 
+import atexit
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,3 +73,25 @@ def materialize(df: DataFrame) -> DataFrame:
     except (NotImplementedError, AttributeError):   # Spark Connect: the server owns the folder
         pass
     return df.checkpoint(eager=True)
+
+
+_RUNS: dict[str, tuple[SparkSession, str]] = {}
+
+
+def _remove_runs(app: str) -> None:
+    spark, folder = _RUNS.pop(app)
+    try:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    except Exception:       # the session is gone; the shared folder's owner cleans up
+        pass
+
+
+def run_folder(spark: SparkSession) -> str:
+    """A new folder under :func:`checkpoint_folder` for one run's files; an application's
+    are removed when its driver's Python exits."""
+    app = spark.sparkContext.applicationId
+    if app not in _RUNS:
+        _RUNS[app] = (spark, f"{checkpoint_folder(spark)}/pulse-runs-{uuid.uuid4().hex}")
+        atexit.register(_remove_runs, app)
+    return f"{_RUNS[app][1]}/{uuid.uuid4().hex}"

@@ -7,7 +7,6 @@ the matching oracle in :mod:`pulse.plans.oracles`.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,8 +20,9 @@ from pulse.operators import metrics as M
 from pulse.operators import parse as P
 from pulse.operators import ranking as R
 from pulse.operators import shaping as S
-from pulse.plans.barriers import checkpoint_folder, fence, materialize
+from pulse.plans.barriers import fence, materialize, run_folder
 from pulse.plans.fixtures import capture_values, consumed_records, standard_events
+from pulse.plans.streams import QUERIES as STREAM_QUERIES
 from pulse.schema import STANDARD_COLUMNS
 from pulse.sources.archive import compact_archive, read_raw
 from pulse.sources.capture import frame_lines
@@ -339,10 +339,6 @@ QUERIES.update({
 # --- streams, sinks and the archive over files derived from the table -----------------
 
 
-def _run_folder(spark) -> str:
-    return f"{checkpoint_folder(spark)}/pulse-run-{uuid.uuid4().hex}"
-
-
 def _replayed(spark, sf_dir, folder: str):
     """The consumed records as JSON lines, read back as a stream."""
     consumed_records(spark, sf_dir).select(F.col("value").cast("string").alias("value")).write.text(f"{folder}/lines")
@@ -351,7 +347,7 @@ def _replayed(spark, sf_dir, folder: str):
 
 def _stream_metric(name: str) -> Query:
     def query(spark, sf_dir):
-        folder = _run_folder(spark)
+        folder = run_folder(spark)
         layout = J.RunLayout(folder)
         J.start_metric(_replayed(spark, sf_dir, folder), name, layout, trigger={"availableNow": True}, refresh_snapshot=False).awaitTermination()
         return J.current_metric(spark, layout, name).select(*StructType.fromDDL(J.METRIC_SCHEMAS[name]).names)
@@ -363,7 +359,7 @@ def _stream_metric(name: str) -> Query:
 def q_jsonl_roundtrip(spark, sf_dir):
     """Every captured event cut into two ``data:`` lines, framed, written as JSON lines by
     the sink, read back and parsed: the same windows as the direct parse."""
-    folder = _run_folder(spark)
+    folder = run_folder(spark)
     framed = frame_lines(materialize(_capture_lines(capture_values(spark, sf_dir))))
     framed.select("value").write.parquet(f"{folder}/framed")
     stream = spark.readStream.schema("value string").parquet(f"{folder}/framed")
@@ -375,7 +371,7 @@ def q_jsonl_roundtrip(spark, sf_dir):
 def q_archive_compacted_read(spark, sf_dir):
     """Rows per hour of a pruned range of the raw archive, of which closed hours were
     compacted before half of the events (late ones) arrived."""
-    folder = _run_folder(spark)
+    folder = run_folder(spark)
     ev = _ev(spark, sf_dir).withColumn("late", F.pmod(F.xxhash64("event_time", "domain", "event_type"), F.lit(2)))
     for late in (0, 1):
         SK.write_raw(ev.where(F.col("late") == late).drop("late"), f"{folder}/raw")
@@ -387,3 +383,4 @@ def q_archive_compacted_read(spark, sf_dir):
 
 QUERIES.update({f"stream_metric_{i + 1}": _stream_metric(name) for i, name in enumerate(J.METRICS)})
 QUERIES.update({"jsonl_roundtrip": q_jsonl_roundtrip, "archive_compacted_read": q_archive_compacted_read})
+QUERIES.update(STREAM_QUERIES)

@@ -46,7 +46,8 @@ def _k() -> Column:
     return F.get_json_object("props", "$.k").cast("long")
 
 
-def _event_time() -> Column:
+def event_time() -> Column:
+    """Time of an ``events`` row, compressed."""
     offset = F.expr(f"(unix_micros(cast(ts as timestamp)) - {T0_MICROS}) div {TIME_COMPRESSION}")
     return F.timestamp_micros(F.lit(T0_MICROS) + offset)
 
@@ -60,7 +61,7 @@ def _capture(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = read_table(spark, sf_dir, "events", columns=["event_id", "ts", "user_id", "event_type", "props"])
     base = ev.select(
         "event_id", "user_id", F.col("event_type").alias("base_type"), _k().alias("k"),
-        _event_time().alias("event_time"),
+        event_time().alias("event_time"),
     )
     eid, uid, k = F.col("event_id"), F.col("user_id"), F.col("k")
     domain = F.concat(F.lit("w"), _s(uid % 40), F.lit(".example.org"))

@@ -42,7 +42,7 @@ ev AS (
 )"""
 
 
-def _with(*ctes: str) -> str:
+def with_ctes(*ctes: str) -> str:
     return "WITH " + ",\n".join([SRC_CTE, *ctes])
 
 
@@ -108,78 +108,78 @@ SERIES2 = """s2 AS (
 
 
 ORACLES: dict[str, str] = {
-    "parse_events": _with() + """
+    "parse_events": with_ctes() + """
 SELECT event_time, domain, stream, event_type, bot, wiki, title, "user", comment,
        namespace, minor, rev_content_changed
 FROM ev""",
-    "total_events_10s": _with(M1) + "\nSELECT * FROM m1",
-    "events_by_type_10s": _with(M2) + "\nSELECT * FROM m2",
-    "type_rank_10s": _with(M2, M2_TOP) + "\nSELECT * FROM ranked",
-    "top5_types_with_others": _with(M2, M2_TOP) + "\nSELECT * FROM top5",
-    "bot_ratio_1m": _with(M3) + "\nSELECT * FROM m3",
-    "latest_bot_ratio": _with(M3) + "\nSELECT * FROM m3 ORDER BY window_start DESC LIMIT 1",
-    "domain_counts_5m": _with(M4) + "\nSELECT * FROM m4",
-    "top10_domains_latest": _with(M4) + """
+    "total_events_10s": with_ctes(M1) + "\nSELECT * FROM m1",
+    "events_by_type_10s": with_ctes(M2) + "\nSELECT * FROM m2",
+    "type_rank_10s": with_ctes(M2, M2_TOP) + "\nSELECT * FROM ranked",
+    "top5_types_with_others": with_ctes(M2, M2_TOP) + "\nSELECT * FROM top5",
+    "bot_ratio_1m": with_ctes(M3) + "\nSELECT * FROM m3",
+    "latest_bot_ratio": with_ctes(M3) + "\nSELECT * FROM m3 ORDER BY window_start DESC LIMIT 1",
+    "domain_counts_5m": with_ctes(M4) + "\nSELECT * FROM m4",
+    "top10_domains_latest": with_ctes(M4) + """
 SELECT * FROM m4 WHERE window_start = (SELECT max(window_start) FROM m4)
 ORDER BY cnt DESC, domain ASC NULLS FIRST LIMIT 10""",
-    "content_change_ratio_1m": _with(M5) + "\nSELECT * FROM m5",
-    "latest_content_change": _with(M5) + "\nSELECT * FROM m5 ORDER BY window_start DESC LIMIT 1",
-    "retained_windows": _with(M2, RETAINED) + "\nSELECT * FROM top5",
+    "content_change_ratio_1m": with_ctes(M5) + "\nSELECT * FROM m5",
+    "latest_content_change": with_ctes(M5) + "\nSELECT * FROM m5 ORDER BY window_start DESC LIMIT 1",
+    "retained_windows": with_ctes(M2, RETAINED) + "\nSELECT * FROM top5",
 }
 
 SERIES_POINTS = 60
 PIE_POINTS = 360
 
 ORACLES.update({
-    "topic_routing": _with() + """
+    "topic_routing": with_ctes() + """
 SELECT CASE WHEN stream = 'mediawiki.recentchange' THEN 'wiki-recentchange'
             WHEN stream = 'mediawiki.revision-create' THEN 'wiki-revision-create'
             ELSE 'wiki-unknown' END AS topic,
        count(*) AS n
 FROM allev GROUP BY 1""",
     "malformed_events": "SELECT event_id AS \"offset\" FROM events WHERE event_id % 7 = 0",
-    "raw_partitions": _with() + """
+    "raw_partitions": with_ctes() + """
 SELECT CAST(coalesce(year(event_time), -1) AS INTEGER) AS year, CAST(coalesce(month(event_time), -1) AS INTEGER) AS month,
        CAST(coalesce(day(event_time), -1) AS INTEGER) AS day, CAST(coalesce(hour(event_time), -1) AS INTEGER) AS hour,
        count(*) AS n
 FROM ev GROUP BY 1, 2, 3, 4""",
-    "total_series_last_n": _with(M1) + f"""
+    "total_series_last_n": with_ctes(M1) + f"""
 SELECT CAST(epoch(window_start) AS BIGINT) AS t, event_count AS v
 FROM m1 ORDER BY t DESC LIMIT {SERIES_POINTS}""",
-    "by_type_series_last_n": _with(M2, RETAINED, SERIES2) + f"""
+    "by_type_series_last_n": with_ctes(M2, RETAINED, SERIES2) + f"""
 SELECT type, t, v FROM (
   SELECT *, row_number() OVER (PARTITION BY type ORDER BY t DESC) AS rn FROM s2)
 WHERE rn <= {SERIES_POINTS}""",
-    "type_totals_share": _with(M2, RETAINED, SERIES2) + f""",
+    "type_totals_share": with_ctes(M2, RETAINED, SERIES2) + f""",
 last AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY type ORDER BY t DESC) AS rn FROM s2)
   WHERE rn <= {PIE_POINTS}
 ),
 totals AS (SELECT type AS name, CAST(sum(v) AS BIGINT) AS value FROM last GROUP BY 1 HAVING sum(v) > 0)
 SELECT name, value, value / (SELECT sum(value) FROM totals) AS share FROM totals""",
-    "series_keys": _with(M2, RETAINED, SERIES2) + """
+    "series_keys": with_ctes(M2, RETAINED, SERIES2) + """
 SELECT CAST(row_number() OVER (ORDER BY total DESC, type ASC NULLS FIRST) AS INTEGER) AS position,
        type AS key
 FROM (SELECT type, sum(v) AS total FROM s2 GROUP BY 1)
 ORDER BY total DESC, type ASC NULLS FIRST LIMIT 8""",
-    "stacked_by_type": _with(M2, RETAINED, SERIES2) + f""",
+    "stacked_by_type": with_ctes(M2, RETAINED, SERIES2) + f""",
 ks AS (SELECT DISTINCT coalesce(type, 'null') AS type FROM (SELECT type FROM s2 GROUP BY type ORDER BY sum(v) DESC, type ASC NULLS FIRST LIMIT 8)),
 ts AS (SELECT DISTINCT t FROM s2 ORDER BY t DESC LIMIT {SERIES_POINTS}),
 sums AS (SELECT t, coalesce(type, 'null') AS type, sum(v) AS v FROM s2 GROUP BY 1, 2)
 SELECT ts.t, ks.type, CAST(coalesce(sums.v, 0) AS BIGINT) AS v
 FROM ts CROSS JOIN ks LEFT JOIN sums ON sums.t = ts.t AND sums.type = ks.type""",
-    "gauge_percent": _with(M3) + """
+    "gauge_percent": with_ctes(M3) + """
 SELECT window_start, bot_ratio AS ratio, CAST(floor(coalesce(bot_ratio, 0) * 100 + 0.5) AS BIGINT) AS percent
 FROM m3""",
-    "bot_object": _with(M3) + """
+    "bot_object": with_ctes(M3) + """
 SELECT 60 AS "windowSec", coalesce(max(total_count), 0) AS total, coalesce(max(bot_count), 0) AS bot,
        coalesce(max(bot_ratio), 0.0) AS ratio
 FROM (SELECT * FROM m3 ORDER BY window_start DESC LIMIT 1)""",
-    "content_change_object": _with(M5) + """
+    "content_change_object": with_ctes(M5) + """
 SELECT 60 AS "windowSec", coalesce(max(total_revision_count), 0) AS total,
        coalesce(max(content_changed_count), 0) AS changed, coalesce(max(content_change_ratio), 0.0) AS ratio
 FROM (SELECT * FROM m5 ORDER BY window_start DESC LIMIT 1)""",
-    "top_wiki": _with(M4) + """
+    "top_wiki": with_ctes(M4) + """
 SELECT domain AS k, cnt AS v FROM m4 WHERE window_start = (SELECT max(window_start) FROM m4)
 ORDER BY cnt DESC, domain ASC NULLS FIRST LIMIT 10""",
 })
@@ -209,7 +209,7 @@ UNION ALL SELECT 'contentChange', 'ratio', NULL, NULL, 0.0"""
 
 
 def _document(objects: str) -> str:
-    parts = _with(M1, M2, RETAINED, SERIES2, M3, M4, M5, DOCUMENT)
+    parts = with_ctes(M1, M2, RETAINED, SERIES2, M3, M4, M5, DOCUMENT)
     return f"""{parts},
 doc AS ({_SERIES_ROWS} {objects})
 SELECT part, key, coalesce(t, -1) AS t, CAST(coalesce(v, -1) AS BIGINT) AS v, coalesce(ratio, -1.0::DOUBLE) AS ratio FROM doc"""
@@ -219,7 +219,7 @@ ORACLES.update({
     "dashboard_document": _document(_OBJECT_ROWS),
     "dashboard_from_store": _document(_OBJECT_ROWS),
     "dashboard_from_store_400s": _document(_OBJECT_ZEROS),
-    "snapshot_live": _with(M1, M2, RETAINED, M3, M4, M5) + f""",
+    "snapshot_live": with_ctes(M1, M2, RETAINED, M3, M4, M5) + f""",
 stamp AS (SELECT max(event_time) AS now0 FROM ev),
 rows AS (
   SELECT 'metrics:events_total_10m_10s' AS metric_key, 10800 AS ttl, strftime(window_start, '%Y-%m-%dT%H:%M:%S') AS ts, NULL AS name, event_count AS n
@@ -230,7 +230,7 @@ rows AS (
              ORDER BY cnt DESC, domain ASC NULLS FIRST LIMIT 10)
 )
 SELECT metric_key, now0 AS updated_at, now0 + to_seconds(ttl) AS expires_at, ts, name, n FROM rows, stamp""",
-    "normalized_documents": _with(M3) + """
+    "normalized_documents": with_ctes(M3) + """
 SELECT CAST(epoch(window_start) AS BIGINT) AS doc_id,
        CAST(10 AS BIGINT) AS "bucketSec",
        CAST(CASE WHEN (CAST(epoch(window_start) AS BIGINT) // 60) % 3 = 1 THEN 10 ELSE 300 END AS BIGINT) AS "rangeMin",
@@ -242,7 +242,7 @@ FROM m3""",
 })
 
 ORACLES.update({
-    "capture_framing": _with() + """
+    "capture_framing": with_ctes() + """
 SELECT CAST(event_id AS VARCHAR) AS sse_id, event_id % 7 <> 0 AS is_valid,
        CASE WHEN event_id % 7 <> 0 THEN event_type END AS event_type, CASE WHEN event_id % 7 <> 0 THEN title END AS title,
        CASE WHEN event_id % 7 <> 0 THEN event_id * 2 + 1 ELSE -1 END AS revision, CASE WHEN event_id % 7 <> 0 THEN domain END AS domain
@@ -254,6 +254,6 @@ ORACLES["stream_metric_3"] = ORACLES["bot_ratio_1m"]
 ORACLES["stream_metric_4"] = ORACLES["domain_counts_5m"]
 ORACLES["stream_metric_5"] = ORACLES["content_change_ratio_1m"]
 ORACLES["jsonl_roundtrip"] = ORACLES["events_by_type_10s"]
-ORACLES["archive_compacted_read"] = _with() + """
+ORACLES["archive_compacted_read"] = with_ctes() + """
 SELECT year(event_time)::INT AS year, month(event_time)::INT AS month, day(event_time)::INT AS day, hour(event_time)::INT AS hour, count(*) AS n
 FROM ev WHERE event_time >= TIMESTAMP '2024-01-01 01:00:00' AND event_time < TIMESTAMP '2024-01-01 05:00:00' GROUP BY ALL"""

@@ -139,7 +139,7 @@ def metric_batch_writer(spec: MetricSpec, layout: RunLayout, refresh_snapshot: b
     return on_batch
 
 
-def start_metric(events: DataFrame, name: str, layout: RunLayout, watermark: str = WATERMARK,
+def start_metric(events: DataFrame, name: str, layout: RunLayout, watermark: str | None = WATERMARK,
                  trigger: dict | None = None, refresh_snapshot: bool = True,
                  history_format: str = "parquet") -> StreamingQuery:
     spec = METRICS[name]
