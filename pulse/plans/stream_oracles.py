@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pulse.config import RETAINED_WINDOWS
 from pulse.plans.fixtures import BAD_TIME, NO_BOT, NO_CHANGED, T0_MICROS, TIME_COMPRESSION
-from pulse.plans.oracles import M1, M2, M3, M4, M5, RETAINED, with_ctes as _with
+from pulse.plans.oracles import M1, M2, M3, M4, M5, RETAINED
+from pulse.plans.oracles import ORACLES as BATCH
+from pulse.plans.oracles import with_ctes as _with
 from pulse.plans.replays import LAG_EVERY, LAG_SECONDS, LATE_EVERY, LATE_SECONDS, NO_REVISION, SLOT_SECONDS, SLOW_EVERY, SLOW_SECONDS
 
 _MICROS = f"({T0_MICROS} + (epoch_us(ts) - {T0_MICROS}) // {TIME_COMPRESSION})"
@@ -31,6 +33,7 @@ UNION ALL SELECT 'unknown_stream', count(*) FROM allev WHERE stream = 'other' OR
 UNION ALL SELECT 'no_type', count(*) FROM allev WHERE event_type IS NULL OR event_id % 7 = 0""",
     "stream_unique_messages": _with(M1) + "\nSELECT * FROM m1",
 }
+ORACLES["capture_source"] = ORACLES["stream_capture_source"] = BATCH["capture_framing"]
 ORACLES["stream_quality_counters"] = ORACLES["quality_counters"]
 
 _EDITS = f"""WITH told AS (

@@ -19,6 +19,7 @@ from pulse.plans.barriers import materialize, run_folder
 from pulse.plans.fixtures import standard_events
 from pulse.schema import STANDARD_COLUMNS
 from pulse.sources.archive import read_raw
+from pulse.sources.capture_source import capture_source
 from pulse.sources.files import jsonl_source
 from pulse.streaming import jobs as J
 from pulse.streaming import sinks as SK
@@ -31,6 +32,31 @@ def _stream(spark, lines: str, columns=None) -> DataFrame:
     return P.parse_events(jsonl_source(spark, lines, streaming=True), columns=columns)
 
 
+# --- captures as a data source (SRC2) -----------------------------------------------------
+
+
+def _capture_fields(events):
+    meta = F.from_json("value", "type string, title string, revision struct<new:bigint>, meta struct<domain:string>")
+    read = events.select("sse_id", "is_valid", F.when(F.col("is_valid"), meta).alias("e"))
+    return read.select("sse_id", "is_valid", F.col("e.type").alias("event_type"), F.col("e.title").alias("title"),
+                       F.coalesce("e.revision.new", F.lit(-1).cast("long")).alias("revision"), F.col("e.meta.domain").alias("domain"))
+
+
+def q_capture_source(spark, sf_dir):
+    """Two captures in rotated files that cut events, read by the data source in ranges smaller than a file."""
+    path = replays.capture_files(replays.captured(spark, sf_dir), run_folder(spark))
+    return _capture_fields(capture_source(spark, path, split_bytes=1 << 20))
+
+
+def q_stream_capture_source(spark, sf_dir):
+    """The same as a stream, run to completion."""
+    folder = run_folder(spark)
+    path = replays.capture_files(replays.captured(spark, sf_dir), folder)
+    stream = capture_source(spark, path, streaming=True, split_bytes=1 << 20)
+    (stream.writeStream.format("parquet").option("path", f"{folder}/events").option("checkpointLocation", f"{folder}/checkpoint").trigger(**NOW).start().awaitTermination())
+    return _capture_fields(spark.read.parquet(f"{folder}/events"))
+
+
 # --- late rows (STR3) -------------------------------------------------------------------
 
 
@@ -195,5 +221,6 @@ def q_run_all_store(spark, sf_dir):
 
 
 QUERIES = {f.__name__[2:]: f for f in (
+    q_capture_source, q_stream_capture_source,
     q_late_events, q_quality_counters, q_stream_quality_counters, q_stream_unique_messages, q_unique_edits_10s, q_stream_unique_edits,
     q_sketch_distinct_1h, q_sketch_domains_1h, q_stream_raw_archive, q_reserialised_events, q_run_all_store)}

@@ -1,0 +1,125 @@
+"""The capture data source against a plain framing of the whole byte sequence."""
+
+import os
+import random
+
+import pytest
+from pyarrow import fs as pafs
+
+from pulse.sources import capture_source as C
+
+SPLITS = (1, 2, 3, 7, 64, 1 << 20)
+
+
+def framed(data: bytes):
+    """(value, event, id) of the terminated events, straight from the rules."""
+    out, parts, event, ident = [], [], None, None
+    *lines, _ = data.split(b"\n")
+    for raw in lines:
+        line = raw.decode("utf-8", "replace").strip()
+        if not line:
+            value = "\n".join(parts).strip()
+            if value:
+                out.append((value, event, ident))
+            parts, event, ident = [], None, None
+        elif line.startswith("data:"):
+            if line[5:].strip():
+                parts.append(line[5:].strip())
+        elif line.startswith("event:"):
+            event = line[6:].strip()
+        elif line.startswith("id:"):
+            ident = line[3:].strip()
+    return out
+
+
+def rotate(folder, data: bytes, cuts):
+    os.makedirs(folder, exist_ok=True)
+    for i, (a, b) in enumerate(zip([0, *cuts], [*cuts, len(data)])):
+        with open(f"{folder}/{i:03d}.sse", "wb") as f:
+            f.write(data[a:b])
+
+
+def sequence(rng, n):
+    lines = []
+    for i in range(n):
+        lines += rng.choice([["event: message"], [], [": note"]]) + [f"id: {i}", 'data: {"a":', "data:", f'data: {i}, "é": "x"}}', rng.choice(["", " \t", "\r"])]
+        if rng.random() < 0.2:
+            lines += ["", "   "]
+    return ("\n".join(lines) + "\n" + rng.choice(["", "data: open", "data: open\n"])).encode()
+
+
+def test_ranges_and_rotations_change_nothing(tmp_path):
+    rng = random.Random(1)
+    for k in range(25):
+        data = sequence(rng, rng.randrange(0, 9))
+        folder = str(tmp_path / str(k))
+        rotate(folder, data, sorted(rng.randrange(len(data) + 1) for _ in range(rng.randrange(0, 6))))
+        filesystem, found = C.captures(folder)
+        (capture, files), = found.items()
+        assert sum(n for _, n in files) == len(data)
+        for split in SPLITS:
+            parts = C.ranges(folder, capture, files, 0, len(data), split)
+            got = [e for r in parts for e in C.events(filesystem, r)]
+            assert [e[1:] for e in got] == framed(data), (data, split)
+        end = C.last_boundary(filesystem, folder, capture, files)
+        assert framed(data[:end]) == framed(data) and framed(data[end:]) == []
+
+
+def test_batch_and_stream_by_format(spark, tmp_path):
+    rng = random.Random(2)
+    data = {c: sequence(rng, 40) for c in ("a", "b")}
+    for c, d in data.items():
+        rotate(str(tmp_path / "in" / c), d, sorted(rng.randrange(len(d)) for _ in range(4)))
+    os.makedirs(tmp_path / "in" / "empty")
+    (tmp_path / "in" / "a" / "_hidden").write_bytes(b"data: no\n\n")
+    want = sorted((e for d in data.values() for e in framed(d)), key=str)
+    for split in (50, 1 << 20):
+        got = C.capture_source(spark, str(tmp_path / "in"), split_bytes=split).collect()
+        assert sorted(((r.value, r.sse_event, r.sse_id) for r in got), key=str) == want and all(r.is_valid for r in got)
+    assert C.capture_source(spark, str(tmp_path / "nothing")).count() == 0
+
+
+def test_stream_waits_for_the_end_of_an_event_and_restarts(spark, tmp_path):
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+
+    def run():
+        q = (C.capture_source(spark, folder, streaming=True, split_bytes=16).writeStream.format("parquet").option("path", out)
+             .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start())
+        q.awaitTermination(120)
+        assert q.exception() is None
+        return sorted(int(r.sse_id) for r in spark.read.parquet(out).collect())
+
+    def append(name, data):
+        os.makedirs(f"{folder}/one", exist_ok=True)
+        with open(f"{folder}/one/{name}", "ab") as f:
+            f.write(data)
+
+    append("0", b"id: 1\ndata: {}\n\nid: 2\ndata: {")
+    assert run() == [1]
+    assert run() == [1]
+    append("1", b"}\n")             # the event goes on in the next file, its blank line is still missing
+    assert run() == [1]
+    append("1", b"\nid: 3\ndata: {}\n\n")
+    append("2", b"id: 4\ndata: {}\n\n\n\n")
+    assert run() == [1, 2, 3, 4]
+    append("3", b"id: 5\ndata: {}\n\nid: 6\n")
+    os.remove(f"{folder}/one/0")    # read long ago
+    assert run() == [1, 2, 3, 4, 5]
+    rows = {int(r.sse_id): (r.file, r.position, r.value) for r in spark.read.parquet(out).collect()}
+    assert rows[2] == ("0", 16, "{}") and rows[4] == ("2", 0, "{}")
+
+
+def test_a_range_reads_only_its_own_files(tmp_path):
+    rotate(str(tmp_path), b"data: {}\n\n" * 100, [100 * i for i in range(1, 10)])
+    _, found = C.captures(str(tmp_path))
+    (capture, files), = found.items()
+    parts = C.ranges(str(tmp_path), capture, files, 0, 1000, 250)
+    assert [p.files[0][0] for p in parts] == ["000.sse", "002.sse", "004.sse", "007.sse"]
+    assert sum(1 for p in parts for _ in C.events(pafs.LocalFileSystem(), p)) == 100
+
+
+def test_options(spark):
+    with pytest.raises(Exception, match="path"):
+        C.CaptureReader({})
+    with pytest.raises(ValueError):
+        C.CaptureReader({"path": "/tmp", "splitbytes": "0"})
