@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulse.config import (
+    STREAM_REVISION_CREATE,
     WATERMARK,
     WINDOW_BOT,
     WINDOW_BY_TYPE,
@@ -20,6 +21,7 @@ from pulse.config import (
     WINDOW_DOMAIN,
     WINDOW_TOTAL,
 )
+from pulse.functions.time import duration_seconds
 from pulse.functions.values import flag_count
 from pulse.operators.parse import revisions_only
 
@@ -106,34 +108,37 @@ def reaggregate(df: DataFrame, keys: list[str], value: str = "cnt") -> DataFrame
 
 # --- one pass for all five ----------------------------------------------------------
 
-CUBE_DIMS = ["event_type", "domain", "stream", "bot", "rev_content_changed"]
-
-
 def base_cube(df: DataFrame) -> DataFrame:
-    """Events counted by 10-second window and every dimension a metric reads.
+    """``dim, t, value`` with counts: events by (10 seconds, type) and by (5 minutes, domain), in one pass.
 
-    All metric windows are multiples of 10 seconds, so the five metrics roll up
-    from this one pass; its size follows the groups, not the events.
+    All metric windows are multiples of these, so the five metrics roll up from
+    here. Each event counts in two small groupings, summed before the shuffle;
+    the result has a row per window and type or domain, whatever the events.
     """
-    w = F.window("event_time", WINDOW_TOTAL)
-    return df.groupBy(w.alias("w"), *CUBE_DIMS).agg(F.count(F.lit(1)).alias("n")).select(F.col("w.start").alias("t"), *CUBE_DIMS, "n")
+    micros = F.unix_micros("event_time")
+
+    def start(window: str):
+        width = duration_seconds(window) * 1_000_000
+        return F.timestamp_micros(micros - F.pmod(micros, F.lit(width)))
+
+    revision = F.coalesce(F.col("stream") == STREAM_REVISION_CREATE, F.lit(False))
+    sides = [F.struct(F.lit(dim).alias("dim"), start(window).alias("t"), F.col(dim).alias("value")) for dim, window in (("event_type", WINDOW_BY_TYPE), ("domain", WINDOW_DOMAIN))]
+    rows = df.where(F.col("event_time").isNotNull()).select("bot", (revision & F.col("rev_content_changed")).alias("changed"), revision.alias("revision"), F.inline(F.array(*sides)))
+    return rows.groupBy("dim", "t", "value").agg(F.count(F.lit(1)).alias("n"), flag_count("bot").alias("n_bot"), flag_count("revision").alias("n_revision"), flag_count("changed").alias("n_changed"))
 
 
 def metrics_of_cube(cube: DataFrame) -> dict[str, DataFrame]:
     """The five metric tables of :func:`base_cube`, equal to those of its events."""
-    def rolled(df: DataFrame, window: str, dims: list[str], *aggs):
-        return unpack_window(df.groupBy(F.window("t", window).alias("w"), *dims).agg(*aggs))
-
-    def count(name: str, when=None):
-        return F.sum("n" if when is None else F.when(when, F.col("n")).otherwise(0)).cast("long").alias(name)
+    def rolled(dim: str, window: str, dims: list[str], counts: dict[str, str]):
+        rows = cube.where(F.col("dim") == dim).withColumnRenamed("value", dim)
+        return unpack_window(rows.groupBy(F.window("t", window).alias("w"), *dims).agg(*(F.sum(c).cast("long").alias(name) for c, name in counts.items())))
 
-    flags = {c: F.coalesce(F.col(c), F.lit(False)) for c in ("bot", "rev_content_changed")}
-    m3 = rolled(cube, WINDOW_BOT, [], count("total_count"), count("bot_count", flags["bot"]))
-    m5 = rolled(revisions_only(cube), WINDOW_CONTENT, [], count("total_revision_count"), count("content_changed_count", flags["rev_content_changed"]))
+    m3 = rolled("event_type", WINDOW_BOT, [], {"n": "total_count", "n_bot": "bot_count"})
+    m5 = rolled("event_type", WINDOW_CONTENT, [], {"n_revision": "total_revision_count", "n_changed": "content_changed_count"}).where(F.col("total_revision_count") > 0)
     return {
-        "m1": rolled(cube, WINDOW_TOTAL, [], count("event_count")),
-        "m2": rolled(cube, WINDOW_BY_TYPE, ["event_type"], count("cnt")),
+        "m1": rolled("event_type", WINDOW_TOTAL, [], {"n": "event_count"}),
+        "m2": rolled("event_type", WINDOW_BY_TYPE, ["event_type"], {"n": "cnt"}),
         "m3": m3.withColumn("bot_ratio", F.col("bot_count") / F.col("total_count")),
-        "m4": rolled(cube, WINDOW_DOMAIN, ["domain"], count("cnt")),
+        "m4": rolled("domain", WINDOW_DOMAIN, ["domain"], {"n": "cnt"}),
         "m5": m5.withColumn("content_change_ratio", F.col("content_changed_count") / F.col("total_revision_count")),
     }

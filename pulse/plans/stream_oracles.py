@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from pulse.config import RETAINED_WINDOWS
 from pulse.plans.fixtures import BAD_TIME, NO_BOT, NO_CHANGED, T0_MICROS, TIME_COMPRESSION
-from pulse.plans.oracles import M1, M2, M3, M4, M5, RETAINED
+from pulse.plans.oracles import M1, M2, M3, M4, M5, RETAINED, _with
 from pulse.plans.oracles import ORACLES as BATCH
-from pulse.plans.oracles import with_ctes as _with
 from pulse.plans.replays import LAG_EVERY, LAG_SECONDS, LATE_EVERY, LATE_SECONDS, NO_REVISION, SLOT_SECONDS, SLOW_EVERY, SLOW_SECONDS
 
 _MICROS = f"({T0_MICROS} + (epoch_us(ts) - {T0_MICROS}) // {TIME_COMPRESSION})"
