@@ -20,6 +20,7 @@ LATE_EVERY, LATE_SECONDS = 20, 900          # every 20th message is 15 minutes l
 SLOW_EVERY, SLOW_SECONDS = 7, 90            # every 7th is 90 seconds late
 AGAIN_EVERY, AGAIN_SECONDS = 5, 30          # every 5th is delivered again half a minute later
 LAG_EVERY, LAG_SECONDS = 50, 600            # every 50th edit's new revision is told 10 minutes after its change
+VERSION_EVERY, REQUEST_EVERY, TEXT_FLAG_EVERY = 9, 13, 31      # messages with a new field, a new field in meta, a flag as text
 NO_REVISION = 41                            # every 41st edit has no revision id
 
 
@@ -52,6 +53,15 @@ def captured(spark: SparkSession, sf_dir: str) -> DataFrame:
     return capture_values(spark, sf_dir).select("offset", cut.alias("value"), _slot(F.unix_seconds("ingest_time")).alias("slot"))
 
 
+def drifted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Captured messages of which some have fields that the schema lacks, or a flag as text."""
+    o, v = F.col("offset"), F.col("value")
+    v = F.when(o % VERSION_EVERY == 0, F.regexp_replace(v, r"^\{", '{"schema_version":2,')).otherwise(v)
+    v = F.when(o % REQUEST_EVERY == 0, F.regexp_replace(v, r'"meta":\{', '"meta":{"request_id":"r",')).otherwise(v)
+    v = F.when(o % TEXT_FLAG_EVERY == 0, F.regexp_replace(v, r'"bot":(true|false)', '"bot":"$1"')).otherwise(v)
+    return capture_values(spark, sf_dir).select("offset", v.alias("value"))
+
+
 def in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The consumed messages in time order, in two halves."""
     r = _records(spark, sf_dir)

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pulse.config import RETAINED_WINDOWS
 from pulse.plans.fixtures import BAD_TIME, NO_BOT, NO_CHANGED, T0_MICROS, TIME_COMPRESSION
-from pulse.plans.oracles import M1, M2, M3, M4, M5, RETAINED, _with
+from pulse.plans.oracles import M1, M2, M2_TOP, M3, M4, M5, RETAINED, _with
 from pulse.plans.oracles import ORACLES as BATCH
 from pulse.plans.replays import LAG_EVERY, LAG_SECONDS, LATE_EVERY, LATE_SECONDS, NO_REVISION, SLOT_SECONDS, SLOW_EVERY, SLOW_SECONDS
+from pulse.plans.replays import REQUEST_EVERY, TEXT_FLAG_EVERY, VERSION_EVERY
 
 _MICROS = f"({T0_MICROS} + (epoch_us(ts) - {T0_MICROS}) // {TIME_COMPRESSION})"
 
@@ -84,3 +85,13 @@ UNION ALL SELECT 'metrics:bot_ratio_1m', strftime(window_start, '%Y-%m-%dT%H:%M:
 UNION ALL SELECT 'metrics:content_change_ratio_1m', strftime(window_start, '%Y-%m-%dT%H:%M:%S'), unnest(['content_changed_count', 'total_revision_count']),
                  unnest([content_changed_count, total_revision_count]) FROM change""",
 })
+
+_WATERMARK = "(SELECT max(event_time) - INTERVAL 2 MINUTE FROM ev)"
+ORACLES.update({
+    "stream_top5_closed": _with(M2, M2_TOP) + f"\nSELECT * FROM top5 WHERE window_end <= {_WATERMARK}",
+    "state_audit": _with(M2) + f"\nSELECT window_start, window_end, event_type, cnt AS state_cnt, cnt AS log_cnt FROM m2 WHERE window_end > {_WATERMARK}",
+    "schema_drift": _with() + f"""
+SELECT stream, 'schema_version' AS path, 'BIGINT' AS type, 'unknown' AS problem, count(*) AS n FROM allev WHERE event_id % {VERSION_EVERY} = 0 GROUP BY stream
+UNION ALL SELECT stream, 'meta.request_id', 'STRING', 'unknown', count(*) FROM allev WHERE event_id % {REQUEST_EVERY} = 0 GROUP BY stream
+UNION ALL SELECT stream, 'bot', 'STRING', 'other_type', count(*) FROM allev WHERE event_id % {TEXT_FLAG_EVERY} = 0 AND event_id % {NO_BOT} <> 0 GROUP BY stream""",
+})

@@ -14,6 +14,7 @@ from pulse.operators import edits as E
 from pulse.operators import metrics as M
 from pulse.operators import parse as P
 from pulse.operators import sketches as K
+from pulse.operators.drift import schema_drift
 from pulse.plans import replays
 from pulse.plans.barriers import materialize, run_folder
 from pulse.plans.fixtures import standard_events
@@ -23,7 +24,9 @@ from pulse.sources.capture_source import capture_source
 from pulse.sources.files import jsonl_source
 from pulse.streaming import jobs as J
 from pulse.streaming import sinks as SK
+from pulse.streaming.audit import open_windows
 from pulse.streaming.late import LateSplit
+from pulse.streaming.top import top_types_closed
 
 NOW = {"availableNow": True}
 
@@ -173,6 +176,37 @@ def q_sketch_domains_1h(spark, sf_dir):
     return K.top_estimates(_hourly_sketches(spark, sf_dir), k=K.TRACKED // 2)
 
 
+# --- ranking closed windows in the stream, state audit, schema drift ------------------------
+
+
+def q_stream_top5_closed(spark, sf_dir):
+    """Top 5 + others of every window that the watermark has closed, given out once by the stream itself."""
+    folder = run_folder(spark)
+
+    def run(lines: str) -> None:
+        top = top_types_closed(_stream(spark, lines, M.METRIC_COLUMNS))
+        (top.writeStream.format("parquet").outputMode("append").option("path", f"{folder}/top")
+         .option("checkpointLocation", f"{folder}/checkpoint").trigger(**NOW).start().awaitTermination())
+
+    with J.rocksdb_state(spark):
+        replays.deliver(replays.in_order(spark, sf_dir), folder, run)
+    return spark.read.parquet(f"{folder}/top")
+
+
+def q_state_audit(spark, sf_dir):
+    """The open windows of metric 2 after a run: what the stream's state holds and what its log says."""
+    folder = run_folder(spark)
+    layout = J.RunLayout(folder)
+    replays.deliver(replays.in_order(spark, sf_dir), folder, lambda lines: J.start_metric(
+        _stream(spark, lines, M.METRIC_COLUMNS), "events_by_type", layout, trigger=NOW, refresh_snapshot=False).awaitTermination())
+    return open_windows(spark, layout, "events_by_type")
+
+
+def q_schema_drift(spark, sf_dir):
+    """Fields that the fixed schema drops or nulls, per stream, with their types, over a capture that has drifted."""
+    return schema_drift(replays.drifted(spark, sf_dir))
+
+
 # --- the streaming archive and the whole job (STR5, STR8, PRJ6, PRJ9) ----------------------
 
 
@@ -223,4 +257,4 @@ def q_run_all_store(spark, sf_dir):
 QUERIES = {f.__name__[2:]: f for f in (
     q_capture_source, q_stream_capture_source,
     q_late_events, q_quality_counters, q_stream_quality_counters, q_stream_unique_messages, q_unique_edits_10s, q_stream_unique_edits,
-    q_sketch_distinct_1h, q_sketch_domains_1h, q_stream_raw_archive, q_reserialised_events, q_run_all_store)}
+    q_sketch_distinct_1h, q_sketch_domains_1h, q_stream_top5_closed, q_state_audit, q_schema_drift, q_stream_raw_archive, q_reserialised_events, q_run_all_store)}

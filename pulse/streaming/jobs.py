@@ -10,6 +10,7 @@ the log's current revisions.
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -205,6 +206,18 @@ def use_rocksdb_state(spark: SparkSession) -> None:
                    "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
 
+@contextmanager
+def rocksdb_state(spark: SparkSession):
+    """Queries started inside keep their state in RocksDB (:func:`use_rocksdb_state`); the session's setting comes back after."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    use_rocksdb_state(spark)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 class LateRows(StreamingQueryListener):
     """Rows that the stateful aggregates dropped as late, per query name, over all
     micro-batches since it was added (``spark.streams.addListener``)."""
