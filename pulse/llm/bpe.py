@@ -13,7 +13,6 @@ The work runs in Arrow batches inside tasks; nothing is shuffled.
 from __future__ import annotations
 
 import base64
-from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -27,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
 MAX_FILE_BYTES = 64 << 20       # the rank file travels with the tasks, so its size is checked
-MEMO_PIECES, MEMO_CHARS = 1 << 17, 32       # short matches whose ids a Python worker remembers
+MEMO_PIECES, MEMO_CHARS = 1 << 19, 32       # short matches whose ids a Python worker remembers
 LONG_TEXT = 1 << 20             # characters above which matches are taken one by one
 ROWS = 256                      # rows of an Arrow batch worked on at a time
 
@@ -48,54 +47,8 @@ class Vocabulary:
         return Vocabulary(data, pattern)
 
 
-class RankQueue:
-    """Positions by merge rank, lowest rank and leftmost position first.
-
-    ``levels[0]`` has a bit for each rank, 64 to a word; a bit of the next level
-    says that a word of the one below is not zero; the last level is one word.
-    """
-
-    def __init__(self, ranks: int):
-        self.buckets: dict[int, list[int]] = {}
-        self.levels: list[list[int]] = []
-        while True:
-            ranks = (ranks + 63) >> 6
-            self.levels.append([0] * ranks)
-            if ranks <= 1:
-                break
-
-    def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket is not None:
-            heappush(bucket, position)
-            return
-        self.buckets[rank] = [position]
-        for level in self.levels:
-            word = level[rank >> 6]
-            level[rank >> 6] = word | 1 << (rank & 63)
-            if word:
-                break
-            rank >>= 6
-
-    def pop(self) -> tuple[int, int] | None:
-        """(rank, position), or None when no position is left."""
-        rank = 0
-        for level in reversed(self.levels):
-            word = level[rank]
-            if not word:
-                return None
-            rank = rank << 6 | (word & -word).bit_length() - 1
-        bucket = self.buckets[rank]
-        position = heappop(bucket)
-        if not bucket:
-            del self.buckets[rank]
-            at = rank
-            for level in self.levels:
-                level[at >> 6] &= ~(1 << (at & 63))
-                if level[at >> 6]:
-                    break
-                at >>= 6
-        return rank, position
+WORD = 8                        # log2 of the bits of one bitmap word (Python's integers have any width)
+LOW = (1 << WORD) - 1
 
 
 class Coder:
@@ -108,61 +61,102 @@ class Coder:
             raise ValueError("a byte has no rank")
         self.tokens = {rank: token for token, rank in self.ranks.items()}
         self.pattern = regex.compile(vocabulary.pattern)
-        self.queue = RankQueue(max(self.tokens) + 1)
-        self.memo: dict[str, tuple[int, ...]] = {}
-
-    def merge(self, piece: bytes) -> tuple[int, ...]:
-        """Ids of one match of the pattern."""
-        ranks, queue, n = self.ranks, self.queue, len(piece)
-        whole = ranks.get(piece)
+        self.words = [0] * ((max(self.tokens) >> WORD) + 1)       # the bitmap over the ranks; empty between two matches
+        self.memo: dict[str, bytes] = {}
+
+    def merge(self, piece: bytes) -> list[int]:
+        """Ids of one match of the pattern.
+
+        ``buckets`` holds the positions of a rank (a heap, leftmost first); a bit
+        of ``words`` says that a rank has a bucket, a bit of ``top`` that a word
+        is not zero. The lowest bits of both name the next rank.
+        """
+        get, words, n = self.ranks.get, self.words, len(piece)
+        whole = get(piece)
         if whole is not None:
-            return (whole,)
+            return [whole]
         end = list(range(1, n + 1))         # where the part that starts at a position ends: the list's links to the right
         before = list(range(-1, n))         # ... and where the part on its left starts
-        rank = [-1] * n                     # rank of a part joined with the next one, -1 if they don't merge
-        for i in range(n - 1):
-            r = ranks.get(piece[i:i + 2], -1)
+        rank = [get(piece[i:i + 2], -1) for i in range(n - 1)]      # of a part joined with the next one, -1 if they don't merge
+        rank.append(-1)
+        buckets: dict[int, list[int]] = {}
+        top = 0
+        for i, r in enumerate(rank):
             if r >= 0:
-                rank[i] = r
-                queue.push(r, i)
-        while (top := queue.pop()) is not None:
-            r, i = top
+                if r in buckets:
+                    buckets[r].append(i)    # in order, so a heap
+                else:
+                    buckets[r] = [i]
+                    words[r >> WORD] |= 1 << (r & LOW)
+                    top |= 1 << (r >> WORD)
+        while top:
+            at = (top & -top).bit_length() - 1
+            word = words[at]
+            r = at << WORD | (word & -word).bit_length() - 1
+            bucket = buckets[r]
+            if len(bucket) > 1:
+                i = heappop(bucket)
+            else:
+                i = bucket[0]
+                del buckets[r]
+                words[at] = word = word & (word - 1)
+                if not word:
+                    top &= top - 1
             if rank[i] != r:                # stale: this part has been merged or has grown since
                 continue
             j = end[i]
             e = end[i] = end[j]
             rank[j] = -1
-            rank[i] = -1
             if e < n:
                 before[e] = i
-                r = ranks.get(piece[i:end[e]], -1)
+                r = rank[i] = get(piece[i:end[e]], -1)
                 if r >= 0:
-                    rank[i] = r
-                    queue.push(r, i)
-            p = before[i]
-            if p >= 0:
-                r = rank[p] = ranks.get(piece[p:e], -1)
+                    if r in buckets:
+                        heappush(buckets[r], i)
+                    else:
+                        buckets[r] = [i]
+                        words[r >> WORD] |= 1 << (r & LOW)
+                        top |= 1 << (r >> WORD)
+            else:
+                rank[i] = -1
+            i = before[i]
+            if i >= 0:
+                r = rank[i] = get(piece[i:e], -1)
                 if r >= 0:
-                    queue.push(r, p)
-        ids, i = [], 0
+                    if r in buckets:
+                        heappush(buckets[r], i)
+                    else:
+                        buckets[r] = [i]
+                        words[r >> WORD] |= 1 << (r & LOW)
+                        top |= 1 << (r >> WORD)
+        ids, i, ranks = [], 0, self.ranks
         while i < n:
             ids.append(ranks[piece[i:end[i]]])
             i = end[i]
-        return tuple(ids)
-
-    def encode(self, text: str) -> array:
-        memo, out = self.memo, array("i")
-        pieces = self.pattern.findall(text) if len(text) <= LONG_TEXT else (m.group() for m in self.pattern.finditer(text))
-        for piece in pieces:
-            ids = memo.get(piece)
-            if ids is None:
-                ids = self.merge(piece.encode())
-                if len(piece) <= MEMO_CHARS:
-                    if len(memo) >= MEMO_PIECES:
-                        memo.clear()
-                    memo[piece] = ids
-            out.extend(ids)
-        return out
+        return ids
+
+    def encode(self, text: str) -> bytes:
+        """Ids of a text, 32 bits each."""
+        if len(text) > LONG_TEXT:
+            return b"".join(self._pieces([m.group()]) for m in self.pattern.finditer(text))
+        return self._pieces(self.pattern.findall(text))
+
+    def _pieces(self, pieces: list[str]) -> bytes:
+        memo = self.memo
+        parts = list(map(memo.get, pieces))
+        if None in parts:
+            for k, ids in enumerate(parts):
+                if ids is None:
+                    piece = pieces[k]
+                    ids = memo.get(piece)       # the same match may stand earlier in this text
+                    if ids is None:
+                        ids = np.array(self.merge(piece.encode()), np.int32).tobytes()
+                        if len(piece) <= MEMO_CHARS:
+                            if len(memo) >= MEMO_PIECES:
+                                memo.clear()
+                            memo[piece] = ids
+                    parts[k] = ids
+        return b"".join(parts)
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
@@ -197,8 +191,8 @@ def encode(df: DataFrame, vocabulary: Vocabulary, keep: list[str], text_col: str
         c = coder(vocabulary)
         for b in _slices(batches):
             ids = [c.encode(t) for t in b.column(len(keep)).to_pylist()]
-            offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-            values = np.concatenate([np.frombuffer(x, np.int32) for x in ids]) if ids else np.zeros(0, np.int32)
+            offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in ids])]).astype(np.int32)
+            values = np.frombuffer(b"".join(ids), np.int32)
             yield pa.record_batch([*b.columns[:len(keep)], pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))], [*keep, out])
 
     text = F.make_valid_utf8(F.coalesce(F.col(text_col), F.lit("")))
