@@ -117,11 +117,13 @@ grams AS (
   FROM pieces, (VALUES (1), (2), (3)) AS sizes(k)),
 f AS (SELECT lang, k, phrase, count(*)::HUGEINT AS f, string_split(phrase, ' ') AS w FROM grams GROUP BY lang, k, phrase HAVING count(*) >= 10),
 totals AS (SELECT lang, count(*) AS n FROM grams WHERE k = 1 GROUP BY lang),
+parts AS (
+  SELECT lang, k, phrase, f AS a, pos, array_to_string(w[1:pos], ' ') AS first_part, array_to_string(w[pos + 1:], ' ') AS last_part
+  FROM f, (VALUES (1), (2)) AS places(pos) WHERE pos < k),
 cuts AS (
-  SELECT c.lang, c.k, c.phrase, c.f AS a, at, l.f AS l, r.f AS r, 1000000 * c.f * c.f // (l.f * r.f) AS score
-  FROM f AS c, (VALUES (1), (2)) AS places(at), f AS l, f AS r
-  WHERE at < c.k AND l.lang = c.lang AND l.phrase = array_to_string(c.w[1:at], ' ') AND r.lang = c.lang AND r.phrase = array_to_string(c.w[at + 1:], ' ')),
-weakest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, at) = 1),
+  SELECT p.*, l.f AS l, r.f AS r, 1000000 * p.a * p.a // (l.f * r.f) AS score
+  FROM parts AS p JOIN f AS l ON l.lang = p.lang AND l.phrase = p.first_part JOIN f AS r ON r.lang = p.lang AND r.phrase = p.last_part),
+weakest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, pos) = 1),
 held AS (
   SELECT lang, phrase, max(f) AS held
   FROM (SELECT lang, f, array_to_string(w[1:2], ' ') AS phrase FROM f WHERE k = 3 UNION ALL SELECT lang, f, array_to_string(w[2:3], ' ') FROM f WHERE k = 3)

@@ -13,8 +13,8 @@ documents, whatever the sample proposed.
 Which phrases are proposed is kept in one bit table per length, of a fixed size
 (``2**filter_bits`` bits) whatever the corpus: a bit set by chance only means
 that a phrase is counted in vain. Tasks hash words and count n-grams in Arrow
-batches with numpy and hand on one row per distinct phrase of about a million
-words; the rest is grouping and joins. A word is known by 64 bits of its language and text.
+batches with numpy and hand on one row per distinct phrase of some hundred
+thousand words; the rest is grouping and joins. A word is known by 64 bits of its language and text.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,8 +40,8 @@ SCALE = 1_000_000
 MIN_COUNT, MAX_WORDS, TOP = 10, 3, 2000
 INSIDE_PERCENT = 50             # a candidate goes if a longer one holds this share of its occurrences
 SAMPLE, SAMPLE_COUNT = 0.05, 2  # share of the documents that proposes phrases, and how often they must stand there
-FILTER_BITS = 25                # 4 MB a table
-BUFFER = 1 << 20                # n-grams a task holds before it counts them
+FILTER_BITS = 24                # 2 MB a table
+BUFFER = 1 << 18                # n-grams of a length that a task holds before it counts them
 BATCH_BYTES = 1 << 20           # text bytes worked on at a time (a longer text is one batch)
 
 BREAK = np.zeros(256, bool)
@@ -50,6 +51,9 @@ AS_BLANK[list((BREAKS + BLANKS).encode())] = 0x20
 LINK = np.uint64(0xD6E8FEB86659FD93)
 
 
+Tables = dict[int, np.ndarray]          # bit tables by length
+
+
 def _w(max_words: int) -> list[str]:
     return [f"w{i}" for i in range(max_words)]
 
@@ -57,7 +61,7 @@ def _w(max_words: int) -> list[str]:
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Slices of about BATCH_BYTES bytes of text (column 0)."""
     for b in batches:
-        _, offsets = H.text_bytes(b.column(0))
+        offsets = np.concatenate([[0], np.cumsum(pc.binary_length(b.column(0)).to_numpy(zero_copy_only=False), dtype=np.int64)])
         at = 0
         while at < b.num_rows:
             to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + BATCH_BYTES, "right")) - 1)
@@ -90,10 +94,10 @@ def _has(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 
 class _Counter:
-    """Counts of one length's phrases: rows of (hash, language key, words..., count), summed when there are many."""
+    """Counts of one length's phrases: rows of (hash, the output's columns..., count), summed when there are many."""
 
-    def __init__(self, width: int):
-        self.width, self.parts, self.held, self.counted = width, [], 0, 0
+    def __init__(self):
+        self.parts, self.held, self.counted = [], 0, 0
 
     def add(self, rows: list[np.ndarray]) -> None:
         self.parts.append(rows)
@@ -123,7 +127,7 @@ class _Counter:
         return rows
 
 
-def count_pass(docs: DataFrame, max_words: int, new: list[np.ndarray] | None, old: list[np.ndarray] | None) -> DataFrame:
+def count_pass(docs: DataFrame, max_words: int, new: Tables | None, old: Tables | None) -> DataFrame:
     """(lang_key, w0.., n): phrases of ``docs`` (text, lang_key) with their counts.
 
     ``new`` and ``old`` are bit tables by length. Counted is a phrase whose two
@@ -135,12 +139,13 @@ def count_pass(docs: DataFrame, max_words: int, new: list[np.ndarray] | None, ol
     names = ["lang_key", *_w(max_words), "n"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counters = [_Counter(k) for k in range(max_words + 1)]
+        counters = [_Counter() for _ in range(max_words + 1)]
 
         def rows(k: int, r: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
             if len(r[0]):
                 none = np.zeros(len(r[0]), np.uint64)
-                columns = [r[1], *r[2:2 + k], *[none] * (max_words - k)]
+                columns = r[1:-1] if k < 2 else [none, *r[1:-1]]
+                columns = [*columns, *[none] * (max_words + 1 - len(columns))]
                 yield pa.record_batch([*(pa.array(c.view(np.int64)) for c in columns), pa.array(r[-1])], names)
 
         for b in _chunks(batches):
@@ -165,7 +170,7 @@ def count_pass(docs: DataFrame, max_words: int, new: list[np.ndarray] | None, ol
                 hashes = _next(hashes[:-1], words[k - 1:])
                 at = np.flatnonzero(at)
                 if len(at):
-                    counters[k].add([hashes[at], np.zeros(len(at), np.uint64), *(words[at + j] for j in range(k)), np.ones(len(at), np.int64)])
+                    counters[k].add([hashes[at], *(words[at + j] for j in range(k)), np.ones(len(at), np.int64)])
             for k, c in enumerate(counters):
                 if (r := c.full()) is not None:
                     yield from rows(k, r)
@@ -182,29 +187,36 @@ def size_of(max_words: int) -> Column:
     return sum((F.when(F.col(c) != 0, 1).otherwise(0) for c in _w(max_words)), F.lit(0))
 
 
-def bit_tables(phrases: DataFrame, max_words: int, filter_bits: int) -> list[np.ndarray]:
-    """A bit table of the hashes of the phrases of each length, by length (0 and ``max_words`` are empty).
+def bit_tables(phrases: DataFrame, max_words: int, filter_bits: int, known: Tables | None = None) -> Tables:
+    """For each length below ``max_words`` a bit table of its phrases' hashes, those of ``known`` included.
 
-    Only the tables' words reach the driver, at most ``2**(filter_bits - 5)`` a
-    length however many phrases there are.
+    Only words of a table with bits that ``known`` lacks reach the driver, at
+    most ``2**(filter_bits - 5)`` a length however many phrases there are.
     """
     w, mask = _w(max_words), np.uint64((1 << filter_bits) - 1)
+    known = known or {k: np.zeros(1 << max(filter_bits - 5, 0), np.uint32) for k in range(1, max_words)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             columns = [b.column(c).to_numpy(zero_copy_only=False).view(np.uint64) for c in w]
-            size = sum((c != 0).astype(np.int32) for c in columns)
-            hashes = columns[0].copy()
-            for k in range(1, max_words):
-                hashes = np.where(columns[k] != 0, _next(hashes, columns[k]), hashes)
-            yield pa.record_batch([pa.array(size, pa.int32()), pa.array((hashes & mask).astype(np.int64))], ["size", "at"])
+            hashes, left = columns[0], np.arange(len(columns[0]))
+            for k in range(1, max_words):       # the rows that are left have k words or more
+                ends = columns[k][left] == 0
+                whole = hashes[ends]
+                at = (whole[~_has(known[k], whole)] & mask).astype(np.int64)
+                if len(at):
+                    yield pa.record_batch([pa.array(np.full(len(at), k, np.int32)), pa.array(at)], ["size", "at"])
+                left, hashes = left[~ends], hashes[~ends]
+                hashes = _next(hashes, columns[k][left])
 
     at = phrases.select(*w).where((F.col("w0") != 0) & (F.col(w[-1]) == 0)).mapInArrow(run, "size int, at long")
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("at") % 32).cast("int"))
-    cells = at.groupBy("size", F.shiftright("at", 5).alias("cell")).agg(F.bit_or(bit).alias("bits")).toPandas()
-    tables = [np.zeros(1 << max(filter_bits - 5, 0), np.uint32) for _ in range(max_words + 1)]
-    for size, part in cells.groupby("size"):
-        tables[size][part["cell"].to_numpy(np.int64)] = part["bits"].to_numpy(np.int64).astype(np.uint32)
+    cells = at.groupBy("size", F.shiftright("at", 5).cast("int").alias("cell")).agg(F.bit_or(bit).alias("bits")).toArrow()
+    tables = {}
+    for k, bits in known.items():
+        part = cells.filter(pc.equal(cells["size"], k))
+        tables[k] = bits.copy() if len(part) else bits
+        tables[k][part["cell"].to_numpy()] |= part["bits"].to_numpy().astype(np.uint32)
     return tables
 
 
@@ -222,8 +234,8 @@ def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int
     while True:
         frequent = stash(count_pass(docs, max_words, new, old).where((F.col("n") >= min_count) | (F.col("w0") == 0)))
         out.append(frequent)
-        grown = [a | b for a, b in zip(new, bit_tables(frequent, max_words, filter_bits))]
-        if all(np.array_equal(a, b) for a, b in zip(grown[1:max_words], new[1:max_words])):
+        grown = bit_tables(frequent, max_words, filter_bits, new)
+        if all(grown[k] is new[k] for k in new):        # no phrase of the border is frequent
             return reduce(DataFrame.unionByName, out), len(out)
         new, old = grown, new
 
