@@ -72,6 +72,9 @@ SELECT {_HOUR} AS window_start, {_HOUR} + INTERVAL 1 HOUR AS window_end, domain,
 SELECT CAST(event_id AS VARCHAR) AS id, 'https://' || domain || '/wiki/' || title AS uri, event_id * 2 + 1 AS revision, event_id * 2 AS parent, k + 100 AS length, k % 2 = 0 AS patrolled,
        ev.event_time, domain, CAST(coalesce(year(ev.event_time), -1) AS INTEGER) AS year, CAST(coalesce(hour(ev.event_time), -1) AS INTEGER) AS hour
 FROM ev JOIN (SELECT event_id, k FROM src) USING (event_id)""",
+    "archive_domain_read": _with() + """
+SELECT event_time, domain, event_type, title FROM ev
+WHERE event_time >= TIMESTAMP '2024-01-01 01:00:00' AND event_time < TIMESTAMP '2024-01-01 05:00:00' AND domain = 'w7.example.org'""",
     "reserialised_events": _with() + """
 SELECT CAST(event_id AS VARCHAR) AS id, domain, event_type, title, event_id % 3 <> 0 AS as_received FROM ev""",
     "run_all_store": _with(M1, M2, RETAINED, M3, M4, M5) + f""",

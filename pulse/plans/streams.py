@@ -222,6 +222,14 @@ def q_stream_raw_archive(spark, sf_dir):
         F.coalesce("year", F.lit(-1)).alias("year"), F.coalesce("hour", F.lit(-1)).alias("hour"))
 
 
+def q_archive_domain_read(spark, sf_dir):
+    """One domain's events of a range of hours from an archive clustered by domain: other row groups are skipped."""
+    path = f"{run_folder(spark)}/raw"
+    SK.write_raw(standard_events(spark, sf_dir, columns=["event_time", "domain", "event_type", "title"]), path, cluster_by=["domain"], row_group_bytes=1 << 15)
+    rows = read_raw(spark, path, "2024-01-01T01:00:00Z", "2024-01-01T05:00:00Z").where(F.col("domain") == "w7.example.org")
+    return rows.select("event_time", "domain", "event_type", "title")
+
+
 def q_reserialised_events(spark, sf_dir):
     """Standard events to JSON and back: the original text where it was kept, else from the columns."""
     events = standard_events(spark, sf_dir, columns=[*STANDARD_COLUMNS, "message_id"])
@@ -257,4 +265,4 @@ def q_run_all_store(spark, sf_dir):
 QUERIES = {f.__name__[2:]: f for f in (
     q_capture_source, q_stream_capture_source,
     q_late_events, q_quality_counters, q_stream_quality_counters, q_stream_unique_messages, q_unique_edits_10s, q_stream_unique_edits,
-    q_sketch_distinct_1h, q_sketch_domains_1h, q_stream_top5_closed, q_state_audit, q_schema_drift, q_stream_raw_archive, q_reserialised_events, q_run_all_store)}
+    q_sketch_distinct_1h, q_sketch_domains_1h, q_stream_top5_closed, q_state_audit, q_schema_drift, q_stream_raw_archive, q_archive_domain_read, q_reserialised_events, q_run_all_store)}
