@@ -25,6 +25,8 @@ CONTROL = r"(<)(?=\||/?s>|</?SYS>>)|(\|)(?=>)|(\[)(?=/?INST\])"     # <| |> <s>
 START, SEP, END = "<|im_start|>", "<|im_sep|>", "<|im_end|>"
 # ------------------------------------------------------------------------------------
 
+ROUNDS = 6      # doubling rounds (paths of 32 messages) before the trees' messages are counted, to notice cycles
+
 
 def escape(text: Column) -> Column:
     """Reversible: ``\\`` before every backslash, and after the first character of each control string."""
@@ -49,13 +51,23 @@ def linear_tree(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", rol
             .withColumn("parent", F.when(F.col("node") > 1, F.col("node") - 1)).withColumn("score", F.lit(1.0)))
 
 
-def branches(messages: DataFrame, best: int = 1) -> DataFrame:
+def one_per_node(messages: DataFrame) -> DataFrame:
+    """``messages`` with one row for each (tree, node): the least by score, parent, role and text (those it has), nulls first."""
+    order = [F.col(c).asc_nulls_first() for c in ("score", "parent", "role", "text") if c in messages.columns]
+    at = F.row_number().over(Window.partitionBy("tree", "node").orderBy(*order))
+    return messages.withColumn("_at", at).where(F.col("_at") == 1).drop("_at")
+
+
+def branches(messages: DataFrame, best: int = 1, unique: bool = False) -> DataFrame:
     """(tree, leaf, rank, node, depth) of the ``best`` highest-scored branches of each tree.
 
     ``messages``: tree, node, parent, score. A branch's score is the sum over its
     messages (null: 0); ties go to the smaller leaf. A message whose parent is
-    missing is a root. Parents must not form cycles.
+    missing is a root; of several rows of one (tree, node) the least counts
+    (:func:`one_per_node`; ``unique`` says that there are none). Parents that
+    form a cycle raise ``ValueError``.
     """
+    messages = messages if unique else one_per_node(messages)
     m = stash(messages.select("tree", "node", "parent", F.coalesce("score", F.lit(0.0)).alias("score")))
     jump = m.select("tree", "node", F.col("parent").alias("to"))
     known = m.select(F.col("tree").alias("_t"), F.col("node").alias("_n"))
@@ -70,6 +82,10 @@ def branches(messages: DataFrame, best: int = 1) -> DataFrame:
         tables.append(climbing.select("tree", "node", "to"))
         if not tables[-1].take(1):
             break
+        if len(tables) == ROUNDS:       # a path of so many messages is rare: is there a tree that large?
+            largest = m.groupBy("tree").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+        if len(tables) >= ROUNDS and 1 << (len(tables) - 1) >= largest:
+            raise ValueError("the messages' parents form a cycle")
         up = reach.select(F.col("tree").alias("_t"), F.col("node").alias("_n"), F.col("to").alias("_to"),
                           F.col("sum").alias("_sum"), F.col("hops").alias("_hops"))
         step = climbing.join(up, climbing["tree"].eqNullSafe(up["_t"]) & (climbing["to"] == up["_n"]))
@@ -87,17 +103,19 @@ def branches(messages: DataFrame, best: int = 1) -> DataFrame:
     return path.join(depth, path["tree"].eqNullSafe(depth["_t"]) & (path["node"] == depth["_n"])).select("tree", "leaf", "rank", "node", "depth")
 
 
-def format_chats(messages: DataFrame, best: int = 1, loss_role: str = "assistant") -> DataFrame:
+def format_chats(messages: DataFrame, best: int = 1, loss_role: str = "assistant", unique: bool = False) -> DataFrame:
     """(tree, leaf, formatted, loss_spans): one conversation for each chosen branch.
 
     ``messages``: tree, node, parent, role, text, score. ``loss_spans`` are the
     (start, end) code points, from 0, of the texts of ``loss_role`` in
     ``formatted``. Null roles and texts are empty; equal texts, long texts and
-    control strings pass through unchanged; no messages give no rows. A
-    conversation is one string, so its turns meet in one task.
+    control strings pass through unchanged; repeated (tree, node) and cycles as
+    in :func:`branches`; no messages give no rows. A conversation is one string,
+    so its turns meet in one task.
     """
+    messages = messages if unique else one_per_node(messages)
     m = stash(messages.select("tree", "node", "parent", "score", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")))
-    path = branches(m, best)
+    path = branches(m, best, unique=True)
     p = path.select(F.col("tree").alias("_t"), F.col("node").alias("_n"), "leaf", "depth")
     turns = m.join(p, m["tree"].eqNullSafe(p["_t"]) & (m["node"] == p["_n"]))
     role, text = escape(F.col("role")), escape(F.col("text"))

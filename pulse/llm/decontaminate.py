@@ -88,10 +88,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     prove a copy as well, whatever its letter case and however few of its words
     are no placeholder; an item of fewer than ``window`` words is one window of
     all its words, and only items without a word never match. The counts are
-    those of the template where it matches. Null ids are values, null texts are empty, repeated rows give one
-    row, extra columns are ignored; no documents or items give no rows.
+    those of the template where it matches. Null ids are values, null texts are empty, repeated rows
+    of either table give one row, extra columns are ignored; no documents or items give no rows.
     """
-    items = stash(_with_windows(benchmark.select(F.col(item_col).alias("item"), F.coalesce(F.col(item_text), F.lit("")).alias("_item_text")), "_item_text", window)
+    items = stash(_with_windows(benchmark.select(F.col(item_col).alias("item"), F.coalesce(F.col(item_text), F.lit("")).alias("_item_text")).distinct(), "_item_text", window)
                   .select("item", "_item_text", "_words", "_windows"))
     marks = F.transform("_words", lambda w: w.startswith("ª").cast("int"))
     b = items.withColumn("_marks", marks).select("item", "_item_text", F.size("_windows").alias("item_windows"), "_marks",

@@ -76,7 +76,7 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every conversation, read back from its formatted text."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     turns = turns.union(spark.createDataFrame(EXTRA_CHAT, "conv_id long, turn long, role string, text string"))
-    chats = chat.format_chats(chat.linear_tree(turns))
+    chats = chat.format_chats(chat.linear_tree(turns), unique=True)
     read = chats.select("tree", "formatted", chat.read_back(F.col("formatted")).alias("turns"),
                         chat.loss_text(F.col("formatted"), F.col("loss_spans")).alias("loss"))
     whole = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")

@@ -128,7 +128,9 @@ def _slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.R
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
           max_positive: int = MAX_POSITIVE, max_unlabelled: int = MAX_UNLABELLED) -> np.ndarray:
     """Weights learned from at most ``max_positive`` rows with label 1 and
-    ``max_unlabelled`` rows of any kind, the least by a hash of their id.
+    ``max_unlabelled`` rows of any kind, the least by a hash of their id, then of id and text.
+
+    Equal rows (id and text) count once, whatever number of them there is.
 
     The class prior is the share of label 1 among all of ``labels`` (kept within
     0.001 and 0.5). The sample's ids are found first, on narrow columns; features
@@ -143,8 +145,13 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     chosen = p.union(u.distinct())
 
     # Two narrow columns of at most max_positive + max_unlabelled rows: a proven bound for the broadcast.
-    sample = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id").select("positive", "text")
-    sample = stash(sample)
+    near = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id")
+    near = stash(near.select("positive", "id", F.xxhash64("text").alias("digest"), "text"))
+    # An id may have any number of rows: the bound holds for (id, digest), again on narrow columns.
+    rows = near.select("positive", "id", "digest").distinct()
+    order = F.xxhash64("id", "digest"), "id", "digest"
+    kept = rows.where("positive").orderBy(*order).limit(max_positive).union(rows.where("not positive").orderBy(*order).limit(max_unlabelled))
+    sample = stash(near.join(F.broadcast(kept), ["positive", "id", "digest"]).dropDuplicates(["positive", "id", "digest"]).select("positive", "text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = np.zeros((2, 1 << FEATURE_BITS), np.int32)
