@@ -87,14 +87,14 @@ def announced_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(e.alias("offset"), F.to_json(event).alias("value"), _slot(F.unix_seconds("t")).alias("slot"))
 
 
-def capture_files(messages: DataFrame, folder: str, files: int = 6) -> str:
+def capture_files(messages: DataFrame, folder: str, files: int = 6, cut: bool = True) -> str:
     """Write messages (offset, value) as the rotated files of two captures: event, id and two ``data:`` lines and a
-    blank one each. Files end where the line count says, mostly inside an event."""
+    blank one each. Files end where the line count says, mostly inside an event (``cut``), or between two events."""
     first = F.length(F.substring_index("value", ",", 1)) + 1
     lines = F.array(F.lit("event: message"), F.concat(F.lit("id: "), F.col("offset").cast("string")), F.concat(F.lit("data: "), F.substring("value", F.lit(1), first)),
                     F.concat(F.lit("data: "), F.substring("value", first + 1, F.length("value"))), F.lit(""))
     rows = messages.select((F.col("offset") % 2).alias("capture"), "offset", F.posexplode(lines).alias("i", "value"))
-    rows = rows.select("capture", (F.col("offset") * 5 + F.col("i")).alias("at"), "value").repartitionByRange(files, "at").sortWithinPartitions("capture", "at")
+    rows = rows.select("capture", "offset", (F.col("offset") * 5 + F.col("i")).alias("at"), "value").repartitionByRange(files, "at" if cut else "offset").sortWithinPartitions("capture", "at")
     rows.select("capture", "value").write.partitionBy("capture").text(f"{folder}/captures")
     return f"{folder}/captures"
 

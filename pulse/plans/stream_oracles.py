@@ -33,7 +33,7 @@ UNION ALL SELECT 'unknown_stream', count(*) FROM allev WHERE stream = 'other' OR
 UNION ALL SELECT 'no_type', count(*) FROM allev WHERE event_type IS NULL OR event_id % 7 = 0""",
     "stream_unique_messages": _with(M1) + "\nSELECT * FROM m1",
 }
-ORACLES["capture_source"] = ORACLES["stream_capture_source"] = BATCH["capture_framing"]
+ORACLES["capture_files"] = ORACLES["capture_source"] = ORACLES["stream_capture_source"] = BATCH["capture_framing"]
 ORACLES["stream_quality_counters"] = ORACLES["quality_counters"]
 
 _EDITS = f"""WITH told AS (

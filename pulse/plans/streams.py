@@ -20,6 +20,7 @@ from pulse.plans.barriers import materialize, run_folder
 from pulse.plans.fixtures import standard_events
 from pulse.schema import STANDARD_COLUMNS
 from pulse.sources.archive import read_raw
+from pulse.sources.capture import sse_events
 from pulse.sources.capture_source import capture_source
 from pulse.sources.files import jsonl_source
 from pulse.streaming import jobs as J
@@ -45,6 +46,12 @@ def _capture_fields(events):
                        F.coalesce("e.revision.new", F.lit(-1).cast("long")).alias("revision"), F.col("e.meta.domain").alias("domain"))
 
 
+def q_capture_files(spark, sf_dir):
+    """Capture files read line by line as Spark splits them, and framed."""
+    path = replays.capture_files(replays.captured(spark, sf_dir), run_folder(spark), cut=False)
+    return _capture_fields(sse_events(spark, f"{path}/*"))
+
+
 def q_capture_source(spark, sf_dir):
     """Two captures in rotated files that cut events, read by the data source in ranges smaller than a file."""
     path = replays.capture_files(replays.captured(spark, sf_dir), run_folder(spark))
@@ -263,6 +270,6 @@ def q_run_all_store(spark, sf_dir):
 
 
 QUERIES = {f.__name__[2:]: f for f in (
-    q_capture_source, q_stream_capture_source,
+    q_capture_files, q_capture_source, q_stream_capture_source,
     q_late_events, q_quality_counters, q_stream_quality_counters, q_stream_unique_messages, q_unique_edits_10s, q_stream_unique_edits,
     q_sketch_distinct_1h, q_sketch_domains_1h, q_stream_top5_closed, q_state_audit, q_schema_drift, q_stream_raw_archive, q_archive_domain_read, q_reserialised_events, q_run_all_store)}
