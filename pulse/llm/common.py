@@ -42,7 +42,19 @@ def stash(df: DataFrame) -> DataFrame:
         atexit.register(_remove, app)
     path = f"{_FOLDERS[app][1]}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stash = path
+    return out
+
+
+def discard(*stashed: DataFrame | None) -> None:
+    """Delete stashes whose last reader has run: what was made of them is stashed itself or has been collected."""
+    for df in stashed:
+        path = getattr(df, "_stash", None)
+        if path is not None:
+            sc = df.sparkSession.sparkContext
+            p = sc._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulse.llm.common import stash
+from pulse.llm.common import discard, stash
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -14,11 +14,13 @@ def components(links: DataFrame) -> DataFrame:
     ``links``: a, b (64-bit). In each round every label becomes the least label
     next to it, is handed to its old label's node as well, and then jumps to the
     label of its label, so chains shorten by halves. Only counts reach the
-    driver. No links give no rows.
+    driver; a round's labels are deleted when the next one's are written. No links
+    give no rows.
     """
     links = links.where(F.col("a") != F.col("b"))
     both = stash(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     labels = stash(both.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("label")))
+    held = labels
     while True:
         l = labels.select(F.col("node").alias("b"), "label")
         near = both.join(l, "b").groupBy("a").agg(F.min("label").alias("near"))
@@ -27,6 +29,8 @@ def components(links: DataFrame) -> DataFrame:
         told = told.groupBy("node").agg(F.min("new").alias("label"), F.max("was").alias("was"))
         up = told.select(F.col("node").alias("label"), F.col("label").alias("top"))
         after = stash(told.join(up, "label", "left").select("node", F.coalesce("top", "label").alias("label"), "was"))
+        discard(held)
+        held, labels = after, after.drop("was")
         if not after.where(F.col("label") != F.col("was")).take(1):
-            return after.drop("was")
-        labels = after.drop("was")
+            discard(both)
+            return labels

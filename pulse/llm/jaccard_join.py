@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulse.llm import hashing as H
-from pulse.llm.common import WORD, stash
+from pulse.llm.common import WORD, discard, stash
 from pulse.llm.components import components
 
 SHINGLE = 5
@@ -173,9 +173,9 @@ def _least_shared(nx, ny):
 
 
 def _compare(pairs: DataFrame, docs: DataFrame, reps: DataFrame, size: int) -> DataFrame:
-    """(center, node, shared, n_center, n_node): exact intersections of each node's set with its center's.
+    """(center, node, shared, n_center, n_node): exact intersections of each node's set with its center's, stashed.
 
-    Only the texts of these nodes are read. They travel to their center once; a center with many nodes is copied into
+    ``pairs``, a stash, is deleted when they are written. Only the texts of these nodes are read. They travel to their center once; a center with many nodes is copied into
     several groups. Groups arrive sorted, center first, and are read as a stream.
     """
     counts = pairs.groupBy("center").agg(F.floor(F.count(F.lit(1)) / REGION_ROWS).cast("int").alias("last"))
@@ -199,8 +199,10 @@ def _compare(pairs: DataFrame, docs: DataFrame, reps: DataFrame, size: int) -> D
                 if out:
                     yield pa.record_batch([pa.array(x, pa.int64()) for x in zip(*out)], ["center", "node", "shared", "n_center", "n_node"])
 
-    return rows.select("center", "group", "kind", "node", "text").mapInArrow(
-        run, "center long, node long, shared long, n_center long, n_node long")
+    found = stash(rows.select("center", "group", "kind", "node", "text").mapInArrow(
+        run, "center long, node long, shared long, n_center long, n_node long"))
+    discard(wanted, pairs)
+    return found
 
 
 def similar_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, levels: int = LEVELS) -> DataFrame:
@@ -253,9 +255,11 @@ def similar_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
         nearest = met.groupBy("node").agg(F.max(F.struct("cells", "center")).alias("m")).select("node", F.col("m.center").alias("center"))
         if known is not None:
             nearest = nearest.join(known.select("node", "center"), ["node", "center"], "left_anti")
-        found = stash(_compare(stash(nearest), docs, reps, size))
+        found = _compare(stash(nearest), docs, reps, size)
+        before = (known, found, links) if known is not None else ()
         known = found if known is None else stash(known.union(found))
         links = stash(_linked(known))
+        discard(*before)
 
     # What is left: pairs of different components, compared exactly.
     left = _open_cells(kept, links)
@@ -264,6 +268,7 @@ def similar_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     left = left.join(near, "node", "left").select("token", "node", "n", "pos", "label", F.col("m.center").alias("p"), (1 - F.col("m.j")).alias("d"))
     # A pair shares no more cells than either document has left.
     left = stash(left.withColumn("cells", F.count(F.lit(1)).over(Window.partitionBy("node"))))
+    discard(kept, known)
     x = left.select(*[F.col(c).alias(c + "_x") for c in left.columns])
     y = left.select(*[F.col(c).alias(c + "_y") for c in left.columns])
     window = F.coalesce((F.col("p_x") != F.col("p_y")) | (F.abs(F.col("d_x") - F.col("d_y")) <= 0.2 + 1e-9), F.lit(True))
@@ -275,9 +280,11 @@ def similar_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     here = left.select("token", "node")
     both = pairs.join(here.select("token", F.col("node").alias("center")), "center").join(here, ["token", "node"])
     enough = both.groupBy("center", "node", "m", "n").agg(F.count(F.lit(1)).alias("cells")).where(F.col("cells") >= _least_shared(F.col("n"), F.col("m")))
-    links = links.union(_linked(_compare(stash(enough.select("center", "node")), docs, reps, size)))
-
-    labels = components(links)
+    enough = stash(enough.select("center", "node"))
+    discard(left, pairs)
+    found = _compare(enough, docs, reps, size)
+    labels = components(links.union(_linked(found)))
+    discard(links, found, reps)
     f = features.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = f.where(F.col("label").isNotNull()).groupBy("label").agg(F.min("id").alias("component"))
     alone = f.where(F.col("label").isNull()).select("id", "digest", "n", F.col("id").alias("component"), "label")

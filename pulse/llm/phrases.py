@@ -41,8 +41,8 @@ MIN_COUNT, MAX_WORDS, TOP = 10, 3, 2000
 INSIDE_PERCENT = 50             # a candidate goes if a longer one holds this share of its occurrences
 SAMPLE, SAMPLE_COUNT = 0.05, 2  # share of the documents that proposes phrases, and how often they must stand there
 FILTER_BITS = 24                # 2 MB a table
-BUFFER = 1 << 18                # n-grams of a length that a task holds before it counts them
-BATCH_BYTES = 1 << 20           # text bytes worked on at a time (a longer text is one batch)
+BUFFER = 1 << 17                # n-grams of a length that a task holds before it counts them
+BATCH_BYTES = 1 << 19           # text bytes worked on at a time (a longer text is one batch)
 
 BREAK = np.zeros(256, bool)
 BREAK[list(BREAKS.encode())] = True
