@@ -57,6 +57,10 @@ SELECT time_bucket(INTERVAL 10 SECOND, t) AS window_start, time_bucket(INTERVAL
        count(*) AS edits, count(*) FILTER (WHERE bot) AS bots, count(*) FILTER (WHERE changed) AS changed
 FROM edits WHERE t IS NOT NULL {} GROUP BY ALL"""
 ORACLES["unique_edits_10s"] = _EDITS + _EDIT_WINDOWS.format("")
+ORACLES["unique_bot_ratio_1m"] = _EDITS + """
+SELECT time_bucket(INTERVAL 1 MINUTE, t) AS window_start, time_bucket(INTERVAL 1 MINUTE, t) + INTERVAL 1 MINUTE AS window_end,
+       count(*) AS total_count, count(*) FILTER (WHERE bot) AS bot_count, count(*) FILTER (WHERE bot) / count(*) AS bot_ratio
+FROM edits WHERE t IS NOT NULL GROUP BY ALL"""
 ORACLES["stream_unique_edits"] = _EDITS + _EDIT_WINDOWS.format(
     "AND t < least((SELECT max(t) FROM c WHERE revision IS NOT NULL), (SELECT max(t) FROM r WHERE revision IS NOT NULL)) - INTERVAL 7 MINUTE")
 

@@ -144,6 +144,12 @@ def q_unique_edits_10s(spark, sf_dir):
     return _edit_windows(E.unique_edits(P.parse_events(messages, columns=E.EDIT_COLUMNS)))
 
 
+def q_unique_bot_ratio_1m(spark, sf_dir):
+    """Metric 3 over edits instead of events: an edit that both topics tell of counts once."""
+    messages = replays.announced_edits(spark, sf_dir).select("value")
+    return M.bot_ratio(E.unique_edits(P.parse_events(messages, columns=E.EDIT_COLUMNS)))
+
+
 def q_stream_unique_edits(spark, sf_dir):
     """The same by a stream-stream join over messages as they arrive, up to where the watermark has closed it."""
     folder = run_folder(spark)
@@ -271,5 +277,5 @@ def q_run_all_store(spark, sf_dir):
 
 QUERIES = {f.__name__[2:]: f for f in (
     q_capture_files, q_capture_source, q_stream_capture_source,
-    q_late_events, q_quality_counters, q_stream_quality_counters, q_stream_unique_messages, q_unique_edits_10s, q_stream_unique_edits,
+    q_late_events, q_quality_counters, q_stream_quality_counters, q_stream_unique_messages, q_unique_edits_10s, q_unique_bot_ratio_1m, q_stream_unique_edits,
     q_sketch_distinct_1h, q_sketch_domains_1h, q_stream_top5_closed, q_state_audit, q_schema_drift, q_stream_raw_archive, q_archive_domain_read, q_reserialised_events, q_run_all_store)}
