@@ -13,6 +13,7 @@ The work runs in Arrow batches inside tasks; nothing is shuffled.
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -71,9 +72,9 @@ class Coder:
     def merge(self, piece: bytes) -> list[int]:
         """Ids of one match of the pattern.
 
-        ``buckets`` holds the positions of a rank (a heap, leftmost first); a bit
-        of ``words`` says that a rank has a bucket, a bit of ``top`` that a word
-        is not zero. The lowest bits of both name the next rank.
+        ``buckets`` holds the position of a rank, or a heap of several (leftmost
+        first); a bit of ``words`` says that a rank has a bucket, a bit of ``top``
+        that a word is not zero. The lowest bits of both name the next rank.
         """
         get, words, n = self.ranks.get, self.words, len(piece)
         whole = get(piece)
@@ -83,14 +84,18 @@ class Coder:
         before = list(range(-1, n))         # ... and where the part on its left starts
         rank = [get(piece[i:i + 2], -1) for i in range(n - 1)]      # of a part joined with the next one, -1 if they don't merge
         rank.append(-1)
-        buckets: dict[int, list[int]] = {}
+        buckets: dict[int, int | list[int]] = {}
         top = 0
         for i, r in enumerate(rank):
             if r >= 0:
                 if r in buckets:
-                    buckets[r].append(i)    # in order, so a heap
+                    held = buckets[r]
+                    if held.__class__ is int:
+                        buckets[r] = [held, i]
+                    else:
+                        held.append(i)      # in order, so a heap
                 else:
-                    buckets[r] = [i]
+                    buckets[r] = i
                     at = r >> WORD
                     words[at] |= BIT[r & LOW]
                     top |= BIT[at]
@@ -98,15 +103,17 @@ class Coder:
             at = (top & -top).bit_length() - 1
             word = words[at]
             r = at << WORD | (word & -word).bit_length() - 1
-            bucket = buckets[r]
-            if len(bucket) > 1:
-                i = heappop(bucket)
-            else:
-                i = bucket[0]
+            i = buckets[r]
+            if i.__class__ is int:
                 del buckets[r]
                 words[at] = word = word & (word - 1)
                 if not word:
                     top &= top - 1
+            else:
+                held = i
+                i = heappop(held)
+                if len(held) == 1:
+                    buckets[r] = held[0]
             if rank[i] != r:                # stale: this part has been merged or has grown since
                 continue
             j = end[i]
@@ -117,9 +124,13 @@ class Coder:
                 r = rank[i] = get(piece[i:end[e]], -1)
                 if r >= 0:
                     if r in buckets:
-                        heappush(buckets[r], i)
+                        held = buckets[r]
+                        if held.__class__ is int:
+                            buckets[r] = [held, i] if held < i else [i, held]
+                        else:
+                            heappush(held, i)
                     else:
-                        buckets[r] = [i]
+                        buckets[r] = i
                         at = r >> WORD
                         words[at] |= BIT[r & LOW]
                         top |= BIT[at]
@@ -130,9 +141,13 @@ class Coder:
                 r = rank[i] = get(piece[i:e], -1)
                 if r >= 0:
                     if r in buckets:
-                        heappush(buckets[r], i)
+                        held = buckets[r]
+                        if held.__class__ is int:
+                            buckets[r] = [held, i] if held < i else [i, held]
+                        else:
+                            heappush(held, i)
                     else:
-                        buckets[r] = [i]
+                        buckets[r] = i
                         at = r >> WORD
                         words[at] |= BIT[r & LOW]
                         top |= BIT[at]
@@ -157,7 +172,7 @@ class Coder:
                     piece = pieces[k]
                     ids = memo.get(piece)       # the same match may stand earlier in this text
                     if ids is None:
-                        ids = np.array(self.merge(piece.encode()), np.int32).tobytes()
+                        ids = array("i", self.merge(piece.encode())).tobytes()
                         if len(piece) <= MEMO_CHARS:
                             if len(memo) >= MEMO_PIECES:
                                 memo.clear()
