@@ -64,8 +64,7 @@ def prose_rows():
 
 
 @pytest.mark.parametrize("options", [
-    {}, {"sample": 0.0}, {"sample": 1.0, "sample_count": 1}, {"sample": 0.5, "sample_count": 9, "filter_bits": 5},
-    {"max_words": 2}, {"max_words": 4, "min_count": 6, "inside_percent": 30, "sample": 0.3}, {"top": 3}])
+    {}, {"sample": 0.0, "max_words": 2}, {"sample": 0.5, "sample_count": 9, "filter_bits": 5}, {"max_words": 4, "min_count": 6, "inside_percent": 30, "sample": 0.3}, {"top": 3}])
 def test_phrases_by_brute_force(spark, prose_rows, options):
     df = spark.createDataFrame(prose_rows, "text string, lang string")
     got = sorted(tuple(r) for r in phrases.collocations(df, **options).collect())
