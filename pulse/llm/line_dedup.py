@@ -1,18 +1,24 @@
 """Fuzzy line deduplication by SimHash.
 
-Lines are normalised to their words (letters and digits, A-Z lower-cased) and
-get a 64-bit SimHash. Two lines link when their SimHashes differ in at most 3
-bits and their edit similarity is at least 0.8. The 64 bits are cut into five
-blocks; of five blocks three differing bits leave two intact, so lines that link
-meet in one of the ten pairs of blocks. Equal lines are one line from the start,
-and where more than a few variants share a pair of blocks, each first meets the
-bucket's most frequent line: variants linked to it are connected and never paired among
-each other. Of every connected group one occurrence stays, the first by
-document and position.
+Lines are normalised to their words (letters and digits, A-Z lower-cased). The
+line's features, its words or, in lines of fewer than four, its pairs of
+bytes, are dealt into blocks by their hash, and each block has a SimHash of
+its own features: a changed word touches its old and its new block and leaves
+the others as they are. That is what makes the pigeonhole hold at an edit
+similarity of 0.8, where the bits of one hash over all features do not
+(one changed word of ten turns about nine of 64 bits). Lines that agree in as many blocks as
+their length asks for meet; those that can't link by their lengths, or by
+the SimHash of the whole line, part again; the edit similarity decides.
+
+Equal lines are one line from the start, and where more than a few variants
+share blocks, each first meets the bucket's most frequent line: variants linked
+to it are connected and never paired among each other. Of every connected group
+one occurrence stays, the first by document and position.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -22,15 +28,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulse.llm import hashing as H
-from pulse.llm.common import stash
+from pulse.llm.common import discard, stash
 from pulse.llm.components import components
 from pulse.llm.toxicity import PLAIN
 
-MAX_BITS, MIN_SIMILARITY = 3, 0.8
+MIN_SIMILARITY = 0.8
+MAX_BITS, GATED = 16, 60                            # bits of the whole SimHash in which linked lines of GATED characters or more may differ
 MIN_WORDS = 5                                       # unless the caller says otherwise, shorter lines stay as they are
 SMALL = 8                                           # lines of a bucket that are compared as they stand
 FILTER_BITS = 25
-BLOCKS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
+FEW = 4                                             # lines of fewer words are told by their pairs of bytes
+# Lines of words [from, to): blocks, how many of them a bucket is made of, and the least features of those.
+# The ranges overlap, so lines whose numbers of words differ still share one.
+LAYOUTS = ((2, 15, 5, 3, 2), (12, 30, 6, 2, 3), (24, 60, 8, 1, 4), (48, 1 << 31, 10, 1, 5))
+PAIR_LAYOUT = (6, 2, 2)
 
 
 def _line_rows(raw: np.ndarray, offsets: np.ndarray):
@@ -52,16 +63,94 @@ def _keys(words: np.ndarray, first: np.ndarray) -> np.ndarray:
     return H.mix(sums[first[1:]] - sums[first[:-1]] + n.astype(np.uint64))
 
 
-def _simhash(words: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Each bit is that of most of the line's words (0 without words)."""
-    n = np.diff(first)
-    out = np.zeros(len(n), np.uint64)
-    some = n > 0
-    if some.any():
-        bits = np.unpackbits(words.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
-        sums = np.add.reduceat(bits, first[:-1][some], axis=0, dtype=np.int32)
-        out[some] = np.packbits(2 * sums > n[some][:, None], axis=1).view(">u8").ravel().astype(np.uint64)
-    return out
+# A byte's bits as eight counters in one number.
+LANES = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).view(np.uint64).ravel()
+
+
+def _blocks(features: np.ndarray, line: np.ndarray, lines: int, blocks: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each line's distinct features by block: their number and SimHash (lines x blocks), and the SimHash of the whole line.
+
+    A bit of a SimHash is that of most of the features (0 without any).
+    """
+    slot = line * blocks + (H.mix(features + np.uint64(blocks)) >> np.uint64(32)).astype(np.int64) % blocks
+    order = np.lexsort((features, slot))
+    slot, features = slot[order], features[order]
+    once = np.ones(len(slot), bool)
+    once[1:] = (slot[1:] != slot[:-1]) | (features[1:] != features[:-1])
+    slot, features = slot[once], features[once]
+    count = np.bincount(slot, minlength=lines * blocks)
+    sums = np.zeros((lines * blocks, 64), np.int32)
+    held = np.flatnonzero(count)
+    if len(held):
+        pieces = -(-count[held] // 255)                 # a lane counts to 255
+        piece = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        begin = np.repeat(np.cumsum(count[held]) - count[held], pieces) + 255 * piece
+        lanes = np.add.reduceat(LANES[features.view(np.uint8).reshape(-1, 8)], begin, axis=0)
+        sums[held] = np.add.reduceat(lanes.view(np.uint8), np.cumsum(pieces) - pieces, axis=0, dtype=np.int32)
+    by_line = count.reshape(lines, blocks)
+    return by_line, _majority(sums, count).reshape(lines, blocks), _majority(sums.reshape(lines, blocks, 64).sum(axis=1), by_line.sum(axis=1))
+
+
+def _majority(sums: np.ndarray, n: np.ndarray) -> np.ndarray:
+    return np.packbits(2 * sums > n[:, None], axis=1).view(">u8").ravel().astype(np.uint64)
+
+
+def _meeting(count: np.ndarray, sims: np.ndarray, take: int, least: int, salt: int) -> tuple[np.ndarray, np.ndarray]:
+    """(line, bucket) for each choice of ``take`` blocks that hold ``least`` features or more."""
+    blocks = sims.shape[1]
+    part = H.mix(sims + H.mix(np.arange(blocks, dtype=np.uint64) + np.uint64(64 * salt)) + count.astype(np.uint64))
+    at, out = [], []
+    for k, choice in enumerate(combinations(range(blocks), take)):
+        some = np.flatnonzero(count[:, choice].sum(axis=1) >= least)
+        at.append(some)
+        out.append(H.mix(part[some][:, choice].sum(axis=1, dtype=np.uint64) + np.uint64(4096 * salt + k)))
+    return np.concatenate(at), np.concatenate(out)
+
+
+def _sketch(words: np.ndarray, first: np.ndarray, pairs: np.ndarray, pair_first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The SimHash of every line, its buckets end to end, and where each line's buckets begin.
+
+    ``pairs``: the byte pairs of the lines of fewer than ``FEW`` words.
+    """
+    n, lines = np.diff(first), len(first) - 1
+    simhash, at, out = np.zeros(lines, np.uint64), [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    for salt, (low, high, blocks, take, least) in enumerate(LAYOUTS, 1):
+        here = np.flatnonzero((n >= low) & (n < high))
+        if len(here):
+            within = np.repeat((n >= low) & (n < high), n)
+            count, sims, whole = _blocks(words[within], np.repeat(np.arange(len(here)), n[here]), len(here), blocks)
+            rows, found = _meeting(count, sims, take, least, salt)
+            simhash[here] = whole
+            at.append(here[rows])
+            out.append(found)
+    m = np.diff(pair_first)
+    here = np.flatnonzero(m > 0)
+    if len(here):
+        blocks, take, least = PAIR_LAYOUT
+        count, sims, _ = _blocks(pairs, np.repeat(np.arange(len(here)), m[here]), len(here), blocks)
+        rows, found = _meeting(count, sims, take, least, 9)
+        at.append(here[rows])
+        out.append(found)
+    line = np.concatenate(at)
+    order = np.argsort(line, kind="stable")
+    return simhash, np.concatenate(out)[order], np.searchsorted(line[order], np.arange(lines + 1))
+
+
+def _byte_pairs(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, few: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the byte pairs of the lines marked in ``few``, and each line's first."""
+    plain = H.LOWER[np.where(PLAIN[raw], raw, np.uint8(0x20))]
+    out, n = [np.zeros(0, np.uint64)], np.zeros(len(starts) + 1, np.int64)
+    for i in np.flatnonzero(few).tolist():
+        b = np.frombuffer(b" " + b" ".join(plain[starts[i]:ends[i]].tobytes().split()) + b" ", np.uint8).astype(np.uint64)
+        out.append(b[:-1] << np.uint64(8) | b[1:])
+        n[i + 1] = len(b) - 1
+    return H.mix(np.concatenate(out)), np.cumsum(n)
+
+
+def _lengths(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Code points of each normalised line: those of its words, and a blank between two."""
+    sums = np.concatenate([[0], np.cumsum(PLAIN[raw] & ~H.SPACE[raw] & ((raw & 0xC0) != 0x80))])
+    return sums[ends] - sums[starts] + np.maximum(n - 1, 0)
 
 
 def _slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
@@ -71,25 +160,30 @@ def _slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.R
 
 
 def line_table(docs: DataFrame, min_words: int) -> DataFrame:
-    """(id, digest, pos, key, simhash, n): a header per document (pos -1, n its
+    """(id, digest, pos, key, simhash, n, chars, buckets): a header per document (pos -1, n its
     number of lines), and its lines of ``min_words`` words or more, n words each."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _slices(batches):
             raw, offsets = H.text_bytes(b.column("text"))
-            starts, _, row, number, words, first = _line_rows(raw, offsets)
+            starts, ends, row, number, words, first = _line_rows(raw, offsets)
             n = np.diff(first)
-            keys, sim = _keys(words, first), _simhash(words, first)
-            long = np.flatnonzero(n >= min_words)
+            told = n >= max(min_words, 1)
+            sim, buckets, begin = _sketch(words, first, *_byte_pairs(raw, starts, ends, told & (n < FEW)))
+            keys, chars, long = _keys(words, first), _lengths(raw, starts, ends, n), np.flatnonzero(told)
             lines = np.bincount(row, minlength=b.num_rows)
             k = b.num_rows
             at = np.concatenate([np.arange(k), row[long]])
             none = np.zeros(k, np.uint64)
+            size = np.where(told, np.diff(begin), 0)
+            kept = buckets[np.repeat(told, np.diff(begin))].view(np.int64)
+            ends_at = np.concatenate([np.zeros(k + 1, np.int32), np.cumsum(size[long])]).astype(np.int32)
             yield pa.record_batch([b.column("id").take(pa.array(at)), b.column("digest").take(pa.array(at)),
                                    pa.array(np.concatenate([np.full(k, -1), number[long]]).astype(np.int32)),
                                    pa.array(np.concatenate([none, keys[long]]).view(np.int64)), pa.array(np.concatenate([none, sim[long]]).view(np.int64)),
-                                   pa.array(np.concatenate([lines, n[long]]).astype(np.int32))], ["id", "digest", "pos", "key", "simhash", "n"])
+                                   pa.array(np.concatenate([lines, n[long]]).astype(np.int32)), pa.array(np.concatenate([np.zeros(k), chars[long]]).astype(np.int32)),
+                                   pa.ListArray.from_arrays(pa.array(ends_at), pa.array(kept))], ["id", "digest", "pos", "key", "simhash", "n", "chars", "buckets"])
 
-    return docs.select("id", "digest", "text").mapInArrow(run, "id long, digest long, pos int, key long, simhash long, n int")
+    return docs.select("id", "digest", "text").mapInArrow(run, "id long, digest long, pos int, key long, simhash long, n int, chars int, buckets array<long>")
 
 
 def line_texts(docs: DataFrame, min_words: int, bits: np.ndarray) -> DataFrame:
@@ -139,12 +233,26 @@ def edit_distance(a: str, b: str) -> int:
     return distance
 
 
+def similar(a: str, b: str, least: float) -> bool:
+    """Is the edit similarity, 1 - distance / longer length, ``least`` or more? Bounds that are quick to take come first."""
+    most = int((1 - least) * max(len(a), len(b)) + 1e-9)
+    if abs(len(a) - len(b)) > most:
+        return False
+    x, y = a.split(" "), b.split(" ")
+    if len(x) == len(y) and sum(max(len(p), len(q)) for p, q in zip(x, y) if p != q) <= most:
+        return True
+    p, q = Counter(a), Counter(b)
+    if max((p - q).total(), (q - p).total()) > most:        # each edit mends one character of either side at best
+        return False
+    return edit_distance(a, b) <= most
+
+
 def _near(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     """The pairs (a, b) whose edit similarity, 1 - distance / longer length, is ``least`` or more."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _slices(batches):
             x, y = b.column("x").to_pylist(), b.column("y").to_pylist()
-            ok = [edit_distance(p, q) <= (1 - least) * max(len(p), len(q)) + 1e-9 for p, q in zip(x, y)]
+            ok = [similar(p, q, least) for p, q in zip(x, y)]
             yield pa.record_batch([b.column("a"), b.column("b")], ["a", "b"]).filter(pa.array(ok))
 
     both = pairs.join(texts.select(F.col("key").alias("a"), F.col("line").alias("x")), "a")
@@ -152,27 +260,19 @@ def _near(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def _buckets(lines: DataFrame) -> DataFrame:
-    """Every line in the bucket of each pair of blocks: which pair, and the blocks' bits."""
-    def bits(i: int) -> Column:
-        start, width = BLOCKS[i]
-        return F.shiftrightunsigned("simhash", start).bitwiseAND(F.lit((1 << width) - 1).cast("long"))
-
-    pairs = [F.shiftleft(F.lit(k).cast("long"), 26).bitwiseOR(F.shiftleft(bits(i), 13)).bitwiseOR(bits(j)) for k, (i, j) in enumerate(combinations(range(5), 2))]
-    return lines.select("key", "simhash", "times", F.explode_outer(F.array(*pairs)).alias("bucket"))
-
-
-def _met(buckets: DataFrame) -> DataFrame:
-    """(bucket, key, simhash, pivot, _s, large, near) of the lines that may link in a bucket.
+def _met(lines: DataFrame) -> DataFrame:
+    """(bucket, key, simhash, chars, pivot, _s, _c, large, near) of the lines that may link in a bucket.
 
     In buckets of up to ``SMALL`` lines ``near`` has the close lines that follow,
     so lines that met by chance are gone. One pass over the sorted buckets.
     """
+    buckets = lines.select("key", "simhash", "chars", "times", F.explode("buckets").alias("bucket"))
     w = Window.partitionBy("bucket").orderBy(F.col("times").desc(), "key")
-    ahead = [(F.lead("key", k).over(w), F.lead("simhash", k).over(w)) for k in range(1, SMALL)]
-    near = F.filter(F.array(*[F.when(_close(F.col("simhash"), s), key) for key, s in ahead]), lambda x: x.isNotNull())
+    ahead = [F.lead(F.struct("key", "simhash", "chars"), k).over(w) for k in range(1, SMALL)]
+    near = F.filter(F.array(*[F.when(_close(F.col("simhash"), F.col("chars"), x["simhash"], x["chars"]), x["key"]) for x in ahead]), lambda x: x.isNotNull())
     large = F.count(F.lit(1)).over(Window.partitionBy("bucket")) > SMALL
-    m = buckets.select("bucket", "key", "simhash", F.first("key").over(w).alias("pivot"), F.first("simhash").over(w).alias("_s"), large.alias("large"), near.alias("near"))
+    m = buckets.select("bucket", "key", "simhash", "chars", F.first("key").over(w).alias("pivot"), F.first("simhash").over(w).alias("_s"),
+                       F.first("chars").over(w).alias("_c"), large.alias("large"), near.alias("near"))
     return m.where(F.col("large") | (F.size("near") > 0))
 
 
@@ -186,8 +286,10 @@ def _bit_table(keys: DataFrame) -> np.ndarray:
     return bits
 
 
-def _close(x: Column, y: Column) -> Column:
-    return F.bit_count(x.bitwiseXOR(y)) <= MAX_BITS
+def _close(x: Column, x_chars: Column, y: Column, y_chars: Column) -> Column:
+    """Lengths that a link allows, and SimHashes no further apart than linked lines have them."""
+    low, high = F.least(x_chars, y_chars), F.greatest(x_chars, y_chars)
+    return (low >= MIN_SIMILARITY * high) & ((low < GATED) | (F.bit_count(x.bitwiseXOR(y)) <= MAX_BITS))
 
 
 def duplicate_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS,
@@ -206,23 +308,26 @@ def duplicate_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     lines = stash(line_table(docs, min_words))
     heads, body = lines.where(F.col("pos") == -1), lines.where(F.col("pos") >= 0)
     first = F.min(F.struct("id", "digest", "pos"))
-    distinct = stash(body.groupBy("key").agg(F.first("simhash").alias("simhash"), F.count(F.lit(1)).alias("times")))
+    distinct = stash(body.groupBy("key").agg(F.first("simhash").alias("simhash"), F.first("chars").alias("chars"), F.count(F.lit(1)).alias("times"),
+                                             F.first("buckets").alias("buckets")))
 
     # Small buckets give their close pairs at once. In larger ones each variant first meets the most
     # frequent one; then pairs across what that connects.
-    met = stash(_met(_buckets(distinct)))
+    met = stash(_met(distinct))
+    discard(distinct)
     small = met.where(~F.col("large")).select(F.col("key").alias("a"), F.explode("near").alias("b"))
-    met = met.where("large").drop("near")
-    star = met.where((F.col("key") != F.col("pivot")) & _close(F.col("simhash"), F.col("_s"))).select(F.col("key").alias("a"), F.col("pivot").alias("b"))
-    star = stash(star.union(small).distinct())
-    pairs = stash(star.union(_across(met, star)).distinct())
-
-    involved = stash(pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key"))).distinct())
-    texts = stash(line_texts(docs, min_words, _bit_table(involved)).join(involved, "key").dropDuplicates(["key"]))
-    links = stash(_near(pairs, texts, least))
-    # Close variants that an unverified pair connected may still link directly.
-    again = _across(met.join(involved, "key"), links).distinct().join(pairs, ["a", "b"], "left_anti")
-    labels = components(links.union(_near(stash(again), texts, least)))
+    crowd = met.where("large").drop("near")
+    close = _close(F.col("simhash"), F.col("chars"), F.col("_s"), F.col("_c"))
+    star = crowd.where((F.col("key") != F.col("pivot")) & close).select(F.col("key").alias("a"), F.col("pivot").alias("b"))
+    star = stash(_pairs(star.union(small)))
+    first_texts = stash(_texts(docs, star, min_words))
+    links = stash(_near(star, first_texts, least))
+    discard(first_texts)
+    across = stash(_pairs(_across(crowd, links)).join(star, ["a", "b"], "left_anti"))
+    discard(met, star)
+    texts = stash(_texts(docs, across, min_words))
+    labels = components(links.union(_near(across, texts, least)))
+    discard(links, across, texts)
 
     placed = body.join(labels.withColumnRenamed("node", "key"), "key", "left").withColumn("label", F.coalesce("label", "key"))
     place = F.struct("id", "digest", "pos")
@@ -235,15 +340,26 @@ def duplicate_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return out.select(F.col("id").alias(id_col), "digest", F.col("n").alias("n_lines"), F.size(gone).alias("n_dropped"), gone.alias("dropped"))
 
 
-def _across(met: DataFrame, links: DataFrame) -> DataFrame:
+def _pairs(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _texts(docs: DataFrame, pairs: DataFrame, min_words: int) -> DataFrame:
+    """(key, line) of the lines in ``pairs``."""
+    involved = stash(pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key"))).distinct())
+    return line_texts(docs, min_words, _bit_table(involved)).join(involved, "key").dropDuplicates(["key"])
+
+
+def _across(crowd: DataFrame, links: DataFrame) -> DataFrame:
     """Close pairs (a, b) that share a bucket but no component of ``links``."""
     labels = components(links).withColumnRenamed("node", "key")
-    m = met.join(labels, "key", "left").select("bucket", "key", "simhash", F.coalesce("label", "key").alias("label"))
+    m = crowd.join(labels, "key", "left").select("bucket", "key", "simhash", "chars", F.coalesce("label", "key").alias("label"))
     several = m.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where(F.col("low") != F.col("high"))
     m = stash(m.join(several.select("bucket"), "bucket"))
-    x = m.select("bucket", F.col("key").alias("a"), F.col("simhash").alias("_x"), F.col("label").alias("_l"))
-    y = m.select("bucket", F.col("key").alias("b"), F.col("simhash").alias("_y"), F.col("label").alias("_m"))
-    return x.join(y, (x["bucket"] == y["bucket"]) & (F.col("a") < F.col("b")) & (F.col("_l") != F.col("_m")) & _close(F.col("_x"), F.col("_y"))).select("a", "b")
+    x = m.select("bucket", F.col("key").alias("a"), F.col("simhash").alias("_x"), F.col("chars").alias("_n"), F.col("label").alias("_l"))
+    y = m.select("bucket", F.col("key").alias("b"), F.col("simhash").alias("_y"), F.col("chars").alias("_o"), F.col("label").alias("_m"))
+    near = _close(F.col("_x"), F.col("_n"), F.col("_y"), F.col("_o"))
+    return x.join(y, (x["bucket"] == y["bucket"]) & (F.col("a") < F.col("b")) & (F.col("_l") != F.col("_m")) & near).select("a", "b")
 
 
 def without_lines(df: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

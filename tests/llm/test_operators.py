@@ -520,25 +520,43 @@ def plain_lines(text):
     return out
 
 
+def test_similarity_with_its_quick_bounds():
+    rng = random.Random(12)
+    for _ in range(400):
+        a = " ".join("".join(rng.choice("abcé") for _ in range(rng.randrange(1, 5))) for _ in range(rng.randrange(1, 7)))
+        b = list(a)
+        for _ in range(rng.randrange(5)):
+            b[rng.randrange(len(b))] = rng.choice(["", "x", "ab", " "])
+        b = " ".join("".join(b).split())
+        assert line_dedup.similar(a, b, 0.8) == (slow_distance(a, b) <= 0.2 * max(len(a), len(b)) + 1e-9)
+
+
+def edited(w, rng, edits):
+    w = list(w)
+    for _ in range(edits):
+        i = rng.randrange(len(w))
+        w[i:i + 1] = rng.choice([[f"z{rng.randrange(10**6)}"], [], [w[i], f"z{rng.randrange(10**6)}"]])
+    return w
+
+
 @pytest.mark.parametrize("small", [2, 8])
 def test_line_dedup_by_brute_force(spark, monkeypatch, small):
+    """Against the edit similarity alone: what goes has a linked line before it, and nearly all that should go does."""
     monkeypatch.setattr(line_dedup, "SMALL", small)     # larger buckets go through their most frequent line
-    import pyarrow as pa
     rng = random.Random(11)
-    bases = [words(rng.randrange(5, 60), rng, 10**6) for _ in range(12)]
+    bases = [words(n, rng, 10**6) for n in (1, 2, 3, 4, 5, 6, 8, 9, 11, 12, 14, 15, 20, 24, 26, 29, 31, 45, 50, 58, 61, 80)]
     docs = []
     for i in range(60):
         lines = []
-        for _ in range(rng.randrange(0, 6)):
-            w = list(rng.choice(bases)) if rng.random() < 0.6 else words(8, rng, 10**6)
-            for _ in range(rng.choice([0, 0, 1, 1, 2])):
-                w[rng.randrange(len(w))] = f"z{rng.randrange(10**6)}"
+        for _ in range(rng.randrange(0, 8)):
+            w = rng.choice(bases)
+            if rng.random() < 0.7:
+                w = edited(w, rng, rng.choice([0, 1, 1, 1, 2, 3]) if len(w) > 4 else 0)
+            else:
+                w = words(8, rng, 10**6)
             lines.append(" ".join(w) + rng.choice(["", "!", " ."]))
         docs.append((i, "\n".join([*lines, "short line"])))
-    distinct = sorted({x for _, t in docs for _, x in plain_lines(t) if len(x.split()) >= 5})
-    raw, off = hashing.text_bytes(pa.array(distinct))
-    h, _, _, first = hashing.word_hashes(raw, off)
-    sim = line_dedup._simhash(h, first)
+    distinct = sorted({x for _, t in docs for _, x in plain_lines(t) if x})
     up = list(range(len(distinct)))
 
     def find(i):
@@ -546,26 +564,51 @@ def test_line_dedup_by_brute_force(spark, monkeypatch, small):
             i = up[i]
         return i
     links = 0
-    for i in range(len(distinct)):
-        for j in range(i):
-            if bin(int(sim[i]) ^ int(sim[j])).count("1") <= 3 and slow_distance(distinct[i], distinct[j]) <= 0.2 * max(len(distinct[i]), len(distinct[j])):
+    for i, x in enumerate(distinct):
+        for j, y in enumerate(distinct[:i]):
+            n = max(len(x), len(y))
+            if abs(len(x) - len(y)) <= 0.2 * n and slow_distance(x, y) <= 0.2 * n + 1e-9:
                 up[find(i)] = find(j)
                 links += 1
-    assert links > 5
+    assert links > 50
     seen, want = set(), defaultdict(list)
     for d, t in docs:
         for i, x in plain_lines(t):
-            if len(x.split()) >= 5:
+            if x:
                 g = find(distinct.index(x))
                 if g in seen:
                     want[d].append(i)
                 seen.add(g)
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3).withColumn("digest", F.lit("clash"))
-    found = line_dedup.duplicate_lines(df)
+    found = line_dedup.duplicate_lines(df, min_words=1)
     got = {r.doc_id: (r.n_lines, r.dropped) for r in found.collect()}
-    assert got == {d: (len(t.split("\n")), want[d]) for d, t in docs}
+    assert {d: n for d, (n, _) in got.items()} == {d: len(t.split("\n")) for d, t in docs}
+    assert all(set(lines) <= set(want[d]) for d, (_, lines) in got.items())
+    assert sum(len(lines) for _, lines in got.values()) >= 0.95 * sum(map(len, want.values()))
     cleaned = {r.doc_id: r.text for r in line_dedup.without_lines(df.drop("digest"), found).collect()}
-    assert cleaned == {d: "\n".join(x for i, x in enumerate(t.split("\n")) if i not in want[d]) for d, t in docs}
+    assert cleaned == {d: "\n".join(x for i, x in enumerate(t.split("\n")) if i not in got[d][1]) for d, t in docs}
+
+
+@pytest.mark.parametrize("n, edits", [(5, 1), (9, 1), (12, 1), (14, 2), (18, 2), (23, 3), (25, 3), (30, 3), (47, 4), (60, 5), (120, 8)])
+def test_similar_lines_meet(n, edits):
+    """Nine of ten lines with so many edits share a bucket with the line they came from, unlike other lines of their length."""
+    import pyarrow as pa
+    rng = random.Random(n)
+    lines = [words(n, rng, 3000) for _ in range(200)]
+    texts = [" ".join(w) for x in lines for w in (x, edited(x, rng, edits))]
+    raw, offsets = hashing.text_bytes(pa.array(texts))
+    starts, ends, _, _, hashes, first = line_dedup._line_rows(raw, offsets)
+    _, buckets, begin = line_dedup._sketch(hashes, first, *line_dedup._byte_pairs(raw, starts, ends, np.diff(first) < line_dedup.FEW))
+    held = [set(buckets[begin[i]:begin[i + 1]].tolist()) for i in range(len(texts))]
+    assert sum(bool(held[i] & held[i + 1]) for i in range(0, len(texts), 2)) >= 180
+    assert sum(bool(held[i] & held[(i + 2) % len(texts)]) for i in range(0, len(texts), 2)) <= 2
+
+
+def test_line_lengths():
+    import pyarrow as pa
+    raw, offsets = hashing.text_bytes(pa.array(["Ab,  \u00e9t\u00e9!\n\n--\n\u4eca\u5929 x", None, ""]))
+    starts, ends, _, _, _, first = line_dedup._line_rows(raw, offsets)
+    assert line_dedup._lengths(raw, starts, ends, np.diff(first)).tolist() == [6, 0, 0, 4]
 
 
 def test_short_lines_are_lines(spark, tmp_path):
