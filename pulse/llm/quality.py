@@ -1,8 +1,8 @@
 """Quality rules: base features and cross-document line frequency, in Spark SQL.
 
 Lines are normalised and hashed; the distinct documents of each (host, line)
-are counted; lines above a number of documents that doesn't grow with the host
-are removed, and documents that lose more than half of their words that way are
+are counted; lines of five words or 40 characters (parameters) above a number
+of documents that doesn't grow with the host are removed, and documents that lose more than half of their words that way are
 rejected. Exact copies of a text count once, as one document.
 """
 
@@ -19,6 +19,7 @@ MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 # --------------------------------------
 LINE_LIMIT = 10         # distinct documents of a host that may share a line
 LINE_SHARE = 0.0        # ... and their share of the host's distinct documents, if a caller wants one
+LINE_WORDS, LINE_CHARS = 5, 40      # lines of fewer words and characters stay: headings, dates and list marks recur in good documents
 MIN_LEFT_PERCENT = 50   # words that a document must keep
 
 
@@ -58,13 +59,13 @@ def normal_line(line: Column) -> Column:
 
 
 def line_table(text: Column) -> Column:
-    """The text's lines as (hash of the normalised line, words, position); lines without a word have hash null."""
+    """The text's lines as (hash of the normalised line, words, characters); lines without a word have hash null."""
     return F.transform(F.split(F.coalesce(text, F.lit("")), "\n", -1), lambda x: _line(normal_line(x)))
 
 
 def _line(norm: Column) -> Column:
     blanks = F.length(norm) - F.length(F.translate(norm, " ", ""))
-    return F.struct(F.when(norm != "", F.xxhash64(norm)).alias("h"), F.when(norm != "", blanks + 1).otherwise(F.lit(0)).alias("w"))
+    return F.struct(F.when(norm != "", F.xxhash64(norm)).alias("h"), F.when(norm != "", blanks + 1).otherwise(F.lit(0)).alias("w"), F.length(norm).alias("c"))
 
 
 def frequent_lines(lines: DataFrame, limit: int = LINE_LIMIT, share: float = LINE_SHARE) -> DataFrame:
@@ -83,13 +84,15 @@ def frequent_lines(lines: DataFrame, limit: int = LINE_LIMIT, share: float = LIN
 
 
 def quality_rules(df: DataFrame, keep: list[str] | None = None, host_col: str = "source", text_col: str = "text",
-                  limit: int = LINE_LIMIT, share: float = LINE_SHARE, min_left_percent: int = MIN_LEFT_PERCENT) -> DataFrame:
+                  limit: int = LINE_LIMIT, share: float = LINE_SHARE, min_left_percent: int = MIN_LEFT_PERCENT,
+                  line_words: int = LINE_WORDS, line_chars: int = LINE_CHARS) -> DataFrame:
     """The columns ``keep`` (default: all) with the base features, ``removed_words``,
     ``removed`` (hashes of the document's removed lines; null if none) and ``kept``.
 
     One row per row of ``df``. A document is kept unless a base rule fails or
-    fewer than ``min_left_percent`` of its words stand outside lines that more
-    than ``limit`` distinct documents and more than ``share`` of those of its host hold. Null text has no words
+    fewer than ``min_left_percent`` of its words stand outside lines of
+    ``line_words`` words or ``line_chars`` characters that more than ``limit`` distinct documents and
+    more than ``share`` of those of its host hold. Null text has no words
     and fails; a null host is a host; repeated rows count once and are judged
     alike; no rows give no rows. Columns of ``df`` named like a result are
     replaced.
@@ -99,7 +102,8 @@ def quality_rules(df: DataFrame, keep: list[str] | None = None, host_col: str =
     base = base.withColumn("_key", F.xxhash64("_text")).withColumn("_lines", line_table(F.col("_text"))).drop("_text")
     base = stash(base.withColumn("_row", F.monotonically_increasing_id()))
     lines = base.select("_row", F.col("_host").alias("host"), F.col("_key").alias("text_key"), F.explode("_lines").alias("l"))
-    lines = lines.select("_row", "host", "text_key", "l.h", "l.w").where(F.col("h").isNotNull())
+    lines = lines.select("_row", "host", "text_key", "l.h", "l.w", "l.c").where(
+        F.col("h").isNotNull() & ((F.col("w") >= line_words) | (F.col("c") >= line_chars))).drop("c")
     often = stash(frequent_lines(lines, limit, share))
     o = often.select(F.col("host").alias("_h1"), F.col("h").alias("_h2"))
     hits = lines.join(o, lines["host"].eqNullSafe(o["_h1"]) & (lines["h"] == o["_h2"]))
