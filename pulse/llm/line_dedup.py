@@ -260,13 +260,19 @@ def _near(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def _met(lines: DataFrame) -> DataFrame:
+def _shared(lines: DataFrame) -> DataFrame:
+    """(bucket, key) of the buckets with more than one line; only the two numbers are sorted."""
+    buckets = lines.select("key", F.explode("buckets").alias("bucket"))
+    return buckets.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("bucket"))).where(F.col("_n") > 1).drop("_n")
+
+
+def _met(shared: DataFrame, lines: DataFrame) -> DataFrame:
     """(bucket, key, simhash, chars, pivot, _s, _c, large, near) of the lines that may link in a bucket.
 
     In buckets of up to ``SMALL`` lines ``near`` has the close lines that follow,
-    so lines that met by chance are gone. One pass over the sorted buckets.
+    so lines that met by chance are gone.
     """
-    buckets = lines.select("key", "simhash", "chars", "times", F.explode("buckets").alias("bucket"))
+    buckets = shared.join(lines.select("key", "simhash", "chars", "times"), "key")
     w = Window.partitionBy("bucket").orderBy(F.col("times").desc(), "key")
     ahead = [F.lead(F.struct("key", "simhash", "chars"), k).over(w) for k in range(1, SMALL)]
     near = F.filter(F.array(*[F.when(_close(F.col("simhash"), F.col("chars"), x["simhash"], x["chars"]), x["key"]) for x in ahead]), lambda x: x.isNotNull())
@@ -313,21 +319,20 @@ def duplicate_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     # Small buckets give their close pairs at once. In larger ones each variant first meets the most
     # frequent one; then pairs across what that connects.
-    met = stash(_met(distinct))
-    discard(distinct)
+    shared = stash(_shared(distinct))
+    met = stash(_met(shared, distinct))
+    discard(distinct, shared)
     small = met.where(~F.col("large")).select(F.col("key").alias("a"), F.explode("near").alias("b"))
     crowd = met.where("large").drop("near")
     close = _close(F.col("simhash"), F.col("chars"), F.col("_s"), F.col("_c"))
     star = crowd.where((F.col("key") != F.col("pivot")) & close).select(F.col("key").alias("a"), F.col("pivot").alias("b"))
     star = stash(_pairs(star.union(small)))
-    first_texts = stash(_texts(docs, star, min_words))
-    links = stash(_near(star, first_texts, least))
-    discard(first_texts)
-    across = stash(_pairs(_across(crowd, links)).join(star, ["a", "b"], "left_anti"))
-    discard(met, star)
-    texts = stash(_texts(docs, across, min_words))
-    labels = components(links.union(_near(across, texts, least)))
-    discard(links, across, texts)
+    may = stash(crowd.select("key").union(star.select("a")).union(star.select("b")).distinct())
+    texts = stash(line_texts(docs, min_words, _bit_table(may)).join(may, "key").dropDuplicates(["key"]))
+    links = stash(_near(star, texts, least))
+    across = _pairs(_across(crowd, links)).join(star, ["a", "b"], "left_anti")
+    labels = components(links.union(stash(_near(across, texts, least))))
+    discard(met, star, may, texts, links)
 
     placed = body.join(labels.withColumnRenamed("node", "key"), "key", "left").withColumn("label", F.coalesce("label", "key"))
     place = F.struct("id", "digest", "pos")
@@ -344,12 +349,6 @@ def _pairs(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _texts(docs: DataFrame, pairs: DataFrame, min_words: int) -> DataFrame:
-    """(key, line) of the lines in ``pairs``."""
-    involved = stash(pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key"))).distinct())
-    return line_texts(docs, min_words, _bit_table(involved)).join(involved, "key").dropDuplicates(["key"])
-
-
 def _across(crowd: DataFrame, links: DataFrame) -> DataFrame:
     """Close pairs (a, b) that share a bucket but no component of ``links``."""
     labels = components(links).withColumnRenamed("node", "key")

@@ -350,6 +350,15 @@ def test_line_limit_does_not_grow_with_the_host(spark):
         assert out == {i: 6 if i < 12 else 0 for i, *_ in df.collect()}
 
 
+def test_short_lines_may_recur(spark):
+    text = lambda i: " ".join(f"d{i}x{k}" for k in range(50))      # noqa: E731
+    common = ["Contents", "1 May 2020", "\u4eca" * 39, "\u4eca" * 40, "a b c d e"]
+    df = spark.createDataFrame([(i, "\n".join([*common, text(i)]), "h") for i in range(12)], "doc_id long, text string, source string")
+    assert {r.removed_words for r in quality.quality_rules(df).collect()} == {6}
+    assert {r.text for r in quality.clean_documents(df).collect()} == {"\n".join([*common[:3], text(i)]) for i in range(12)}
+    assert {r.removed_words for r in quality.quality_rules(df, line_words=1).collect()} == {11}
+
+
 def test_quality_of_awkward_rows(spark):
     df = awkward(spark).withColumn("kept", F.lit("clash")).withColumn("n_words", F.lit(-1))
     out = quality.quality_rules(df, keep=["doc_id", "text"]).collect()
