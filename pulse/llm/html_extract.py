@@ -18,6 +18,7 @@ from __future__ import annotations
 import html as entities
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -45,8 +46,9 @@ MARKED = {"nav", "navbar", "menu", "header", "footer", "sidebar", "side", "ad",
           "breadcrumbs", "widget", "login", "search", "pagination", "disqus", "reply", "replies"}
 INSIDE = {"article", "main"}
 # --------------------------------------------------------------------------------------------------------
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z][^<]*\Z|[^<]+|<", re.S)
-NAMED = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+GAP, BLANKS, KEY, BARE = re.compile(r"[\s/]*"), re.compile(r"\s*"), re.compile(r"=?[^\s/>=]*\s*"), re.compile(r"[^\s>]*")
+NAME, AFTER_QUOTE = re.compile(r"[a-zA-Z][^\s/>]*"), re.compile(r"[\s/>]|\Z")
+MARKS = {"class", "id", "role"}
 
 
 @dataclass
@@ -56,18 +58,49 @@ class Block:
     linked: int                 # characters inside links
 
 
+def _attributes(page: str, at: int, quotes: bool) -> tuple[list[str], int, bool]:
+    """The class, id and role values of the tag whose attributes begin at ``at``, where
+    the tag ends (-1: not before the page does), and whether a slash stands before that.
+
+    A quoted value ends at its quote if a blank, a slash or the tag's end follows
+    there; any other quote is a character like the rest, so it hides no text.
+    """
+    marks: list[str] = []
+    while True:
+        m = GAP.match(page, at)
+        at = m.end()
+        if at == len(page):
+            return marks, -1, False
+        if page[at] == ">":
+            return marks, at + 1, m.group().endswith("/")
+        key = KEY.match(page, at)
+        at, value = key.end(), ""
+        if page.startswith("=", at):
+            at = BLANKS.match(page, at + 1).end()
+            quote = page[at:at + 1]
+            close = page.find(quote, at + 1) if quotes and quote in ("\"", "'") else -1
+            if close >= 0 and AFTER_QUOTE.match(page, close + 1):
+                value, at = page[at + 1:close], close + 1
+            else:
+                bare = BARE.match(page, at)
+                value, at = bare.group(), bare.end()
+        if key.group().strip().lower() in MARKS:
+            marks.append(value)
+
+
 def blocks(page: str | None) -> list[Block]:
     """The text blocks of a page: references decoded, white space as one space, trimmed, empty ones left out.
 
     Comments, declarations and the contents of raw-text elements are no text.
     A form's choices are blocks of their own; what svg, math, object, noscript
     and the like hold is text under their path. Unclosed elements end with their parent; a tag
-    that the page's end cuts off is dropped.
+    that the page's end cuts off is dropped. One pass over the page, whatever its tags and quotes.
     """
     out: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
+    opened: Counter[str] = Counter()
     parts: list[str] = []
-    linked, raw = 0, ""
+    linked, quotes = 0, True
 
     def flush() -> None:
         nonlocal linked
@@ -77,27 +110,49 @@ def blocks(page: str | None) -> list[Block]:
         parts.clear()
         linked = 0
 
+    def pop(name: str) -> None:
+        while True:
+            top = stack.pop()[0]
+            opened[top] -= 1
+            if top == name:
+                return
+
     page = page or ""
-    at = 0
+    at, last_end, last_open = 0, page.rfind(">"), page.rfind("<")
     while at < len(page):
-        m = TOKEN.match(page, at)
-        if not m:
-            break
-        at = m.end()
-        name = (m.group(2) or "").lower()
-        if not name:
-            piece = m.group(0)
-            if not (piece.startswith("<") and len(piece) > 1):
-                parts.append(piece)
-                if any(t == "a" for t, _ in stack):
-                    linked += len(piece.strip())
+        if page[at] != "<":
+            end = page.find("<", at)
+            piece = page[at:] if end < 0 else page[at:end]
+            parts.append(piece)
+            if opened["a"]:
+                linked += len(piece.strip())
+            at += len(piece)
+            continue
+        if page.startswith(("<!", "<?"), at):
+            mark = "-->" if page.startswith("<!--", at) else ">"
+            end = page.find(mark, at + 2)
+            at = len(page) if end < 0 else end + len(mark)
             continue
-        if m.group(1):
+        closing = page.startswith("/", at + 1)
+        m = NAME.match(page, at + 1 + closing)
+        if not m or (at > last_end and at < last_open):     # no tag, or one that never ends before another
+            parts.append("<")
+            linked += 1 if opened["a"] else 0
+            at += 1
+            continue
+        if at > last_end:
+            break
+        name = m.group().lower()
+        marks, end, slash = _attributes(page, m.end(), quotes)
+        if end < 0:                     # its quotes hide every tag's end: from here on quotes are plain characters
+            quotes = False
+            marks, end, slash = _attributes(page, m.end(), quotes)
+        at = end
+        if closing:
             if name in BLOCK or name in CHOICE:
                 flush()
-            if any(t == name for t, _ in stack):
-                while stack.pop()[0] != name:
-                    pass
+            if opened[name]:
+                pop(name)
             continue
         if name in BLOCK or name in CHOICE:
             flush()
@@ -105,21 +160,20 @@ def blocks(page: str | None) -> list[Block]:
             parts.append(" ")
         if name in VOID:
             continue
-        if m.group(3).endswith("/") and (name in FOREIGN or any(t in FOREIGN for t, _ in stack)):
+        if slash and (name in FOREIGN or any(opened[t] for t in FOREIGN)):
             continue
         if name in RAW:
             close = re.compile(rf"</{name}\s*>", re.I).search(page, at)
             at = close.end() if close else len(page)
             continue
-        if name in CLOSES_P and any(t == "p" for t, _ in stack):
-            while stack.pop()[0] != "p":
-                pass
+        if name in CLOSES_P and opened["p"]:
+            pop("p")
         if name == "optgroup" and stack and stack[-1][0] == "option":
-            stack.pop()
+            pop("option")
         if name in ("li", "td", "th", "tr", "dt", "dd", "option", "optgroup") and stack and stack[-1][0] == name:
-            stack.pop()
-        marks = " ".join(x or y or z for x, y, z in NAMED.findall(m.group(3)))
-        stack.append((name, (name, *(f".{w}" for w in re.split(r"[^a-z0-9]+", marks.lower()) if w))))
+            pop(name)
+        stack.append((name, (name, *(f".{w}" for w in re.split(r"[^a-z0-9]+", " ".join(marks).lower()) if w))))
+        opened[name] += 1
     flush()
     return out
 
@@ -302,7 +356,7 @@ def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", lim
     """Weights from at most ``limit`` pages, the least by a hash of their id; ids are chosen on the narrow column."""
     ids = pages.select(F.col(id_col).alias("_id")).where(F.col("_id").isNotNull()).distinct().orderBy(F.xxhash64("_id"), "_id").limit(limit)
     rows = pages.join(F.broadcast(ids), pages[id_col] == ids["_id"]).select("_id", html_col).where(F.col(html_col).isNotNull())
-    rows = rows.dropDuplicates(["_id"]).collect()       # limit rows at most
+    rows = rows.groupBy("_id").agg(F.min(html_col)).collect()       # limit rows at most; a repeated id's least page
     return fit([r[1] for r in sorted(rows, key=lambda r: str(r[0]))])
 
 

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -457,6 +458,27 @@ def test_blocks():
     assert [x.text for x in html_extract.blocks("a < b <p>c&am<q")] == ["a < b", "c&am"]
 
 
+@pytest.mark.parametrize("page, want", [
+    ("<p class=it's>Hello", ["Hello"]), ("<a title=\"x>Link text", ["Link text"]), ("<p title='a > b'>one", ["one"]), ("<p title = \"a > b\" id=x>one", ["one"]),
+    ("<p><a title=\"x>Link text</a> on<p class=\"y\">two", ["Link text on", "two"]), ("<p a=\"\">one<p =b>two<p / c>three", ["one", "two", "three"]),
+    ("<p>1 < 2 </3 <p>x</p ><br/>y", ["1 < 2 </3", "x", "y"]), ("<p>a<b x=\"1>\" <p>c", ["ac"]), ("one <two and <three", ["one <two and"]),
+    ("<p>one</p class=\"a>b\">two<!-- > -->three<!doctype x>", ["one", "twothree"])])
+def test_quotes_hide_no_text_and_leak_no_markup(page, want):
+    assert [x.text for x in html_extract.blocks(page)] == want
+
+
+def test_marks_of_attributes():
+    b = html_extract.blocks("<DIV Class='a b' id=c-d data-class=no ROLE = \"e\">x")
+    assert b[0].path == ("div", ".a", ".b", ".c", ".d", ".e")
+
+
+@pytest.mark.parametrize("page", ["<p>it's " + "<a b " * 40_000, "<a b='" * 40_000, "<a b=\"x>\" " * 40_000, "<" * 200_000, "<div>" * 40_000, "<p>" * 40_000 + "</i>" * 40_000, "<a '>" * 40_000])
+def test_odd_pages_take_one_pass(page):
+    start = time.perf_counter()
+    html_extract.blocks(page)
+    assert time.perf_counter() - start < 5
+
+
 def test_elements_without_an_end_tag_cut_nothing():
     texts = lambda page: [x.text for x in html_extract.blocks(page)]      # noqa: E731
     assert texts("<p>one<datalist><option value=a><option value=b></datalist><p>two") == ["one", "two"]
