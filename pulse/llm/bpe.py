@@ -28,8 +28,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
 MAX_FILE_BYTES = 64 << 20       # the rank file travels with the tasks, so its size is checked
-MEMO_PIECES, MEMO_CHARS = 1 << 19, 32       # short matches whose ids a Python worker remembers
+MEMO_PIECES, MEMO_CHARS = 1 << 19, 32       # short matches whose ids a Python worker remembers, twice as many while the newer half fills
 LONG_TEXT = 1 << 20             # characters above which matches are taken one by one
+DECODED = 1 << 18               # ids whose bytes are gathered at a time
 ROWS = 256                      # rows of an Arrow batch worked on at a time
 
 
@@ -66,8 +67,15 @@ class Coder:
             raise ValueError("too many ranks for the bitmap")
         self.tokens = {rank: token for token, rank in self.ranks.items()}
         self.pattern = regex.compile(vocabulary.pattern)
+        self.pairs = [[self.ranks.get(bytes([a, b]), -1) for b in range(256)] for a in range(256)]     # ranks of two bytes
         self.words = [0] * ((max(self.tokens) >> WORD) + 1)       # the bitmap over the ranks; empty between two matches
+        self.buckets: list[int | list[int] | None] = [None] * (max(self.tokens) + 1)      # by rank; empty between two matches
+        ids = np.arange(max(self.tokens) + 1)
+        self.sizes = np.array([len(self.tokens.get(i, b"")) for i in ids.tolist()], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.bytes = np.frombuffer(b"".join(self.tokens.get(i, b"") for i in ids.tolist()), np.uint8)      # all tokens, one after another
         self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}       # the memo that filled up last; what is asked for again moves to the new one
 
     def merge(self, piece: bytes) -> list[int]:
         """Ids of one match of the pattern.
@@ -76,36 +84,35 @@ class Coder:
         first); a bit of ``words`` says that a rank has a bucket, a bit of ``top``
         that a word is not zero. The lowest bits of both name the next rank.
         """
-        get, words, n = self.ranks.get, self.words, len(piece)
+        get, words, buckets, n = self.ranks.get, self.words, self.buckets, len(piece)
         whole = get(piece)
         if whole is not None:
             return [whole]
+        pairs = self.pairs
         end = list(range(1, n + 1))         # where the part that starts at a position ends: the list's links to the right
         before = list(range(-1, n))         # ... and where the part on its left starts
-        rank = [get(piece[i:i + 2], -1) for i in range(n - 1)]      # of a part joined with the next one, -1 if they don't merge
+        rank = [pairs[a][b] for a, b in zip(piece, piece[1:])]      # of a part joined with the next one, -1 if they don't merge
         rank.append(-1)
-        buckets: dict[int, int | list[int]] = {}
         top = 0
         for i, r in enumerate(rank):
             if r >= 0:
-                if r in buckets:
-                    held = buckets[r]
-                    if held.__class__ is int:
-                        buckets[r] = [held, i]
-                    else:
-                        held.append(i)      # in order, so a heap
-                else:
+                held = buckets[r]
+                if held is None:
                     buckets[r] = i
                     at = r >> WORD
                     words[at] |= BIT[r & LOW]
                     top |= BIT[at]
+                elif held.__class__ is int:
+                    buckets[r] = [held, i]
+                else:
+                    held.append(i)          # in order, so a heap
         while top:
             at = (top & -top).bit_length() - 1
             word = words[at]
             r = at << WORD | (word & -word).bit_length() - 1
             i = buckets[r]
             if i.__class__ is int:
-                del buckets[r]
+                buckets[r] = None
                 words[at] = word = word & (word - 1)
                 if not word:
                     top &= top - 1
@@ -123,38 +130,37 @@ class Coder:
                 before[e] = i
                 r = rank[i] = get(piece[i:end[e]], -1)
                 if r >= 0:
-                    if r in buckets:
-                        held = buckets[r]
-                        if held.__class__ is int:
-                            buckets[r] = [held, i] if held < i else [i, held]
-                        else:
-                            heappush(held, i)
-                    else:
+                    held = buckets[r]
+                    if held is None:
                         buckets[r] = i
                         at = r >> WORD
                         words[at] |= BIT[r & LOW]
                         top |= BIT[at]
+                    elif held.__class__ is int:
+                        buckets[r] = [held, i] if held < i else [i, held]
+                    else:
+                        heappush(held, i)
             else:
                 rank[i] = -1
             i = before[i]
             if i >= 0:
                 r = rank[i] = get(piece[i:e], -1)
                 if r >= 0:
-                    if r in buckets:
-                        held = buckets[r]
-                        if held.__class__ is int:
-                            buckets[r] = [held, i] if held < i else [i, held]
-                        else:
-                            heappush(held, i)
-                    else:
+                    held = buckets[r]
+                    if held is None:
                         buckets[r] = i
                         at = r >> WORD
                         words[at] |= BIT[r & LOW]
                         top |= BIT[at]
+                    elif held.__class__ is int:
+                        buckets[r] = [held, i] if held < i else [i, held]
+                    else:
+                        heappush(held, i)
         ids, i, ranks = [], 0, self.ranks
         while i < n:
-            ids.append(ranks[piece[i:end[i]]])
-            i = end[i]
+            e = end[i]
+            ids.append(ranks[piece[i:e]])
+            i = e
         return ids
 
     def encode(self, text: str) -> bytes:
@@ -172,16 +178,28 @@ class Coder:
                     piece = pieces[k]
                     ids = memo.get(piece)       # the same match may stand earlier in this text
                     if ids is None:
-                        ids = array("i", self.merge(piece.encode())).tobytes()
+                        ids = self.older.get(piece)
+                        if ids is None:
+                            ids = array("i", self.merge(piece.encode())).tobytes()
                         if len(piece) <= MEMO_CHARS:
                             if len(memo) >= MEMO_PIECES:
-                                memo.clear()
+                                self.older, self.memo = memo, {}
+                                memo = self.memo
                             memo[piece] = ids
                     parts[k] = ids
         return b"".join(parts)
 
-    def decode(self, ids) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids))
+    def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of the ids one after another, and each id's number of bytes."""
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(self.sizes)) or not (sizes := self.sizes[ids]).all():
+            raise KeyError("an id has no token")
+        parts = []
+        for i in range(0, len(ids), DECODED):
+            some, n = ids[i:i + DECODED], sizes[i:i + DECODED]
+            at = np.repeat(self.starts[some] - (np.cumsum(n) - n), n)
+            at += np.arange(len(at))
+            parts.append(self.bytes[at])
+        return np.concatenate([*parts, np.zeros(0, np.uint8)]), sizes
 
 
 @lru_cache(maxsize=2)
@@ -225,7 +243,7 @@ def encode(df: DataFrame, vocabulary: Vocabulary, keep: list[str], text_col: str
 def decode(df: DataFrame, vocabulary: Vocabulary, keep: list[str], ids_col: str = "ids", out: str = "bytes") -> DataFrame:
     """The columns ``keep`` of every row and ``out``, the bytes its ids stand for.
 
-    Null and empty arrays give no bytes; an id without a token raises ``KeyError``.
+    Null and empty arrays give no bytes; a null id or one without a token raises ``KeyError``.
     The bytes of ids made by :func:`encode` are the text's UTF-8 bytes; other ids
     may give bytes that are not UTF-8. A kept column named ``out`` is replaced.
     """
@@ -235,9 +253,13 @@ def decode(df: DataFrame, vocabulary: Vocabulary, keep: list[str], ids_col: str
         c = coder(vocabulary)
         for b in _slices(batches):
             ids = b.column(len(keep))
-            ends, values = np.cumsum(pc.list_value_length(ids).to_numpy(zero_copy_only=False)), ids.flatten().to_numpy()
-            data = [c.decode(values[i:j].tolist()) for i, j in zip([0, *ends[:-1].tolist()], ends.tolist())]      # far cheaper than Arrow's own list objects
-            yield pa.record_batch([*b.columns[:len(keep)], pa.array(data, pa.binary())], [*keep, out])
+            lengths, values = pc.list_value_length(ids).to_numpy(zero_copy_only=False), ids.flatten()
+            if values.null_count:
+                raise KeyError("an id is null")
+            data, sizes = c.decode(values.to_numpy())
+            ends = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(lengths)])]      # of each row's bytes
+            column = pa.LargeBinaryArray.from_buffers(pa.large_binary(), b.num_rows, [None, pa.py_buffer(ends), pa.py_buffer(data)])
+            yield pa.record_batch([*b.columns[:len(keep)], column.cast(pa.binary())], [*keep, out])
 
     ids = F.coalesce(F.col(ids_col), F.array().cast("array<int>"))
     return df.select(*keep, ids.alias("_ids")).mapInArrow(run, _schema(df, keep, StructField(out, BinaryType())))

@@ -279,6 +279,23 @@ def test_bpe_of_awkward_rows(spark, vocabulary, monkeypatch):
         bpe.Coder(bpe.Vocabulary(b"QQ== 0", "."))
 
 
+def test_ids_without_a_token_are_refused_and_a_full_memo_keeps_what_is_used(vocabulary, reference, monkeypatch):
+    c = bpe.Coder(vocabulary)
+    for wrong in ([5, -1], [len(c.sizes)]):
+        with pytest.raises(KeyError):
+            c.decode(np.array(wrong, np.int32))
+    gap = bpe.Coder(bpe.Vocabulary(b"\n".join(base64.b64encode(bytes([i])) + b" " + str(2 * i).encode() for i in range(256)), "."))
+    assert gap.decode(np.array([2 * 65, 2 * 66], np.int32))[0].tobytes() == b"AB"
+    with pytest.raises(KeyError):
+        gap.decode(np.array([3], np.int32))
+    monkeypatch.setattr(bpe, "MEMO_PIECES", 3)
+    monkeypatch.setattr(bpe, "DECODED", 7)
+    for text in strange_texts():
+        ids = np.frombuffer(c.encode(text), np.int32)
+        assert ids.tolist() == reference.encode_ordinary(text)
+        assert c.decode(ids)[0].tobytes() == text.encode() and len(c.memo) <= 3 and len(c.older) <= 3
+
+
 def test_op13_digests(spark, tmp_path, reference):
     rows = [(i, t) for i, t in enumerate(strange_texts())] + [(None, None), (3, None)]
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
