@@ -1,8 +1,8 @@
 """Main-text extraction with a recurrent block labeller.
 
 A page is read as its leaf sequence: the text blocks in page order, each with
-the path of open tags. A block's vector is the hashed tag path (names, classes,
-ids and roles) beside hashed words and a few counts. A bidirectional LSTM,
+the path of open tags. A block's vector is the hashed tag path (all names,
+classes, ids and roles) beside all its hashed words and a few counts. A bidirectional LSTM,
 written in numpy, reads the whole sequence and says of every block whether it
 belongs to the article, so a block is judged in the context of its document.
 
@@ -19,18 +19,20 @@ import html as entities
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pulse.llm import hashing as H
+
 TRAIN_PAGES = 300           # pages that are learned from, at most
 TRAIN_BLOCKS = 120          # blocks in a row of a page that one training example holds
-HIDDEN, STEPS, BATCH, RATE = 12, 220, 32, 0.02
-PATH_DIM, WORD_DIM = 48, 16
+HIDDEN, STEPS, BATCH, RATE = 12, 500, 32, 0.02
+PATH_DIM, WORD_DIM = 128, 16
 # --- fixed values: HTML's raw-text, void, choice and block elements, and names that mark what isn't the article ---
 RAW = {"script", "style", "textarea", "title", "iframe"}
 FOREIGN = {"svg", "math"}
@@ -51,12 +53,44 @@ NAME, AFTER_QUOTE = re.compile(r"[a-zA-Z][^\s/>]*"), re.compile(r"[\s/>]|\Z")
 MARKS = {"class", "id", "role"}
 
 
+@dataclass(eq=False)
+class Place:
+    """An open element: its names, how often each stands in the elements around it, and the element it is in.
+
+    Blocks of one element share its place, so a path is never copied.
+    """
+    names: tuple[str, ...]      # the tag's name and its .names
+    before: tuple[int, ...]
+    parent: Place | None
+    vector: np.ndarray | None = field(default=None, repr=False)
+
+
 @dataclass
 class Block:
-    path: tuple[str, ...]       # tag names and .names of the open elements, outermost first
+    place: Place | None
     text: str
     linked: int                 # characters inside links
 
+    @property
+    def path(self) -> tuple[str, ...]:
+        """Tag names and .names of the open elements, outermost first."""
+        parts, at = [], self.place
+        while at is not None:
+            parts.append(at.names)
+            at = at.parent
+        return tuple(x for names in reversed(parts) for x in names)
+
+
+def place(path: Iterable[str]) -> Place:
+    """One place with the names of a whole path."""
+    seen: Counter[str] = Counter()
+    before = []
+    path = tuple(path)
+    for x in path:
+        before.append(seen[x])
+        seen[x] += 1
+    return Place(path, tuple(before), None)
+
 
 def _attributes(page: str, at: int, quotes: bool) -> tuple[list[str], int, bool]:
     """The class, id and role values of the tag whose attributes begin at ``at``, where
@@ -97,8 +131,8 @@ def blocks(page: str | None) -> list[Block]:
     that the page's end cuts off is dropped. One pass over the page, whatever its tags and quotes.
     """
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
-    opened: Counter[str] = Counter()
+    stack: list[tuple[str, Place]] = []
+    opened: Counter[str] = Counter()        # names of the open elements: tags, and .names
     parts: list[str] = []
     linked, quotes = 0, True
 
@@ -106,14 +140,14 @@ def blocks(page: str | None) -> list[Block]:
         nonlocal linked
         text = " ".join(entities.unescape("".join(parts)).split(None)) if parts else ""
         if text:
-            out.append(Block(tuple(x for _, names in stack for x in names), text, linked))
+            out.append(Block(stack[-1][1] if stack else None, text, linked))
         parts.clear()
         linked = 0
 
     def pop(name: str) -> None:
         while True:
-            top = stack.pop()[0]
-            opened[top] -= 1
+            top, here = stack.pop()
+            opened.subtract(here.names)
             if top == name:
                 return
 
@@ -172,16 +206,18 @@ def blocks(page: str | None) -> list[Block]:
             pop("option")
         if name in ("li", "td", "th", "tr", "dt", "dd", "option", "optgroup") and stack and stack[-1][0] == name:
             pop(name)
-        stack.append((name, (name, *(f".{w}" for w in re.split(r"[^a-z0-9]+", " ".join(marks).lower()) if w))))
-        opened[name] += 1
+        names = (name, *(f".{w}" for w in re.split(r"[^a-z0-9]+", " ".join(marks).lower()) if w)) if marks else (name,)
+        stack.append((name, Place(names, tuple(opened[x] for x in names), stack[-1][1] if stack else None)))
+        opened.update(names)
     flush()
     return out
 
 
 def by_markup(block: Block) -> bool:
     """The training label: inside an article or main element and in nothing that marks other matter."""
-    inside = any(x in INSIDE or x in (".article", ".main", ".content", ".post", ".entry") for x in block.path)
-    return inside and not any(x in OUTSIDE or x.lstrip(".") in MARKED and x.startswith(".") for x in block.path)
+    path = set(block.path)
+    inside = any(x in INSIDE or x in (".article", ".main", ".content", ".post", ".entry") for x in path)
+    return inside and not any(x in OUTSIDE or x in CHOICE or x.lstrip(".") in MARKED and x.startswith(".") for x in path)
 
 
 SIGNS = np.array([[1.0 if x >> k & 1 else -1.0 for k in range(8)] for x in range(256)])
@@ -198,32 +234,47 @@ def _hashed(tokens: list[str], dim: int) -> np.ndarray:
 
 
 class Vectors:
-    """Block vectors; the vectors of tag paths are kept while they are few."""
+    """Block vectors; the vectors of single names are kept while they are few."""
 
     def __init__(self) -> None:
-        self.paths: dict[tuple[str, ...], np.ndarray] = {}
+        self.names: dict[str, np.ndarray] = {}
 
-    def path(self, path: tuple[str, ...]) -> np.ndarray:
-        v = self.paths.get(path)
+    def name(self, name: str) -> np.ndarray:
+        v = self.names.get(name)
         if v is None:
-            v = _hashed(list(path[-24:]), PATH_DIM).sum(0) / 2 if path else np.zeros(PATH_DIM)
-            if len(self.paths) < 20_000:
-                self.paths[path] = v
+            v = _hashed([name], PATH_DIM)[0] / 2
+            if len(self.names) < 20_000:
+                self.names[name] = v
+        return v
+
+    def path(self, at: Place | None) -> np.ndarray:
+        """The sum over a path's names, each of which counts half as much every time it stands
+        there again. A place's own names are added to its parent's sum, which it shares."""
+        new = []
+        while at is not None and at.vector is None:
+            new.append(at)
+            at = at.parent
+        v = np.zeros(PATH_DIM) if at is None else at.vector
+        for p in reversed(new):
+            v = v.copy()
+            for x, k in zip(p.names, p.before):
+                v += self.name(x) * 0.5 ** min(k, 60)
+            p.vector = v
         return v
 
     def matrix(self, found: list[Block]) -> np.ndarray:
-        """One row per block: its path, the words at its ends, and counts over the whole of it."""
-        words, n, extra = [], [], []
-        for b in found:
-            w = b.text.lower().split(" ")
-            some = w if len(w) <= 8 else w[:4] + w[-4:]
-            words += some
-            n.append(len(some))
+        """One row per block: its path, its words, and counts."""
+        raw, offsets = H.text_bytes(pa.array([b.text.lower() for b in found], pa.large_string()))
+        hashes, _, _, first = H.word_hashes(raw, offsets)       # a block has a word at least
+        n = np.diff(first)
+        ones = np.stack([np.add.reduceat((hashes >> np.uint64(k)) & np.uint64(1), first[:-1]) for k in range(WORD_DIM)], axis=1)
+        words = 2.0 * ones - n[:, None]
+        words *= np.sqrt(WORD_DIM) / np.maximum(np.linalg.norm(words, axis=1), 1.0)[:, None]      # of one length, however often a word stands there
+        extra = []
+        for b, m in zip(found, n.tolist()):
             marks = b.text.count(".") + b.text.count(",") + b.text.count(";") + b.text.count("!") + b.text.count("?")
-            extra.append((np.log1p(len(w)) / 3, np.log1p(len(b.text)) / 5, b.linked / len(b.text), marks / len(w), 1.0))
-        n = np.array(n)
-        text = np.add.reduceat(_hashed(words, WORD_DIM), np.cumsum(n) - n, axis=0) / np.sqrt(n)[:, None]
-        return np.concatenate([np.array([self.path(b.path) for b in found]), text / 2, np.array(extra)], axis=1)
+            extra.append((np.log1p(m) / 3, np.log1p(len(b.text)) / 5, b.linked / len(b.text), marks / m, 1.0))
+        return np.concatenate([np.array([self.path(b.place) for b in found]), words / 2, np.array(extra)], axis=1)
 
 
 SIZE = PATH_DIM + WORD_DIM + 5
@@ -303,23 +354,42 @@ def _padded(pages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return x, mask
 
 
+def _other_matter(base: tuple[str, ...], words: list[str], rng: np.random.Generator) -> list[tuple[Block, bool]]:
+    """Blocks that aren't the article's, under ``base``: in an element that says so by its
+    name, or by a name among others, or choices of a form."""
+    kind = rng.integers(4)
+    if kind == 0:
+        tag = (sorted(OUTSIDE)[rng.integers(len(OUTSIDE))],)
+    elif kind == 1 and rng.random() < 0.6:
+        tag = ("select",)
+    else:
+        tag = (["div", "section", "ul", "ol"][rng.integers(4)], "." + sorted(MARKED)[rng.integers(len(MARKED))])
+        if rng.random() < 0.5:
+            tag = (tag[0], "." + words[rng.integers(len(words))].lower(), tag[1])
+    out = []
+    inner = "option" if tag[0] == "select" else "li" if tag[0] in ("ul", "ol") else ["p", "li", "span", "a"][rng.integers(4)]
+    at = place((*base, *tag, inner))
+    for _ in range(int(rng.integers(1, 4))):
+        text = " ".join(words[k] for k in rng.integers(0, len(words), int(rng.integers(1, 30))))
+        out.append((Block(at, text, len(text) if inner == "a" else 0), False))
+    return out
+
+
 def _redesigned(sample: list[Block], rng: np.random.Generator) -> list[tuple[Block, bool]]:
     """The page in another design: its article under another element, and blocks of other matter put in."""
-    swap = {"article": ["article", "main", "div .content", "section .post", "div .article"][rng.integers(5)]}
     out: list[tuple[Block, bool]] = []
     words = [w for b in sample for w in b.text.split(" ")[:6]] or ["x"]
+    other = " ".join("." + words[k].lower() for k in rng.integers(0, len(words), 2))       # names of no meaning
+    swap = {"article": ["article", "main", "div .content", "section .post", "div .article", "div", "div " + other, "section " + other][rng.integers(8)]}
     for b in sample:
         path = tuple(y for x in b.path for y in swap.get(x, x).split(" "))
         label = by_markup(b)
-        out.append((Block(path, b.text, b.linked), label))
-        if rng.random() < 0.12:
-            names = sorted(MARKED)
-            tag = ["div ." + names[rng.integers(len(names))], sorted(OUTSIDE)[rng.integers(len(OUTSIDE))]][rng.integers(2)]
-            n = int(rng.integers(1, 30))
-            text = " ".join(words[k] for k in rng.integers(0, len(words), n))
-            inner = ["p", "li", "span", "a"][rng.integers(4)]
-            base = path[:-1] if label and rng.random() < 0.5 else path[:2]
-            out.append((Block((*base, *tag.split(" "), inner), text, len(text) if inner == "a" else 0), False))
+        out.append((Block(place(path), b.text, b.linked), label))
+        if rng.random() < 0.4:
+            base = path[:-1] if label and rng.random() < 0.7 else path[:2]
+            out += _other_matter(base, words, rng)
+    if rng.random() < 0.5:
+        out += _other_matter(("html", "body"), words, rng)
     return out
 
 
@@ -332,7 +402,7 @@ def fit(pages: list[str], steps: int = STEPS, seed: int = 7) -> dict[str, np.nda
         return w
     examples = []
     for b in sample:
-        for labelled in ([(x, by_markup(x)) for x in b], _redesigned(b, rng)):
+        for labelled in ([(x, by_markup(x)) for x in b], _redesigned(b, rng), _redesigned(b, rng)):
             start = int(rng.integers(0, max(1, len(labelled) - TRAIN_BLOCKS + 1)))
             part = labelled[start:start + TRAIN_BLOCKS]
             examples.append((vectors.matrix([x for x, _ in part]), np.array([float(y) for _, y in part])))
