@@ -23,25 +23,41 @@ def _hour_col():
     return ((F.col("year") * 100 + F.col("month")) * 100 + F.col("day")) * 100 + F.col("hour")
 
 
-_FILE = "_metadata.file_path"
+def _in_hours(df: DataFrame, start=None, end=None) -> DataFrame:
+    """Rows in the hours of ``start <= t < end``: a predicate on partition columns alone."""
+    if start is not None:
+        df = df.filter(_hour_col() >= _hour_key(_utc(start)))
+    if end is not None:
+        df = df.filter(_hour_col() <= _hour_key(_utc(end) - timedelta(microseconds=1)))
+    return df
 
 
-def _compacted_runs(spark: SparkSession, compacted: str) -> tuple[int, list[str]]:
-    """Number of finished compaction runs, and the live files they cover.
+_FILE = "_metadata.file_path"
+MAX_NAMES = 10_000      # files up to which a list of names becomes a predicate, not a join
 
-    File names are planning metadata, like the listing Spark itself keeps on
-    the driver; no rows are read.
-    """
+
+def _covered(spark: SparkSession, compacted: str) -> tuple[int, DataFrame | None]:
+    """Number of finished compaction runs, and the table of the live files they cover (path and hour)."""
     try:
-        done = spark.read.parquet(f"{compacted}/files").select("run", "path").collect()
+        files = spark.read.parquet(f"{compacted}/files")
     except AnalysisException:       # no run yet
-        return 0, []
-    return max((r["run"] for r in done), default=-1) + 1, [r["path"] for r in done]
+        return 0, None
+    return files.agg(F.max("run")).first()[0] + 1, files
 
 
-def _without(df: DataFrame, paths: list[str]) -> DataFrame:
-    """``df`` without those files; a predicate on the file name alone, so they are never opened."""
-    return df.filter(~F.col(_FILE).isin(paths)) if paths else df
+def _by_file(df: DataFrame, files: DataFrame, how: str) -> DataFrame:
+    """Rows of ``df`` in those files (``left_semi``) or in none of them (``left_anti``).
+
+    Up to ``MAX_NAMES`` names are a predicate on the file name, so the other
+    files are never opened; more of them are joined with the rows, and no list
+    of that size comes to the driver.
+    """
+    names = [r[0] for r in files.select("path").limit(MAX_NAMES + 1).collect()]
+    if len(names) > MAX_NAMES:
+        listed = files.select(F.col("path").alias("_path")).distinct()
+        return df.withColumn("_at", F.col(_FILE)).join(listed, F.col("_at") == F.col("_path"), how).drop("_at")
+    inside = F.col(_FILE).isin(names) if names else F.lit(False)
+    return df.filter(inside if how == "left_semi" else ~inside)
 
 
 def compact_archive(spark: SparkSession, live: str, compacted: str, until) -> None:
@@ -49,8 +65,9 @@ def compact_archive(spark: SparkSession, live: str, compacted: str, until) -> No
     well-sized files per hour.
 
     The streaming sink writes one file per task and hour on every micro-batch.
-    Each run reads only the live files of closed hours that no earlier run
-    covered (newly closed hours, and late rows of older ones) and writes them
+    Each run lists the live files of closed hours without opening them, takes
+    those that no earlier run covered (newly closed hours, and late files of
+    older ones; an anti-join of two tables of names), and writes their rows
     under ``data/run=<n>`` with a ``rebalance`` hint: adaptive execution sizes
     the output files and splits a hot hour over several tasks. The run's file
     list, written last under ``files/run=<n>``, makes it count; a run that died
@@ -58,14 +75,19 @@ def compact_archive(spark: SparkSession, live: str, compacted: str, until) -> No
     """
     from pulse.schema import PARTITION_COLUMNS
 
-    run, covered = _compacted_runs(spark, compacted)
-    new = _without(spark.read.parquet(live).filter(_hour_col() < _hour_key(_utc(until))), covered)
-    files = new.select(F.col(_FILE).alias("path")).distinct()
-    if files.isEmpty():
+    run, covered = _covered(spark, compacted)
+    closed = _hour_col() < _hour_key(_utc(until))
+    listed = spark.read.format("binaryFile").load(live).filter(closed).select(F.col(_FILE).alias("path"), *PARTITION_COLUMNS)
+    if covered is not None:
+        listed = listed.join(covered.select("path"), "path", "left_anti")
+    listed.write.mode("overwrite").parquet(f"{compacted}/todo")
+    todo = spark.read.schema(listed.schema).parquet(f"{compacted}/todo")
+    if todo.isEmpty():
         return
+    new = _by_file(spark.read.parquet(live).filter(closed), todo, "left_semi")
     (new.hint("rebalance", *PARTITION_COLUMNS).write.mode("overwrite")
      .partitionBy(*PARTITION_COLUMNS).parquet(f"{compacted}/data/run={run}"))
-    files.write.mode("overwrite").parquet(f"{compacted}/files/run={run}")
+    todo.write.mode("overwrite").parquet(f"{compacted}/files/run={run}")
 
 
 def read_raw(spark: SparkSession, path: str, start=None, end=None, compacted: str | None = None) -> DataFrame:
@@ -77,22 +99,20 @@ def read_raw(spark: SparkSession, path: str, start=None, end=None, compacted: st
     Rows with a null event time live in the default partition and are only
     returned when no range is given. With ``compacted`` (see
     :func:`compact_archive`) the files it covers are read from the copy, all
-    others, late ones of closed hours among them, from the live archive.
+    others, late ones of closed hours among them, from the live archive; only
+    the file lists of the range's hours are read.
     """
     df = spark.read.parquet(path)
-    key = _hour_col()
     if compacted is not None:
-        runs, covered = _compacted_runs(spark, compacted)
+        runs, covered = _covered(spark, compacted)
         if runs:
             old = spark.read.parquet(f"{compacted}/data").filter(F.col("run") < runs).drop("run")
-            df = old.unionByName(_without(df, covered))
+            df = old.unionByName(_by_file(df, _in_hours(covered, start, end), "left_anti"))
+    df = _in_hours(df, start, end)
     if start is not None:
-        s = _utc(start)
-        df = df.filter(key >= _hour_key(s)).filter(F.col("event_time") >= F.lit(s))
+        df = df.filter(F.col("event_time") >= F.lit(_utc(start)))
     if end is not None:
-        e = _utc(end)
-        last = e - timedelta(microseconds=1)
-        df = df.filter(key <= _hour_key(last)).filter(F.col("event_time") < F.lit(e))
+        df = df.filter(F.col("event_time") < F.lit(_utc(end)))
     return df
 
 
