@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK = 1 << 20         # bytes hashed at a time, so the work arrays stay small
+CHUNK = 1 << 17         # bytes hashed at a time, so the work arrays stay small
 BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 SPACE = np.zeros(256, bool)

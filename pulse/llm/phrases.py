@@ -41,8 +41,8 @@ MIN_COUNT, MAX_WORDS, TOP = 10, 3, 2000
 INSIDE_PERCENT = 50             # a candidate goes if a longer one holds this share of its occurrences
 SAMPLE, SAMPLE_COUNT = 0.05, 2  # share of the documents that proposes phrases, and how often they must stand there
 FILTER_BITS = 24                # 2 MB a table
-BUFFER = 1 << 17                # n-grams of a length that a task holds before it counts them
-BATCH_BYTES = 1 << 19           # text bytes worked on at a time (a longer text is one batch)
+BUFFER = 1 << 16                # n-grams of a length that a task holds before it counts them
+BATCH_BYTES = 1 << 18           # text bytes worked on at a time (a longer text is one batch)
 
 BREAK = np.zeros(256, bool)
 BREAK[list(BREAKS.encode())] = True
@@ -67,6 +67,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + BATCH_BYTES, "right")) - 1)
             yield b.slice(at, to - at)
             at = to
+        b = None        # not held while the next one is read
 
 
 def _words(b: pa.RecordBatch):
@@ -150,6 +151,7 @@ def count_pass(docs: DataFrame, max_words: int, new: Tables | None, old: Tables
 
         for b in _chunks(batches):
             words, _, _, keys, piece, _ = _words(b)
+            b = None
             if not len(words):
                 continue
             one = np.ones(len(words), np.int64)
@@ -301,6 +303,7 @@ def word_texts(docs: DataFrame, wanted: DataFrame, filter_bits: int = FILTER_BIT
         seen: dict[int, bytes] = {}
         for b in _chunks(batches):
             words, starts, ends, _, _, raw = _words(b)
+            b = None
             at = np.flatnonzero(_has(bits, words))
             _, first = np.unique(words[at], return_index=True)
             at = at[first]
