@@ -42,6 +42,12 @@ FEW = 4                                             # lines of fewer words are t
 # The ranges overlap, so lines whose numbers of words differ still share one.
 LAYOUTS = ((2, 15, 5, 3, 2), (12, 30, 6, 2, 3), (24, 60, 8, 1, 4), (48, 1 << 31, 10, 1, 5))
 PAIR_LAYOUT = (6, 2, 2)
+AHEAD = 8                                           # words that the quick alignment of two lines looks ahead
+AHEAD_STEPS = [(p, d - p) for d in range(1, AHEAD + 1) for p in range(d + 1)]
+
+
+NORMAL = H.LOWER[np.where(PLAIN, np.arange(256), 0x20)]            # a normalised line's bytes
+COUNTED = PLAIN & ~H.SPACE & ((np.arange(256) & 0xC0) != 0x80)     # begin a code point of a word
 
 
 def _line_rows(raw: np.ndarray, offsets: np.ndarray):
@@ -51,7 +57,7 @@ def _line_rows(raw: np.ndarray, offsets: np.ndarray):
     ends = np.append(starts[1:], len(raw))
     row = np.searchsorted(offsets, starts, "right") - 1
     number = np.arange(len(starts)) - np.searchsorted(starts, offsets[row])
-    words, _, _, first = H.word_hashes(np.where(PLAIN[raw], raw, np.uint8(0x20)), np.append(starts, len(raw)))
+    words, _, _, first = H.word_hashes(NORMAL[raw], np.append(starts, len(raw)), lower=False)
     return starts, ends, row, number, words, first
 
 
@@ -73,26 +79,46 @@ def _blocks(features: np.ndarray, line: np.ndarray, lines: int, blocks: int) ->
     A bit of a SimHash is that of most of the features (0 without any).
     """
     slot = line * blocks + (H.mix(features + np.uint64(blocks)) >> np.uint64(32)).astype(np.int64) % blocks
-    order = np.lexsort((features, slot))
+    bits = np.uint64(max(lines * blocks, 2).bit_length())
+    order = np.argsort(slot.astype(np.uint64) << (np.uint64(64) - bits) | features >> bits)     # by block, equal features together
     slot, features = slot[order], features[order]
     once = np.ones(len(slot), bool)
     once[1:] = (slot[1:] != slot[:-1]) | (features[1:] != features[:-1])
     slot, features = slot[once], features[once]
     count = np.bincount(slot, minlength=lines * blocks)
-    sums = np.zeros((lines * blocks, 64), np.int32)
+    sums = np.zeros((lines * blocks, 64), np.int32 if len(slot) > 1 << 14 and count.max() * blocks > 1 << 14 else np.int16)
     held = np.flatnonzero(count)
     if len(held):
         pieces = -(-count[held] // 255)                 # a lane counts to 255
         piece = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
         begin = np.repeat(np.cumsum(count[held]) - count[held], pieces) + 255 * piece
-        lanes = np.add.reduceat(LANES[features.view(np.uint8).reshape(-1, 8)], begin, axis=0)
-        sums[held] = np.add.reduceat(lanes.view(np.uint8), np.cumsum(pieces) - pieces, axis=0, dtype=np.int32)
+        lanes = _lane_sums(features.view(np.uint8).reshape(-1, 8), begin).view(np.uint8)
+        sums[held] = lanes if len(begin) == len(held) else np.add.reduceat(lanes, np.cumsum(pieces) - pieces, axis=0, dtype=np.int32)
     by_line = count.reshape(lines, blocks)
-    return by_line, _majority(sums, count).reshape(lines, blocks), _majority(sums.reshape(lines, blocks, 64).sum(axis=1), by_line.sum(axis=1))
+    whole = sums.reshape(lines, blocks, 64).sum(axis=1, dtype=sums.dtype)
+    return by_line, _majority(sums, count).reshape(lines, blocks), _majority(whole, by_line.sum(axis=1))
+
+
+def _lane_sums(rows: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """The lanes of each group of ``rows`` (bytes of features), which begin at ``begin`` and have 255 rows at most.
+
+    The groups' k-th rows are added together, those of the largest groups first, so each step is one pass over whole arrays.
+    """
+    size = np.diff(np.append(begin, len(rows)))
+    by_size = np.argsort(-size, kind="stable")
+    first, left = begin[by_size], size[by_size]
+    out = LANES[rows[first]]
+    some = len(first)
+    for k in range(1, int(left[0])):
+        some = int(np.searchsorted(-left[:some], -k, "left"))       # groups of more than k rows
+        out[:some] += LANES[rows[first[:some] + k]]
+    back = np.empty_like(out)
+    back[by_size] = out
+    return back
 
 
 def _majority(sums: np.ndarray, n: np.ndarray) -> np.ndarray:
-    return np.packbits(2 * sums > n[:, None], axis=1).view(">u8").ravel().astype(np.uint64)
+    return np.packbits(sums > (n // 2)[:, None].astype(sums.dtype), axis=1).view(">u8").ravel().astype(np.uint64)
 
 
 def _meeting(count: np.ndarray, sims: np.ndarray, take: int, least: int, salt: int) -> tuple[np.ndarray, np.ndarray]:
@@ -138,7 +164,7 @@ def _sketch(words: np.ndarray, first: np.ndarray, pairs: np.ndarray, pair_first:
 
 def _byte_pairs(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, few: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the byte pairs of the lines marked in ``few``, and each line's first."""
-    plain = H.LOWER[np.where(PLAIN[raw], raw, np.uint8(0x20))]
+    plain = NORMAL[raw] if few.any() else raw
     out, n = [np.zeros(0, np.uint64)], np.zeros(len(starts) + 1, np.int64)
     for i in np.flatnonzero(few).tolist():
         b = np.frombuffer(b" " + b" ".join(plain[starts[i]:ends[i]].tobytes().split()) + b" ", np.uint8).astype(np.uint64)
@@ -149,8 +175,9 @@ def _byte_pairs(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, few: np.n
 
 def _lengths(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, n: np.ndarray) -> np.ndarray:
     """Code points of each normalised line: those of its words, and a blank between two."""
-    sums = np.concatenate([[0], np.cumsum(PLAIN[raw] & ~H.SPACE[raw] & ((raw & 0xC0) != 0x80))])
-    return sums[ends] - sums[starts] + np.maximum(n - 1, 0)
+    if not len(starts):
+        return np.zeros(0, np.int64)
+    return np.add.reduceat(COUNTED[raw], starts, dtype=np.int64) + np.maximum(n - 1, 0)      # a line ends where the next one starts
 
 
 def _slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
@@ -198,8 +225,7 @@ def line_texts(docs: DataFrame, min_words: int, bits: np.ndarray) -> DataFrame:
             set_ = (bits[at >> 5] >> (at & 31).astype(np.uint32)) & 1 == 1
             long = np.flatnonzero((np.diff(first) >= min_words) & set_)
             keys = keys[long]
-            plain = H.LOWER[np.where(PLAIN[raw], raw, np.uint8(0x20))].tobytes()
-            texts = [" ".join(plain[s:e].decode("utf-8", "replace").split()) for s, e in zip(starts[long], ends[long])]
+            texts = [" ".join(NORMAL[raw[s:e]].tobytes().decode("utf-8", "replace").split()) for s, e in zip(starts[long], ends[long])]
             yield pa.record_batch([pa.array(keys.view(np.int64)), pa.array(texts, pa.string())], ["key", "line"])
 
     return docs.select("text").mapInArrow(run, "key long, line string")
@@ -233,13 +259,37 @@ def edit_distance(a: str, b: str) -> int:
     return distance
 
 
+def _aligned(x: list[str], y: list[str], most: int) -> int:
+    """At least the edit distance of two lines of words, or a number above ``most``: words that
+    differ are replaced up to the nearest place, within ``AHEAD`` words, where both go on alike."""
+    cost, i, j, m, n = 0, 0, 0, len(x), len(y)
+    while i < m and j < n:
+        if x[i] == y[j]:
+            i += 1
+            j += 1
+            continue
+        for p, q in AHEAD_STEPS:
+            if i + p < m and j + q < n and x[i + p] == y[j + q]:
+                break
+        else:
+            if m - i > AHEAD or n - j > AHEAD:
+                return most + 1
+            break
+        cost += max(sum(map(len, x[i:i + p])) + p, sum(map(len, y[j:j + q])) + q)
+        if cost > most:
+            return cost
+        i += p
+        j += q
+    return cost + max(sum(map(len, x[i:])) + m - i, sum(map(len, y[j:])) + n - j)
+
+
 def similar(a: str, b: str, least: float) -> bool:
     """Is the edit similarity, 1 - distance / longer length, ``least`` or more? Bounds that are quick to take come first."""
     most = int((1 - least) * max(len(a), len(b)) + 1e-9)
     if abs(len(a) - len(b)) > most:
         return False
     x, y = a.split(" "), b.split(" ")
-    if len(x) == len(y) and sum(max(len(p), len(q)) for p, q in zip(x, y) if p != q) <= most:
+    if len(x) == len(y) and sum(max(len(p), len(q)) for p, q in zip(x, y) if p != q) <= most or _aligned(x, y, most) <= most:
         return True
     p, q = Counter(a), Counter(b)
     if max((p - q).total(), (q - p).total()) > most:        # each edit mends one character of either side at best
