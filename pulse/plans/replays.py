@@ -21,6 +21,7 @@ SLOW_EVERY, SLOW_SECONDS = 7, 90            # every 7th is 90 seconds late
 AGAIN_EVERY, AGAIN_SECONDS = 5, 30          # every 5th is delivered again half a minute later
 LAG_EVERY, LAG_SECONDS = 50, 600            # every 50th edit's new revision is told 10 minutes after its change
 VERSION_EVERY, REQUEST_EVERY, TEXT_FLAG_EVERY = 9, 13, 31      # messages with a new field, a new field in meta, a flag as text
+FILE_EVENTS = 200_000                       # messages that a task sorts and writes to the captures' files
 NO_REVISION = 41                            # every 41st edit has no revision id
 
 
@@ -89,7 +90,9 @@ def announced_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def capture_files(messages: DataFrame, folder: str, files: int = 6, cut: bool = True) -> str:
     """Write messages (offset, value) as the rotated files of two captures: event, id and two ``data:`` lines and a
-    blank one each. Files end where the line count says, mostly inside an event (``cut``), or between two events."""
+    blank one each. Files end where the line count says, mostly inside an event (``cut``), or between two events.
+    A capture has ``files`` files, or more of about ``FILE_EVENTS`` messages of both: a file is sorted by one task."""
+    files = max(files, -(-messages.count() // FILE_EVENTS))
     first = F.length(F.substring_index("value", ",", 1)) + 1
     lines = F.array(F.lit("event: message"), F.concat(F.lit("id: "), F.col("offset").cast("string")), F.concat(F.lit("data: "), F.substring("value", F.lit(1), first)),
                     F.concat(F.lit("data: "), F.substring("value", first + 1, F.length("value"))), F.lit(""))

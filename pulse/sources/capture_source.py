@@ -41,12 +41,16 @@ ROWS = 4096                 # events of an Arrow batch
 Files = list[tuple[str, int]]       # (name, bytes) in order
 
 
+def _is_capture(info: pafs.FileInfo) -> bool:
+    return info.type == pafs.FileType.File and not info.base_name.startswith(("_", "."))
+
+
 def captures(path: str) -> tuple[pafs.FileSystem, dict[str, Files]]:
     """The directories under ``path`` (itself included) that hold files, by path, with their files in name order."""
     filesystem, base = pafs.FileSystem.from_uri(path)
     found: dict[str, Files] = {}
     for info in filesystem.get_file_info(pafs.FileSelector(base, recursive=True, allow_not_found=True)):
-        if info.type == pafs.FileType.File and not info.base_name.startswith(("_", ".")):
+        if _is_capture(info):
             found.setdefault(info.path.rsplit("/", 1)[0], []).append((info.base_name, info.size))
     return filesystem, {c: sorted(files) for c, files in sorted(found.items())}
 
@@ -61,24 +65,37 @@ class Range(InputPartition):
     end: int
     stop: int
     at_event: bool      # does an event begin at ``start``?
+    more: bool = False  # do files follow that are listed only if an event goes on so far?
 
 
 def ranges(path: str, capture: str, files: Files, start: int, stop: int, split_bytes: int) -> list[Range]:
-    """The ranges of [start, stop); each carries only the files it may read."""
-    out = []
+    """The ranges of [start, stop); each carries its own files and the one after them."""
+    out, before, keep = [], 0, 0
     for at in range(start, stop, split_bytes):
-        before, keep = 0, 0
         while keep < len(files) - 1 and before + files[keep][1] < at:       # keeps the byte before ``at``
             before += files[keep][1]
             keep += 1
-        out.append(Range(path, capture, files[keep:], at - before, min(at + split_bytes, stop) - before, stop - before, at == start))
+        end = min(at + split_bytes, stop)
+        to, held = keep, before
+        while to < len(files) and held < end:
+            held += files[to][1]
+            to += 1
+        out.append(Range(path, capture, files[keep:to + 1], at - before, end - before, stop - before, at == start, to + 1 < len(files)))
     return out
 
 
+def _files(filesystem: pafs.FileSystem, r: Range) -> Iterator[tuple[str, int]]:
+    """The files of a range, then those that follow them."""
+    yield from r.files
+    if r.more:
+        found = filesystem.get_file_info(pafs.FileSelector(r.capture))
+        yield from sorted((i.base_name, i.size) for i in found if _is_capture(i) and i.base_name > r.files[-1][0])
+
+
 def _blocks(filesystem: pafs.FileSystem, r: Range, start: int) -> Iterator[bytes]:
     """The bytes of the sequence from ``start`` to ``r.stop``."""
     at = 0
-    for name, size in r.files:
+    for name, size in _files(filesystem, r):
         lo, hi = max(start - at, 0), min(r.stop - at, size)
         if lo < hi:
             with filesystem.open_input_file(f"{r.capture}/{name}") as f:
@@ -90,6 +107,17 @@ def _blocks(filesystem: pafs.FileSystem, r: Range, start: int) -> Iterator[bytes
                     lo += len(block)
                     yield block
         at += size
+        if at >= r.stop:
+            return
+
+
+def _place(filesystem: pafs.FileSystem, r: Range, position: int) -> tuple[str, int]:
+    """The file that holds the byte at ``position``, and the byte's place in it."""
+    for name, size in _files(filesystem, r):
+        if position < size:
+            return name, position
+        position -= size
+    raise OSError(f"{r.capture} has become shorter")
 
 
 def _lines(filesystem: pafs.FileSystem, r: Range) -> Iterator[tuple[int, int, str]]:
@@ -139,10 +167,6 @@ def read_range(r: Range | None) -> Iterator[pa.RecordBatch]:
     if r is None:           # Spark's one partition of a plan without any
         return
     filesystem, _ = pafs.FileSystem.from_uri(r.path)
-    ends, total = [], 0
-    for name, size in r.files:
-        total += size
-        ends.append((total, size, name))
     rows: list[tuple] = []
 
     def batch() -> pa.RecordBatch:
@@ -151,8 +175,7 @@ def read_range(r: Range | None) -> Iterator[pa.RecordBatch]:
         return pa.record_batch([pa.array(c, t) for c, t in zip(columns, types)], ["capture", "file", "position", "value", "sse_event", "sse_id"])
 
     for position, *rest in events(filesystem, r):
-        end, size, name = next(e for e in ends if position < e[0])
-        rows.append((r.capture, name, position - (end - size), *rest))
+        rows.append((r.capture, *_place(filesystem, r, position), *rest))
         if len(rows) == ROWS:
             yield batch()
             rows = []

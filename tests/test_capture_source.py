@@ -5,8 +5,11 @@ import random
 
 import pytest
 from pyarrow import fs as pafs
+from pyspark.sql import functions as F
 
+from pulse.plans import replays
 from pulse.sources import capture_source as C
+from pulse.sources.capture import sse_events
 
 SPLITS = (1, 2, 3, 7, 64, 1 << 20)
 
@@ -118,6 +121,32 @@ def test_a_range_reads_only_its_own_files(tmp_path):
     assert sum(1 for p in parts for _ in C.events(pafs.LocalFileSystem(), p)) == 100
 
 
+def test_a_range_carries_few_files_and_lists_the_others_when_an_event_goes_on(tmp_path):
+    data = b"id: 1\ndata: " + b"x" * 500 + b"\n" + b" " * 300 + b"\nid: 2\ndata: y\n\n" + b"data: z\n\n" * 20
+    rotate(str(tmp_path), data, list(range(10, len(data), 10)))
+    _, found = C.captures(str(tmp_path))
+    (capture, files), = found.items()
+    for split in (1, 15, 40, 400):
+        parts = C.ranges(str(tmp_path), capture, files, 0, len(data), split)
+        assert max(len(p.files) for p in parts) <= split // 10 + 4
+        rows = [r for p in parts for b in C.read_range(p) for r in b.to_pylist()]
+        assert [(r["value"], r["sse_event"], r["sse_id"]) for r in rows] == framed(data)
+        at = data.index(b"id: 2")
+        assert (rows[1]["file"], rows[1]["position"]) == (files[at // 10][0], at % 10)
+
+
+@pytest.mark.parametrize("cut", (True, False))
+def test_a_larger_capture_has_more_files(spark, tmp_path, monkeypatch, cut):
+    monkeypatch.setattr(replays, "FILE_EVENTS", 25)
+    messages = spark.range(500).select(F.col("id").alias("offset"), F.format_string('{"a":%d,"b":"x"}', "id").alias("value"))
+    folder = replays.capture_files(messages, str(tmp_path), cut=cut)
+    _, found = C.captures(folder)
+    assert len(found) == 2 and all(len(files) == 20 for files in found.values())
+    events = C.capture_source(spark, folder, split_bytes=200) if cut else sse_events(spark, f"{folder}/*")
+    got = sorted((int(r.sse_id), r.value) for r in events.collect())
+    assert got == [(i, f'{{"a":{i},\n"b":"x"}}') for i in range(500)]
+
+
 def test_options(spark):
     with pytest.raises(Exception, match="path"):
         C.CaptureReader({})
