@@ -140,17 +140,18 @@ def _may_link(nx, ny, px, py):
 FILTER_BITS = 25            # the filter's table has 2**25 bits (4 MB), whatever the size of the corpus
 
 
-def _texts_of(docs: DataFrame, reps: DataFrame) -> DataFrame:
-    """(node, text) of the documents named in ``reps`` (node, _digest, _id).
+def _texts_of(docs: DataFrame, reps: DataFrame, placed: DataFrame) -> DataFrame:
+    """``placed`` (node, _digest, _id and where the text goes) with the texts of its documents, all named in ``reps``.
 
     A bit table of the wanted digests, of fixed size, spares most other texts
-    the shuffle while the wanted ones are few; the join decides.
+    the shuffle while the wanted ones are few; the join decides. A text is sent
+    once by its key, straight to the rows that place it.
     """
     at = F.pmod("_digest", F.lit(1 << FILTER_BITS))
     filled = reps.groupBy(F.shiftright(at, 5).alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), at.bitwiseAND(F.lit(31).cast("long")).cast("int"))).alias("bits"))
-    filled = filled.toPandas()      # 2**20 rows at most
+    filled = filled.toArrow()       # 2**20 rows at most, by column
     bits = np.zeros(1 << (FILTER_BITS - 5), np.uint32)
-    bits[filled["word"].to_numpy(np.int64)] = filled["bits"].to_numpy(np.int64).astype(np.uint32)
+    bits[filled["word"].to_numpy()] = filled["bits"].to_numpy().astype(np.uint32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -158,9 +159,9 @@ def _texts_of(docs: DataFrame, reps: DataFrame) -> DataFrame:
             yield b.filter(pa.array((bits[at >> 5] >> (at & 31).astype(np.uint32)) & 1 == 1))
 
     some = docs.select("id", "digest", "text").mapInArrow(run, "id long, digest long, text string").withColumn("_key", F.xxhash64("digest", "id"))
-    wanted = reps.select("node", "_digest", "_id", F.xxhash64("_digest", "_id").alias("_key"))
-    found = some.join(wanted, "_key").where((F.col("digest") == F.col("_digest")) & F.col("id").eqNullSafe(F.col("_id")))
-    return found.select("_key", "node", "text").dropDuplicates(["_key"]).select("node", "text")
+    texts = some.repartition("_key").dropDuplicates(["_key", "digest", "id"])
+    found = placed.withColumn("_key", F.xxhash64("_digest", "_id")).join(texts, "_key").where((F.col("digest") == F.col("_digest")) & F.col("id").eqNullSafe(F.col("_id")))
+    return found.select("center", "group", "kind", "node", "text")
 
 
 def _least_shared(nx, ny):
@@ -182,7 +183,7 @@ def _compare(pairs: DataFrame, docs: DataFrame, reps: DataFrame, size: int) -> D
     to = pairs.join(counts, "center").select("center", F.pmod(F.xxhash64("node"), F.col("last") + 1).cast("int").alias("group"), "node", F.lit(1).alias("kind"))
     own = counts.select("center", F.explode(F.sequence(F.lit(0), "last")).alias("group"), F.col("center").alias("node"), F.lit(0).alias("kind"))
     wanted = stash(reps.join(pairs.select("node").union(pairs.select("center")).distinct(), "node"))
-    rows = to.union(own).join(_texts_of(docs, wanted), "node").repartition("center", "group").sortWithinPartitions("center", "group", "kind")
+    rows = _texts_of(docs, wanted, to.union(own).join(wanted, "node")).repartition("center", "group").sortWithinPartitions("center", "group", "kind")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, center = None, None
@@ -221,9 +222,9 @@ def similar_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     docs = docs.withColumn("digest", F.xxhash64("text"))
     features = stash(document_sets(docs, size))
     tally = features.where("tally").select(F.explode(F.arrays_zip("buckets", "counts")).alias("x"))
-    counted = tally.groupBy("x.buckets").agg(F.sum("x.counts").alias("n")).toPandas()    # 2**18 rows at most
+    counted = tally.groupBy("x.buckets").agg(F.sum("x.counts").alias("n")).toArrow()     # 2**18 rows at most, by column
     counts = np.zeros(1 << BUCKET_BITS, np.int64)
-    counts[counted["buckets"].to_numpy(np.int64)] = counted["n"].to_numpy(np.int64)
+    counts[counted["buckets"].to_numpy()] = counted["n"].to_numpy()
     ranked = np.argsort(counts, kind="stable")
     order = np.empty(len(counts), np.uint64)
     order[ranked] = np.arange(len(counts), dtype=np.uint64)

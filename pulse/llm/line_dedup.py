@@ -336,9 +336,9 @@ def _bit_table(keys: DataFrame) -> np.ndarray:
     """A bit for each residue of the wanted keys, 2**25 of them whatever their number."""
     at = F.pmod("key", F.lit(1 << FILTER_BITS))
     filled = keys.groupBy(F.shiftright(at, 5).alias("word")).agg(
-        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), at.bitwiseAND(F.lit(31).cast("long")).cast("int"))).alias("bits")).toPandas()
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), at.bitwiseAND(F.lit(31).cast("long")).cast("int"))).alias("bits")).toArrow()
     bits = np.zeros(1 << (FILTER_BITS - 5), np.uint32)
-    bits[filled["word"].to_numpy(np.int64)] = filled["bits"].to_numpy(np.int64).astype(np.uint32)
+    bits[filled["word"].to_numpy()] = filled["bits"].to_numpy().astype(np.uint32)
     return bits
 
 
