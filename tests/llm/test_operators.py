@@ -656,3 +656,40 @@ def test_line_dedup_of_awkward_rows(spark):
     assert len(out) == 10
     assert {r.doc_id: r.n_dropped for r in out}[6] == 1 and {r.doc_id: r.n_dropped for r in out}[5] == 0
     assert line_dedup.duplicate_lines(df.limit(0)).count() == 0
+
+
+def test_blocks_of_lines_by_brute_force():
+    rng = np.random.default_rng(5)
+    sizes = [0, 1, 2, 3, 40, 700, 1500, 5]
+    words = [rng.integers(0, 1 << 63, n, dtype=np.uint64) for n in sizes]
+    words[4][:20] = words[4][20:]           # repeated words count once
+    blocks = 3
+    count, sims, whole = line_dedup._blocks(np.concatenate(words), np.repeat(np.arange(len(sizes)), sizes), len(sizes), blocks)
+    for i, w in enumerate(words):
+        distinct = np.unique(w)
+        block = (hashing.mix(distinct + np.uint64(blocks)) >> np.uint64(32)).astype(np.int64) % blocks
+        parts = [distinct[block == k] for k in range(blocks)]
+        for got, n, part in [*zip(sims[i], count[i], parts), (whole[i], len(distinct), distinct)]:
+            want = sum(1 << b for b in range(64) if 2 * sum(int(x) >> b & 1 for x in part) > len(part))
+            assert (int(got), n) == (int.from_bytes(want.to_bytes(8, "little"), "big"), len(part))     # bytes in the order they lie in memory
+
+
+def test_changed_words_need_no_edit_distance(monkeypatch):
+    a = " ".join(f"word{i}" for i in range(60))
+    b = a.replace("word7 ", "").replace("word20", "another one").replace("word41", "word 41 twice")
+    distance = line_dedup.edit_distance(a, b)
+    assert distance <= line_dedup._aligned(a.split(" "), b.split(" "), 99) <= 0.2 * len(a)
+    monkeypatch.setattr(line_dedup, "edit_distance", None)
+    assert line_dedup.similar(a, b, 0.8)
+
+
+def test_nothing_reaches_the_driver_row_by_row(spark, monkeypatch):
+    def refused(self):
+        raise AssertionError("rows go through the driver's Python")
+
+    monkeypatch.setattr(type(spark.range(0)), "toPandas", refused)
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, text), (1, text), (2, text + " more"), (3, "quite another text of some words"), (4, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id, r.component) for r in jaccard_join.similar_documents(df).collect())
+    assert got == [(1, 1), (1, 1), (2, 1), (3, 3), (4, 4)]

@@ -9,6 +9,8 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -304,3 +306,24 @@ def test_op13_digests(spark, tmp_path, reference):
         ids = reference.encode_ordinary(t or "")
         want.append((i, len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest()))
     assert sorted(map(tuple, queries.op13_byte_bpe(spark, str(tmp_path)).collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_a_batch_is_let_go_before_the_next_one_is_read():
+    held, tasks = [], []
+
+    class Docs:
+        def mapInArrow(self, run, schema):
+            tasks.append(run)
+            raise StopIteration
+
+    def batches(size=4 << 20):
+        for _ in range(3):
+            before = pa.total_allocated_bytes()
+            yield pa.record_batch([pc.fill_null(pa.array(["word " * (size // 500)] * 100 + [None]), ""), pa.array([0] * 101, pa.int64())], ["text", "lang_key"])
+            held.append(pa.total_allocated_bytes() - before)
+
+    with pytest.raises(StopIteration):
+        phrases.count_pass(Docs(), 3, None, None)
+    for _ in tasks[0](batches()):
+        pass
+    assert len(held) == 3 and max(held) < 1 << 20
