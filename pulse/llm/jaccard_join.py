@@ -244,13 +244,11 @@ def similar_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     entries = kept.select("token", "node", "n", "pos", F.col("node").alias("label"), "pivot")
     for level in range(levels):
         if level:
-            entries = _open_cells(kept, links)
-            p = F.min(F.struct("pos", "n", "node")).alias("pivot")
-            pivots = entries.groupBy("token").agg(p)
-            entries = entries.join(pivots, "token")
+            entries = _other_pivots(_open_cells(kept, links))
         px = F.col("pivot")
-        met = entries.where((F.col("node") != px["node"]) & _may_link(F.col("n"), px["n"], F.col("pos"), px["pos"]))
-        met = met.groupBy("node", "n", px["node"].alias("center"), px["n"].alias("m")).agg(F.count(F.lit(1)).alias("cells"))
+        met = entries.where(F.col("node") != px["node"]).withColumn("may", _may_link(F.col("n"), px["n"], F.col("pos"), px["pos"]))
+        # The windows need hold at one cell only, the first shared one: all cells of the pivot count.
+        met = met.groupBy("node", "n", px["node"].alias("center"), px["n"].alias("m")).agg(F.count(F.lit(1)).alias("cells"), F.max("may").alias("may")).where("may")
         # Only cells of this pivot are counted, so a quarter of what a link needs is asked for; the rest is met below.
         met = met.where(4 * F.col("cells") >= _least_shared(F.col("n"), F.col("m")))
         nearest = met.groupBy("node").agg(F.max(F.struct("cells", "center")).alias("m")).select("node", F.col("m.center").alias("center"))
@@ -267,8 +265,9 @@ def similar_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     distance = F.col("shared") / (F.col("n_center") + F.col("n_node") - F.col("shared"))
     near = known.groupBy("node").agg(F.max(F.struct(distance.alias("j"), "center")).alias("m"))
     left = left.join(near, "node", "left").select("token", "node", "n", "pos", "label", F.col("m.center").alias("p"), (1 - F.col("m.j")).alias("d"))
-    # A pair shares no more cells than either document has left.
-    left = stash(left.withColumn("cells", F.count(F.lit(1)).over(Window.partitionBy("node"))))
+    # A linked pair's first shared cell has as many behind it, in either document, as the pair must still share.
+    own = Window.partitionBy("node")
+    left = stash(left.withColumn("cells", F.count(F.lit(1)).over(own) - F.row_number().over(own.orderBy("pos")) + 1))
     discard(kept, known)
     x = left.select(*[F.col(c).alias(c + "_x") for c in left.columns])
     y = left.select(*[F.col(c).alias(c + "_y") for c in left.columns])
@@ -277,10 +276,10 @@ def similar_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
                    & _may_link(x["n_x"], y["n_y"], x["pos_x"], y["pos_y"]) & window
                    & (F.least("cells_x", "cells_y") >= _least_shared(F.col("n_x"), F.col("n_y"))))
     pairs = stash(pairs.select(F.col("node_x").alias("center"), F.col("n_x").alias("m"), F.col("node_y").alias("node"), F.col("n_y").alias("n")).distinct())
-    # How many of their first shingles they share, against what a link needs.
-    here = left.select("token", "node")
-    both = pairs.join(here.select("token", F.col("node").alias("center")), "center").join(here, ["token", "node"])
-    enough = both.groupBy("center", "node", "m", "n").agg(F.count(F.lit(1)).alias("cells")).where(F.col("cells") >= _least_shared(F.col("n"), F.col("m")))
+    # How many of their first shingles they share, against what a link needs: one row per pair, not one per shared cell.
+    firsts = left.groupBy("node").agg(F.collect_list("token").alias("tokens"))
+    both = pairs.join(firsts.select(F.col("node").alias("center"), F.col("tokens").alias("_c")), "center").join(firsts, "node")
+    enough = both.where(F.size(F.array_intersect("_c", "tokens")) >= _least_shared(F.col("n"), F.col("m")))
     enough = stash(enough.select("center", "node"))
     discard(left, pairs)
     found = _compare(enough, docs, reps, size)
@@ -319,3 +318,12 @@ def _open_cells(kept: DataFrame, links: DataFrame) -> DataFrame:
     e = kept.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")).select("token", "node", "n", "pos", "label")
     several = e.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where(F.col("low") != F.col("high"))
     return e.join(several.select("token"), "token")
+
+
+def _other_pivots(open_cells: DataFrame) -> DataFrame:
+    """Each entry with the pivot of its cell, or, in the pivot's own component, with the first entry of another one."""
+    first = F.min(F.struct("pos", "n", "node", "label"))
+    e = open_cells.join(open_cells.groupBy("token").agg(first.alias("pivot")), "token")
+    others = e.where(F.col("label") != F.col("pivot.label")).groupBy("token").agg(first.alias("other"))
+    pivot = F.when(F.col("label") == F.col("pivot.label"), F.col("other")).otherwise(F.col("pivot"))
+    return e.join(others, "token").select("token", "node", "n", "pos", "label", pivot.alias("pivot"))

@@ -217,6 +217,37 @@ def test_jaccard_join_of_awkward_rows(spark):
     assert jaccard_join.similar_documents(df.limit(0)).count() == 0
 
 
+def test_copies_at_the_limit_meet_their_pivot(spark, monkeypatch):
+    """Copies that only just link to their base, and not to each other, are compared with it, not pair by pair."""
+    rng = random.Random(21)
+    base = words(150, rng, 10**6)
+    docs = [(0, " ".join(base))]
+    for i in range(1, 61):
+        w = list(base)
+        first = rng.randrange(6, 40)
+        for at in (first, first + rng.randrange(10, 40), first + rng.randrange(60, 100)):
+            w[at] = f"e{rng.random()}"
+        docs.append((i, " ".join(w)))
+    compared = []
+    compare = jaccard_join._compare
+
+    def counted(pairs, *rest):
+        compared.append(pairs.count())
+        return compare(pairs, *rest)
+
+    monkeypatch.setattr(jaccard_join, "_compare", counted)
+    out = jaccard_join.similar_documents(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert sorted(((r.doc_id, r.n_shingles, r.component) for r in out.collect()), key=repr) == jaccard_components(docs)
+    assert sum(compared) <= 2 * len(docs)
+
+
+def test_a_pivot_of_ones_own_component_is_passed_over(spark):
+    rows = [(7, node, 10, pos, label) for node, pos, label in [(1, 0, 1), (2, 1, 1), (3, 3, 9), (4, 2, 9), (5, 4, 5)]]
+    open_cells = spark.createDataFrame(rows, "token long, node long, n long, pos long, label long")
+    got = {r.node: r.pivot.node for r in jaccard_join._other_pivots(open_cells).collect()}
+    assert got == {1: 4, 2: 4, 3: 1, 4: 1, 5: 1}
+
+
 def test_components(spark):
     rng = random.Random(5)
     edges = [(i, i + 1) for i in range(40)] + [(rng.randrange(100, 200), rng.randrange(100, 200)) for _ in range(60)] + [(300, 300), (-5, 39)]
