@@ -18,14 +18,15 @@ def components(links: DataFrame) -> DataFrame:
     give no rows.
     """
     links = links.where(F.col("a") != F.col("b"))
-    both = stash(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    both = stash(links.select(F.inline(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))).distinct())
     labels = stash(both.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("label")))
     held = labels
     while True:
         l = labels.select(F.col("node").alias("b"), "label")
         near = both.join(l, "b").groupBy("a").agg(F.min("label").alias("near"))
         step = labels.join(near, labels["node"] == near["a"]).select("node", "label", F.least("label", "near").alias("new"))
-        told = step.select("node", "new", F.col("label").alias("was")).union(step.select(F.col("label").alias("node"), "new", F.lit(None).cast("long")))
+        told = step.select(F.inline(F.array(F.struct("node", "new", F.col("label").alias("was")),
+                                            F.struct(F.col("label").alias("node"), "new", F.lit(None).cast("long").alias("was")))))
         told = told.groupBy("node").agg(F.min("new").alias("label"), F.max("was").alias("was"))
         up = told.select(F.col("node").alias("label"), F.col("label").alias("top"))
         after = stash(told.join(up, "label", "left").select("node", F.coalesce("top", "label").alias("label"), "was"))
@@ -34,3 +35,17 @@ def components(links: DataFrame) -> DataFrame:
         if not after.where(F.col("label") != F.col("was")).take(1):
             discard(both)
             return labels
+
+
+def extended(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels``, as :func:`components` gives them, after more ``links``: what it would give for all links together.
+
+    Only the new links between components, each named by its label, go through the rounds.
+    """
+    def name(end: str) -> DataFrame:
+        return labels.select(F.col("node").alias(end), F.col("label").alias("_" + end))
+
+    between = links.join(name("a"), "a", "left").join(name("b"), "b", "left").select(F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b"))
+    tops = components(between)
+    held = labels.join(tops.select(F.col("node").alias("label"), F.col("label").alias("top")), "label", "left")
+    return stash(held.select("node", F.coalesce("top", "label").alias("label")).union(tops.join(labels, "node", "left_anti").select("node", "label")))

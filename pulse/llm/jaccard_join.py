@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from pulse.llm import hashing as H
 from pulse.llm.common import WORD, discard, stash
-from pulse.llm.components import components
+from pulse.llm.components import components, extended
 
 SHINGLE = 5
 BUCKET_BITS = 18            # shingles are counted in 2**18 buckets, whatever the size of the corpus
@@ -240,11 +240,11 @@ def similar_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     reps = stash(features.where(F.col("node").isNotNull()).groupBy("node").agg(F.min(F.struct("digest", "id")).alias("rep"))
                  .select("node", F.col("rep.digest").alias("_digest"), F.col("rep.id").alias("_id")))
 
-    links, known = None, None
+    labels, known = None, None
     entries = kept.select("token", "node", "n", "pos", F.col("node").alias("label"), "pivot")
     for level in range(levels):
         if level:
-            entries = _other_pivots(_open_cells(kept, links))
+            entries = _other_pivots(_open_cells(kept, labels))
         px = F.col("pivot")
         met = entries.where(F.col("node") != px["node"]).withColumn("may", _may_link(F.col("n"), px["n"], F.col("pos"), px["pos"]))
         # The windows need hold at one cell only, the first shared one: all cells of the pivot count.
@@ -255,13 +255,15 @@ def similar_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
         if known is not None:
             nearest = nearest.join(known.select("node", "center"), ["node", "center"], "left_anti")
         found = _compare(stash(nearest), docs, reps, size)
-        before = (known, found, links) if known is not None else ()
-        known = found if known is None else stash(known.union(found))
-        links = stash(_linked(known))
-        discard(*before)
+        labels = components(_linked(found)) if labels is None else extended(labels, _linked(found))
+        if known is None:
+            known = found
+        else:
+            before, known = known, stash(known.union(found))
+            discard(before, found)
 
     # What is left: pairs of different components, compared exactly.
-    left = _open_cells(kept, links)
+    left = _open_cells(kept, labels)
     distance = F.col("shared") / (F.col("n_center") + F.col("n_node") - F.col("shared"))
     near = known.groupBy("node").agg(F.max(F.struct(distance.alias("j"), "center")).alias("m"))
     left = left.join(near, "node", "left").select("token", "node", "n", "pos", "label", F.col("m.center").alias("p"), (1 - F.col("m.j")).alias("d"))
@@ -283,8 +285,8 @@ def similar_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     enough = stash(enough.select("center", "node"))
     discard(left, pairs)
     found = _compare(enough, docs, reps, size)
-    labels = components(links.union(_linked(found)))
-    discard(links, found, reps)
+    labels = extended(labels, _linked(found))
+    discard(found, reps)
     f = features.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = f.where(F.col("label").isNotNull()).groupBy("label").agg(F.min("id").alias("component"))
     alone = f.where(F.col("label").isNull()).select("id", "digest", "n", F.col("id").alias("component"), "label")
@@ -312,9 +314,8 @@ def _linked(found: DataFrame) -> DataFrame:
     return found.where(100 * F.col("shared") >= 80 * union).select(F.col("center").alias("a"), F.col("node").alias("b"))
 
 
-def _open_cells(kept: DataFrame, links: DataFrame) -> DataFrame:
+def _open_cells(kept: DataFrame, labels: DataFrame) -> DataFrame:
     """The entries of cells that hold members of more than one component, with their component's label."""
-    labels = components(links)
     e = kept.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")).select("token", "node", "n", "pos", "label")
     several = e.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where(F.col("low") != F.col("high"))
     return e.join(several.select("token"), "token")

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from pulse.llm import hashing as H
 from pulse.llm.common import discard, stash
-from pulse.llm.components import components
+from pulse.llm.components import components, extended
 from pulse.llm.toxicity import PLAIN
 
 MIN_SIMILARITY = 0.8
@@ -371,6 +371,7 @@ def duplicate_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     # frequent one; then pairs across what that connects.
     shared = stash(_shared(distinct))
     met = stash(_met(shared, distinct))
+    many = stash(distinct.where("times > 1").select("key"))
     discard(distinct, shared)
     small = met.where(~F.col("large")).select(F.col("key").alias("a"), F.explode("near").alias("b"))
     crowd = met.where("large").drop("near")
@@ -380,11 +381,15 @@ def duplicate_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     may = stash(crowd.select("key").union(star.select("a")).union(star.select("b")).distinct())
     texts = stash(line_texts(docs, min_words, _bit_table(may)).join(may, "key").dropDuplicates(["key"]))
     links = stash(_near(star, texts, least))
-    across = _pairs(_across(crowd, links)).join(star, ["a", "b"], "left_anti")
-    labels = components(links.union(stash(_near(across, texts, least))))
+    labels = components(links)
+    across = _pairs(_across(crowd, labels)).join(star, ["a", "b"], "left_anti")
+    labels = extended(labels, stash(_near(across, texts, least)))
     discard(met, star, may, texts, links)
 
-    placed = body.join(labels.withColumnRenamed("node", "key"), "key", "left").withColumn("label", F.coalesce("label", "key"))
+    # Lines that stand once and are linked with none stay: only the others are placed.
+    labels = labels.withColumnRenamed("node", "key")
+    groups = many.union(labels.select("key")).distinct().join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
+    placed = body.join(groups, "key")
     place = F.struct("id", "digest", "pos")
     stays = placed.groupBy("label").agg(F.min(place).alias("stays"), F.max(place).alias("last")).where(F.col("stays") != F.col("last"))
     goes = placed.join(stays, "label").where(place != F.col("stays"))
@@ -399,10 +404,9 @@ def _pairs(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _across(crowd: DataFrame, links: DataFrame) -> DataFrame:
-    """Close pairs (a, b) that share a bucket but no component of ``links``."""
-    labels = components(links).withColumnRenamed("node", "key")
-    m = crowd.join(labels, "key", "left").select("bucket", "key", "simhash", "chars", F.coalesce("label", "key").alias("label"))
+def _across(crowd: DataFrame, labels: DataFrame) -> DataFrame:
+    """Close pairs (a, b) that share a bucket but no component of ``labels``."""
+    m = crowd.join(labels.withColumnRenamed("node", "key"), "key", "left").select("bucket", "key", "simhash", "chars", F.coalesce("label", "key").alias("label"))
     several = m.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where(F.col("low") != F.col("high"))
     m = stash(m.join(several.select("bucket"), "bucket"))
     x = m.select("bucket", F.col("key").alias("a"), F.col("simhash").alias("_x"), F.col("chars").alias("_n"), F.col("label").alias("_l"))

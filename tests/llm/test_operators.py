@@ -264,6 +264,21 @@ def test_components(spark):
     assert got == {x: find(x) for x in up if any(x in e and e[0] != e[1] for e in edges)}
 
 
+def test_components_extended_by_more_links(spark):
+    rng = random.Random(6)
+    edges = [(rng.randrange(-60, 60), rng.randrange(-60, 60)) for _ in range(40)] + [(i, i + 1) for i in range(200, 220)]
+    more = [(rng.randrange(-90, 90), rng.randrange(-90, 90)) for _ in range(30)] + [(205, 400), (400, 401), (500, 501), (600, 600), (210, -90)]
+
+    def found(df):
+        return {r.node: r.label for r in df.collect()}
+
+    one, two = (spark.createDataFrame(x, "a long, b long") for x in (edges, more))
+    whole = found(components.components(one.union(two)))
+    assert found(components.extended(components.components(one), two)) == whole
+    assert found(components.extended(components.components(one.limit(0)), one.union(two))) == whole
+    assert found(components.extended(components.components(one), two.limit(0))) == found(components.components(one))
+
+
 def test_word_hashes_part_like_the_pattern():
     import pyarrow as pa
     texts = ["Ab  ab\tc\n", None, "", "é\u00a0é x", "a" * 3000 + " b", " ", "ab"]
@@ -689,6 +704,27 @@ def test_line_dedup_of_awkward_rows(spark):
     assert line_dedup.duplicate_lines(df.limit(0)).count() == 0
 
 
+def test_links_go_through_the_rounds_once(spark, monkeypatch):
+    """Pairs met across components add to what the first links gave, which isn't worked out anew."""
+    rounds = components.components
+    seen = []
+
+    def counted(links):
+        seen.append(links.count())
+        return rounds(links)
+
+    monkeypatch.setattr(components, "components", counted)
+    monkeypatch.setattr(line_dedup, "components", counted)
+    rng = random.Random(22)
+    docs = []
+    for i in range(20):
+        w = words(12, rng, 10**6)
+        docs += [(3 * i + c, " ".join(w[:11] + [f"e{c}"])) for c in range(3)]
+    got = {r.doc_id: r.dropped for r in line_dedup.duplicate_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == {d: [0] if d % 3 else [] for d, _ in docs}
+    assert seen[0] > 0 and sum(seen) < 2 * seen[0]
+
+
 def test_blocks_of_lines_by_brute_force():
     rng = np.random.default_rng(5)
     sizes = [0, 1, 2, 3, 40, 700, 1500, 5]
